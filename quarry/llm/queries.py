@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .licenses import scan_licenses
 from .ngram_join import ngram_components
 from .passages import drop_repeated_passages
+from .warc import read_warc, write_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +30,17 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = read_warc(spark, write_warc(_table(spark, sf_dir, "pages")))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op3_substring_dedup": op3_substring_dedup,
         "op4_license_scan": op4_license_scan,
+        "op5_warc_round_trip": op5_warc_round_trip,
     }
 
 
