@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .licenses import scan_licenses
+from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .passages import drop_repeated_passages
 from .warc import read_warc, write_warc
@@ -35,12 +36,17 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op3_substring_dedup": op3_substring_dedup,
         "op4_license_scan": op4_license_scan,
         "op5_warc_round_trip": op5_warc_round_trip,
+        "op10_source_mixing": op10_source_mixing,
     }
 
 
