@@ -1,0 +1,271 @@
+"""Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
+
+A text is cut into paragraphs: lines, and long lines once more after words that their own hash
+picks (after 16 words at the latest), so that an edit moves few cuts. Each paragraph's 64-bit digest (numbered, where it repeats)
+is added to three cells of a small table. The difference of two versions' tables holds only what
+differs; peeling cells with one digest recovers the differing digests. If peeling gets stuck the
+tables are built again, four times larger.
+"""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import input_bytes, ship
+from . import words as W
+
+ROWS = 3
+#: Cells in one of a fingerprint's three rows; retries take four times as many each.
+WIDTH = 8
+#: A word whose hash is 0 in these bits ends a paragraph; so do this many words without such a word.
+_CUT, _LONGEST = np.uint64(7), 16
+_MAX_BUCKETS = 65536
+_LEAST = -(1 << 63)
+
+
+def paragraph_digests(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text, digest) of each paragraph of each text; the i-th repetition in a text has a digest of its own."""
+    owners, digests = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for w in W.split(texts):
+        if not len(w.starts):
+            continue
+        doc = w.doc_of_word()
+        lines = np.concatenate([[0], np.cumsum(w.data == 10)])[w.starts]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (lines[1:] != lines[:-1]) | ((w.hashes[:-1] & _CUT) == 0)
+        at = np.arange(len(doc))
+        new |= (at - np.maximum.accumulate(np.where(new, at, 0))) % _LONGEST == 0
+        first = np.flatnonzero(new)
+        total = np.zeros(len(doc) + 1, np.uint64)
+        np.cumsum(w.hashes * W._powers("up", len(doc)), out=total[1:])
+        end = np.append(first[1:], len(doc))
+        digest = W.mix((total[end] - total[first]) * W._powers("down", len(doc))[first] + (end - first).astype(np.uint64))
+        owner = doc[first]
+        order = np.lexsort((digest, owner))
+        o, d = owner[order], digest[order]
+        same = np.zeros(len(o), bool)
+        same[1:] = (o[1:] == o[:-1]) & (d[1:] == d[:-1])
+        at = np.arange(len(o))
+        nth = at - np.maximum.accumulate(np.where(same, 0, at))
+        owners.append(o + w.first)
+        digests.append(np.where(nth > 0, W.mix(d + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), d))
+    return np.concatenate(owners), np.concatenate(digests)
+
+
+def _cells(keys: np.ndarray, width: int) -> np.ndarray:
+    """The cell of each key in each row: shape (ROWS, keys)."""
+    return np.stack([W.mix(keys + np.uint64(0xA24BAED4963EE407 * (r + 1) & (1 << 64) - 1)) % np.uint64(width) + np.uint64(r * width) for r in range(ROWS)]).astype(np.int64)
+
+
+def _check(keys: np.ndarray) -> np.ndarray:
+    return W.mix(keys ^ np.uint64(0x5851F42D4C957F2D))
+
+
+def tables(owner: np.ndarray, keys: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts, key sums and check sums (mod 2**64) of n sketches; each of shape (n, ROWS * width)."""
+    size = ROWS * width
+    at = (_cells(keys, width) + owner * size).ravel()
+    count = np.bincount(at, minlength=n * size).reshape(n, size)
+    sums = []
+    for value in (keys, _check(keys)):
+        total = np.zeros(n * size, np.uint64)
+        np.add.at(total, at, np.tile(value, ROWS))
+        sums.append(total.reshape(n, size))
+    return count, *sums
+
+
+def peel(count: np.ndarray, key: np.ndarray, check: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Decode n differences at once: (pair, digest, sign) of what was recovered, and which pairs are whole."""
+    n, size = count.shape
+    count, key, check = count.ravel().copy(), key.ravel().copy(), check.ravel().copy()
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    live = np.flatnonzero((count != 0) | (key != 0))
+    for _ in range(4 * size + 8):
+        c = count[live]
+        one = np.abs(c) == 1
+        at, sign = live[one], c[one]
+        value = np.where(sign > 0, key[at], np.uint64(0) - key[at])
+        good = np.where(sign > 0, check[at], np.uint64(0) - check[at]) == _check(value)
+        at, sign, value = at[good], sign[good], value[good]
+        if not len(at):
+            break
+        pair = at // size
+        order = np.lexsort((value, pair))
+        pair, value, sign = pair[order], value[order], sign[order]
+        once = np.ones(len(pair), bool)
+        once[1:] = (pair[1:] != pair[:-1]) | (value[1:] != value[:-1])
+        pair, value, sign = pair[once], value[once], sign[once]
+        found.append((pair, value, sign))
+        where = (_cells(value, width) + pair * size).ravel()
+        signs = np.tile(sign, ROWS)
+        np.subtract.at(count, where, signs)
+        for total, part in ((key, value), (check, _check(value))):
+            np.subtract.at(total, where, np.tile(np.where(sign > 0, part, np.uint64(0) - part), ROWS))
+        live = live[(count[live] != 0) | (key[live] != 0)]
+    whole = np.ones(n, bool)
+    whole[live // size] = False
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), whole
+    return *(np.concatenate(x) for x in zip(*found, strict=True)), whole
+
+
+def _renumber(owner: np.ndarray, keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of wanted[0], wanted[1], ... as owners 0, 1, ...; owner is sorted."""
+    start, end = np.searchsorted(owner, wanted), np.searchsorted(owner, wanted, "right")
+    length = end - start
+    at = np.repeat(start - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
+    return np.repeat(np.arange(len(wanted)), length), keys[at]
+
+
+def differences(owner: np.ndarray, keys: np.ndarray, left: np.ndarray, right: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, digest, sign) of what texts left[i] (+1) and right[i] (-1) don't share.
+
+    A pair that stays stuck is tried again in tables four times larger, until it comes out whole.
+    """
+    open_pairs, out = np.arange(len(left)), []
+    while len(open_pairs):
+        a, b = (tables(*_renumber(owner, keys, side[open_pairs]), len(open_pairs), width) for side in (left, right))
+        pair, value, sign, whole = peel(*(x - y for x, y in zip(a, b, strict=True)), width)
+        keep = whole[pair]
+        out.append((open_pairs[pair[keep]], value[keep], sign[keep]))
+        open_pairs, width = open_pairs[~whole], 4 * width
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def likeness(owner: np.ndarray, keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Shared paragraphs over all paragraphs (repetitions count) of each pair of texts; 1 for two empty texts."""
+    size = np.bincount(owner, minlength=max([0, *left, *right]) + 1)
+    apart = np.bincount(differences(owner, keys, left, right)[0], minlength=len(left))
+    both = size[left] + size[right]
+    return np.where(both > 0, (both - apart) / np.maximum(both + apart, 1), 1.0)
+
+
+def encode(owner: np.ndarray, keys: np.ndarray, n: int) -> list[str]:
+    """Fingerprints as text: paragraphs, then the table's counts, key sums and short check sums."""
+    count, key, check = tables(owner, keys, n, WIDTH)
+    size = np.bincount(owner, minlength=n)
+    return [f"{size[i]:x}." + base64.b85encode(count[i].astype("<u2").tobytes() + key[i].tobytes() + check[i].astype("<u4").tobytes()).decode() for i in range(n)]
+
+
+def diff_versions(df: DataFrame, old: str, new: str, *, key: str = "doc_id") -> DataFrame:
+    """key, removed and added (arrays of paragraph digests), near: what two text columns don't share.
+
+    Null texts are empty; two empty texts are alike (1.0). One row per row of df.
+    """
+    ship(df.sparkSession)
+
+    def rows(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                n = part.num_rows
+                owner, keys = paragraph_digests(pa.concat_arrays([part.column(1), part.column(2)]))
+                pair, value, sign = differences(owner, keys, np.arange(n), np.arange(n, 2 * n))
+                side = [[np.sort(value[(pair == i) & (sign == s)]).view(np.int64) for i in range(n)] for s in (1, -1)]
+                near = likeness(owner, keys, np.arange(n), np.arange(n, 2 * n))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.list_(pa.int64())) for x in side), pa.array(near)], ["doc_id", "removed", "added", "near"])
+
+    return df.select(F.col(key).cast("long"), F.col(old).cast("string"), F.col(new).cast("string")).mapInArrow(rows, "doc_id long, removed array<long>, added array<long>, near double")
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
+
+
+def neighbour_fingerprints(df: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next per row.
+
+    The next document has the next smaller doc_id (after the smallest: the largest; of a single
+    document: itself). The edited text has its last floor(n_chars / 3) code points replaced by the
+    next document's first as many, or all. near_* are likenesses of fingerprints: from 0 to 1, and 1
+    for equal texts.
+
+    Null texts are empty. A null doc_id comes after all others; rows with one doc_id follow each
+    other by text. Empty tables give no rows. Texts cross the network once: documents are dealt by
+    ranges of doc_id and sorted there; the first document of a range is also sent to the range before it.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    docs = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LEAST)).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(_MAX_BUCKETS, max(n, input_bytes(df) // (4 << 20)))
+    # what the driver holds is bounded by the number of ranges
+    cuts = np.unique(np.array(docs.approxQuantile("key", [i / n for i in range(1, n)], 0.1 / n) or [0.0]).astype(np.int64))
+    place = spark.sparkContext.broadcast(cuts)
+
+    def bucket_of(keys: np.ndarray) -> np.ndarray:
+        at = place.value
+        return (len(at) - np.searchsorted(at, keys, "right")).astype(np.int32)  # 0 has the largest
+
+    def span(batches):
+        top: dict[int, int] = {}
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            for b, k in zip(bucket_of(keys).tolist(), keys.tolist(), strict=True):
+                top[b] = max(top.get(b, k), k)
+        yield pa.RecordBatch.from_arrays([pa.array(list(top), pa.int32()), pa.array(list(top.values()), pa.int64())], ["bucket", "top"])
+
+    heads = {r.bucket: r.top for r in docs.select("key").mapInArrow(span, "bucket int, top long").groupBy("bucket").agg(F.max("top").alias("top")).collect()}
+    ring = sorted(heads)
+    before = spark.sparkContext.broadcast({b: (heads[b], ring[i - 1]) for i, b in enumerate(ring)})
+
+    def deal(batches):
+        link = before.value
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            own = bucket_of(keys)
+            guests = [(i, link[b][1]) for i, (b, k) in enumerate(zip(own.tolist(), keys.tolist(), strict=True)) if link[b][0] == k]
+            rows = pa.table(batch).append_column("bucket", pa.array(own)).append_column("guest", pa.array(np.zeros(len(own), bool)))
+            if guests:
+                at, to = zip(*guests, strict=True)
+                more = pa.table(batch).take(pa.array(at)).append_column("bucket", pa.array(to, pa.int32())).append_column("guest", pa.array([True] * len(at)))
+                rows = pa.concat_tables([rows, more])
+            yield from rows.to_batches()
+
+    def emit(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        pairs = [(i, i + 1) for i, (a, b) in enumerate(pairwise(held)) if not a[1] and a[0] == b[0]]
+        if not pairs:
+            return
+        texts = [row[3] for row in held]
+        edited = [texts[i][: len(texts[i]) - len(texts[i]) // 3] + texts[j][: len(texts[i]) // 3] for i, j in pairs]
+        owner, keys = paragraph_digests(pa.array(texts + edited, pa.large_string()))
+        a, b = np.array(pairs).T
+        e = np.arange(len(pairs)) + len(texts)
+        near = likeness(owner, keys, np.concatenate([a, a]), np.concatenate([e, b]))
+        prints = encode(owner, keys, len(texts) + len(edited))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([held[i][2] for i in a], pa.int64()),
+                pa.array([len(texts[i]) for i in a], pa.int64()),
+                pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited]),
+                pa.array([prints[i] for i in a]),
+                pa.array([prints[i] for i in e]),
+                pa.array(near[: len(a)]),
+                pa.array(near[len(a) :]),
+            ],
+            ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+        )
+
+    def compare(batches):
+        held: list[tuple] = []
+        size = 0
+        for row in _rows(batches):
+            held.append(row)
+            size += len(row[3])
+            if len(held) > 1 and (len(held) >= 256 or size > 1 << 20):
+                yield from emit(held)
+                held, size = held[-1:], len(row[3])
+        yield from emit(held)
+
+    dealt = docs.mapInArrow(deal, "key long, doc_id long, text string, bucket int, guest boolean")
+    ordered = dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "guest", F.desc("key"), "text").select("bucket", "guest", "doc_id", "text")
+    return ordered.mapInArrow(compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

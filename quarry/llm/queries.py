@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fingerprints import neighbour_fingerprints
 from .licenses import scan_licenses
 from .mixing import mix_sources
 from .ngram_join import ngram_components
@@ -40,6 +41,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -47,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_license_scan": op4_license_scan,
         "op5_warc_round_trip": op5_warc_round_trip,
         "op10_source_mixing": op10_source_mixing,
+        "op7_document_fingerprints": op7_document_fingerprints,
     }
 
 
