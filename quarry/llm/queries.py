@@ -12,6 +12,7 @@ from .licenses import scan_licenses
 from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .passages import drop_repeated_passages
+from .quality import classify_quality
 from .warc import read_warc, write_warc
 
 
@@ -45,6 +46,10 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -53,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_warc_round_trip": op5_warc_round_trip,
         "op10_source_mixing": op10_source_mixing,
         "op7_document_fingerprints": op7_document_fingerprints,
+        "op9_quality_classifier": op9_quality_classifier,
     }
 
 
