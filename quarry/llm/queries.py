@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import find_leaks
 from .fingerprints import neighbour_fingerprints
 from .licenses import scan_licenses
 from .mixing import mix_sources
@@ -50,6 +51,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -59,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_source_mixing": op10_source_mixing,
         "op7_document_fingerprints": op7_document_fingerprints,
         "op9_quality_classifier": op9_quality_classifier,
+        "op8_benchmark_decontamination": op8_benchmark_decontamination,
     }
 
 

@@ -55,7 +55,8 @@ class Words:
     """The words of some documents: first..first+len(bounds)-1 of the batch."""
 
     first: int
-    data: np.ndarray  # bytes, lower-cased where asked for
+    raw: np.ndarray  # bytes
+    data: np.ndarray  # the same, lower-cased where asked for
     text_at: np.ndarray  # where each document's text starts in data, and the end
     starts: np.ndarray  # word starts in data
     ends: np.ndarray
@@ -97,7 +98,8 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 def split(column: pa.Array, *, lower: bool = False, alnum: bool = False, hashed: bool = True, limit: int = CHUNK_BYTES) -> Iterator[Words]:
     """Words of each chunk: runs without white space, or (alnum) runs of a-z, 0-9 and non-ASCII."""
     separator = _PUNCT if alnum else _SPACE
-    for row, _, text_at, data in chunks(column, limit):
+    for row, _, text_at, raw in chunks(column, limit):
+        data = raw
         if lower:
             data = _LOWER[data]
         n = len(data)
@@ -117,7 +119,7 @@ def split(column: pa.Array, *, lower: bool = False, alnum: bool = False, hashed:
             total = np.zeros(n + 1, np.uint64)
             np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("up", n), out=total[1:])
             hashes = mix((total[ends] - total[starts]) * _powers("down", n + 1)[starts] + (ends - starts).astype(np.uint64))
-        yield Words(row, data, text_at, starts, ends, np.searchsorted(starts, text_at), hashes)
+        yield Words(row, raw, data, text_at, starts, ends, np.searchsorted(starts, text_at), hashes)
 
 
 def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
