@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import PERSPECTIVES_SQL, rotate_perspectives
 from .decontaminate import find_leaks
 from .fingerprints import neighbour_fingerprints
 from .licenses import scan_licenses
@@ -55,6 +56,12 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = rotate_perspectives(_table(spark, sf_dir, "conversations"))
+    mask = F.array_join(F.transform("mask", lambda m: F.concat(m["start"], F.lit("+"), m["length"])), ",").alias("mask")
+    return seen.select("conv_id", "perspective", "part", "n_turns", "n_trained", "rendered", mask)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -65,8 +72,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_document_fingerprints": op7_document_fingerprints,
         "op9_quality_classifier": op9_quality_classifier,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
+        "op6_chat_perspectives": op6_chat_perspectives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_chat_perspectives": PERSPECTIVES_SQL}
