@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+#: Rows in an Arrow batch. Spark's default of 10,000 is meant for short rows; with texts, the batches that JVM and Python hold at once would take most of an executor.
+ARROW_ROWS = 512
 
 
 def get_session(app: str = "quarry", **conf: str) -> SparkSession:
@@ -27,7 +29,9 @@ def get_session(app: str = "quarry", **conf: str) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once for each application."""
+    """Give the executors' Python workers this package, once for each application; size Arrow batches for texts."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
