@@ -11,6 +11,7 @@ from .chat import PERSPECTIVES_SQL, rotate_perspectives
 from .decontaminate import find_leaks
 from .fingerprints import neighbour_fingerprints
 from .licenses import scan_licenses
+from .maxent import score_texts
 from .mixing import mix_sources
 from .ngram_join import ngram_components
 from .passages import drop_repeated_passages
@@ -62,6 +63,10 @@ def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.select("conv_id", "perspective", "part", "n_turns", "n_trained", "rendered", mask)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_classifier": op9_quality_classifier,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op6_chat_perspectives": op6_chat_perspectives,
+        "op2_lm_scoring": op2_lm_scoring,
     }
 
 
