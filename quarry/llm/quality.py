@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise, ship
@@ -159,6 +159,33 @@ def _moments(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return total[:, 0], total[:, 1 : 1 + d], total[:, 1 + d :].reshape(2, d, d)
 
 
+def _held(doc_id: Column, folds: int, held: int) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string")) % folds == held, F.lit(False))
+
+
+def _taught(known: DataFrame, labels: DataFrame, folds: int, held: int, doc_id: str, label: str) -> Discriminant:
+    taught = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
+    return fit(*_moments(known.where(~_held(F.col("doc_id"), folds, held)).join(taught, "doc_id")))
+
+
+def learn_quality(df: DataFrame, labels: DataFrame, *, folds: int = 4, held: int = 2, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Discriminant:
+    """The model that classify_quality() learns, for use with quality_score()."""
+    ship(df.sparkSession)
+    ids = labels.select(F.col(doc_id).cast("long").alias("doc_id")).distinct()
+    some = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(ids, "doc_id", "left_semi")
+    return _taught(text_statistics(some, "doc_id", "text"), labels, folds, held, doc_id, label)
+
+
+def quality_score(model: Discriminant, text: Column) -> Column:
+    """The score of a text column; null and empty texts have one too."""
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.score(statistics(texts)))
+
+    return score(text)
+
+
 def classify_quality(df: DataFrame, labels: DataFrame, *, threshold: float = 0.7, folds: int = 4, held: int = 2, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """doc_id, held_out, score, predicted of every row of df.
 
@@ -172,13 +199,11 @@ def classify_quality(df: DataFrame, labels: DataFrame, *, threshold: float = 0.7
     """
     ship(df.sparkSession)
     known = materialise(text_statistics(df, doc_id, text), "statistics")
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == held, F.lit(False))
-    taught = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
-    model = df.sparkSession.sparkContext.broadcast(fit(*_moments(known.where(~held_out).join(taught, "doc_id"))))
+    model = df.sparkSession.sparkContext.broadcast(_taught(known, labels, folds, held, doc_id, label))
 
     @F.arrow_udf("double")
     def score(x: pa.Array) -> pa.Array:
         return pa.array(model.value.score(x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)))
 
-    out = known.select("doc_id", held_out.alias("held_out"), score("x").alias("score"))
+    out = known.select("doc_id", _held(F.col("doc_id"), folds, held).alias("held_out"), score("x").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
