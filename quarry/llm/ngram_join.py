@@ -1,8 +1,9 @@
 """N-gram Jaccard join by grouped prefixes.
 
 Every document becomes the set of its distinct word shingles. All sets are ordered by one global
-order, frequent shingles last, so that two sets of Jaccard similarity t share a shingle within the
-first |x| - ceil(t|x|) + 1 of each. Documents with the same prefix and size are collapsed into one
+order, shingles of a single document first and frequent ones last, so that two sets of Jaccard
+similarity t share a shingle within the first |x| - ceil(t|x|) + 1 of each. Shingles known to occur
+in one document are not indexed; most documents have nothing else in their prefix. Documents with the same prefix and size are collapsed into one
 group; only groups are indexed and filtered (size, position); then the groups' members are expanded,
 pruned by parity bitmaps and verified on whole sets.
 
@@ -15,7 +16,6 @@ into all their pairs.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,12 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise, parts, shared_dir, ship
+from ..session import input_bytes, materialise, parts, shared_dir, ship
+from . import recurring as R
 from . import words as W
 from .components import connected_components
 
 SKETCH_BITS = 20
 _PIECES = 64
+#: Uniqueness is asked for half of all shingles, by the first 5 bytes of their hashes (8 for very large inputs).
+_ASKED = np.uint64(1)
+_SHORT = np.uint64(0xFFFFFFFFFF000000)
 
 
 def _shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -94,26 +98,42 @@ def _bitmap(values: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray, doc_id: str, text: str) -> DataFrame:
-    """One row per document: size and digest of its set, its prefix, the prefix's digest, its bitmap."""
+def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame:
+    """One row per document: size and digest of its set, its prefix's digest and shingles (those known
+    to be of one document left out; lead: how many), its bitmap."""
     ranks = df.sparkSession.sparkContext.broadcast(levels)
-
-    def rows(batches):
-        level = ranks.value
-        for batch in batches:
-            ids = batch.column(0)
-            for start in range(0, batch.num_rows, 1024):
-                part, out = batch.slice(start, 1024), []
-                for _, s in _shingle_sets(part.column(1), k):
-                    n = len(s)
-                    p = n - -(-percent * n // 100) + 1 if n else 0
-                    prefix = s[np.lexsort((s, level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:p]].view(np.int64)
-                    out.append((n, hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest(), hashlib.blake2b(prefix.tobytes(), digest_size=16).hexdigest(), prefix, _bitmap(s)))
-                n, digest, key, prefix, bits = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([ids.slice(start, 1024).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest), pa.array(key), pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "n", "digest", "prefix_key", "prefix", "bits"])
-
-    schema = "doc_id long, n long, digest string, prefix_key string, prefix array<long>, bits array<long>"
-    return df.select(F.col(doc_id).cast("long"), text).mapInArrow(rows, schema)
+    n = parts(df)
+    width = 5 if input_bytes(df) < 1 << 36 else 8
+    cut = _SHORT if width == 5 else ~np.uint64(0)
+    docs = df.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")).groupBy("bucket")
+
+    def asked(s: np.ndarray) -> np.ndarray:
+        return s[(s & _ASKED) == 0] & cut
+
+    def every(table: pa.Table) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint64), *(asked(s) for _, s in _shingle_sets(table["text"], k))])
+
+    def send(table: pa.Table) -> pa.Table:
+        return R.pack(table["bucket"][0].as_py(), every(table), n, width)
+
+    def rows(table: pa.Table, answers: pa.Table) -> pa.Table:
+        level, twice = ranks.value, R.unpack(every(table), answers, 1, n)
+        out = []
+        for _, s in _shingle_sets(table["text"], k):
+            size = len(s)
+            p = size - -(-percent * size // 100) + 1 if size else 0
+            alone = (s & _ASKED) == 0
+            alone[alone] = ~R.isin(s[alone] & cut, twice)
+            rank = np.where(alone, -1, level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)])
+            prefix = s[np.lexsort((s, rank))[:p]].view(np.int64)
+            lead = min(p, int(alone.sum()))
+            out.append((size, hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest(), hashlib.blake2b(prefix.tobytes(), digest_size=16).hexdigest(), lead, prefix[lead:], _bitmap(s)))
+        size, digest, key, lead, prefix, bits = zip(*out, strict=True)
+        types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        return pa.table([table["doc_id"], *(pa.array(x, t) for x, t in zip((size, digest, key, lead, prefix, bits), types, strict=True))], names=["doc_id", "n", "digest", "prefix_key", "lead", "prefix", "bits"])
+
+    answers = R.answer(docs.applyInArrow(send, R.SENT_DDL), 1, width).groupBy("bucket")
+    return docs.cogroup(answers).applyInArrow(rows, "doc_id long, n long, digest string, prefix_key string, lead long, prefix array<long>, bits array<long>")
 
 
 def _could_link(percent: int, n: str, i: str, m: str, j: str):
@@ -170,14 +190,14 @@ def ngram_components(df: DataFrame, *, k: int = 5, percent: int = 80, doc_id: st
     ship(spark)
     shared_dir(spark)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    index = materialise(_index(docs, k, percent, _levels(frequency_sketch(docs, k)), "doc_id", "text"), "index")
+    index = materialise(_index(docs, k, percent, _levels(frequency_sketch(docs, k))), "index")
     some = index.where("n > 0 AND doc_id IS NOT NULL")
 
     # copies of a set are one unit; units with the same size and prefix are one group
     units = materialise(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix_key").alias("prefix_key"), F.first("bits").alias("bits")), "units")
-    groups = some.groupBy("n", "prefix_key").agg(F.min("doc_id").alias("gid"), F.first("prefix").alias("prefix"))
+    groups = some.groupBy("n", "prefix_key").agg(F.min("doc_id").alias("gid"), F.first("lead").alias("lead"), F.first("prefix").alias("prefix"))
     in_group = units.join(groups.select("n", "prefix_key", "gid"), ["n", "prefix_key"]).select("rep", "n", "gid")
-    tokens = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
+    tokens = groups.select("gid", "n", "lead", F.posexplode("prefix").alias("pos", "token")).select("gid", "n", (F.col("pos") + F.col("lead")).alias("pos"), "token")
     members = in_group.groupBy("gid").agg(F.count("*").alias("members"))
 
     # only shingles that two groups share, or a group with several members, lead to candidates

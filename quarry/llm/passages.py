@@ -72,7 +72,7 @@ def _candidates(table: pa.Table, size: int, anchors: np.ndarray):
     """(chunk, starts, hashes) of the windows on recurring anchors."""
     for w in _chunks(table):
         at, least, _, _ = _windows(w, size)
-        at = at[R._isin(least, anchors)]
+        at = at[R.isin(least, anchors)]
         yield w, at, W.rolling(w.hashes, size)[at] if len(at) else np.zeros(0, np.uint64)
 
 
@@ -123,7 +123,7 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
         anchors = R.unpack(_anchors(table, size), answers, 1, n)
         found = list(_candidates(table, size, anchors))
         confirmed = R.unpack(np.concatenate([np.zeros(0, np.uint64), *(h for _, _, h in found)]), answers, 2, n)
-        passages = [_pieces(at[R._isin(h, confirmed)], size) for _, at, h in found]
+        passages = [_pieces(at[R.isin(h, confirmed)], size) for _, at, h in found]
         inside = [w.hashes[a:b] for (w, _, _), some in zip(found, passages, strict=True) for a, b in some]
         known = np.unique(np.concatenate([np.zeros(0, np.uint64), *inside]))
         if len(known) > _CODES:
@@ -133,7 +133,7 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
         coded = []
         for w, _, _ in found:
             # words that no passage has, and the ends of documents, match nothing
-            code = np.where(R._isin(w.hashes, known), np.searchsorted(known, w.hashes) + _FIRST_CODE, 1).astype(np.uint32)
+            code = np.where(R.isin(w.hashes, known), np.searchsorted(known, w.hashes) + _FIRST_CODE, 1).astype(np.uint32)
             code = np.insert(code, w.bounds[1:], 1)
             coded.append(code.astype("<u4").tobytes().decode("utf-32-le"))
         automaton = ahocorasick.Automaton()

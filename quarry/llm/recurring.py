@@ -21,8 +21,8 @@ def _cuts(sorted_hashes: np.ndarray, shards: int) -> np.ndarray:
     return np.searchsorted(shard, np.arange(shards + 1))
 
 
-def pack(bucket: int, hashes: np.ndarray, shards: int) -> pa.Table:
-    """The bucket's messages to the shards. hashes: with repetitions."""
+def pack(bucket: int, hashes: np.ndarray, shards: int, width: int = 8) -> pa.Table:
+    """The bucket's messages to the shards. hashes: with repetitions; all but their first width bytes are 0."""
     value, count = np.unique(hashes, return_counts=True)
     cut = _cuts(value, shards)
     some = np.flatnonzero(np.diff(cut))
@@ -30,29 +30,37 @@ def pack(bucket: int, hashes: np.ndarray, shards: int) -> pa.Table:
         [
             pa.array(some, pa.int32()),
             pa.array(np.full(len(some), bucket), pa.int32()),
-            pa.array([value[cut[i] : cut[i + 1]].tobytes() for i in some], pa.binary()),
+            pa.array([value[cut[i] : cut[i + 1]].view(np.uint8).reshape(-1, 8)[:, 8 - width :].tobytes() for i in some], pa.binary()),
             pa.array([np.packbits(count[cut[i] : cut[i + 1]] > 1).tobytes() for i in some], pa.binary()),
         ],
         schema=SENT,
     )
 
 
-def answer(sent: DataFrame, kind: int) -> DataFrame:
+def _read(body: bytes, width: int) -> np.ndarray:
+    if width == 8:
+        return np.frombuffer(body, np.uint64)
+    out = np.zeros((len(body) // width, 8), np.uint8)
+    out[:, 8 - width :] = np.frombuffer(body, np.uint8).reshape(-1, width)
+    return out.view(np.uint64).ravel()
+
+
+def answer(sent: DataFrame, kind: int, width: int = 8) -> DataFrame:
     """(bucket, kind, shard, bits): bit i is set if the bucket's i-th hash of the shard occurs twice or more."""
 
     def shard(table: pa.Table) -> pa.Table:
-        blocks = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
+        blocks = [_read(x, width) for x in table["hashes"].to_pylist()]
         several = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(b)) for x, b in zip(table["several"].to_pylist(), blocks, strict=True)]
         every = np.concatenate(blocks)
         value, count = np.unique(np.concatenate([every, every[np.concatenate(several) > 0]]), return_counts=True)
         twice = value[count > 1]
-        bits = [np.packbits(_isin(b, twice)).tobytes() for b in blocks]
+        bits = [np.packbits(isin(b, twice)).tobytes() for b in blocks]
         return pa.table([table["bucket"], pa.array(np.full(len(blocks), kind), pa.int32()), table["shard"], pa.array(bits, pa.binary())], names=["bucket", "kind", "shard", "bits"])
 
     return sent.groupBy("shard").applyInArrow(shard, ANSWER_DDL)
 
 
-def _isin(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+def isin(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     """values in among (sorted, distinct)."""
     if not len(among):
         return np.zeros(len(values), bool)
