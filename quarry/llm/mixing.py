@@ -72,14 +72,14 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = targets.withColumn("rounds", whole).withColumn("left", F.col("target") - F.col("rounds") * F.col("source_size"))
     now = sizes
-    budget = targets.select("source", "left")
+    budget = targets.select(F.col("source").alias("s"), "left")
     found, shift = None, _BITS
     while shift > 0:
         shift -= _STEP
         hist = now.groupBy("source", F.shiftright("hash", shift).alias("bucket")).agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
         upto = Window.partitionBy("source").orderBy("bucket")
         hist = hist.withColumn("upto", F.sum("words").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-        hist = hist.join(budget, hist["source"].eqNullSafe(budget["source"])).drop(budget["source"])
+        hist = hist.join(budget, hist["source"].eqNullSafe(budget["s"])).drop("s")
         edge = hist.where("upto > left AND upto - words <= left").withColumn("left", F.col("left") - (F.col("upto") - F.col("words")))
         edge = materialise(edge.select("source", "bucket", "words", "docs", "left"), "edge")
         done = edge if shift == 0 else edge.where("docs = 1")
@@ -89,7 +89,7 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         edge = edge.where("docs > 1")
         if shift == 0 or edge.isEmpty():
             break
-        budget = edge.select("source", "left")
+        budget = edge.select(F.col("source").alias("s"), "left")
         at = edge.select(F.col("source").alias("s"), "bucket")
         now = now.join(at, now["source"].eqNullSafe(at["s"]) & (F.shiftright(now["hash"], shift) == at["bucket"]), "left_semi")
     found = materialise(found.withColumnRenamed("source", "s"), "thresholds")
