@@ -78,7 +78,9 @@ def _candidates(table: pa.Table, size: int, anchors: np.ndarray):
 
 def _pieces(starts: np.ndarray, size: int) -> list[tuple[int, int]]:
     """Passages: runs of consecutive windows, as (first word, end), cut into overlapping pieces of size to 2*size-1 words."""
-    out = []
+    out: list[tuple[int, int]] = []
+    if not len(starts):
+        return out
     first = np.flatnonzero(np.diff(starts, prepend=-2) != 1)
     last = np.append(first[1:], len(starts)) - 1
     for a, b in zip(starts[first].tolist(), (starts[last] + size).tolist(), strict=True):
@@ -88,12 +90,13 @@ def _pieces(starts: np.ndarray, size: int) -> list[tuple[int, int]]:
     return out
 
 
-def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), verbatim: bool = False) -> DataFrame:
     """doc_id, kept_text, n_words, n_removed and the carried columns of every row of df.
 
     Words are runs without white space. Each word that lies in a window of size words whose sequence
     also starts elsewhere (in any document, itself included) is removed; windows are judged on the
-    input. kept_text is the kept words joined by one space.
+    input. kept_text is the kept words joined by one space; with verbatim, texts that lose nothing
+    (and nulls) come back as they are.
 
     Null and empty texts: no words, kept_text is ''. Texts of fewer than size words are kept. Rows
     that repeat remove each other's passages, whatever their ids. Empty tables give no rows. Long
@@ -129,6 +132,7 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
         if len(known) > _CODES:
             raise ValueError("a bucket's passages have too many different words; use more shuffle partitions")
         kept, n_words, n_removed = [], [], []
+        valid = table["text"].is_valid().to_numpy()
         # every chunk's documents go through the automaton of the whole bucket
         coded = []
         for w, _, _ in found:
@@ -158,7 +162,10 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
                 mine = raw[w.text_at[i] : w.text_at[i + 1]].split()
                 out = gone[w.bounds[i] : w.bounds[i + 1]]
                 lost = int(out.sum())
-                kept.append(b" ".join(compress(mine, ~out) if lost else mine))
+                if verbatim and not lost:
+                    kept.append(raw[w.text_at[i] : w.text_at[i + 1]] if valid[w.first + i] else None)
+                else:
+                    kept.append(b" ".join(compress(mine, ~out) if lost else mine))
                 n_words.append(len(mine))
                 n_removed.append(lost)
         columns = [table["doc_id"], pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
