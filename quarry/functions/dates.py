@@ -27,11 +27,11 @@ def posting_date_guess(text: Column, as_of: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     relative = r"(?i)posted\s+(\d+)\s*\+?\s*(hour|day|week|month)s?\s+ago"
     amount, unit = F.regexp_extract(text, relative, 1), F.lower(F.regexp_extract(text, relative, 2))
-    hours = F.when(unit == "hour", 1).when(unit == "day", 24).when(unit == "week", 168).otherwise(720) * F.try_to_number(F.nullif(amount, F.lit("")), F.lit("999999")).cast("int")
+    hours = F.when(unit == "hour", 1).when(unit == "day", 24).when(unit == "week", 168).otherwise(720) * amount.try_cast("int")
     day = F.date_format(as_of - F.make_dt_interval(hours=hours), "yyyy-MM-dd")
     return (
         F.when(text.rlike(r"(?i)\bposted\s+today\b|\bjust\s+posted\b"), F.date_format(as_of, "yyyy-MM-dd"))
-        .when(amount != "", F.concat(day, F.lit(" (approx, from 'posted "), amount.cast("int").cast("string"), F.lit(" "), unit, F.lit("(s) ago')")))
+        .when(amount != "", F.concat(day, F.lit(" (approx, from 'posted "), F.coalesce(amount.try_cast("int").cast("string"), amount), F.lit(" "), unit, F.lit("(s) ago')")))
         .otherwise(F.regexp_extract(text, _ISO, 1))
     )
 

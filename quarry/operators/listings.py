@@ -186,3 +186,21 @@ def enrich_contacts(df: DataFrame, *lookups: DataFrame, key: str = "company", or
         got = F.when(F.col("_asked") & (F.col("recruiter_email") == ""), F.coalesce(f"_e{i}", F.lit(""))).otherwise(F.col("recruiter_email"))
         out = out.withColumn("recruiter_email", got).drop("_asked", f"_e{i}")
     return out
+
+
+def first_wins_capped(df: DataFrame, key: str, order: list[str], most: int = 1000) -> DataFrame:
+    return first_wins(df, key, order).orderBy(*order).limit(most)
+
+
+def combinations(places: DataFrame, families: DataFrame, words: DataFrame, most: int = 24) -> DataFrame:
+    """Search combinations: every place with every family's terms, picked from the pools in turn.
+
+    The three are short configuration lists, (place, p), (family, f) and (family, term, t).
+    """
+    pools = places.join(F.broadcast(families), F.col("p") >= F.lit(0)).join(words, "family")
+    pools = pools.withColumn("pool", F.col("p") * 1_000_000 + F.col("f"))
+    return round_robin(pools, pool="pool", order="t", most=most).select("pick", "place", "family", "term")
+
+
+def retry_rows(listings: DataFrame, state: DataFrame, key: str = "job_url") -> DataFrame:
+    return listings.join(state.where(F.col("status").isin(*terms.RESUMABLE)).select(key), key, "left_semi")

@@ -443,11 +443,12 @@ def json_repair(spark, d):
     return _t(spark, d, "documents").select("doc_id", J.repair_json(cut).alias("repaired"))
 
 
-@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS start, CAST(o_orderdate AS DATE) AS end_day FROM orders")
+@query("SELECT o_orderkey, strftime(o_orderdate + INTERVAL 30 YEAR, '%Y-%m-%d') AS first_day, strftime(o_orderdate + INTERVAL 30 YEAR, '%Y-%m-%d') AS last_day FROM orders")
 def walkin_dates(spark, d):
-    text = F.concat(F.lit("Walk-in drive on "), F.date_format("o_orderdate", "d MMM yyyy"), F.lit(" at our campus, bring a resume and an identity card. Our company, founded 12 Jan 2001"))
+    text = F.concat(F.lit("Walk-in drive on "), F.date_format(F.add_months("o_orderdate", 360), "d MMM yyyy"), F.lit(" at our campus, bring a resume and an identity card. Our company, founded 12 Jan 2001"))
     rows = _t(spark, d, "orders").select("o_orderkey", D.walkin_dates(text, F.lit(AS_OF).cast("date")).alias("w"))
-    return rows.select("o_orderkey", "w.start", F.col("w.end").alias("end_day"))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return rows.select("o_orderkey", day("w.start").alias("first_day"), day("w.end").alias("last_day"))
 
 
 @query(r"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(url || ' apply' || chr(10) || html, 'https?://[^\s\)\]\>"'']+')) AS raw FROM pages)

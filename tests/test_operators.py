@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -194,3 +195,49 @@ def test_query_names_have_oracles():
 
 def test_date_query(spark):
     assert dt.date.fromisoformat(Q.AS_OF)
+
+
+def fetch(url):
+    if "slow" in url:
+        time.sleep(5)
+    if "bad" in url:
+        raise OSError("down")
+    return "page of " + url * 10
+
+
+def test_fetching(spark):
+    import sys
+
+    from pyspark import cloudpickle
+
+    from quarry.sources import fetch as X
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    urls = spark.createDataFrame([("u1",), ("u1",), ("bad",), ("slow",), ("",), (None,)], "url string")
+    got = {r.url: (r.markdown is not None, (r.error or "").split(":")[0]) for r in X.fetch_urls(urls, fetch, concurrency=2, timeout=1.0).collect()}
+    assert got == {"u1": (True, ""), "bad": (False, "OSError"), "slow": (False, "TimeoutError")}
+    both = X.fetch_with_fallback(urls.where("url = 'bad'"), fetch, lambda u: "second", concurrency=1).collect()
+    assert [r.markdown for r in both] == ["second"]
+    assert X.probe(spark, fetch, "https://example.com") and not X.probe(spark, fetch, "bad")
+    waits = []
+    with pytest.raises(OSError):
+        X.with_retries(lambda: fetch("bad"), sleep=waits.append)
+    assert waits == [2.0, 4.0]
+
+
+def test_streaming_state_machine(spark, tmp_path):
+    from quarry.streaming.machine import ROCKSDB, run_state_machine
+
+    rows_in = [("a", 1, "EVALUATING", None), ("a", 2, "EVALUATED", None), ("a", 3, "QUEUED", None), ("a", 4, "PASSED", None), ("b", 1, "RETRYABLE_ERROR", "invalid json"), ("c", 1, "PASSED", None)]
+    spark.createDataFrame(rows_in, "key string, ord long, status string, error string").coalesce(1).write.parquet(f"{tmp_path}/in")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    stream = spark.readStream.schema("key string, ord long, status string, error string").parquet(f"{tmp_path}/in")
+    out = run_state_machine(stream).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/log").start()
+    # with processing-time timers a query never runs out of work: wait for the input, then stop
+    for _ in range(600):
+        if any(p["numInputRows"] for p in out.recentProgress):
+            break
+        time.sleep(0.1)
+    out.stop()
+    got = rows(spark.read.parquet(f"{tmp_path}/out"), "key", "ord", "from_status", "to_status", "valid")
+    assert got == [("a", 1, "QUEUED", "EVALUATING", True), ("a", 2, "EVALUATING", "EVALUATED", True), ("a", 3, "EVALUATED", "QUEUED", False), ("a", 4, "EVALUATED", "PASSED", True), ("b", 1, "QUEUED", "PERMANENT_ERROR", True), ("c", 1, "QUEUED", "PASSED", False)]
