@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import io
 import tempfile
 import uuid
 import zipfile
@@ -36,11 +36,16 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
-    archive = os.path.join(tempfile.mkdtemp(prefix="quarry-"), "quarry.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as out:
         for path in sorted(root.rglob("*.py")):
             out.write(path, str(path.relative_to(root.parent)))
-    spark.sparkContext.addPyFile(archive)
+    where = f"{scratch(spark, 'package')}/quarry.zip"
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    stream = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(there, True)
+    stream.write(bytearray(body.getvalue()))
+    stream.close()
+    spark.sparkContext.addPyFile(where)
     _SHIPPED.add(app)
 
 

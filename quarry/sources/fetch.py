@@ -5,12 +5,16 @@ from __future__ import annotations
 import concurrent.futures as cf
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from .. import terms
+from ..functions.text import links_in_text
+from ..functions.url import absolute_url, allowed_host, norm_url_strict
+from ..session import materialise, ship
 from .readers import first_of
 
 Fetcher = Callable[[str], str]
@@ -72,6 +76,26 @@ def probe(spark: SparkSession, fetcher: Fetcher, url: str, least: int = 50) -> b
     return len(row.markdown or "") >= least
 
 
+def crawl(seeds: DataFrame, fetcher: Fetcher, *, depth: int = 2, pages: int = 28, keywords: tuple[str, ...] = ("job", "career", "developer", "engineer"), domains: list[str] = terms.BOARD_DOMAINS, **options) -> DataFrame:
+    """Best-first discovery from (url) seeds on allowed hosts: (url, markdown, error, seconds, depth).
+
+    A level at a time: the new links of a level's pages are scored by keywords, and the best pages of
+    them are fetched next. Each level is written before the next one, so nothing is fetched twice.
+    """
+    score = lambda c: sum((F.lower(c).contains(k).cast("int") for k in keywords), F.lit(0))
+    todo = seeds.select(norm_url_strict(F.col("url")).alias("url")).where("url <> ''").distinct()
+    known, levels = todo, []
+    for level in range(depth + 1):
+        best = todo.where(allowed_host(F.col("url"), domains)).orderBy(score(F.col("url")).desc(), "url").limit(pages)
+        got = materialise(fetch_urls(best, fetcher, **options).withColumn("depth", F.lit(level)), "crawl")
+        levels.append(got)
+        links = got.where("markdown IS NOT NULL").select("url", F.explode(links_in_text(F.col("markdown"))).alias("link"))
+        found = links.select(norm_url_strict(absolute_url(F.col("link"), F.col("url"))).alias("url")).where("url <> ''").distinct()
+        todo = materialise(found.join(known, "url", "left_anti"), "frontier")
+        known = known.unionByName(todo)
+    return reduce(lambda a, b: a.unionByName(b), levels)
+
+
 def seen_urls(spark: SparkSession, *paths: str) -> DataFrame:
     """Distinct job_url of the first table that can be read, else none."""
     for path in paths:

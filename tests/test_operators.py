@@ -219,6 +219,9 @@ def test_fetching(spark):
     both = X.fetch_with_fallback(urls.where("url = 'bad'"), fetch, lambda u: "second", concurrency=1).collect()
     assert [r.markdown for r in both] == ["second"]
     assert X.probe(spark, fetch, "https://example.com") and not X.probe(spark, fetch, "bad")
+    site = {"https://indeed.com/a": "[x](/job-b) https://other.com/c", "https://indeed.com/job-b": "[back](https://indeed.com/a) [d](d)", "https://indeed.com/d": "end"}
+    found = X.crawl(spark.createDataFrame([("https://indeed.com/a",)], "url string"), lambda u: site[u], concurrency=1)
+    assert rows(found, "url", "depth") == [("https://indeed.com/a", 0), ("https://indeed.com/d", 2), ("https://indeed.com/job-b", 1)]
     waits = []
     with pytest.raises(OSError):
         X.with_retries(lambda: fetch("bad"), sleep=waits.append)
