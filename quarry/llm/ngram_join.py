@@ -103,6 +103,7 @@ def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame
     to be of one document left out; lead: how many), its bitmap."""
     ranks = df.sparkSession.sparkContext.broadcast(levels)
     n = parts(df)
+    shards = parts(df, R.SHARD_BYTES)
     width = 5 if input_bytes(df) < 1 << 36 else 8
     cut = _SHORT if width == 5 else ~np.uint64(0)
     docs = df.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")).groupBy("bucket")
@@ -114,10 +115,10 @@ def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame
         return np.concatenate([np.zeros(0, np.uint64), *(asked(s) for _, s in _shingle_sets(table["text"], k))])
 
     def send(table: pa.Table) -> pa.Table:
-        return R.pack(table["bucket"][0].as_py(), every(table), n, width)
+        return R.pack(table["bucket"][0].as_py(), every(table), shards, width)
 
     def rows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        level, twice = ranks.value, R.unpack(every(table), answers, 1, n)
+        level, twice = ranks.value, R.unpack(every(table), answers, 1, shards)
         out = []
         for _, s in _shingle_sets(table["text"], k):
             size = len(s)

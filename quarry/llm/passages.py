@@ -106,26 +106,27 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
     ship(spark)
     shared_dir(spark)
     n = parts(df)
+    shards = parts(df, R.SHARD_BYTES)
     inner = [f"_carry{i}" for i in range(len(carry))]
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *(F.col(c).alias(x) for c, x in zip(carry, inner, strict=True)))
     docs = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
     key = lambda table, left=None: (table if len(table) else left)["bucket"][0].as_py()
 
     def send_anchors(table: pa.Table) -> pa.Table:
-        return R.pack(key(table), _anchors(table, size), n)
+        return R.pack(key(table), _anchors(table, size), shards)
 
     def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        anchors = R.unpack(_anchors(table, size), answers, 1, n)
+        anchors = R.unpack(_anchors(table, size), answers, 1, shards)
         hashes = [h for _, _, h in _candidates(table, size, anchors)]
-        return R.pack(key(table, answers), np.concatenate([np.zeros(0, np.uint64), *hashes]), n)
+        return R.pack(key(table, answers), np.concatenate([np.zeros(0, np.uint64), *hashes]), shards)
 
     fields = [f for f in docs.schema.fields if f.name in inner]
     schema = "doc_id long, kept_text string, n_words long, n_removed long" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in fields)
 
     def locate(table: pa.Table, answers: pa.Table) -> pa.Table:
-        anchors = R.unpack(_anchors(table, size), answers, 1, n)
+        anchors = R.unpack(_anchors(table, size), answers, 1, shards)
         found = list(_candidates(table, size, anchors))
-        confirmed = R.unpack(np.concatenate([np.zeros(0, np.uint64), *(h for _, _, h in found)]), answers, 2, n)
+        confirmed = R.unpack(np.concatenate([np.zeros(0, np.uint64), *(h for _, _, h in found)]), answers, 2, shards)
         passages = [_pieces(at[R.isin(h, confirmed)], size) for _, at, h in found]
         inside = [w.hashes[a:b] for (w, _, _), some in zip(found, passages, strict=True) for a, b in some]
         known = np.unique(np.concatenate([np.zeros(0, np.uint64), *inside]))

@@ -11,6 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+#: Bytes of documents for each shard. There are fewer shards than buckets, so that messages (one for each of
+#: both) stay long; a shard holds about as many bytes of hashes at most.
+SHARD_BYTES = 64 << 20
 SENT = pa.schema([("shard", pa.int32()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("several", pa.binary())])
 SENT_DDL = "shard int, bucket int, hashes binary, several binary"
 ANSWER_DDL = "bucket int, kind int, shard int, bits binary"
