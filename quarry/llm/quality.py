@@ -169,10 +169,12 @@ def _taught(known: DataFrame, labels: DataFrame, folds: int, held: int, doc_id:
 
 
 def learn_quality(df: DataFrame, labels: DataFrame, *, folds: int = 4, held: int = 2, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Discriminant:
-    """The model that classify_quality() learns, for use with quality_score()."""
+    """The model that classify_quality() learns, for use with quality_score().
+
+    Statistics are made where the texts are, and only they are joined with the labels.
+    """
     ship(df.sparkSession)
-    ids = labels.select(F.col(doc_id).cast("long").alias("doc_id")).distinct()
-    some = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(ids, "doc_id", "left_semi")
+    some = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(~_held(F.col("doc_id"), folds, held))
     return _taught(text_statistics(some, "doc_id", "text"), labels, folds, held, doc_id, label)
 
 

@@ -7,6 +7,7 @@ longer than that forms a chunk of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +15,18 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 19
+
+
+def _give_memory_back() -> None:
+    """Have freed arrays returned to the system: workers live on between tasks, and several share an executor."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD, which else grows with each freed array
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+_give_memory_back()
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
