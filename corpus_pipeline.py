@@ -37,7 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = ngram_components(docs, k=5, percent=80)
     first = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
     first = materialise(first, "first")
-    kept = docs.join(first.select("doc_id"), "doc_id", "left_semi").select(COLUMNS)
+    # as many ids as documents: a merge join at every size, not a broadcast while they happen to be few
+    kept = docs.join(first.select("doc_id").hint("merge"), "doc_id", "left_semi").select(COLUMNS)
     if not first.where("rows > 1").isEmpty():
         again = Window.partitionBy("doc_id").orderBy(*(F.col(c).asc_nulls_last() for c in COLUMNS[1:]))
         kept = kept.withColumn("_nth", F.row_number().over(again)).where("_nth = 1").select(COLUMNS)
