@@ -113,7 +113,7 @@ def sheet_cells(spark, d):
 @query("""SELECT doc_id, array_to_string(list_concat(list_filter(['la', 'the', 'de'], lambda x: list_contains(w, x)), list_filter(list_transform(list_filter(range(1, len(w) + 1), lambda i: list_position(w, w[i]) = i), lambda i: w[i]), lambda x: x NOT IN ('la', 'the', 'de')))[1:30], ' ') AS words
 FROM (SELECT doc_id, string_split(substr(lower(text), 1, 300), ' ') AS w FROM documents)""")
 def priority_words(spark, d):
-    words = F.split(F.substring(F.lower("text"), 1, 300), " ")
+    words = F.split(F.lower("text"), " ")
     return _t(spark, d, "documents").select("doc_id", F.array_join(C.priority_order(words, ["la", "the", "de"]), " ").alias("words"))
 
 

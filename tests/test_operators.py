@@ -10,6 +10,7 @@ from quarry import terms
 from quarry.operators import listings as L
 from quarry.operators import metrics as M
 from quarry.operators import state as ST
+from quarry.plans import more_queries as MQ
 from quarry.plans import pipeline as P
 from quarry.plans import queries as Q
 from quarry.sources import readers as R
@@ -193,6 +194,22 @@ def test_query_names_have_oracles():
     assert set(Q.oracle_sql()) == set(Q.queries())
 
 
+def documents(spark, folder, rows):
+    """A documents table of (doc_id, text), as a folder for the registered queries."""
+    spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_priority_words_reads_whole_texts(spark, tmp_path):
+    texts = ["x " * 200 + "The y la", " ".join(f"w{i % 40}" for i in range(300)) + " de", "a b" * 99 + " " + "long" * 60 + " the end"]
+    want = []
+    for t in texts:
+        seen = list(dict.fromkeys(t.lower().split(" ")))
+        want.append(" ".join(([x for x in ("la", "the", "de") if x in seen] + [x for x in seen if x not in ("la", "the", "de")])[:30]))
+    got = MQ.priority_words(spark, documents(spark, tmp_path, list(enumerate(texts))))
+    assert [r.words for r in got.orderBy("doc_id").collect()] == want
+
+
 def test_date_query(spark):
     assert dt.date.fromisoformat(Q.AS_OF)
 
