@@ -332,8 +332,8 @@ _YEARS = rf"coalesce(CAST(nullif(regexp_extract(t, '{terms.YEARS_PATTERN}\s*(?:o
 @query(f"""WITH p AS (SELECT doc_id, {_LOW} AS t FROM documents, (SELECT unnest({_PHRASES}) AS phrase)), y AS (SELECT doc_id, t, {_YEARS} AS years, regexp_matches(t, '{terms.YEARS_PATTERN}{terms.YEARS_PREFERRED}') AS pref, {_sql_any('t', terms.GRADUATE)} AS grad, {_sql_hits('t', terms.SENIOR)} AS senior FROM p)
 SELECT doc_id, CAST(sum(years) AS BIGINT) AS years, count(*) FILTER (WHERE years > 0 AND pref) AS preferred, count(*) FILTER (WHERE NOT ((senior >= 2 AND NOT grad) OR (years > 1 AND NOT pref AND NOT grad))) AS eligible FROM y GROUP BY doc_id""")
 def experience_parse(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", F.explode(F.array(*(F.lit(p) for p in _PHRASES))).alias("phrase"), F.substring("text", 1, 200).alias("head"))
-    rows = docs.select("doc_id", S.experience(F.concat_ws(" ", "phrase", "head")).alias("e"))
+    docs = _t(spark, d, "documents").select("doc_id", F.explode(F.array(*(F.lit(p) for p in _PHRASES))).alias("phrase"), "text")
+    rows = docs.select("doc_id", S.experience(F.concat_ws(" ", "phrase", "text")).alias("e"))
     return rows.groupBy("doc_id").agg(F.sum("e.min_years").alias("years"), F.count_if("e.preferred").alias("preferred"), F.count_if("e.eligible").alias("eligible"))
 
 
@@ -439,7 +439,7 @@ def error_class(spark, d):
 
 @query("""SELECT doc_id, '{"id": ' || CAST(doc_id AS VARCHAR) || ', "tags": ["a", "b"]}' AS repaired FROM documents""")
 def json_repair(spark, d):
-    cut = F.concat(F.lit('{"id": '), F.col("doc_id").cast("string"), F.lit(', "tags": ["a", "b"], "text": "'), F.substring(F.regexp_replace("text", r'[\\"\n\r\t]', " "), 1, 40))
+    cut = F.concat(F.lit('{"id": '), F.col("doc_id").cast("string"), F.lit(', "tags": ["a", "b"], "text": "'), F.regexp_replace("text", r'[\\"\n\r\t]', " "))
     return _t(spark, d, "documents").select("doc_id", J.repair_json(cut).alias("repaired"))
 
 

@@ -210,6 +210,14 @@ def test_priority_words_reads_whole_texts(spark, tmp_path):
     assert [r.words for r in got.orderBy("doc_id").collect()] == want
 
 
+def test_experience_parse_reads_whole_texts(spark, tmp_path):
+    far = "x " * 150
+    texts = [far + "a fresher is welcome", far + "senior lead architect", far + "9 years, preferred", "plain"]
+    got = Q.experience_parse(spark, documents(spark, tmp_path, list(enumerate(texts)))).orderBy("doc_id").collect()
+    # the phrases alone have 2, 4, 5 (preferred) and 12 years; 'senior lead role' is too senior
+    assert [(r.years, r.preferred, r.eligible) for r in got] == [(23, 1, 8), (23, 1, 2), (59, 8, 7), (23, 1, 4)]
+
+
 def test_date_query(spark):
     assert dt.date.fromisoformat(Q.AS_OF)
 
