@@ -11,6 +11,7 @@ from .. import terms
 from ..functions import score as S
 from ..functions.dates import walkin_dates, walkin_status
 from ..functions.url import norm_url_loose
+from ..session import materialise
 
 
 def clean_text(c: Column, default: str = "") -> Column:
@@ -175,6 +176,25 @@ def final_rank(df: DataFrame, *, email: str = "recruiter_email", score: str = "f
     return out.limit(most) if most is not None else out
 
 
+def number_rows(df: DataFrame, name: str = "rank") -> DataFrame:
+    """df, which is sorted, with each row's place from 1: its place in its partition and the rows of the partitions before.
+
+    Only one count per partition reaches the driver; no window gathers the rows in one task.
+    """
+    # bits above 33: the partition; below: the row's place in it
+    rows = materialise(df.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", 33)
+    counts = {r.part: r.n for r in rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    before, total = [], 0
+    for p in sorted(counts):
+        before.append((p, total))
+        total += counts[p]
+    offsets = df.sparkSession.createDataFrame(before, "_part long, _before long")
+    out = rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return out.select(*df.columns, place.cast("int").alias(name))
+
+
 def enrich_contacts(df: DataFrame, *lookups: DataFrame, key: str = "company", order: str = "arrival_ord", budget: int = 1) -> DataFrame:
     """recruiter_email: the description's own, else each lookup's in turn; a lookup serves the first budget rows still without."""
     from ..functions.text import first_email

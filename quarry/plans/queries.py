@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import terms
@@ -304,9 +304,7 @@ def verdict_clamp_tier(spark, d):
 @query(f"""SELECT doc_id, CAST(rank AS INTEGER) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY (regexp_extract(text, '{terms.EMAIL_PATTERN}') <> '') DESC, n_chars DESC, doc_id) AS rank FROM documents) WHERE rank <= 200""")
 def final_rank(spark, d):
     rows = _t(spark, d, "documents").select("doc_id", "n_chars", X.first_email(F.col("text")).alias("recruiter_email"))
-    top = L.final_rank(rows, score="n_chars", order="doc_id", most=200)
-    order = Window.orderBy(F.desc(F.col("recruiter_email") != ""), F.desc("n_chars"), "doc_id")
-    return top.select("doc_id", F.row_number().over(order).alias("rank"))
+    return L.number_rows(L.final_rank(rows, score="n_chars", order="doc_id")).select("doc_id", "rank")
 
 
 @query("""SELECT tier, count(*) AS n FROM (SELECT CASE WHEN s >= 90 THEN 'Exceptional' WHEN s >= 80 THEN 'Strong' WHEN s >= 70 THEN 'Good' WHEN s >= 60 THEN 'Reasonable' ELSE 'Weak' END AS tier FROM (SELECT CAST(floor(c_acctbal / 100) AS INTEGER) AS s FROM customer)) GROUP BY tier""")

@@ -218,6 +218,13 @@ def test_experience_parse_reads_whole_texts(spark, tmp_path):
     assert [(r.years, r.preferred, r.eligible) for r in got] == [(23, 1, 8), (23, 1, 2), (59, 8, 7), (23, 1, 4)]
 
 
+def test_final_rank_ranks_all_rows(spark, tmp_path):
+    texts = [("write to a@b.com " if i % 7 == 0 else "") + "x" * (i * 37 % 101) for i in range(700)]
+    want = sorted(range(700), key=lambda i: (i % 7 > 0, -len(texts[i]), i))
+    got = Q.final_rank(spark, documents(spark, tmp_path, list(enumerate(texts))))
+    assert [(r["rank"], r.doc_id) for r in got.orderBy("rank").collect()] == list(enumerate(want, 1))
+
+
 def test_date_query(spark):
     assert dt.date.fromisoformat(Q.AS_OF)
 
