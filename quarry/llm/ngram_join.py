@@ -4,8 +4,8 @@ Every document becomes the set of its distinct word shingles. All sets are order
 order, shingles of a single document first and frequent ones last, so that two sets of Jaccard
 similarity t share a shingle within the first |x| - ceil(t|x|) + 1 of each. Shingles known to occur
 in one document are not indexed; most documents have nothing else in their prefix. Documents with the same prefix and size are collapsed into one
-group; only groups are indexed and filtered (size, position); then the groups' members are expanded,
-pruned by parity bitmaps and verified on whole sets.
+group, which decides what shingles count as shared; then the groups' members are expanded, filtered
+(size, position), pruned by parity bitmaps and verified on whole sets.
 
 Only connectivity is asked for, so a bucket of n groups that share a shingle is first joined to its
 smallest member alone (n pairs); all other pairs are formed only between documents that are not yet
