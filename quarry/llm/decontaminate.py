@@ -1,16 +1,24 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become lower-case tokens; numbers, names and units become typed slots, so that a question and
-the same question with other parameters have the same template. Windows of template tokens are
-hash-joined; matches that lie on one diagonal (document place minus item place) belong together, and
-their slots must map the item's values to the document's values consistently.
+the same question with other parameters have the same template. Four kinds of windows are hash-joined:
+
+* TEMPLATE: k template tokens, at least MIN_LITERALS of them literal. Matches on one diagonal (document
+  place minus item place) belong together, and their slots must map the item's values consistently.
+* VALUES: the other windows of k tokens, of items that have few of the first kind, with their values.
+* WHOLE_TEMPLATE: for such items, the whole template after its first token (which is a name or not
+  depending on what stands before it), if it has MIN_ANCHORS literals and k - 1 tokens or more.
+* WHOLE_TEXT: for such items, and those under k tokens, the whole word sequence as it is.
+
+So every item of MIN_WORDS words or more can be found, whatever its share of slots.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise, ship
@@ -25,7 +33,8 @@ UNITS = (
 NUMBER, NAME, UNIT = (W.mix(np.array([i], np.uint64))[0] for i in (1, 2, 3))
 #: Bits of the filter that thins documents' windows before the join; of fixed size.
 _FILTER_BITS = 1 << 23
-MIN_LITERALS = 3
+MIN_LITERALS, MIN_ANCHORS, MIN_WORDS = 3, 2, 3
+TEMPLATE, VALUES, WHOLE_TEMPLATE, WHOLE_TEXT = range(4)
 
 
 def _hash_of(words: list[str]) -> np.ndarray:
@@ -33,7 +42,7 @@ def _hash_of(words: list[str]) -> np.ndarray:
 
 
 class Template:
-    """Template tokens of some texts: token hashes, slot values (0: literal) and each token's text."""
+    """Template tokens of some texts: token hashes, slot values (0: literal), and what each token says."""
 
     units = _hash_of(UNITS)
 
@@ -65,101 +74,134 @@ class Template:
         first = np.flatnonzero(~joined)
         values = np.add.reduceat(value, first) if len(first) else value
         kind = np.where(number, 1, np.where(name, 2, np.where(unit, 3, 0)))[first]
-        self.doc = doc[first]
-        self.kind = kind
-        self.values = np.where(kind > 0, values, np.uint64(0))
+        self.words, self.word_doc = w.hashes, doc
+        self.doc, self.docs = doc[first], w.docs
+        self.says = values
+        self.slot = kind > 0
+        self.values = np.where(self.slot, values, np.uint64(0))
         self.tokens = np.where(kind == 1, NUMBER, np.where(kind == 2, NAME, np.where(kind == 3, UNIT, values)))
+        self.literals = np.concatenate([[0], np.cumsum(~self.slot)])
 
-    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first token, hash) of the windows of k tokens of one text with enough literal tokens."""
-        if len(self.tokens) < k:
+    def windows(self, kind: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first token, hash) of the windows of n tokens that lie in one text and suit their kind."""
+        of, doc = (self.words, self.word_doc) if kind == WHOLE_TEXT else (self.says, self.doc) if kind == VALUES else (self.tokens, self.doc)
+        if not 0 < n <= len(of):
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        literal = np.concatenate([[0], np.cumsum(self.kind == 0)])
-        good = (self.doc[: len(self.doc) - k + 1] == self.doc[k - 1 :]) & (literal[k:] - literal[:-k] >= min(k, MIN_LITERALS))
+        good = doc[: len(doc) - n + 1] == doc[n - 1 :]
+        if kind != WHOLE_TEXT:
+            literals = self.literals[n:] - self.literals[:-n]
+            good &= literals >= MIN_LITERALS if kind == TEMPLATE else literals < MIN_LITERALS if kind == VALUES else literals >= MIN_ANCHORS
         at = np.flatnonzero(good)
-        return at, W.mix(W.rolling(self.tokens, k)[at] + np.uint64(k))
+        return at, W.mix(W.rolling(of, n)[at] + np.uint64(n * 4 + kind))
 
-    def slots(self, at: int, k: int) -> list[int]:
-        v = self.values[at : at + k]
+    def slots(self, kind: int, at: int, n: int) -> list[int]:
+        v = self.values[at : at + n] if kind in (TEMPLATE, WHOLE_TEMPLATE) else self.values[:0]
         return v[v > 0].view(np.int64).tolist()
 
 
-def _window_rows(batch: pa.RecordBatch, sizes: list[int], wanted: np.ndarray | None, whole: bool):
-    """(id, size, place, hash, slots) of a batch's windows; whole: of each text those of its own size alone."""
-    ids = batch.column(0)
-    for w in W.split(batch.column(1), lower=True, alnum=True):
-        t = Template(w)
-        length = np.bincount(t.doc, minlength=w.docs)
-        start = np.searchsorted(t.doc, np.arange(w.docs))
-        columns: list[list] = [[], [], [], [], []]
-        for k in sizes:
-            at, value = t.windows(k)
-            if whole:
-                own = np.minimum(length, max(sizes))[t.doc[at]] == k
-                at, value = at[own], value[own]
-            if wanted is not None:
-                hit = wanted[(value & np.uint64(_FILTER_BITS - 1)).astype(np.int64)]
-                at, value = at[hit], value[hit]
-            columns[0] += ids.take(pa.array(t.doc[at] + w.first)).to_pylist()
-            columns[1] += [k] * len(at)
-            columns[2] += (at - start[t.doc[at]]).tolist()
-            columns[3] += value.view(np.int64).tolist()
-            columns[4] += [t.slots(a, k) for a in at.tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], ["id", "k", "place", "hash", "slots"])
-
-
-_DDL = "id long, k int, place long, hash long, slots array<long>"
+_ROW = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("place", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64()))])
+_ROW_DDL = "row long, id long, kind int, n int, place long, hash long, slots array<long>"
+
+
+def _emit(columns: list[list], ids: list, rows: np.ndarray, t: Template, kind: int, n: int, at: np.ndarray, value: np.ndarray) -> None:
+    doc = (t.word_doc if kind == WHOLE_TEXT else t.doc)[at]
+    start = np.searchsorted(t.word_doc if kind == WHOLE_TEXT else t.doc, doc)
+    for column, x in zip(columns, (rows[doc].tolist(), [ids[i] for i in doc.tolist()], [kind] * len(at), [n] * len(at), (at - start).tolist(), value.view(np.int64).tolist(), [t.slots(kind, a, n) for a in at.tolist()]), strict=True):
+        column += x
+
+
+def _item_windows(batches, k: int, coverage: float):
+    """All windows of the items; n of whole ones is their length."""
+    for batch in batches:
+        ids = batch.column(0).to_pylist()
+        for w in W.split(batch.column(1), lower=True, alnum=True):
+            t, columns = Template(w), [[] for _ in _ROW]
+            rows, mine = np.zeros(w.docs, np.int64), ids[w.first : w.first + w.docs]
+            length, words = np.bincount(t.doc, minlength=w.docs), np.diff(w.bounds)
+            rich = t.windows(TEMPLATE, k)
+            found = np.bincount(t.doc[rich[0]], minlength=w.docs)
+            plain = (found >= coverage * np.maximum(length - k + 1, 1)) & (length >= k)
+            _emit(columns, mine, rows, t, TEMPLATE, k, *rich)
+            poor = t.windows(VALUES, k)
+            keep = ~plain[t.doc[poor[0]]]
+            _emit(columns, mine, rows, t, VALUES, k, poor[0][keep], poor[1][keep])
+            first = np.searchsorted(t.doc, np.arange(w.docs))
+            for i in np.flatnonzero(~plain & (words >= MIN_WORDS)).tolist():
+                for kind, n, start in ((WHOLE_TEMPLATE, int(length[i]) - 1, first[i] + 1), (WHOLE_TEXT, int(words[i]), w.bounds[i])):
+                    if kind == WHOLE_TEMPLATE and n < k - 1:
+                        continue
+                    at, value = t.windows(kind, n)
+                    own = at == start
+                    _emit(columns, mine, rows, t, kind, n, at[own], value[own])
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROW, strict=True)], schema=_ROW)
 
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, *, k: int = 5, coverage: float = 0.5, consistency: float = 0.8, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, windows, item_windows, coverage, consistent, exact: one row for each document and leaked item.
 
-    An item leaks if at least coverage of its template windows of k tokens are in the document, on
-    diagonals of three windows or more, and at least consistency of its slot values map to one value
-    each there. exact: all slot values are the item's own. Items of 3 to k-1 tokens are one window;
-    shorter ones are never found.
-
-    Null or empty texts have no windows. Rows without a doc_id are named null, together. Rows that
-    repeat give one row. Empty tables give no rows. The benchmark may be of any size: documents'
-    windows are thinned by a filter of fixed size and joined by hash.
+    An item leaks if at least coverage of its windows of k tokens are in the document, on diagonals of
+    three windows or more, and at least consistency of its slot values map to one value each there.
+    exact: all slot values are the item's own. Its windows are those with MIN_LITERALS literals; if these
+    are under coverage of all, all windows count (the others match with equal values only), and the item
+    also leaks if it occurs whole: word for word, or, with MIN_ANCHORS literals after its first token,
+    with other values that map consistently. Items under k tokens leak word for word. Items under
+    MIN_WORDS words are never found.
+
+    Null or empty texts, of documents or items, have no windows; long ones are read whole. A row's windows
+    are its own; of rows that share a doc_id, or have none (null), the best is given, once for each item.
+    Ties and repeated items give equal rows once. Empty tables give no rows; other columns are ignored.
+    The benchmark may be of any size: documents' windows are thinned by a filter of fixed size and
+    joined by hash, first with each item's rarest windows, of which a leak has one at least.
     """
     spark = df.sparkSession
     ship(spark)
-    sizes = list(range(min(MIN_LITERALS, k), k + 1))
-
-    def of_items(batches):
-        for batch in batches:
-            yield from _window_rows(batch, sizes, None, True)
-
     items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("text"))
-    items = materialise(items.mapInArrow(of_items, _DDL).distinct(), "items").withColumnRenamed("id", "item_id")
-
-    def filter_bits(batches):
-        bits = np.zeros(_FILTER_BITS, bool)
-        for batch in batches:
-            bits[batch.column(0).to_numpy() & (_FILTER_BITS - 1)] = True
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(bits).astype(np.int32))], ["bit"])
-
-    # at most _FILTER_BITS numbers, whatever the benchmark's size
-    bits = np.zeros(_FILTER_BITS, bool)
-    bits[[r.bit for r in items.select("hash").mapInArrow(filter_bits, "bit int").distinct().collect()]] = True
-    used = sorted(r.k for r in items.select("k").distinct().collect())
-    wanted = spark.sparkContext.broadcast(np.packbits(bits))
+    items = items.mapInArrow(lambda batches: _item_windows(batches, k, coverage), _ROW_DDL).drop("row").distinct()
+    size = items.groupBy("id").agg(F.count_distinct(F.when(F.col("kind") <= VALUES, F.col("place"))).alias("item_windows"))
+    often = items.groupBy("kind", "hash").agg(F.count_distinct("id").alias("items"))
+    rare = F.row_number().over(Window.partitionBy("id", F.col("kind") >= WHOLE_TEMPLATE).orderBy("items", "hash", "place"))
+    items = items.join(size, "id").join(often, ["kind", "hash"]).withColumn("nth", rare)
+    seed = (F.col("kind") >= WHOLE_TEMPLATE) | (F.col("nth") <= F.col("item_windows") - F.ceil(F.col("item_windows") * coverage) + 1)
+    items = materialise(items.select(F.col("id").alias("item_id"), "kind", "n", "place", "hash", "slots", F.greatest("item_windows", F.lit(1)).alias("item_windows"), seed.alias("seed")), "items")
+
+    # one word for each 64 bits of the filter at most, whatever the benchmark's size
+    slot = F.col("hash").bitwiseAND(F.lit(_FILTER_BITS - 1))
+    bits = items.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(hash & {_FILTER_BITS - 1} & 63 AS INT))")).alias("bits")).toArrow()
+    packed = np.zeros(_FILTER_BITS // 64, np.int64)
+    packed[bits["word"].to_numpy()] = bits["bits"].to_numpy()
+    used = sorted((r.kind, r.n) for r in items.select("kind", "n").distinct().collect())
+    wanted = spark.sparkContext.broadcast(packed)
 
     def of_docs(batches):
-        allowed = np.unpackbits(wanted.value).astype(bool)
+        allowed = np.unpackbits(wanted.value.view(np.uint8), bitorder="little").astype(bool)
+        row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         for batch in batches:
-            yield from _window_rows(batch, used, allowed, False)
-
-    found = df.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(of_docs, _DDL).select(F.col("id").alias("doc_id"), "k", F.col("place").alias("at"), "hash", F.col("slots").alias("values"))
-    windows = items.groupBy("item_id").agg(F.countDistinct("place").alias("item_windows"))
-    hits = found.join(items, ["hash", "k"]).where(F.size("slots") == F.size("values")).join(windows, "item_id")
-    pairs = F.arrays_zip(F.col("slots").alias("own"), F.col("values").alias("other"))
-    by_diagonal = hits.groupBy("doc_id", "item_id", "item_windows", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    by_diagonal = by_diagonal.where(F.size("places") >= F.least(F.lit(3), "item_windows"))
+            ids = batch.column(0).to_pylist()
+            for w in W.split(batch.column(1), lower=True, alnum=True):
+                t, columns = Template(w), [[] for _ in _ROW]
+                for kind, n in used:
+                    at, value = t.windows(kind, n)
+                    hit = allowed[(value & np.uint64(_FILTER_BITS - 1)).astype(np.int64)]
+                    _emit(columns, ids[w.first : w.first + w.docs], np.arange(row + w.first, row + w.first + w.docs), t, kind, n, at[hit], value[hit])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROW, strict=True)], schema=_ROW)
+            row += batch.num_rows
+
+    found = df.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(of_docs, _ROW_DDL)
+    found = materialise(found.select("row", F.col("id").alias("doc_id"), "kind", "hash", F.col("place").alias("at"), F.col("slots").alias("values")), "found")
+    pairs = found.join(items.where("seed").select("kind", "hash", "item_id"), ["kind", "hash"]).select("row", "item_id").distinct()
+    hits = found.join(pairs, "row").join(items, ["item_id", "kind", "hash"]).where(F.size("slots") == F.size("values"))
+    whole = F.col("kind") >= WHOLE_TEMPLATE
+    both = F.arrays_zip(F.col("slots").alias("own"), F.col("values").alias("other"))
+    by_diagonal = hits.groupBy("row", "doc_id", "item_id", "item_windows", F.when(whole, F.col("kind")).otherwise(-1).alias("whole"), (F.col("at") - F.col("place")).alias("diagonal"))
+    by_diagonal = by_diagonal.agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set(both))).alias("pairs"))
+    by_diagonal = by_diagonal.where((F.col("whole") > 0) | (F.size("places") >= F.least(F.lit(3), "item_windows")))
     own = F.expr("size(array_distinct(transform(pairs, x -> x.own)))")
     single = F.expr("size(filter(array_distinct(transform(pairs, x -> x.own)), v -> size(filter(pairs, y -> y.own = v)) = 1))")
     by_diagonal = by_diagonal.withColumn("own", own).withColumn("single", single).withColumn("same", F.expr("forall(pairs, x -> x.own = x.other)"))
-    leaks = by_diagonal.groupBy("doc_id", "item_id", "item_windows").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("windows"), F.sum("own").alias("own"), F.sum("single").alias("single"), F.min("same").alias("exact"))
-    leaks = leaks.withColumn("coverage", F.col("windows") / F.col("item_windows")).withColumn("consistent", F.col("single") >= consistency * F.col("own"))
-    return leaks.where((F.col("coverage") >= coverage) & F.col("consistent")).select("doc_id", "item_id", F.col("windows").cast("long"), "item_windows", "coverage", "consistent", "exact")
+    # whole matches stand for themselves; the others add up over an item's diagonals
+    alone = F.when(F.col("whole") > 0, F.col("diagonal"))
+    leaks = by_diagonal.groupBy("row", "doc_id", "item_id", "item_windows", "whole", alone.alias("alone")).agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("windows"), F.sum("own").alias("own"), F.sum("single").alias("single"), F.min("same").alias("exact"))
+    leaks = leaks.withColumn("windows", F.when(F.col("whole") > 0, F.col("item_windows")).otherwise(F.col("windows")).cast("long"))
+    leaks = leaks.withColumn("coverage", F.col("windows") / F.col("item_windows")).where((F.col("coverage") >= coverage) & (F.col("single") >= consistency * F.col("own")))
+    best = leaks.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "exact", "windows", "item_windows")).alias("best"))
+    return best.select("doc_id", "item_id", "best.windows", "best.item_windows", "best.coverage", F.lit(True).alias("consistent"), "best.exact")

@@ -346,6 +346,106 @@ def test_op8_finds_copies_and_variants(spark):
     assert got == {(0, 1): (True, True), (1, 1): (True, False), (3, 2): (True, True), (5, 3): (True, True)}
 
 
+def template_by_hand(text):
+    """[(word sequence said, slot type or None)] of a text, and its plain words."""
+    low = lower(text)
+    found = [(m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)]
+    kinds = []
+    for i, (a, b) in enumerate(found):
+        gap = text[found[i - 1][1] : a] if i else ""
+        number = low[a:b].isascii() and low[a:b].isdigit()
+        if number:
+            kinds.append("number")
+        elif i and kinds[-1] == "number" and low[a:b] in decontaminate.UNITS:
+            kinds.append("unit")
+        elif i and not set(gap) & set(".?!:\n") and "A" <= text[a] <= "Z" and not (b - a > 1 and "A" <= text[a + 1] <= "Z"):
+            kinds.append("name")
+        else:
+            kinds.append(None)
+    out = []
+    for i, (a, b) in enumerate(found):
+        gap = text[found[i - 1][1] : a] if i else ""
+        if i and kinds[i] == kinds[i - 1] and ((kinds[i] == "number" and gap in (".", ",")) or (kinds[i] == "name" and gap == " ")):
+            out[-1] = ((*out[-1][0], low[a:b]), kinds[i])
+        else:
+            out.append(((low[a:b],), kinds[i]))
+    return out, [low[a:b] for a, b in found]
+
+
+def leaks_by_hand(doc, item, k=5, coverage=0.5, consistency=0.8):
+    """(windows, item_windows, exact) or None."""
+    d, d_words = template_by_hand(doc)
+    t, t_words = template_by_hand(item)
+    show = lambda seq: [kind or said for said, kind in seq]
+    literals = lambda seq: sum(kind is None for _, kind in seq)
+
+    def fits(pairs):
+        seen = collections.defaultdict(set)
+        for own, other in pairs:
+            seen[own].add(other)
+        return sum(len(v) == 1 for v in seen.values()), len(seen), all(a == b for a, b in pairs)
+
+    slots = lambda a, b: [(x[0], y[0]) for x, y in zip(a, b, strict=True) if x[1]]
+    every = range(len(t) - k + 1)
+    rich = [i for i in every if literals(t[i : i + k]) >= decontaminate.MIN_LITERALS]
+    plain = len(t) >= k and len(rich) >= coverage * len(every)
+    out, total = [], max(1, len(rich) if plain else len(every))
+    diagonals = collections.defaultdict(lambda: (set(), set()))
+    for i in rich if plain else every:
+        for j in range(len(d) - k + 1):
+            a, b = t[i : i + k], d[j : j + k]
+            if show(a) == show(b) and i in rich:
+                diagonals[j - i][0].add(i), diagonals[j - i][1].update(slots(a, b))
+            elif i not in rich and [x[0] for x in a] == [x[0] for x in b] and literals(b) < decontaminate.MIN_LITERALS:
+                diagonals[j - i][0].add(i)
+    diagonals = [x for x in diagonals.values() if len(x[0]) >= min(3, total)]
+    places = {i for x, _ in diagonals for i in x}
+    single, own, exact = (list(x) for x in zip(*(fits(p) for _, p in diagonals), strict=True)) if diagonals else ([0], [0], [True])
+    if len(places) >= coverage * total and places and sum(single) >= consistency * sum(own):
+        out.append((len(places) / total, all(exact), len(places), total))
+    if not plain and len(t_words) >= decontaminate.MIN_WORDS:
+        if any(d_words[j : j + len(t_words)] == t_words for j in range(len(d_words) - len(t_words) + 1)):
+            out.append((1.0, True, total, total))
+        rest = t[1:]
+        for j in range(len(d) - len(rest) + 1):
+            b = d[j : j + len(rest)]
+            if len(rest) >= k - 1 and literals(rest) >= decontaminate.MIN_ANCHORS and show(rest) == show(b):
+                single, own, exact = fits(slots(rest, b))
+                if single >= consistency * own:
+                    out.append((1.0, exact, total, total))
+    return max(out)[1:] if out else None
+
+
+def test_op8_finds_what_all_pairs_find(spark):
+    r = random.Random(11)
+    plain = ["pears", "total", "how", "many", "are", "left", "cost", "train", "km", "hours", "x", "y"]
+    slot = lambda: r.choice([str(r.randint(1, 99)), r.choice(["Ann", "Bob", "Carol"]), f"{r.randint(1, 9)}.{r.randint(1, 9)}"])
+    items, docs = [], []
+    for i in range(60):
+        share = (0.15, 0.6, 0.95)[i % 3]
+        item = [slot() if r.random() < share else r.choice(plain) for _ in range(r.randint(1, 14))]
+        items.append(" ".join(item))
+        other = [slot() if x[0].isdigit() or x[0].isupper() else x for x in item]
+        for body in (item, other, item[: len(item) // 2], other[2:]):
+            docs.append(" ".join([r.choice(plain), *body, r.choice(plain)]))
+    items += ["12 x 7 = 84 y 9", "Alice 3 Bob 4 Carol 5"]
+    docs += ["so 12 x 7 = 84 y 9 it is", "we saw Alice 3 Bob 4 Carol 5 there", "so 15 x 3 = 45 y 2 it is", *items[-2:]]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(x.doc_id, x["item_id"]): (x.exact, x.windows, x.item_windows) for x in decontaminate.find_leaks(make(spark, docs), bench).collect()}
+    want = {(i, j): x for i, d in enumerate(docs) for j, t in enumerate(items) if (x := leaks_by_hand(d, t))}
+    assert got == want
+    n = len(docs)
+    assert {(n - 5, 60), (n - 4, 61), (n - 3, 60), (n - 2, 60), (n - 1, 61)} <= set(got) and got[n - 5, 60][0] and not got[n - 3, 60][0]
+    assert all((4 * j, j) in got for j, t in enumerate(items[:60]) if len(t.split()) >= 3)
+
+
+def test_op8_rows_without_id_and_long_texts(spark):
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten"), (2, "4 5 6 7")], "item_id long, text string")
+    half = "one two three four five", "six seven eight nine ten"
+    rows = make(spark, ["pad " * 40_000 + "4 5 6 7" + " pad" * 40_000, *half, "4 5 6 7", "4 5 6 7"], ids=[None, 3, 3, 8, 8])
+    assert sorted(((x.doc_id, x.item_id) for x in decontaminate.find_leaks(rows, bench).collect()), key=str) == [(8, 2), (None, 2)]
+
+
 def test_op8_empty(spark):
     bench = spark.createDataFrame([(1, "some words to look for in texts")], "item_id long, text string")
     assert decontaminate.find_leaks(spark.createDataFrame([], SCHEMA), bench).count() == 0
@@ -419,7 +519,24 @@ def test_op10_mix(spark):
     assert all(abs(taken[s] - want[s]) <= 60 for s in want)
     again = mixing.mix_sources(df.repartition(7), keep_text=True)
     assert {(x.doc_id, x.taken) for x in again.collect()} == {(x.doc_id, x.taken) for x in got}
-    assert set(df.columns) <= set(again.columns)
+    assert set(df.columns) - {"size", "taken"} | {"size_in", "taken_in"} <= set(again.columns)
+
+
+@pytest.mark.parametrize("ids", [[None] * 1000, [7] * 1000])
+def test_op10_meets_targets_without_distinct_ids(spark, ids):
+    texts = [f"a b c w{i}" for i in range(1000)]
+    for rows in (texts, ["same four words here"] * 1000):
+        got = mixing.mix_sources(make(spark, rows, ["s", "t", "u"], ids=ids)).collect()
+        for size, target in {(x.source_size, x.target) for x in got}:
+            n = sum((x.source_size, x.target) == (size, target) for x in got) / (size / 4)  # sources of this size
+            assert abs(sum(x.taken for x in got if (x.source_size, x.target) == (size, target)) - n * target) <= 4 * n / 2
+
+
+def test_op10_names_that_clash(spark):
+    df = make(spark, ["a b", "c"]).withColumns({c: F.lit(c) for c in ("size", "size_in", "taken", "hash", "draw")})
+    got = mixing.mix_sources(df, keep_text=True)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "size_in", "size_in_in", "taken_in", "hash", "draw", "size", "source_size", "target", "taken"]
+    assert {(x["size"], x.size_in, x.size_in_in, x.taken_in, x.hash) for x in got.collect()} == {(2, "size", "size_in", "taken", "hash"), (1, "size", "size_in", "taken", "hash")}
 
 
 def test_op10_degenerate(spark):
