@@ -12,7 +12,7 @@ from .decontaminate import find_leaks
 from .fingerprints import neighbour_fingerprints
 from .licenses import scan_licenses
 from .maxent import score_texts
-from .mixing import mix_sources
+from .mixing import MIX_SQL, mix_sources
 from .ngram_join import ngram_components
 from .passages import drop_repeated_passages
 from .quality import classify_quality
@@ -83,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_perspectives": PERSPECTIVES_SQL}
+    return {"op6_chat_perspectives": PERSPECTIVES_SQL, "op10_source_mixing": MIX_SQL}
