@@ -76,6 +76,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df itself if it reads files row by row, else a written copy.
+
+    Of both, a task that is run again sees the same rows in the same order, so numbers that are given
+    by place (monotonically_increasing_id) hold within a query.
+    """
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    for plan in nodes:
+        if plan.nodeName() not in ("Project", "Filter", "LogicalRelation"):
+            return materialise(df, "rows")
+        nodes += [plan.children().apply(i) for i in range(plan.children().size())]
+    return df
+
+
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of df's size: for a file scan, the size of its files."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
