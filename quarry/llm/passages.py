@@ -3,13 +3,18 @@
 A window is W consecutive words of a document. Windows that occur twice or more, anywhere, are
 found in three passes over the documents, which are dealt into buckets once:
 
-1. Anchors. Of the 8-word phrases in a window, the one with the smallest hash is its anchor; equal
+1. Phrases. Of the short phrases in a window, the one with the smallest hash is its anchor; equal
    windows have equal anchors. Anchors that occur once rule out most windows cheaply.
-2. Confirmation. Windows on recurring anchors are counted exactly, over all documents.
-3. Automata. The confirmed windows of a bucket's documents join into recurring passages. Each bucket
-   is one shard: its passages, as sequences of word numbers, are compiled into one Aho-Corasick
-   automaton, and all of the bucket's documents are streamed through it to locate every occurrence.
-   So each document meets one automaton, whatever the number of shards.
+2. Confirmation. A shard owns a range of phrases. It gets each bucket's recurring phrases, as word
+   sequences, with the windows around them, counts the windows exactly over all documents and sends
+   every bucket the confirmed phrases and windows that concern it: the dictionary.
+3. Automata. A bucket compiles its part of the dictionary into Aho-Corasick automata over word
+   numbers, of a bounded number of phrases each, and streams all of its documents through them. What
+   they hit are the only places looked at: a window around a hit is removed if it is confirmed.
+
+A phrase that no document of a bucket has cannot be hit there, so to stream a bucket's documents
+through its own part of the dictionary gives what streaming them through all of it would, at a cost
+that grows with the documents only.
 """
 
 from __future__ import annotations
@@ -22,13 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import parts, shared_dir, ship
+from ..session import parts, settled, shared_dir, ship
 from . import recurring as R
 from . import words as W
 
-ANCHOR = 8
-#: Code points above the surrogates stand for words; this many can be told apart in one automaton.
-_FIRST_CODE, _CODES = 0x10000, 0x100000
+ANCHOR = 6
+#: Phrases in one automaton. Its words are numbered by the 0x100000 code points above the surrogates, which that many phrases cannot use up.
+PHRASES = 0x100000 // ANCHOR
+_FIRST_CODE = 0x10000
+_SENT = "shard int, bucket int, anchors binary, phrases binary, sizes binary, windows binary, several binary"
+_KNOWN = "bucket int, kind int, shard int, bits binary, phrases binary"
 
 
 def _windows(w: W.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -64,32 +72,116 @@ def _chunks(table: pa.Table):
     return W.split(table["text"].combine_chunks())
 
 
-def _anchors(table: pa.Table, size: int) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.uint64), *(_windows(w, size)[3] for w in _chunks(table))])
+def _empty() -> np.ndarray:
+    return np.zeros(0, np.uint64)
 
 
-def _candidates(table: pa.Table, size: int, anchors: np.ndarray):
-    """(chunk, starts, hashes) of the windows on recurring anchors."""
-    for w in _chunks(table):
-        at, least, _, _ = _windows(w, size)
-        at = at[R.isin(least, anchors)]
-        yield w, at, W.rolling(w.hashes, size)[at] if len(at) else np.zeros(0, np.uint64)
+def _join(arrays) -> np.ndarray:
+    return np.concatenate([_empty(), *arrays])
 
 
-def _pieces(starts: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Passages: runs of consecutive windows, as (first word, end), cut into overlapping pieces of size to 2*size-1 words."""
-    out: list[tuple[int, int]] = []
-    if not len(starts):
-        return out
-    first = np.flatnonzero(np.diff(starts, prepend=-2) != 1)
-    last = np.append(first[1:], len(starts)) - 1
-    for a, b in zip(starts[first].tolist(), (starts[last] + size).tolist(), strict=True):
-        for j in range(max(1, (b - a) // size)):
-            at = a + j * size
-            out.append((at, min(at + 2 * size - 1, b)))
+def pack_phrases(bucket: int, chunks: list[tuple], recurring: np.ndarray, size: int, shards: int) -> pa.Table:
+    """What a bucket sends the shards of its recurring anchors: each one's words, and the windows around it.
+
+    chunks: (words, window starts, their anchors, anchors' places, anchors).
+    """
+    width = min(ANCHOR, size)
+    least, window, gram, spelled = [], [], [], []
+    for w, at, low, place, own in chunks:
+        keep = R.isin(low, recurring)
+        least.append(low[keep])
+        window.append(W.rolling(w.hashes, size)[at[keep]] if keep.any() else _empty())
+        value, first = np.unique(own, return_index=True)
+        first = first[R.isin(value, recurring)]
+        gram.append(own[first])
+        spelled.append(w.hashes[place[first][:, None] + np.arange(width)])
+    gram, first = np.unique(_join(gram), return_index=True)
+    spelled = np.concatenate([np.zeros((0, width), np.uint64), *spelled])[first]
+    least, window = _join(least), _join(window)
+    order = np.lexsort((window, least))
+    least, window = least[order], window[order]
+    new = np.ones(len(window), bool)
+    new[1:] = (window[1:] != window[:-1]) | (least[1:] != least[:-1])
+    first = np.flatnonzero(new)
+    several = np.diff(np.append(first, len(window))) > 1
+    least, window = least[first], window[first]
+    edge = np.searchsorted(least, gram)
+    sizes = np.diff(np.append(edge, len(least))).astype("<u4")
+    cut = R._cuts(gram, shards)
+    at = np.append(edge, len(least))[cut]
+    some = np.flatnonzero(np.diff(cut))
+    sent = [
+        [part[x[i] : x[i + 1]].tobytes() for i in some] if part is not several else [np.packbits(part[x[i] : x[i + 1]]).tobytes() for i in some]
+        for part, x in ((gram, cut), (spelled, cut), (sizes, cut), (window, at), (several, at))
+    ]
+    return pa.table([pa.array(some, pa.int32()), pa.array(np.full(len(some), bucket), pa.int32()), *(pa.array(x, pa.binary()) for x in sent)], names=["shard", "bucket", "anchors", "phrases", "sizes", "windows", "several"])
+
+
+def confirm(sent: DataFrame, size: int) -> DataFrame:
+    """(bucket, kind 2, shard, bits: confirmed windows, phrases: the phrases they are around) of each bucket."""
+    width = min(ANCHOR, size)
+
+    def shard(table: pa.Table) -> pa.Table:
+        windows = [np.frombuffer(x, np.uint64) for x in table["windows"].to_pylist()]
+        again = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(w)) > 0 for x, w in zip(table["several"].to_pylist(), windows, strict=True)]
+        every = _join([*windows, *(w[x] for w, x in zip(windows, again, strict=True))])
+        value, count = np.unique(every, return_counts=True)
+        twice = value[count > 1]
+        out: list[list[bytes]] = [[], []]
+        for w, phrases, sizes in zip(windows, table["phrases"].to_pylist(), table["sizes"].to_pylist(), strict=True):
+            good = R.isin(w, twice)
+            owner = np.repeat(np.arange(len(sizes) // 4), np.frombuffer(sizes, "<u4"))
+            out[0].append(w[good].tobytes())
+            out[1].append(np.frombuffer(phrases, np.uint64).reshape(-1, width)[np.unique(owner[good])].tobytes())
+        n = len(windows)
+        return pa.table([table["bucket"], pa.array(np.full(n, 2), pa.int32()), table["shard"], *(pa.array(x, pa.binary()) for x in out)], names=["bucket", "kind", "shard", "bits", "phrases"])
+
+    return sent.groupBy("shard").applyInArrow(shard, _KNOWN)
+
+
+def automata(phrases: np.ndarray) -> list[tuple[np.ndarray, ahocorasick.Automaton]]:
+    """(sorted word hashes, automaton over their numbers) for each PHRASES rows of phrases."""
+    out = []
+    for i in range(0, len(phrases), PHRASES):
+        some = phrases[i : i + PHRASES]
+        known, code = np.unique(some, return_inverse=True)
+        text = (code.reshape(-1) + _FIRST_CODE).astype("<u4").tobytes().decode("utf-32-le")
+        automaton, width = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), some.shape[1]
+        for j in range(0, len(text), width):
+            automaton.add_word(text[j : j + width])
+        automaton.make_automaton()
+        out.append((known, automaton))
     return out
 
 
+def stream(w: W.Words, machines: list[tuple[np.ndarray, ahocorasick.Automaton]]) -> np.ndarray:
+    """Whether a phrase of an automaton starts at each word of a chunk; phrases lie within one document."""
+    starts = np.zeros(len(w.hashes), bool)
+    shift = np.arange(len(w.hashes)) + np.repeat(np.arange(w.docs), np.diff(w.bounds))
+    for known, automaton in machines:
+        # words that no phrase has, and the ends of documents, match nothing
+        code = np.ones(len(w.hashes) + w.docs, np.uint32)
+        code[shift] = np.where(R.isin(w.hashes, known), np.searchsorted(known, w.hashes) + _FIRST_CODE, 1)
+        hits = np.array(list(automaton.iter(code.astype("<u4").tobytes().decode("utf-32-le"))), np.int64)
+        if len(hits):
+            starts[np.searchsorted(shift, hits[:, 0] + 1 - hits[:, 1])] = True
+    return starts
+
+
+def repeated_words(w: W.Words, machines: list, confirmed: np.ndarray, size: int) -> np.ndarray:
+    """Whether each word of a chunk lies in a confirmed window around a hit."""
+    edge = np.zeros(len(w.hashes) + 1, np.int32)
+    starts = stream(w, machines)
+    _, at, value = W.runs(w, size)
+    if starts.any() and len(at):
+        hits = np.concatenate([[0], np.cumsum(starts)])
+        near = hits[at + size - min(ANCHOR, size) + 1] > hits[at]
+        at = at[near][R.isin(value[near], confirmed)]
+        np.add.at(edge, at, 1)
+        np.add.at(edge, at + size, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), verbatim: bool = False) -> DataFrame:
     """doc_id, kept_text, n_words, n_removed and the carried columns of every row of df.
 
@@ -99,8 +191,9 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
     (and nulls) come back as they are.
 
     Null and empty texts: no words, kept_text is ''. Texts of fewer than size words are kept. Rows
-    that repeat remove each other's passages, whatever their ids. Empty tables give no rows. Long
-    texts are handled whole.
+    that repeat remove each other's passages, whatever their ids (all occurrences go; none is kept as
+    the first, so ties do not arise). Null ids are kept as null. Empty tables give no rows. Long texts
+    are handled whole, with any number of different words; other columns but carry's are ignored.
     """
     spark = df.sparkSession
     ship(spark)
@@ -108,56 +201,29 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
     n = parts(df)
     shards = parts(df, R.SHARD_BYTES)
     inner = [f"_carry{i}" for i in range(len(carry))]
-    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *(F.col(c).alias(x) for c, x in zip(carry, inner, strict=True)))
-    docs = docs.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    docs = settled(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *(F.col(c).alias(x) for c, x in zip(carry, inner, strict=True))))
+    # dealt by row, so that rows that repeat do not meet in one bucket
+    docs = docs.withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int"))
     key = lambda table, left=None: (table if len(table) else left)["bucket"][0].as_py()
 
     def send_anchors(table: pa.Table) -> pa.Table:
-        return R.pack(key(table), _anchors(table, size), shards)
+        return R.pack(key(table), _join(_windows(w, size)[3] for w in _chunks(table)), shards)
 
-    def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        anchors = R.unpack(_anchors(table, size), answers, 1, shards)
-        hashes = [h for _, _, h in _candidates(table, size, anchors)]
-        return R.pack(key(table, answers), np.concatenate([np.zeros(0, np.uint64), *hashes]), shards)
+    def send_phrases(table: pa.Table, answers: pa.Table) -> pa.Table:
+        chunks = [(w, *_windows(w, size)) for w in _chunks(table)]
+        recurring = R.unpack(_join(x[4] for x in chunks), answers, 1, shards)
+        return pack_phrases(key(table, answers), chunks, recurring, size, shards)
 
     fields = [f for f in docs.schema.fields if f.name in inner]
     schema = "doc_id long, kept_text string, n_words long, n_removed long" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in fields)
 
-    def locate(table: pa.Table, answers: pa.Table) -> pa.Table:
-        anchors = R.unpack(_anchors(table, size), answers, 1, shards)
-        found = list(_candidates(table, size, anchors))
-        confirmed = R.unpack(np.concatenate([np.zeros(0, np.uint64), *(h for _, _, h in found)]), answers, 2, shards)
-        passages = [_pieces(at[R.isin(h, confirmed)], size) for _, at, h in found]
-        inside = [w.hashes[a:b] for (w, _, _), some in zip(found, passages, strict=True) for a, b in some]
-        known = np.unique(np.concatenate([np.zeros(0, np.uint64), *inside]))
-        if len(known) > _CODES:
-            raise ValueError("a bucket's passages have too many different words; use more shuffle partitions")
+    def locate(table: pa.Table, known: pa.Table) -> pa.Table:
+        confirmed = np.unique(_join(np.frombuffer(x, np.uint64) for x in known["bits"].to_pylist()))
+        machines = automata(_join(np.frombuffer(x, np.uint64) for x in known["phrases"].to_pylist()).reshape(-1, min(ANCHOR, size)))
         kept, n_words, n_removed = [], [], []
         valid = table["text"].is_valid().to_numpy()
-        # every chunk's documents go through the automaton of the whole bucket
-        coded = []
-        for w, _, _ in found:
-            # words that no passage has, and the ends of documents, match nothing
-            code = np.where(R.isin(w.hashes, known), np.searchsorted(known, w.hashes) + _FIRST_CODE, 1).astype(np.uint32)
-            code = np.insert(code, w.bounds[1:], 1)
-            coded.append(code.astype("<u4").tobytes().decode("utf-32-le"))
-        automaton = ahocorasick.Automaton()
-        for (w, _, _), codes, some in zip(found, coded, passages, strict=True):
-            if some:
-                a, b = np.array(some).T
-                shift = np.searchsorted(w.bounds[1:], a, "right")
-                for x, y in zip((a + shift).tolist(), (b + shift).tolist(), strict=True):
-                    automaton.add_word(codes[x:y], y - x)
-        if len(automaton):
-            automaton.make_automaton()
-        for (w, _, _), codes in zip(found, coded, strict=True):
-            edge = np.zeros(len(codes) + 1, np.int32)
-            if len(automaton):
-                hits = np.array(list(automaton.iter(codes)), np.int64)
-                if len(hits):
-                    np.add.at(edge, hits[:, 0] + 1 - hits[:, 1], 1)
-                    np.add.at(edge, hits[:, 0] + 1, -1)
-            gone = np.delete(np.cumsum(edge[:-1]) > 0, w.bounds[1:] + np.arange(w.docs))
+        for w in _chunks(table):
+            gone = repeated_words(w, machines, confirmed, size)
             raw = w.data.tobytes()
             for i in range(w.docs):
                 mine = raw[w.text_at[i] : w.text_at[i + 1]].split()
@@ -174,6 +240,6 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
 
     by = lambda frame: frame.groupBy("bucket")
     first = R.answer(by(docs).applyInArrow(send_anchors, R.SENT_DDL), 1)
-    second = R.answer(by(docs).cogroup(by(first)).applyInArrow(send_windows, R.SENT_DDL), 2)
-    out = by(docs).cogroup(by(first.unionByName(second))).applyInArrow(locate, schema)
+    known = confirm(by(docs).cogroup(by(first)).applyInArrow(send_phrases, _SENT), size)
+    out = by(docs).cogroup(by(known)).applyInArrow(locate, schema)
     return out.select("doc_id", "kept_text", "n_words", "n_removed", *(F.col(x).alias(c) for c, x in zip(carry, inner, strict=True)))

@@ -188,6 +188,40 @@ def test_op3_repeated_rows_verbatim_and_empty(spark):
     assert passages.drop_repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_op3_positions_come_from_the_automata(spark, texts, monkeypatch):
+    assert sum(r.n_removed for r in passages.drop_repeated_passages(make(spark, texts), size=4).collect()) > 0
+    dictionary = np.array([[1, 2, 3], [2, 3, 4]], np.uint64)
+    w = next(W.split(pa.array(["a b c d", "b c", "x b c d"])))
+    a, b, c, d = w.hashes[:4]
+    assert not passages.stream(w, passages.automata(dictionary)).any() and not passages.stream(w, []).any()
+    hits = passages.stream(w, passages.automata(np.array([[b, c, d]])))
+    assert hits.nonzero()[0].tolist() == [1, 7]
+    confirmed = np.unique(W.runs(w, 3)[2])
+    machines = passages.automata(np.array([[a, b, c], [b, c, d]]))
+    assert passages.repeated_words(w, machines, confirmed, 3).tolist() == [True] * 4 + [False] * 3 + [True] * 3
+    # without an automaton nothing is looked at, confirmed or not
+    assert not passages.repeated_words(w, [], confirmed, 3).any()
+
+
+def test_op3_many_phrases_need_several_automata(monkeypatch):
+    monkeypatch.setattr(passages, "PHRASES", 3)
+    r = random.Random(8)
+    text = [f"w{r.randrange(50)}" for _ in range(400)]
+    w = next(W.split(pa.array([" ".join(text[:250]), " ".join(text[250:])])))
+    at = sorted(r.sample(range(240), 20))
+    machines = passages.automata(np.array([w.hashes[i : i + 6] for i in at]))
+    wanted = {tuple(text[i : i + 6]) for i in at}
+    assert len(machines) == 7
+    assert passages.stream(w, machines).tolist() == [tuple(text[i : i + 6]) in wanted and (i < 245 or i >= 250) for i in range(400)]
+
+
+def test_op3_odd_rows(spark):
+    text = " ".join(map(str, range(40)))
+    rows = make(spark, [text] * 3 + ["", None], ids=[None, None, 4, None, 4])
+    got = sorted(((r.doc_id, r.n_words, r.n_removed) for r in passages.drop_repeated_passages(rows).collect()), key=str)
+    assert got == [(4, 0, 0), (4, 40, 40), (None, 0, 0), (None, 40, 40), (None, 40, 40)]
+
+
 # ---- op4 ----
 
 
