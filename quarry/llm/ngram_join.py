@@ -3,14 +3,16 @@
 Every document becomes the set of its distinct word shingles. All sets are ordered by one global
 order, shingles of a single document first and frequent ones last, so that two sets of Jaccard
 similarity t share a shingle within the first |x| - ceil(t|x|) + 1 of each. Shingles known to occur
-in one document are not indexed; most documents have nothing else in their prefix. Documents with the same prefix and size are collapsed into one
-group, which decides what shingles count as shared; then the groups' members are expanded, filtered
-(size, position), pruned by parity bitmaps and verified on whole sets.
+in one document are not indexed; most documents have nothing else in their prefix. Documents with the
+same prefix and size are collapsed into one group. Groups are paired by the shingles of their prefixes,
+pairs of groups are filtered (size, position), and only those that are left are expanded to their
+members, which are pruned by parity bitmaps and verified on whole sets.
 
 Only connectivity is asked for, so a bucket of n groups that share a shingle is first joined to its
-smallest member alone (n pairs); all other pairs are formed only between documents that are not yet
-known to be connected. No link between different components is lost, and copies are never expanded
-into all their pairs.
+nearest group alone (n pairs); other pairs are formed only between groups that are not yet known to be
+connected. A bucket of more than FEW groups is not written out in pairs: it is dealt into blocks, and
+each pair of blocks is compared in memory, so that only pairs that pass the filters are rows. No link
+between different components is lost, and copies are never expanded into all their pairs.
 """
 
 from __future__ import annotations
@@ -23,16 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import input_bytes, materialise, parts, shared_dir, ship
+from ..session import materialise, parts, settled, shared_dir, ship
 from . import recurring as R
 from . import words as W
 from .components import connected_components
 
 SKETCH_BITS = 20
 _PIECES = 64
-#: Uniqueness is asked for half of all shingles, by the first 5 bytes of their hashes (8 for very large inputs).
-_ASKED = np.uint64(1)
-_SHORT = np.uint64(0xFFFFFFFFFF000000)
+#: Uniqueness is asked for half of all shingles, by the first 6 bytes of their hashes. A false "not unique" costs time only.
+_ASKED, _WIDTH = np.uint64(1), 6
+_SHORT = np.uint64(0xFFFFFFFFFFFF0000)
+#: Groups in a bucket whose pairs are written out; rows in a block of a larger bucket.
+FEW, BLOCK = 128, 2048
 
 
 def _shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -104,18 +108,17 @@ def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame
     ranks = df.sparkSession.sparkContext.broadcast(levels)
     n = parts(df)
     shards = parts(df, R.SHARD_BYTES)
-    width = 5 if input_bytes(df) < 1 << 36 else 8
-    cut = _SHORT if width == 5 else ~np.uint64(0)
-    docs = df.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")).groupBy("bucket")
+    # dealt by row, so that rows that repeat do not meet in one bucket
+    docs = settled(df).withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")).groupBy("bucket")
 
     def asked(s: np.ndarray) -> np.ndarray:
-        return s[(s & _ASKED) == 0] & cut
+        return s[(s & _ASKED) == 0] & _SHORT
 
     def every(table: pa.Table) -> np.ndarray:
         return np.concatenate([np.zeros(0, np.uint64), *(asked(s) for _, s in _shingle_sets(table["text"], k))])
 
     def send(table: pa.Table) -> pa.Table:
-        return R.pack(table["bucket"][0].as_py(), every(table), shards, width)
+        return R.pack(table["bucket"][0].as_py(), every(table), shards, _WIDTH)
 
     def rows(table: pa.Table, answers: pa.Table) -> pa.Table:
         level, twice = ranks.value, R.unpack(every(table), answers, 1, shards)
@@ -124,7 +127,7 @@ def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame
             size = len(s)
             p = size - -(-percent * size // 100) + 1 if size else 0
             alone = (s & _ASKED) == 0
-            alone[alone] = ~R.isin(s[alone] & cut, twice)
+            alone[alone] = ~R.isin(s[alone] & _SHORT, twice)
             rank = np.where(alone, -1, level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)])
             prefix = s[np.lexsort((s, rank))[:p]].view(np.int64)
             lead = min(p, int(alone.sum()))
@@ -133,7 +136,7 @@ def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame
         types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.table([table["doc_id"], *(pa.array(x, t) for x, t in zip((size, digest, key, lead, prefix, bits), types, strict=True))], names=["doc_id", "n", "digest", "prefix_key", "lead", "prefix", "bits"])
 
-    answers = R.answer(docs.applyInArrow(send, R.SENT_DDL), 1, width).groupBy("bucket")
+    answers = R.answer(docs.applyInArrow(send, R.SENT_DDL), 1, _WIDTH).groupBy("bucket")
     return docs.cogroup(answers).applyInArrow(rows, "doc_id long, n long, digest string, prefix_key string, lead long, prefix array<long>, bits array<long>")
 
 
@@ -175,6 +178,72 @@ def _verify(pairs: DataFrame, units: DataFrame, docs: DataFrame, k: int, percent
     return both.where(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b").distinct()
 
 
+def _folded(bits: list, size: int) -> np.ndarray:
+    """Bitmaps of size words, or a multiple, as rows of size words."""
+    out = np.array(bits, np.int64).reshape(len(bits), -1, size)
+    return np.bitwise_xor.reduce(out, axis=1)
+
+
+def _compare(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (x, y) of the rows of a pair of blocks that may link; rows without a bitmap stand for several sets."""
+    block, n, pos, low, high = (table[c].to_numpy() for c in ("block", "n", "pos", "low", "high"))
+    first = block == table["i"][0].as_py()
+    left = np.flatnonzero(first)
+    right = np.flatnonzero(~first) if table["i"][0].as_py() != table["j"][0].as_py() else left
+    bits = table["bits"].to_pylist()
+    words = np.array([len(x) if x is not None else 0 for x in bits])
+    found: list[list[np.ndarray]] = [[], []]
+    for a in np.unique(words[left]).tolist():
+        for b in np.unique(words[right]).tolist():
+            x, y = left[words[left] == a], right[words[right] == b]
+            width = min(a, b)
+            mine = _folded([bits[i] for i in x], width) if width else None
+            other = _folded([bits[i] for i in y], width) if width else None
+            step = max(1, (1 << 22) // (len(y) * max(1, width)))
+            for k in range(0, len(x), step):
+                p = x[k : k + step][:, None]
+                total = n[p] + n[y]
+                ok = np.minimum(n[p], n[y]) * 100 >= np.maximum(n[p], n[y]) * percent
+                ok &= ~((low[p] == high[p]) & (low[y] == high[y]) & (low[p] == low[y]))
+                ok &= 1 + np.minimum(n[p] - pos[p], n[y] - pos[y]) - 1 >= np.ceil(percent * total / (100.0 + percent) - 1e-6)
+                if left is right:
+                    ok &= p < y
+                if width and ok.any():
+                    apart = np.bitwise_count(mine[k : k + step, None, :] ^ other[None, :, :]).sum(axis=2, dtype=np.int64)
+                    ok &= apart <= np.floor(total * (100.0 - percent) / (100.0 + percent) + 1e-6)
+                i, j = np.nonzero(ok)
+                found[0].append(x[k : k + step][i])
+                found[1].append(y[j])
+    return tuple(np.concatenate([np.zeros(0, np.int64), *f]) for f in found)
+
+
+def _pairs(rows: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: ids that share a bucket, may link, and are not known to be of one component.
+
+    rows: bucket, id, n, pos, low and high (the least and greatest component of its sets). bits: id, bits
+    (null: several sets), which only rows of large buckets are given.
+    """
+    size = rows.groupBy("bucket").agg(F.count("*").alias("rows"), F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h AND rows > 1")
+    rows = materialise(rows.join(size.select("bucket", "rows"), "bucket"), "buckets")
+    few = rows.where(F.col("rows") <= FEW).select("bucket", "id", "n", "pos", "low", "high")
+    other = few.select("bucket", F.col("id").alias("r"), F.col("n").alias("m"), F.col("pos").alias("j"), F.col("low").alias("l"), F.col("high").alias("h"))
+    known = (F.col("low") == F.col("high")) & (F.col("l") == F.col("h")) & (F.col("low") == F.col("l"))
+    out = few.join(other, (few["bucket"] == other["bucket"]) & (F.col("id") < F.col("r")) & ~known & _could_link(percent, "n", "pos", "m", "j")).select(F.col("id").alias("a"), F.col("r").alias("b"))
+
+    many = rows.where(F.col("rows") > FEW).withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int"))
+    many = many.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    many = many.join(bits, "id").select("bucket", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "id", "n", "pos", "bits", "low", "high")
+
+    def compare(table: pa.Table) -> pa.Table:
+        x, y = _compare(table, percent)
+        ids = table["id"].to_numpy()
+        a, b = ids[x], ids[y]
+        apart = a != b
+        return pa.table([pa.array(np.minimum(a, b)[apart]), pa.array(np.maximum(a, b)[apart])], names=["a", "b"])
+
+    return out.unionByName(many.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")).distinct()
+
+
 def ngram_components(df: DataFrame, *, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", star_rounds: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of df.
 
@@ -183,9 +252,10 @@ def ngram_components(df: DataFrame, *, k: int = 5, percent: int = 80, doc_id: st
     smallest doc_id that links reach.
 
     Null or empty texts, or texts of white space: an empty set, linked with nothing, component_id is
-    their own doc_id. Fewer than k words: one shingle, the whole sequence. Rows that share a doc_id
-    are one node with several sets. A null doc_id links with nothing. Empty tables give no rows; other
-    columns are ignored. percent must be over 50.
+    their own doc_id (unless another row of that doc_id has links). Fewer than k words: one shingle, the
+    whole sequence. Long texts are read whole. Rows that share a doc_id are one node with several sets;
+    of ties the smallest doc_id names the component. A null doc_id links with nothing and names itself.
+    Empty tables give no rows; other columns are ignored. percent must be over 50.
     """
     spark = df.sparkSession
     ship(spark)
@@ -195,52 +265,90 @@ def ngram_components(df: DataFrame, *, k: int = 5, percent: int = 80, doc_id: st
     some = index.where("n > 0 AND doc_id IS NOT NULL")
 
     # copies of a set are one unit; units with the same size and prefix are one group
-    units = materialise(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix_key").alias("prefix_key"), F.first("bits").alias("bits")), "units")
-    groups = some.groupBy("n", "prefix_key").agg(F.min("doc_id").alias("gid"), F.first("lead").alias("lead"), F.first("prefix").alias("prefix"))
-    in_group = units.join(groups.select("n", "prefix_key", "gid"), ["n", "prefix_key"]).select("rep", "n", "gid")
-    tokens = groups.select("gid", "n", "lead", F.posexplode("prefix").alias("pos", "token")).select("gid", "n", (F.col("pos") + F.col("lead")).alias("pos"), "token")
-    members = in_group.groupBy("gid").agg(F.count("*").alias("members"))
-
-    # only shingles that two groups share, or a group with several members, lead to candidates
-    shared = tokens.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1")
-    several = members.where("members > 1").select("gid")
-    inside = tokens.where("pos = 0").join(several, "gid", "left_semi")
-    kept = materialise(tokens.join(shared.select("token"), "token", "left_semi").unionByName(inside).distinct().join(in_group.select("gid", "rep"), "gid").select("token", "rep", "n", "pos"), "tokens")
-
-    part = some.select(F.col("doc_id").alias("node")).where("false").withColumn("component", F.lit(0).cast("long"))
-    links = None
-
-    def linked(pairs: DataFrame) -> bool:
-        """Verify pairs, add the links found to the components; whether there were any."""
+    units = materialise(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix_key").alias("prefix_key"), F.first("bits").alias("bits"), F.first("lead").alias("lead"), F.first("prefix").alias("prefix")), "units")
+    groups = units.groupBy("n", "prefix_key").agg(F.min("rep").alias("gid"), F.count("*").alias("members"), F.first("lead").alias("lead"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    groups = materialise(groups.withColumn("bits", F.when(F.col("members") == 1, F.col("bits"))), "groups")
+    several = groups.where("members > 1").select("n", "prefix_key", "gid")
+    # members of groups of several, the others are their group's only one
+    crowd = materialise(units.join(several, ["n", "prefix_key"]).select("gid", "rep", "n"), "members")
+    crowded = not crowd.isEmpty()
+
+    tokens = groups.select("gid", "n", "lead", F.posexplode("prefix").alias("pos", "token")).select("token", F.col("gid").alias("id"), "n", (F.col("pos") + F.col("lead")).alias("pos"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
+    tokens = materialise(tokens.join(shared, "token"), "tokens")
+
+    group_bits, set_bits = groups.select(F.col("gid").alias("id"), "bits"), units.select(F.col("rep").alias("id"), "bits")
+
+    # an id's sets belong together, whatever they share
+    named = index.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.xxhash64("digest")).alias("low"), F.max(F.xxhash64("digest")).alias("high"))
+    named = materialise(named.where("low <> high").select("doc_id"), "named")
+    twice = not named.isEmpty()
+    links = some.join(named, "doc_id").join(units.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b") if twice else None
+    links = materialise(links, "links") if twice else spark.createDataFrame([], "a long, b long")
+    part = connected_components(links) if twice else spark.createDataFrame([], "node long, component long")
+
+    def with_component(rows: DataFrame, rep: str) -> DataFrame:
+        return rows.join(part.withColumnRenamed("node", rep), rep, "left").withColumn("component", F.coalesce("component", rep))
+
+    def spans(rows: DataFrame) -> DataFrame:
+        """Rows of groups (id) with the least and greatest component of their members."""
+        own = with_component(rows, "id")
+        if not crowded:
+            return own.withColumns({"low": F.col("component"), "high": F.col("component")}).drop("component")
+        span = with_component(crowd.select("gid", "rep"), "rep").groupBy("gid").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        own = own.join(span.withColumnRenamed("gid", "id"), "id", "left")
+        return own.withColumns({"low": F.coalesce("low", "component"), "high": F.coalesce("high", "component")}).drop("component")
+
+    def linked(pairs: DataFrame) -> None:
+        """Verify pairs of documents (a, b); add the links found to the components."""
         nonlocal links, part
-        pairs = materialise(pairs.select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct(), "candidates")
+        pairs = materialise(pairs.distinct(), "candidates")
         if pairs.isEmpty():
-            return False
+            return
         more = materialise(_verify(pairs, units, docs, k, percent), "links")
         if more.isEmpty():
-            return False
-        links = more if links is None else links.unionByName(more)
+            return
+        links = links.unionByName(more)
         part = materialise(connected_components(links), "parts")
-        return True
-
-    star = star_rounds > 0
-    for k_round in range(star_rounds + 1):
-        star = star and k_round < star_rounds
-        # the member with the fewest rarer shingles before this one is nearest to what the bucket has in common
-        nearest = F.floor(F.col("pos") / 2**k_round)
-        at = kept.join(part.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        open_tokens = at.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(nearest, F.xxhash64(F.col("rep"), F.lit(k_round)), "rep", "n", "pos", "component")).alias("lead")).where("low <> high")
-        if star:
-            pairs = at.join(open_tokens.select("token", F.col("lead.rep").alias("r"), F.col("lead.n").alias("m"), F.col("lead.pos").alias("j"), F.col("lead.component").alias("c")), "token")
-            pairs = pairs.where((F.col("component") != F.col("c")) & _could_link(percent, "n", "pos", "m", "j"))
-        else:
-            left = at.join(open_tokens.select("token"), "token", "left_semi")
-            right = left.select("token", F.col("rep").alias("r"), F.col("n").alias("m"), F.col("pos").alias("j"), F.col("component").alias("c"))
-            pairs = left.join(right, (left.token == right.token) & (F.col("rep") < F.col("r")) & (F.col("component") != F.col("c")) & _could_link(percent, "n", "pos", "m", "j"))
-        found = linked(pairs)
-        if not star and k_round:
-            break
-        star = star and found
-
-    labelled = units.select("digest", "rep").join(part.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    return index.join(labelled, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+
+    def expanded(pairs: DataFrame) -> DataFrame:
+        """Pairs of groups as pairs of their members; pairs of large groups go through blocks again."""
+        if not crowded:
+            return pairs
+        sizes = crowd.groupBy("gid").agg(F.count("*").alias("members"))
+        side = lambda c: sizes.select(F.col("gid").alias(c), F.col("members").alias(f"m_{c}"))
+        work = F.coalesce("m_a", F.lit(1)) * F.coalesce("m_b", F.lit(1))
+        pairs = materialise(pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").withColumn("work", work), "group-pairs")
+        of = lambda c: crowd.select(F.col("gid").alias(c), F.col("rep").alias(f"r_{c}"))
+        light = pairs.where(F.col("work") <= FEW * FEW).join(of("a"), "a", "left").join(of("b"), "b", "left")
+        light = light.select(F.coalesce("r_a", "a").alias("a"), F.coalesce("r_b", "b").alias("b"))
+        heavy = pairs.where(F.col("work") > FEW * FEW).select(F.xxhash64("a", "b").alias("bucket"), F.explode(F.array("a", "b")).alias("gid"))
+        alone = units.join(heavy.select(F.col("gid").alias("rep")), "rep", "left_semi").select(F.col("rep").alias("gid"), "rep", "n").join(sizes, "gid", "left_anti")
+        return light.unionByName(_pairs(members(heavy.join(crowd.unionByName(alone), "gid")), set_bits, percent)).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    def members(rows: DataFrame) -> DataFrame:
+        """Rows (bucket, rep, n) as _pairs() takes them; members share their whole prefix, so their places say nothing."""
+        rows = with_component(rows.select("bucket", "rep", "n").distinct(), "rep")
+        return rows.select("bucket", F.col("rep").alias("id"), "n", F.lit(0).alias("pos"), F.col("component").alias("low"), F.col("component").alias("high"))
+
+    # first everything that shares a shingle, or a group, with its nearest alone
+    for nth in range(star_rounds):
+        # the group with the fewest rarer shingles before this one is nearest to what the bucket has in common
+        nearest = F.floor(F.col("pos") / 2**nth)
+        at = spans(tokens)
+        lead = at.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.min(F.struct(nearest, F.xxhash64(F.col("id"), F.lit(nth)), "id", "n", "pos")).alias("lead")).where("l <> h")
+        star = at.join(lead.select("token", F.col("lead.id").alias("r"), F.col("lead.n").alias("m"), F.col("lead.pos").alias("j")), "token").where((F.col("id") != F.col("r")) & _could_link(percent, "n", "pos", "m", "j"))
+        pairs = star.select(F.least("id", "r").alias("a"), F.greatest("id", "r").alias("b"))
+        linked(pairs.unionByName(crowd.where("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))))
+    # then all others that are still apart
+    pairs = expanded(_pairs(spans(tokens).withColumnRenamed("token", "bucket"), group_bits, percent))
+    if crowded:
+        pairs = pairs.unionByName(_pairs(members(crowd.withColumnRenamed("gid", "bucket")), set_bits, percent))
+    linked(pairs)
+
+    labelled = with_component(units.select("digest", "rep"), "rep").select("digest", "component")
+    out = index.select("doc_id", "n", "digest").join(labelled, "digest", "left").withColumn("component", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")))
+    if twice:
+        whole = some.join(named, "doc_id").join(labelled, "digest").groupBy("doc_id").agg(F.min("component").alias("whole"))
+        out = out.join(whole, "doc_id", "left").withColumn("component", F.coalesce("whole", "component"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

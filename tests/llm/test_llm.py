@@ -85,9 +85,56 @@ def components_by_hand(texts, ids, k, percent):
 
 
 def test_op1_components(spark, texts):
-    small = [t for t in texts if len(t or "") < 10_000]
-    got = sorted(tuple(r) for r in ngram_join.ngram_components(clash(make(spark, small)), k=3, percent=90).collect())
-    assert got == components_by_hand(small, list(range(len(small))), 3, 90)
+    got = sorted(tuple(r) for r in ngram_join.ngram_components(clash(make(spark, texts)), k=3, percent=90).collect())
+    assert got == components_by_hand(texts, list(range(len(texts))), 3, 90)
+
+
+def templated(r, n):
+    """Texts of a few shared blocks each, some alike, many sharing much without being alike."""
+    blocks = [[f"b{i}w{j}" for j in range(12)] for i in range(14)]
+    out = []
+    for _ in range(n):
+        chosen = [list(b) for b in r.sample(blocks, r.choice([6, 7]))]
+        if r.random() < 0.6:
+            chosen[0][r.randrange(12)] = f"x{r.randrange(40)}"
+        if r.random() < 0.3:
+            chosen = sorted(chosen)
+        out.append(" ".join(w for b in chosen for w in b))
+    return out
+
+
+@pytest.mark.parametrize(("few", "block"), [(128, 2048), (2, 5), (0, 3)])
+def test_op1_templates_repeated_ids_and_blocks(spark, monkeypatch, few, block):
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    r = random.Random(few)
+    texts = templated(r, 110) + ["", None, "a b", "a b"]
+    ids = [r.randrange(90) for _ in texts]
+    got = sorted(tuple(x) for x in ngram_join.ngram_components(make(spark, texts, ids=ids), k=3, percent=80).collect())
+    assert got == components_by_hand(texts, ids, 3, 80)
+
+
+def test_op1_sets_of_one_id_are_one_node(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    got = ngram_join.ngram_components(make(spark, [a, a, b, b, "", None], ids=[5, 7, 7, 9, 9, None])).collect()
+    assert sorted(((x.doc_id, x.component_id) for x in got), key=str) == [(5, 5), (7, 5), (7, 5), (9, 5), (9, 5), (None, None)]
+
+
+def test_op1_blocks_compare_as_pairs_do():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 300, int(r.integers(20, 260)), dtype=np.uint64)) for _ in range(60)]
+    bits = [ngram_join._bitmap(W.mix(s)).tolist() if i % 5 else None for i, s in enumerate(sets)]
+    n, pos, comp = np.array([len(s) for s in sets]), r.integers(0, 8, 60), r.integers(0, 30, 60)
+    table = pa.table({"block": r.integers(1, 3, 60), "n": n, "pos": pos, "low": comp, "high": comp + (np.arange(60) % 5 == 0), "bits": bits, "i": np.full(60, 1), "j": np.full(60, 2)})
+    x, y = ngram_join._compare(table, 60)
+    got = set(zip(x.tolist(), y.tolist(), strict=True))
+    block = table["block"].to_pylist()
+    for i, j in itertools.product(range(60), range(60)):
+        both, possible = len(np.intersect1d(sets[i], sets[j])), block[i] == 1 and block[j] == 2 and comp[i] != comp[j]
+        need = math.ceil(60 * (n[i] + n[j]) / 160 - 1e-6)
+        if possible and 100 * both >= 60 * (n[i] + n[j] - both) and 1 + min(n[i] - pos[i] - 1, n[j] - pos[j] - 1) >= need:
+            assert (i, j) in got
+    assert all(block[i] == 1 and block[j] == 2 for i, j in got) and len(got) < 500
 
 
 def test_op1_chains_and_repeated_rows(spark):
