@@ -1,51 +1,60 @@
 """LM scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). The class softmax sums the weights of four
-hashed features of the history: the last word, the last two, and the words two and three back (skip
-features). Frequent words (a bounded head) belong to classes by spelling; all other words share one
-class, within which they go by their counts; the end of a text is a class of its own.
-
-Training is distributed: each task starts from the same weights, makes gradient updates over all of
-its tokens, and the tasks' weights are averaged by how often each saw a feature. Counts of rare words
-stay distributed: they meet in shards by hash, which answer each batch of documents.
+P(word | history) = P(class | history) * P(word | class, history). A word's class is a function of its
+spelling (its last two bytes, hashed), so every word has one and none needs a list.
+
+* The class softmax sums the weights of four hashed features of the history: the last word, the last
+  two, and the words two and three back (skip features). It is trained in rounds: the corpus is dealt
+  into blocks by content, each round sums the gradient of one block over all tasks and makes one step.
+* Within a class a word has its count's weight, times exp(weight) for the n-gram feature (hashed last
+  word, word), for all such pairs that occur CUTOFF times or more. Pairs and counts are gathered from the
+  whole corpus and stay in shards; rounds of updates alternate between the pairs' weights (in shards)
+  and the normalisers of each (hashed last word, class), which are small.
+
+Gradients are sums of whole numbers, so the model is the same however the rows are partitioned. All
+tables grow with the corpus: shards in proportion, hashed histories with its cube root, class features
+with its square root up to 2**16. The most frequent pairs, a bounded list, are scored where the texts
+are; all other tokens meet their pair's weight in its shard.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import input_bytes, materialise, ship
 from . import words as W
 
-HEAD, CLASSES, FEATURES, FEATURE_BITS = 1 << 16, 32, 4, 14
-TAIL, END = CLASSES - 2, CLASSES - 1
-#: A step on a feature is RATE * gradient / (RESERVE + its tokens so far): rare features move little.
-RATE, RESERVE, MINIBATCH, TASK_BYTES = 4.0, 50.0, 1 << 14, 32 << 20
-_SPELLING = 64
+CLASSES, FEATURES, END = 32, 4, 31
+#: A class feature's step in a round is RATE * its mean gradient, held back by RESERVE tokens.
+RATE, RESERVE, BLOCKS, MINIBATCH = 4.0, 20.0, 4, 1 << 12
+#: Gradients are counted in such parts, exactly.
+GRAIN = 1024
+#: Pairs that occur less often are no features; PRIOR is the inverse variance of a pair's weight.
+CUTOFF, PRIOR, ROUNDS = 2, 0.3, 4
+HEAD_PAIRS, FLUSH, SHARD_BYTES, BATCH_BYTES, FAN_IN = 1 << 16, 1 << 21, 32 << 20, 4 << 20, 64
 
 
-@dataclass
-class Vocabulary:
-    """The head: sorted word hashes and each word's class; the classes' log shares, to start from."""
+@dataclass(frozen=True)
+class Sizes:
+    """What the corpus' training bytes decide, whatever its partitions."""
 
-    hashes: np.ndarray
-    classes: np.ndarray
-    prior: np.ndarray
+    class_bits: int
+    history_bits: int
+    shards: int
+    flushes: int
 
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """Place in the head, or -1."""
-        if not len(self.hashes):
-            return np.full(len(value), -1, np.int64)
-        at = np.searchsorted(self.hashes, value)
-        at[at == len(self.hashes)] = 0
-        return np.where(self.hashes[at] == value, at, -1)
+    @staticmethod
+    def of(size: int, least: int) -> Sizes:
+        log = float(np.log2(max(2, size / 6)))
+        return Sizes(int(np.clip(log // 2 - 1, 6, 16)), int(np.clip(round(log / 3), 2, 15)), max(least, -(-size // SHARD_BYTES)), -(-size // (6 * FLUSH)))
 
 
 @dataclass
@@ -53,32 +62,39 @@ class Tokens:
     """Words and ends of a chunk's documents in order."""
 
     doc: np.ndarray
-    value: np.ndarray  # word hashes; 0 for an end
-    end: np.ndarray
+    value: np.ndarray  # word hashes with their class in the lowest five bits; END for an end
     features: np.ndarray  # (FEATURES, tokens)
+    history: np.ndarray  # the last word, hashed
+
+    @property
+    def target(self) -> np.ndarray:
+        return (self.value & np.uint64(31)).astype(np.int64)
+
+
+def word_values(w: W.Words) -> np.ndarray:
+    last = w.data[w.ends - 1].astype(np.uint64) if len(w.ends) else np.zeros(0, np.uint64)
+    before = np.where(w.ends - w.starts > 1, w.data[w.ends - 2], 0).astype(np.uint64) if len(w.ends) else last
+    return (w.hashes & ~np.uint64(31)) | (W.mix(last + before * np.uint64(256)) % np.uint64(END))
 
 
-def tokens(w: W.Words) -> Tokens:
+def tokens(w: W.Words, sizes: Sizes) -> Tokens:
     n = len(w.hashes) + w.docs
     at_end = w.bounds[1:] + np.arange(w.docs)
-    end = np.zeros(n, bool)
-    end[at_end] = True
-    value = np.zeros(n, np.uint64)
-    value[~end] = w.hashes
+    value = np.full(n, END, np.uint64)
+    words = np.ones(n, bool)
+    words[at_end] = False
+    value[words] = word_values(w)
     doc = np.repeat(np.arange(w.docs), np.diff(w.bounds) + 1)
-    # what stands before a text's first word counts as its end mark
+    # what stands before a text's first word is marked by its distance
     back = [np.concatenate([np.zeros(k, np.uint64), value[:-k]])[:n] for k in (1, 2, 3)]
     start = np.concatenate([[0], at_end[:-1] + 1]) if w.docs else at_end
     place = np.arange(n) - np.repeat(start, np.diff(w.bounds) + 1)
     for k in (1, 2, 3):
         back[k - 1][place < k] = np.uint64(k)
-    shift = np.uint64(64 - FEATURE_BITS)
-    features = np.stack([W.mix(back[0]) >> shift, W.mix(back[0] * np.uint64(3) + W.mix(back[1])) >> shift, W.mix(back[1] + np.uint64(11)) >> shift, W.mix(back[2] + np.uint64(13)) >> shift])
-    return Tokens(doc, value, end, features.astype(np.uint16))
-
-
-def _held(ids: list, folds: int, held: int) -> np.ndarray:
-    return np.array([i is not None and zlib.crc32(str(i).encode()) % folds == held for i in ids], bool)
+    last = W.mix(back[0])
+    shift = np.uint64(64 - sizes.class_bits)
+    features = np.stack([last >> shift, W.mix(back[0] * np.uint64(3) + W.mix(back[1])) >> shift, W.mix(back[1] + np.uint64(11)) >> shift, W.mix(back[2] + np.uint64(13)) >> shift])
+    return Tokens(doc, value, features.astype(np.uint16), (last >> np.uint64(64 - sizes.history_bits)).astype(np.uint16))
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -93,192 +109,323 @@ def _scores(weights: np.ndarray, prior: np.ndarray, features: np.ndarray) -> np.
     return total + prior
 
 
-def update(weights: np.ndarray, seen: np.ndarray, prior: np.ndarray, features: np.ndarray, target: np.ndarray) -> None:
-    """One gradient step on some tokens, in place; seen counts each feature's tokens."""
+def add_gradient(total: np.ndarray, weights: np.ndarray, prior: np.ndarray, features: np.ndarray, target: np.ndarray) -> None:
+    """Add some tokens' gradient, in parts of 1/GRAIN, and each feature's tokens (last column) to total."""
     gap = -np.exp(_log_softmax(_scores(weights, prior, features)))
     gap[np.arange(len(target)), target] += 1
+    gap = np.rint(gap * GRAIN)
     for k in range(FEATURES):
         order = np.argsort(features[k], kind="stable")
         f = features[k][order]
         first = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
-        f, count = f[first], np.diff(np.append(first, len(order)))
-        before = seen[k, f]
-        seen[k, f] = before + count
-        rate = (RATE / (RESERVE + before + count)).astype(np.float32)
-        weights[k, f] += np.add.reduceat(gap[order], first, axis=0) * rate[:, None]
-
-
-def _classes_by_spelling(spelled: list[str], count: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """k-means over hashed letter pairs, started from the commonest words that are far apart."""
-    x = np.zeros((len(spelled), _SPELLING), np.float32)
-    for i, word in enumerate(spelled):
-        b = np.frombuffer(f"^{word}$".encode(), np.uint8).astype(np.int64)
-        np.add.at(x[i], (b[:-1] * 31 + b[1:] * 17) % _SPELLING, 1)
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-6)
-    weight = np.sqrt(count).astype(np.float32)
-    centres = [x[int(np.argmax(weight))]] if len(x) else []
-    near = x @ centres[0] if centres else np.zeros(0)
-    for _ in range(min(k, len(x)) - 1):
-        centres.append(x[int(np.argmax((1 - near) * weight))])
-        near = np.maximum(near, x @ centres[-1])
-    if not centres:
-        return np.zeros(0, np.int64)
-    c = np.stack(centres)
-    for _ in range(rounds):
-        own = np.argmax(x @ c.T, axis=1)
-        total = np.zeros_like(c)
-        np.add.at(total, own, x * weight[:, None])
-        norm = np.linalg.norm(total, axis=1, keepdims=True)
-        c = np.where(norm > 0, total / np.maximum(norm, 1e-6), c)
-    return np.argmax(x @ c.T, axis=1)
-
-
-def _sum_blocks(df: DataFrame) -> dict[str, np.ndarray]:
-    """Sums of the float32 arrays of rows (block, values), streamed: no task holds more than its blocks' sums."""
-
-    def add(batches):
-        total: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for block, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = np.frombuffer(values, np.float64 if block[0] == "c" else np.float32).astype(np.float64)
-                total[block] = total[block] + x if block in total else x
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["block", "values"])
-
-    return {r.block: np.frombuffer(r["values"], np.float64) for r in df.repartition(FEATURES * 8 + 1, "block").mapInArrow(add, "block string, values binary").collect()}
-
-
-class _Reader:
-    """Chunks of (doc_id, text) batches as tokens, with which documents are held out."""
-
-    def __init__(self, folds: int, held: int):
-        self.folds, self.held = folds, held
-
-    def __call__(self, batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            out = _held(batch.column(0).to_pylist(), self.folds, self.held)
-            for w in W.split(batch.column(1), lower=True):
-                yield batch, w, out[w.first : w.first + w.docs]
-
-
-def learn_vocabulary(docs: DataFrame, reader: _Reader, head: int = HEAD) -> Vocabulary:
-    """The head and its classes from all training texts; what reaches the driver is head words at most.
-
-    A task keeps its commonest words only to propose them: every word that takes a fair share of the
-    corpus is among some task's. Exact counts follow with training.
-    """
+        f = f[first]
+        # whole numbers below 2**24 are exact
+        total[k, f, :CLASSES] += np.add.reduceat(gap[order], first, axis=0).astype(np.int64)
+        total[k, f, CLASSES] += np.diff(np.append(first, len(order)))
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """An array byte plane by byte plane, which compresses well where values are small or sorted."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _unplanes(body: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _sum_arrays(df: DataFrame, tasks: int, dtype: str) -> dict[str, np.ndarray]:
+    """Sums of the arrays of rows (block, lane, body), at most FAN_IN of them in a task at a time."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, dtype) for x in table["body"].to_pylist())
+        return pa.table([table["block"].slice(0, 1), pa.array([table["lane"][0].as_py() // FAN_IN], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["block", "lane", "body"])
+
+    while True:
+        tasks = -(-tasks // FAN_IN)
+        df = df.withColumn("lane", F.pmod("lane", F.lit(max(1, tasks)))).groupBy("block", "lane").applyInArrow(add, "block string, lane long, body binary")
+        if tasks <= 1:
+            return {r.block: np.frombuffer(r.body, dtype) for r in df.collect()}
+
+
+def _read(batches: Iterator[pa.RecordBatch], column: int = 1):
+    for batch in batches:
+        for w in W.split(batch.column(column), lower=True):
+            yield batch, w
+
+
+def _part() -> int:
+    return TaskContext.get().partitionId() if TaskContext.get() else 0
+
+
+# ---- pairs (hashed last word, word) and counts ----
+
+_TABLE = "shard int, words binary, counts binary, sizes binary, histories binary, times binary"
+
+
+def _distinct(value: np.ndarray, history: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct pairs and how often each occurs."""
+    order = np.lexsort((history, value))
+    value, history, times = value[order], history[order], times[order]
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (history[1:] != history[:-1])
+    first = np.flatnonzero(new)
+    return value[first], history[first], np.add.reduceat(times, first) if len(first) else times
+
+
+def _pack_pairs(shards: np.ndarray, value: np.ndarray, history: np.ndarray, times: np.ndarray, counts: np.ndarray | None = None, keep: np.ndarray | None = None) -> list[list]:
+    """Rows (shard, words, counts, sizes, histories, times) of sorted pairs, one for each shard in shards."""
+    edge = np.append(np.searchsorted(shards, np.unique(shards)), len(shards))
+    rows = []
+    for a, b in pairwise(edge.tolist()):
+        word, first = np.unique(value[a:b], return_index=True)
+        own = keep[a:b] if keep is not None else np.ones(b - a, bool)
+        size = np.add.reduceat(own.astype(np.int64), first)
+        total = np.add.reduceat(times[a:b], first)
+        rows.append([int(shards[a]), _planes(word), _planes(total.astype(np.int64)), _planes(size.astype(np.uint32)), _planes(history[a:b][own]), _planes(times[a:b][own].astype(np.int64))])
+    return rows
+
+
+def _unpack_pairs(words: bytes, counts: bytes, sizes: bytes, histories: bytes, times: bytes):
+    """(words, counts, places of the pairs' words, histories, times)."""
+    word = _unplanes(words, "<u8")
+    return word, _unplanes(counts, "<i8"), np.repeat(np.arange(len(word)), _unplanes(sizes, "<u4")), _unplanes(histories, "<u2"), _unplanes(times, "<i8")
+
 
-    def propose(batches):
-        value, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        spelled: dict[int, str] = {}
-        waiting: list[np.ndarray] = []
-        total = ends = waits = 0
-
-        def merge() -> None:
-            nonlocal value, count, waiting, waits
-            every = np.concatenate([value, *waiting])
-            weight = np.concatenate([count, np.ones(waits, np.int64)])
-            order = np.argsort(every, kind="stable")
-            every, weight = every[order], weight[order]
-            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
-            value, count = every[first], np.add.reduceat(weight, first) if len(first) else weight
-            waiting, waits = [], 0
-
-        for _, w, out in reader(batches):
-            mine = w.hashes[~np.repeat(out, np.diff(w.bounds))]
-            waiting.append(mine)
-            waits += len(mine)
-            total += len(mine)
-            ends += int((~out).sum())
-            if waits > 1 << 20:
-                merge()
-            # spellings of what recurs within the chunk; rarer words are spelled by their hash alone
-            again, place, times = np.unique(w.hashes, return_index=True, return_counts=True)
-            raw = None
-            for h, at in zip(again[times > 1].tolist(), place[times > 1].tolist(), strict=True):
-                if h not in spelled and len(spelled) < 2 * head:
-                    raw = raw or w.data.tobytes()
-                    spelled[h] = raw[w.starts[at] : w.ends[at]].decode("utf-8", "replace")
-        merge()
-        top = np.argsort(-count, kind="stable")[:head]
-        rows = [[0, *value[top].view(np.int64).tolist()], [total + ends, *count[top].tolist()], ["\n", *(spelled.get(h, "") for h in value[top].tolist())], [ends, *[0] * len(top)]]
-        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2]), pa.array(rows[3], pa.int64())], ["hash", "n", "word", "ends"])
-
-    sums = materialise(docs.mapInArrow(propose, "hash long, n long, word string, ends long").groupBy("hash").agg(F.sum("n").alias("n"), F.max("word").alias("word"), F.sum("ends").alias("ends")), "head")
-    total, ends = next(((r.n, r.ends) for r in sums.where("word = '\n'").collect()), (0, 0))
-    rows = sums.where("word <> '\n'").orderBy(F.desc("n"), "hash").limit(head).collect()
-    value = np.array([r.hash for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(value)
-    count = np.array([r.n for r in rows], float)[order]
-    classes = _classes_by_spelling([rows[i].word for i in order], count, TAIL)
-    share = np.bincount(classes, weights=count, minlength=CLASSES)
-    share[TAIL], share[END] = max(0, total - ends - count.sum()), ends
-    return Vocabulary(value[order], classes, np.log((share + 1) / (share + 1).sum()).astype(np.float32))
+def _shard_of(value: np.ndarray, shards: int) -> np.ndarray:
+    return (((value >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+
+
+def gather_pairs(taught: DataFrame, sizes: Sizes) -> DataFrame:
+    """One row for each shard: its words with their counts, and the pairs that occur CUTOFF times or more."""
+
+    flush_at = FLUSH
+
+    def table(rows: list[list], lane: int | None) -> pa.RecordBatch | pa.Table:
+        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(6)]
+        arrays = [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])]
+        if lane is not None:
+            arrays.append(pa.array([lane] * len(rows), pa.int32()))
+        return pa.table(arrays, names=["shard", "words", "counts", "sizes", "histories", "times", "lane"][: len(arrays)])
+
+    def send(batches):
+        held, waiting, flush = [], 0, 0
+
+        def out():
+            value, history = (np.concatenate(x) for x in zip(*held, strict=True))
+            value, history, times = _distinct(value, history, np.ones(len(value), np.int64))
+            return table(_pack_pairs(_shard_of(value, sizes.shards), value, history, times), (_part() * 31 + flush) % (1 << 30)).to_batches()
+
+        for _, w in _read(batches):
+            t = tokens(w, sizes)
+            words = t.value != END
+            held.append((t.value[words], t.history[words]))
+            waiting += len(t.value)
+            if waiting >= flush_at:
+                yield from out()
+                held, waiting, flush = [], 0, flush + 1
+        if waiting:
+            yield from out()
+
+    def merge(final: bool):
+        def add(rows: pa.Table) -> pa.Table:
+            parts = [_unpack_pairs(*x) for x in zip(*(rows[c].to_pylist() for c in ("words", "counts", "sizes", "histories", "times")), strict=True)]
+            value, history, times = _distinct(np.concatenate([p[0][p[2]] for p in parts]), np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts]))
+            if not len(value):
+                return table([], None if final else 0)
+            shards = np.full(len(value), rows["shard"][0].as_py())
+            return table(_pack_pairs(shards, value, history, times, keep=times >= CUTOFF if final else None), None if final else 0)
+
+        return add
+
+    sent = taught.mapInArrow(send, _TABLE + ", lane int")
+    # a frequent word is sent by every task with all its histories; they are merged in levels
+    lanes = -(-sizes.flushes // FAN_IN)
+    if lanes > 1:
+        sent = sent.withColumn("lane", F.pmod("lane", F.lit(lanes))).groupBy("shard", "lane").applyInArrow(merge(False), _TABLE + ", lane int")
+    return materialise(sent.groupBy("shard").applyInArrow(merge(True), _TABLE), "pairs")
+
+
+def _each(batches):
+    """(words, counts, places, histories, times) of each shard's row."""
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(1, 6)), strict=True):
+            yield _unpack_pairs(*row)
+
+
+def count_words(pairs: DataFrame) -> np.ndarray:
+    """For each class its words' tokens and how many different words it has."""
+
+    def count(batches):
+        total = np.zeros((2, CLASSES), np.int64)
+        for word, counts, *_ in _each(batches):
+            own = (word & np.uint64(31)).astype(np.int64)
+            np.add.at(total[0], own, counts)
+            np.add.at(total[1], own, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(CLASSES), 2), pa.int32()), pa.array(np.repeat([0, 1], CLASSES), pa.int32()), pa.array(total.ravel())], ["class", "kind", "n"])
+
+    out = np.zeros((2, CLASSES), np.int64)
+    for r in pairs.mapInArrow(count, "class int, kind int, n long").groupBy("class", "kind").agg(F.sum("n").alias("n")).collect():
+        out[r.kind, r["class"]] = r.n
+    return out
+
+
+def pair_weights(n: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """Weights x at which n - mass * exp(x) - PRIOR * x is 0: the gradient of pairs seen n times, which
+    have the probability mass at weight 0. Newton's steps come down from above, so all converge."""
+    with np.errstate(divide="ignore"):
+        x = np.minimum(n / PRIOR, np.maximum(0, np.log(n / mass)))
+    for _ in range(8):
+        e = mass * np.exp(x)
+        x = x + (n - e - PRIOR * x) / (e + PRIOR)
+    return x
 
 
 @dataclass
 class Model:
-    vocabulary: Vocabulary
-    weights: np.ndarray  # (FEATURES, 2**FEATURE_BITS, CLASSES)
-    counts: np.ndarray  # of head words
-    ends: int  # training texts
+    sizes: Sizes
+    prior: np.ndarray  # the classes' log shares
+    weights: np.ndarray  # (FEATURES, 2**class_bits, CLASSES)
+    seen: np.ndarray  # training tokens of each (history, class)
+    start: np.ndarray  # each class's words' weights, unknown words together having that of one word seen once less
+    before: np.ndarray  # the normalisers that the pairs' weights were fitted to
+    norm: np.ndarray  # and those they give
+    ends: int
     total: int  # training tokens
-
-
-def train(docs: DataFrame, reader: _Reader, vocabulary: Vocabulary, rounds: int = 1) -> Model:
-    """Gradient updates over all training tokens in every round, and exact counts of the head."""
-    spark = docs.sparkSession
-    size = 1 << FEATURE_BITS
-    weights = np.zeros((FEATURES, size, CLASSES), np.float32)
-    tasks = max(spark.sparkContext.defaultParallelism, input_bytes(docs) // TASK_BYTES)
-    source = docs.coalesce(tasks)
-    counts = np.zeros(len(vocabulary.hashes) + 2)
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((vocabulary, weights))
+    types: int
+    head: dict[str, np.ndarray] | None = None
+
+    def pair_values(self, word: np.ndarray, count: np.ndarray, history: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Log weights, within their class, of pairs that are features."""
+        own = (word & np.uint64(31)).astype(np.int64)
+        mass = self.seen[history, own] * (count + 1) / self.before[history, own]
+        return np.log(count + 1.0) + pair_weights(times.astype(float), mass)
+
+
+def _class_rounds(taught: DataFrame, sizes: Sizes, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class softmax's weights, and the training tokens of each (history, class)."""
+    spark = taught.sparkSession
+    shape = (FEATURES, 1 << sizes.class_bits, CLASSES + 1)
+    weights = np.zeros((*shape[:2], CLASSES), np.float32)
+    seen = np.zeros((1 << sizes.history_bits) * CLASSES, np.int64)
+    # a task reads many times what it sends
+    tasks = max(spark.sparkContext.defaultParallelism, input_bytes(taught) * BLOCKS // (64 * int(np.prod(shape)) * 4))
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(BLOCKS))
+    for nth in range(BLOCKS):
+        shared = spark.sparkContext.broadcast(weights)
 
         def learn(batches, shared=shared):
-            words, start = shared.value
-            own, seen = start.copy(), np.zeros((FEATURES, size))
-            count = np.zeros(len(words.hashes) + 2)
-            for _, w, out in reader(batches):
-                t = tokens(w)
-                keep = ~out[t.doc]
-                at = words.find(t.value)
-                at[t.end] = -1
-                target = np.where(t.end, END, np.where(at >= 0, words.classes[at] if len(words.classes) else 0, TAIL))[keep]
-                features = t.features[:, keep]
+            start, total, count = shared.value, np.zeros(shape, np.int64), np.zeros(len(seen), np.int64)
+            for _, w in _read(batches):
+                t = tokens(w, sizes)
+                target = t.target
+                count += np.bincount(t.history.astype(np.int64) * CLASSES + target, minlength=len(count))
                 for i in range(0, len(target), MINIBATCH):
-                    update(own, seen, words.prior, features[:, i : i + MINIBATCH], target[i : i + MINIBATCH])
-                at = at[keep]
-                count[:-2] += np.bincount(at[at >= 0], minlength=len(count) - 2)
-                count[-2] += t.end[keep].sum()
-                count[-1] += len(at)
-            blocks, values = ["c"], [count.tobytes()]
-            own = (own - start) * seen[:, :, None].astype(np.float32)
-            for k in range(FEATURES):
-                for j, part in enumerate(np.split(np.concatenate([own[k], seen[k][:, None].astype(np.float32)], axis=1), 8)):
-                    if part.any():
-                        blocks.append(f"w{k}.{j}")
-                        values.append(np.ascontiguousarray(part, np.float32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(values, pa.binary())], ["block", "values"])
-
-        sums = _sum_blocks(source.mapInArrow(learn, "block string, values binary"))
-        counts = sums.get("c", counts)
-        step = np.stack([np.concatenate([sums.get(f"w{k}.{j}", np.zeros(size // 8 * (CLASSES + 1))).reshape(-1, CLASSES + 1) for j in range(8)]) for k in range(FEATURES)])
-        weights = weights + (step[:, :, :-1] / np.maximum(step[:, :, -1:], 1)).astype(np.float32)
+                    add_gradient(total, start, prior, t.features[:, i : i + MINIBATCH], target[i : i + MINIBATCH])
+            some = [k for k in range(FEATURES) if total[k].any()]
+            blocks = ["seen", *(f"{k}" for k in some)]
+            bodies = [count.astype(np.float64).tobytes(), *(total[k].astype(np.float64).tobytes() for k in some)]
+            yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array([_part()] * len(blocks), pa.int64()), pa.array(bodies, pa.binary())], ["block", "lane", "body"])
+
+        sums = _sum_arrays(taught.where(block == nth).coalesce(tasks).mapInArrow(learn, "block string, lane long, body binary"), tasks, "<f8")
+        if "seen" in sums:
+            seen = seen + sums["seen"].astype(np.int64)
+        for k in range(FEATURES):
+            if str(k) in sums:
+                step = sums[str(k)].reshape(shape[1:])
+                weights[k] += (RATE / GRAIN * step[:, :CLASSES] / (RESERVE + step[:, CLASSES:])).astype(np.float32)
+        shared.unpersist()
+    return weights, seen.reshape(-1, CLASSES)
+
+
+def _normalise(pairs: DataFrame, model: Model) -> None:
+    """Rounds of updates: pairs' weights for the present normalisers, then the normalisers they give."""
+    spark = pairs.sparkSession
+    for _ in range(ROUNDS):
+        model.before = model.norm
+        shared = spark.sparkContext.broadcast(model)
+
+        def add(batches, shared=shared):
+            m = shared.value
+            total = np.zeros(m.norm.shape)
+            for word, counts, at, history, times in _each(batches):
+                value, count = word[at], counts[at]
+                np.add.at(total, (history, (value & np.uint64(31)).astype(np.int64)), np.exp(m.pair_values(value, count, history, times)) - (count + 1.0))
+            yield pa.RecordBatch.from_arrays([pa.array(["z"]), pa.array([_part()], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["block", "lane", "body"])
+
+        tasks = max(1, -(-input_bytes(pairs) // (8 << 20)))
+        sums = _sum_arrays(pairs.mapInArrow(add, "block string, lane long, body binary"), tasks, "<f8")
+        more = sums["z"].reshape(model.norm.shape) if "z" in sums else 0.0
+        model.norm = model.start[None, :] + more
         shared.unpersist()
-    return Model(vocabulary, weights, counts[:-2], int(counts[-2]), int(counts[-1]))
 
 
-_SENT = "shard int, batch long, kind int, body binary"
-_ROW = "kind int, doc_id long, held_out boolean, n_tokens long, n_tail long, known long, head_base double, lm double, tail_base double, types long"
+def _head(pairs: DataFrame, model: Model) -> dict[str, np.ndarray]:
+    """The HEAD_PAIRS commonest pairs, sorted, with their words' counts."""
+    most = HEAD_PAIRS
+
+    def best(batches):
+        held: list[tuple] = []
+
+        def cut() -> tuple:
+            word, history, count, times = (np.concatenate(x) for x in zip(*held, strict=True))
+            top = np.lexsort((history, word, -times))[:most]
+            return word[top], history[top], count[top], times[top]
+
+        for word, counts, at, history, times in _each(batches):
+            held.append((word[at], history, counts[at], times))
+            held = [cut()]
+        for word, history, count, times in held:
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(history.astype(np.int32)), pa.array(count), pa.array(times)], ["word", "history", "count", "times"])
+
+    rows = pairs.mapInArrow(best, "word long, history int, count long, times long").orderBy(F.desc("times"), "word", "history").limit(most).toArrow()
+    word, history, count, times = (rows[c].to_numpy() for c in ("word", "history", "count", "times"))
+    word, history = word.view(np.uint64), history.astype(np.uint16)
+    key = _pair_key(word, history)
+    order = np.argsort(key)
+    value = model.pair_values(word, count, history, times)
+    return {"key": key[order], "word": word[order], "history": history[order], "count": count[order], "value": value[order]}
+
 
+def _pair_key(word: np.ndarray, history: np.ndarray) -> np.ndarray:
+    return W.mix(word + W.mix(history.astype(np.uint64) + np.uint64(1)))
 
-def _batches_of(chunks, limit: int = 4 << 20):
+
+def _held(doc_id: Column, folds: int, held: int) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string")) % folds == held, F.lit(False))
+
+
+def train(taught: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of all rows (doc_id, text), and its shards of words and pairs."""
+    spark = taught.sparkSession
+    size, ends = taught.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    sizes = Sizes.of(size or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pairs = gather_pairs(taught, sizes)
+    counts, types = count_words(pairs)
+    share = counts + 0.0
+    share[END] = ends
+    prior = np.log((share + 1) / (share + 1).sum()).astype(np.float32)
+    weights, seen = _class_rounds(taught, sizes, prior)
+    start = counts + types + 1.0
+    norm = np.repeat(start[None, :], 1 << sizes.history_bits, axis=0)
+    model = Model(sizes, prior, weights, seen, start, norm, norm, ends, int(counts.sum()) + ends, int(types.sum()) + (ends > 0))
+    _normalise(pairs, model)
+    model.head = _head(pairs, model)
+    return model, pairs
+
+
+# ---- scoring ----
+
+_SENT = "shard int, batch long, kind int, body binary, words binary, sizes binary, histories binary, docs binary"
+_ANSWER = "batch long, kind int, shard int, body binary, base binary, known binary, value binary"
+
+
+def _batches_of(chunks, limit: int):
     """Lists of chunks of about limit bytes."""
     held, size = [], 0
     for chunk in chunks:
         held.append(chunk)
-        size += len(chunk[1].data)
+        size += len(chunk[1].data) + 64 * chunk[1].docs
         if size >= limit:
             yield held
             held, size = [], 0
@@ -286,131 +433,124 @@ def _batches_of(chunks, limit: int = 4 << 20):
         yield held
 
 
-def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, rounds: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _find(among: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, whether it is there) of values among sorted ones."""
+    if not len(among):
+        return np.zeros(len(value), np.int64), np.zeros(len(value), bool)
+    at = np.searchsorted(among, value)
+    at[at == len(among)] = 0
+    return at, among[at] == value
+
+
+def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of df.
 
     Tokens are a text's words (runs without white space, A-Z lower-cased) and one end. The model
     learns from rows whose crc32(doc_id as text) mod folds is not held. base_score is the add-one
     unigram log10 probability, score the model's; both sum over the tokens.
 
-    Null and empty texts have one token, the end. Rows without an id are trained on. Rows that repeat
-    count as often as they occur and get equal scores. With no training rows all words are unknown.
-    Empty tables give no rows.
+    Null and empty texts have one token, the end; long ones are scored whole. Rows without an id are
+    trained on. Rows that repeat count as often as they occur and get equal scores, as do ties of any
+    kind. With no training rows all words are unknown. Empty tables give no rows; other columns are
+    ignored. Scores do not depend on how the rows are partitioned.
     """
     spark = df.sparkSession
     ship(spark)
-    reader = _Reader(folds, held)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    model = train(docs, reader, learn_vocabulary(docs, reader), rounds)
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), input_bytes(docs) // (8 << 20))
-    shared = spark.sparkContext.broadcast(model)
+    out_of = _held(F.col("doc_id"), folds, held)
+    model, pairs = train(docs.where(~out_of))
+    shared, sizes = spark.sparkContext.broadcast(model), model.sizes
+    log10, batch_bytes = float(np.log(10)), BATCH_BYTES
 
     def send(batches):
         m = shared.value
-        words, classes = m.vocabulary, m.vocabulary.classes
-        in_class = np.bincount(classes, weights=m.counts, minlength=CLASSES) + np.bincount(classes, minlength=CLASSES)
-        inside = np.log10((m.counts + 1) / in_class[classes])
-        head_log = np.log10(m.counts + 1)
-        for group in _batches_of(reader(batches)):
+        norm = np.log(m.norm)
+        nth = 0
+        for group in _batches_of(_read(batches), batch_bytes):
             rows, tail, first = [], [], 0
-            for batch, w, out in group:
-                t = tokens(w)
-                at = words.find(t.value)
-                at[t.end] = -1
-                known = at >= 0
-                target = np.where(t.end, END, np.where(known, classes[at] if len(classes) else 0, TAIL))
+            for batch, w in group:
+                t = tokens(w, sizes)
+                target, word = t.target, t.value != END
                 lm = np.empty(len(target))
                 for i in range(0, len(target), MINIBATCH):
-                    part = _log_softmax(_scores(m.weights, words.prior, t.features[:, i : i + MINIBATCH]))
+                    part = _log_softmax(_scores(m.weights, m.prior, t.features[:, i : i + MINIBATCH]))
                     lm[i : i + MINIBATCH] = part[np.arange(len(part)), target[i : i + MINIBATCH]]
-                lm /= np.log(10)
-                base = np.where(t.end, np.log10(m.ends + 1), 0.0)
-                if len(classes):
-                    lm += np.where(known, inside[at], 0)
-                    base += np.where(known, head_log[at], 0)
-                rare = ~known & ~t.end
-                found = known & (m.counts[at] > 0) if len(classes) else known
-                sums = [np.bincount(t.doc, x, w.docs) for x in (np.ones(len(lm)), rare, found | (t.end & (m.ends > 0)), base, lm)]
-                ids = batch.column(0).slice(w.first, w.docs)
-                rows.append(pa.RecordBatch.from_arrays([ids, pa.array(out), *(pa.array(x) for x in sums)], ["doc_id", "held_out", "n", "rare", "known", "base", "lm"]))
-                tail.append((t.value[rare], (t.doc[rare] + first).astype(np.int32), ~out[t.doc[rare]]))
+                lm -= np.where(word, norm[t.history, target], 0)
+                base = np.where(word, 0.0, np.log10(m.ends + 1))
+                at, here = _find(m.head["key"], _pair_key(t.value, t.history))
+                if len(m.head["key"]):
+                    here &= word & (m.head["word"][at] == t.value) & (m.head["history"][at] == t.history)
+                    lm += np.where(here, m.head["value"][at], 0)
+                    base += np.where(here, np.log10(m.head["count"][at] + 1.0), 0)
+                away = word & ~here
+                sums = [np.bincount(t.doc, x, w.docs) for x in (np.ones(len(lm)), here | (~word & (m.ends > 0)), base, lm)]
+                rows.append(pa.RecordBatch.from_arrays([*(batch.column(c).slice(w.first, w.docs) for c in (0, 2)), *(pa.array(x) for x in sums)], ["doc_id", "held_out", "n", "known", "base", "lm"]))
+                tail.append((t.value[away], t.history[away], (t.doc[away] + first).astype(np.uint32)))
                 first += w.docs
-            table = pa.Table.from_batches(rows).combine_chunks()
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema) as out_stream:
-                out_stream.write_table(table)
-            body = sink.getvalue().to_pybytes()
-            # equal batches (of repeated rows) share a key and give equal answers
-            key = int(np.frombuffer(W.mix(np.frombuffer(body[: len(body) // 8 * 8], np.uint64) + np.arange(len(body) // 8, dtype=np.uint64)).sum().tobytes(), np.int64)[0])
-            value, doc, taught = (np.concatenate(x) for x in zip(*tail, strict=True))
-            shard = ((value >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+            table = pa.Table.from_batches(rows).combine_chunks()
+            with pa.ipc.new_stream(sink, table.schema) as stream:
+                stream.write_table(table)
+            key = (_part() << 24) + nth
+            nth += 1
+            value, history, doc = (np.concatenate(x) for x in zip(*tail, strict=True))
             order = np.lexsort((doc, value))
-            value, doc, taught, shard = value[order], doc[order], taught[order], shard[order]
-            cut = np.searchsorted(shard, np.arange(shards + 1))
+            value, history, doc = value[order], history[order], doc[order]
+            cut = np.searchsorted(_shard_of(value, sizes.shards), np.arange(sizes.shards + 1))
             some = np.flatnonzero(np.diff(cut))
-            parts = [value[cut[s] : cut[s + 1]].tobytes() + doc[cut[s] : cut[s + 1]].tobytes() + taught[cut[s] : cut[s + 1]].tobytes() for s in some]
-            yield pa.RecordBatch.from_arrays([pa.array([abs(key) % shards, *some], pa.int32()), pa.array([key] * (1 + len(some)), pa.int64()), pa.array([0] + [1] * len(some), pa.int32()), pa.array([body, *parts], pa.binary())], ["shard", "batch", "kind", "body"])
-
-    def count(table: pa.Table) -> pa.Table:
-        """What a shard answers: per batch its documents' sums over rare words; and how many types it has."""
-        shard = table["shard"][0].as_py()
-        kinds, keys, bodies = (table[c].to_pylist() for c in ("kind", "batch", "body"))
-        blocks = []
-        for kind, body in zip(kinds, bodies, strict=True):
-            if kind == 1:
-                n = len(body) // 13
-                blocks.append((np.frombuffer(body, np.uint64, n), np.frombuffer(body, np.int32, n, 8 * n), np.frombuffer(body, bool, n, 12 * n)))
-        taught = np.concatenate([np.zeros(0, np.uint64), *(v[t] for v, _, t in blocks)])
-        value, times = np.unique(taught, return_counts=True)
-        out, i = [[], [], [], []], 0
-        for kind, key, body in zip(kinds, keys, bodies, strict=True):
+            sent: list[list] = [[None, *([None] * len(some))] for _ in range(4)]
+            for i, s in enumerate(some.tolist(), 1):
+                a, b = cut[s], cut[s + 1]
+                word, times = np.unique(value[a:b], return_counts=True)
+                for column, x in zip(sent, (word, times.astype(np.uint32), history[a:b], doc[a:b]), strict=True):
+                    column[i] = _planes(x)
+            bodies = [sink.getvalue().to_pybytes(), *([None] * len(some))]
+            yield pa.RecordBatch.from_arrays([pa.array([key % sizes.shards, *some], pa.int32()), pa.array([key] * (1 + len(some)), pa.int64()), pa.array([0] + [1] * len(some), pa.int32()), pa.array(bodies, pa.binary()), *(pa.array(x, pa.binary()) for x in sent)], ["shard", "batch", "kind", "body", "words", "sizes", "histories", "docs"])
+
+    def answer(asked: pa.Table, own: pa.Table) -> pa.Table:
+        """A shard's answer to each batch: its documents' sums over the shard's words."""
+        m = shared.value
+        word = counts = np.zeros(0, np.uint64)
+        key = value = np.zeros(0)
+        if len(own):
+            word, counts, at, history, times = _unpack_pairs(*(own[c][0].as_py() for c in ("words", "counts", "sizes", "histories", "times")))
+            key = _pair_key(word[at], history)
+            order = np.argsort(key)
+            key, value = key[order], (m.pair_values(word[at], counts[at], history, times) - np.log(counts[at] + 1.0))[order]
+        out: list[list] = [[] for _ in range(7)]
+        for batch, kind, shard, body, words, size, histories, docs in zip(*(asked[c].to_pylist() for c in ("batch", "kind", "shard", "body", "words", "sizes", "histories", "docs")), strict=True):
+            row = [batch, kind, shard, body, None, None, None]
             if kind == 1:
-                v, doc, _ = blocks[i]
-                i += 1
-                at = np.searchsorted(value, v)
-                at[at == len(value)] = 0
-                c = np.where(value[at] == v, times[at], 0) if len(value) else np.zeros(len(v), np.int64)
+                asked_word, doc, history = _unplanes(words, "<u8"), _unplanes(docs, "<u4"), _unplanes(histories, "<u2")
+                many = _unplanes(size, "<u4")
+                at, known = _find(word, asked_word)
+                count = np.where(known, counts[at], 0) if len(word) else np.zeros(len(at), np.int64)
+                count, known = np.repeat(count, many), np.repeat(known, many)
+                at, found = _find(key, _pair_key(np.repeat(asked_word, many), history))
+                more = np.where(found, value[at], 0) if len(key) else np.zeros(len(at))
                 who, place = np.unique(doc, return_inverse=True)
-                body = who.astype(np.int32).tobytes() + np.bincount(place, np.log10(c + 1)).tobytes() + np.bincount(place, c > 0).astype(np.int32).tobytes()
-            for column, x in zip(out, (shard, key, kind, body), strict=True):
+                sums = [np.bincount(place, x) for x in (np.log10(count + 1.0), known, np.log(count + 1.0) + more)]
+                row[3:] = [_planes(who), _planes(sums[0]), _planes(sums[1].astype(np.uint32)), _planes(sums[2])]
+            for column, x in zip(out, row, strict=True):
                 column.append(x)
-        for column, x in zip(out, (shard, -shard - 1, 2, np.int64(len(value)).tobytes()), strict=True):
-            column.append(x)
-        return pa.table([pa.array(x, t) for x, t in zip(out, (pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["shard", "batch", "kind", "body"])
-
-    def gather(table: pa.Table) -> pa.Table:
-        answers: dict[int, bytes] = {}
-        texts, types = [], 0
-        for shard, kind, body in zip(*(table[c].to_pylist() for c in ("shard", "kind", "body")), strict=True):
-            if kind == 0:
-                texts.append(pa.ipc.open_stream(body).read_all())
-            elif kind == 1:
-                answers[shard] = body
-            else:
-                types += int(np.frombuffer(body, np.int64)[0])
-        out = []
-        for t in texts:
-            base, known = np.zeros(len(t)), np.zeros(len(t), np.int64)
-            for shard in sorted(answers):
-                body = answers[shard]
-                n = len(body) // 16
-                who = np.frombuffer(body, np.int32, n)
-                base[who] += np.frombuffer(body[4 * n : 12 * n], np.float64)
-                known[who] += np.frombuffer(body, np.int32, n, 12 * n)
-            whole = lambda c, t=t: t[c].cast(pa.int64())
-            out.append(pa.table([pa.array(np.zeros(len(t), np.int32)), t["doc_id"].cast(pa.int64()), t["held_out"], whole("n"), whole("rare"), pa.array(known + t["known"].to_numpy().astype(np.int64)), t["base"], t["lm"], pa.array(base), pa.array(np.zeros(len(t), np.int64))], names=_NAMES))
-        if types or not texts:
-            out.append(pa.table([pa.array([2], pa.int32()), *(pa.array([None], t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())), pa.array([types], pa.int64())], names=_NAMES))
-        return pa.concat_tables([x.cast(out[0].schema) for x in out])
-
-    parts = docs.mapInArrow(send, _SENT).groupBy("shard").applyInArrow(count, _SENT).groupBy("batch").applyInArrow(gather, _ROW)
-    rows = materialise(parts, "scored")
-    rare_types = rows.where("kind = 2").agg(F.sum("types")).first()[0] or 0
-    types = rare_types + int((model.counts > 0).sum()) + (model.ends > 0)
-    rare = model.total - model.ends - int(model.counts.sum())
-    base = F.col("head_base") + F.col("tail_base") - F.col("n_tokens") * F.lit(float(np.log10(model.total + types + 1)))
-    score = F.col("lm") + F.col("tail_base") - F.col("n_tail") * F.lit(float(np.log10(rare + rare_types + 1)))
-    return rows.where("kind = 0").select("doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"))
-
-
-_NAMES = ["kind", "doc_id", "held_out", "n_tokens", "n_tail", "known", "head_base", "lm", "tail_base", "types"]
+        return pa.table([pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4), strict=True)], names=["batch", "kind", "shard", "body", "base", "known", "value"])
+
+    def gather(parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by([("kind", "ascending"), ("shard", "ascending")])
+        rows = [r for r in parts.select(["kind", "body", "base", "known", "value"]).to_pylist()]
+        t = pa.ipc.open_stream(rows[0]["body"]).read_all()
+        base, known, lm = (t[c].to_numpy().copy() for c in ("base", "known", "lm"))
+        for r in rows[1:]:
+            who = _unplanes(r["body"], "<u4")
+            base[who] += _unplanes(r["base"], "<f8")
+            known[who] += _unplanes(r["known"], "<u4")
+            lm[who] += _unplanes(r["value"], "<f8")
+        n = t["n"].to_numpy()
+        base -= n * np.log10(model_total + model_types + 1)
+        return pa.table([t["doc_id"].cast(pa.int64()), t["held_out"], *(pa.array(x.astype(np.int64)) for x in (n, known)), pa.array(base), pa.array(lm / log10)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    model_total, model_types = model.total, model.types
+    asked = docs.withColumn("held_out", out_of).mapInArrow(send, _SENT)
+    answers = asked.groupBy("shard").cogroup(pairs.groupBy("shard")).applyInArrow(answer, _ANSWER)
+    out = answers.groupBy("batch").applyInArrow(gather, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")

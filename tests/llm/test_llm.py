@@ -194,14 +194,123 @@ def test_op2_learns_sequences(spark):
     r = random.Random(1)
     a, b = [f"a{i}" for i in range(30)], [f"zq{i}" for i in range(30)]
     texts = [" ".join(r.choice(p) for _ in range(150)) for p in (a, b) * 40]
-    got = maxent.score_texts(make(spark, texts), rounds=3).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    got = maxent.score_texts(make(spark, texts)).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert got.s > got.b
 
 
+def test_op2_learns_more_from_more(spark):
+    r = random.Random(2)
+    words_of = [f"w{i}" for i in range(60)]
+    after = {w: r.sample(words_of, 4) for w in words_of}
+
+    def text():
+        out = [r.choice(words_of)]
+        for _ in range(40):
+            out.append(r.choice(after[out[-1]]))
+        return " ".join(out)
+
+    gain = []
+    for n in (20, 200, 1500):
+        x = maxent.score_texts(make(spark, [text() for _ in range(n)])).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
+        gain.append((x.s - x.b) / x.n)
+    assert gain[0] < gain[1] < gain[2]
+
+
+def test_op2_scores_do_not_depend_on_partitions(spark, texts, monkeypatch):
+    df = make(spark, texts * 3)
+    one = sorted(tuple(r) for r in maxent.score_texts(df.coalesce(1)).collect())
+    monkeypatch.setattr(maxent, "FLUSH", 500)
+    monkeypatch.setattr(maxent, "FAN_IN", 3)
+    monkeypatch.setattr(maxent, "BATCH_BYTES", 2000)
+    monkeypatch.setattr(maxent, "HEAD_PAIRS", 7)
+    many = sorted(tuple(r) for r in maxent.score_texts(df.repartition(9)).collect())
+    for x, y in zip(one, many, strict=True):
+        assert x[:5] == y[:5] and x[5:] == pytest.approx(y[5:], rel=1e-12)
+
+
+def scores_by_hand(texts, held):
+    """The model's log10 probabilities, written with loops and dictionaries."""
+    size = sum(len((t or "").encode()) for t, h in zip(texts, held, strict=True) if not h)
+    sizes = maxent.Sizes.of(size, 4)
+
+    def read(text):
+        w = next(W.split(pa.array([text or ""]), lower=True))
+        t = maxent.tokens(w, sizes)
+        return list(zip((int(x) for x in t.value), (int(x) for x in t.target), (tuple(int(f) for f in x) for x in t.features.T), (int(x) for x in t.history), strict=True))
+
+    every = [read(t) for t in texts]
+    taught = [(t, x) for t, x, h in zip(texts, every, held, strict=True) if not h]
+    share, count, pairs, seen = [1.0] * 32, collections.Counter(), collections.Counter(), collections.Counter()
+    for _, doc in taught:
+        for value, target, _, history in doc:
+            share[target] += 1
+            seen[history, target] += 1
+            if value != maxent.END:
+                count[value] += 1
+                pairs[value, history] += 1
+    weights = collections.defaultdict(float)
+
+    def softmax(features):
+        x = [math.log(share[c] / sum(share)) + sum(weights[k, f, c] for k, f in enumerate(features)) for c in range(32)]
+        top = sum(math.exp(v) for v in x)
+        return [math.exp(v) / top for v in x]
+
+    for nth in range(maxent.BLOCKS):
+        gap, n = collections.Counter(), collections.Counter()
+        for (_, doc), block in zip(taught, blocks_by_spark, strict=True):
+            if block == nth:
+                for _, target, features, _ in doc:
+                    p = softmax(features)
+                    for k, f in enumerate(features):
+                        n[k, f] += 1
+                        for c in range(32):
+                            gap[k, f, c] += (c == target) - p[c]
+        for (k, f, c), g in gap.items():
+            weights[k, f, c] += maxent.RATE * g / (maxent.RESERVE + n[k, f])
+    start = [1.0 + sum(n + 1 for v, n in count.items() if v & 31 == c) for c in range(32)]
+    norm = {(h, c): start[c] for h in range(1 << sizes.history_bits) for c in range(32)}
+    for _ in range(maxent.ROUNDS):
+        before, norm, pair = norm, {k: start[k[1]] for k in norm}, {}
+        for (value, h), n in pairs.items():
+            if n >= maxent.CUTOFF:
+                mass = seen[h, value & 31] * (count[value] + 1) / before[h, value & 31]
+                low, high = -60.0, 60.0  # the gradient falls with the weight
+                for _ in range(200):
+                    mid = (low + high) / 2
+                    low, high = (mid, high) if n - mass * math.exp(mid) - maxent.PRIOR * mid > 0 else (low, mid)
+                pair[value, h] = mid
+                norm[h, value & 31] += (count[value] + 1) * (math.exp(mid) - 1)
+    out = []
+    for doc in every:
+        total = 0.0
+        for value, target, features, h in doc:
+            total += math.log(softmax(features)[target])
+            if value != maxent.END:
+                total += math.log(count[value] + 1) + pair.get((value, h), 0.0) - math.log(norm[h, target])
+        out.append(total / math.log(10))
+    # within a class, known words and an unknown one make up the whole
+    for h, c in [(h, c) for h in range(1 << sizes.history_bits) for c in range(31)][::7]:
+        assert sum((n + 1) * math.exp(pair.get((v, h), 0.0)) for v, n in count.items() if v & 31 == c) + 1 == pytest.approx(norm[h, c])
+    return out
+
+
+def test_op2_scores_match_a_plain_model(spark, monkeypatch):
+    global blocks_by_spark
+    monkeypatch.setattr(maxent, "HEAD_PAIRS", 5)
+    r = random.Random(5)
+    vocabulary = ["der", "die", "das", "ein", "haus", "baum", "geht", "läuft", "und", "oder", "nicht", "hier"]
+    texts = [" ".join(r.choice(vocabulary[: r.randint(3, 12)]) for _ in range(r.randint(0, 30))) for _ in range(60)] + [None, "", "NEU und der"]
+    df = make(spark, texts)
+    got = sorted(maxent.score_texts(df).collect(), key=lambda x: x.doc_id)
+    held = [x.held_out for x in got]
+    blocks_by_spark = [x.b for x, h in zip(df.orderBy("doc_id").select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(maxent.BLOCKS)).alias("b")).collect(), held, strict=True) if not h]
+    assert [x.score for x in got] == pytest.approx(scores_by_hand(texts, held), rel=2e-3)
+
+
 def test_class_softmax_is_a_distribution():
     r = np.random.default_rng(0)
-    weights = r.normal(size=(maxent.FEATURES, 1 << maxent.FEATURE_BITS, maxent.CLASSES)).astype(np.float32)
-    x = maxent._log_softmax(maxent._scores(weights, np.zeros(maxent.CLASSES, np.float32), r.integers(0, 1 << maxent.FEATURE_BITS, (maxent.FEATURES, 50)).astype(np.uint16)))
+    weights = r.normal(size=(maxent.FEATURES, 1 << 8, maxent.CLASSES)).astype(np.float32)
+    x = maxent._log_softmax(maxent._scores(weights, np.zeros(maxent.CLASSES, np.float32), r.integers(0, 1 << 8, (maxent.FEATURES, 50)).astype(np.uint16)))
     assert np.allclose(np.exp(x).sum(axis=1), 1, atol=1e-4)
 
 
