@@ -406,6 +406,71 @@ def test_op4_expressions(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def parsed_by_hand(text):
+    """(labels, asks) of an expression by recursive descent, or None."""
+    tokens = re.findall(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*", text)
+
+    def leaf(name):
+        low = re.sub(r"(\+|-only|-or-later)$", "", name.lower()) if name.lower() not in licenses._KNOWN else name.lower()
+        label, asks = licenses._KNOWN.get(low, (None, 3))
+        return {label} - {None}, asks
+
+    def factor():
+        if tokens and tokens[0] == "(":
+            tokens.pop(0)
+            out = either()
+            assert tokens.pop(0) == ")"
+            return out
+        assert tokens[0].lower() not in ("and", "or", "with", ")")
+        out = leaf(tokens.pop(0))
+        while tokens and tokens[0].lower() == "with":
+            tokens.pop(0)
+            leaf(tokens.pop(0))
+            out = out[0], max(0, out[1] - 1) if out[1] < 3 else 3
+        return out
+
+    def chain(word, inner, pick):
+        out = inner()
+        while tokens and tokens[0].lower() == word:
+            tokens.pop(0)
+            more = inner()
+            out = out[0] | more[0], pick(out[1], more[1])
+        return out
+
+    def either():
+        return chain("or", lambda: chain("and", factor, max), min)
+
+    return either()
+
+
+def test_op4_expressions_match_recursive_descent(spark):
+    r = random.Random(7)
+    names = ["MIT", "Apache-2.0", "GPL-2.0-only", "GPL-3.0-or-later", "LGPL-2.1+", "0BSD", "Zlib", "OFL-1.1", "BUSL-1.1", "ISCSI-driver", "CC-BY-NC-4.0", "LicenseRef-x"]
+
+    def expression(depth):
+        if depth == 0 or r.random() < 0.3:
+            return r.choice(names) + (" WITH Classpath-exception-2.0" if r.random() < 0.2 else "")
+        out = f" {r.choice(['AND', 'OR', 'and', 'Or'])} ".join(expression(depth - 1) for _ in range(r.randint(2, 3)))
+        return f"({out})" if r.random() < 0.6 else out
+
+    every = [expression(3) for _ in range(200)]
+    for x in every:
+        got = licenses.evaluate(x)
+        assert (set(got.labels), got.asks) == parsed_by_hand(x)
+    texts = [f"é # SPDX-License-Identifier: {a} */\n* License-Expression : {b}\nthe MIT license" for a, b in zip(every[::2], every[1::2], strict=True)]
+    for row, a, b in zip(licenses.scan_licenses(make(spark, texts)).orderBy("doc_id").collect(), every[::2], every[1::2], strict=True):
+        tagged = parsed_by_hand(a)[0] | parsed_by_hand(b)[0]
+        assert row.labels == ",".join(sorted(tagged | {"mit"})) and row.asks == max(parsed_by_hand(a)[1], parsed_by_hand(b)[1])
+        assert row.score == pytest.approx(1 - 0.1 ** len(tagged) * (1 if "mit" in tagged else 0.5))
+
+
+def test_op4_identifiers_are_exact(spark):
+    text = lambda x: f"SPDX-License-Identifier: {x}"
+    rows = ["ISCSI-driver", "0BSD", "Zlib OR OFL-1.1", "BUSL-1.1", "gpl-2.0+", "MITx", "Own-1.0", "MIT"]
+    got = licenses.scan_licenses(make(spark, [text(x) for x in rows] + ["spdx license identifier MIT", "SPDX-License-Identifier:", None]), identifiers=(("own", 1, "Own- 1.0 2.0"),)).orderBy("doc_id").collect()
+    assert [x.labels for x in got] == ["", "0bsd", "ofl,zlib", "busl", "gpl", "", "own", "mit", "", "", ""]
+
+
 # ---- op5 ----
 
 
