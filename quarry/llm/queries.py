@@ -16,7 +16,7 @@ from .mixing import MIX_SQL, mix_sources
 from .ngram_join import ngram_components
 from .passages import drop_repeated_passages
 from .quality import classify_quality
-from .warc import read_warc, write_warc
+from .warc import WARC_SQL, read_warc, write_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_perspectives": PERSPECTIVES_SQL, "op10_source_mixing": MIX_SQL}
+    return {"op6_chat_perspectives": PERSPECTIVES_SQL, "op10_source_mixing": MIX_SQL, "op5_warc_round_trip": WARC_SQL}

@@ -33,7 +33,21 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record(page_id: int | None, url: str | None, html: str | None, refers_to: int | None, date: str) -> bytes:
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a URI, by the names that Spark's file systems go by as well."""
+    scheme, sep, rest = uri.partition(":")
+    if sep and scheme in ("s3a", "s3n"):
+        uri = f"s3:{rest}"
+    elif sep and scheme == "dbfs":
+        uri = f"file:///dbfs/{rest.lstrip('/')}"
+    return fs.FileSystem.from_uri(uri)
+
+
+def _line(url: str) -> str:
+    return " ".join(url.split())
+
+
+def _record(page_id: int | None, url: str | None, html: str | None, refers_to: int | None, first_url: str | None, date: str) -> bytes:
     payload = (html or "").encode("utf-8", "surrogatepass")
     digest = base32_sha1(payload)
     head = [
@@ -41,17 +55,18 @@ def _record(page_id: int | None, url: str | None, html: str | None, refers_to: i
         ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(_NS, f'{page_id}/{digest}')}>"),
         ("WARC-Date", date),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
-        ("WARC-X-Payload-Length", str(len(payload))),
     ]
     if page_id is not None:
         head.append(("WARC-X-Page", str(page_id)))
     if url is not None:
-        head.append(("WARC-Target-URI", " ".join(url.split())))
+        head.append(("WARC-Target-URI", _line(url)))
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     if refers_to is None:
         block += payload
     else:
-        head += [("WARC-Profile", _REVISIT), ("WARC-X-Refers-To-Page", str(refers_to)), ("WARC-Refers-To", f"<urn:uuid:{uuid.uuid5(_NS, f'{refers_to}/{digest}')}>")]
+        head += [("WARC-Profile", _REVISIT), ("WARC-X-Refers-To-Page", str(refers_to)), ("WARC-Refers-To", f"<urn:uuid:{uuid.uuid5(_NS, f'{refers_to}/{digest}')}>"), ("WARC-Refers-To-Date", date)]
+        if first_url is not None:
+            head.append(("WARC-Refers-To-Target-URI", _line(first_url)))
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + block + b"\r\n\r\n"
 
@@ -112,9 +127,9 @@ def write_warc(pages: DataFrame, path: str | None = None, *, min_bytes: int = 0,
     """Archive a table of pages under path; the manifest (archive, records, bytes) of what counts.
 
     Of pages with equal payloads of at least min_bytes bytes, the one with the smallest page_id is
-    stored, others become revisit records. A null html is an empty payload. Pages without an id are
-    stored as they are; rows that repeat the smallest id are each stored. Empty tables make no
-    archives. Every task attempt writes a file of its own, and only files named in the manifest
+    stored, others become revisit records. A null html is an empty payload; a long one is one record. Pages
+    without an id are stored as they are; rows that tie with the smallest id are each stored. Empty
+    tables make no archives; other columns are ignored. Every task attempt writes a file of its own, and only files named in the manifest
     count, so lost executors leave no half-written archive behind.
     """
     spark = pages.sparkSession
@@ -122,20 +137,21 @@ def write_warc(pages: DataFrame, path: str | None = None, *, min_bytes: int = 0,
     path = path or scratch(spark, "warc")
     body = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), body.alias("html"), F.when(F.octet_length(body) >= min_bytes, F.sha2(body, 256)).alias("key"))
-    first = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
-    rows = rows.join(first, "key", "left").select("page_id", "url", "html", F.when(F.col("page_id") > F.col("first"), F.col("first")).alias("refers_to"))
+    first = rows.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("page_id", "url")).alias("first"), F.min("page_id").alias("least"), F.count("*").alias("n"))
+    first = first.where("n > 1").select("key", "least", F.when(F.col("first.page_id") == F.col("least"), F.col("first.url")).alias("first_url"))
+    rows = rows.join(first, "key", "left").select("page_id", "url", "html", F.when(F.col("page_id") > F.col("least"), F.col("least")).alias("refers_to"), "first_url")
 
     def write(batches):
         def records():
             for batch in batches:
-                for row in zip(*(batch.column(i) for i in range(4)), strict=True):
+                for row in zip(*(batch.column(i) for i in range(5)), strict=True):
                     yield _record(*(x.as_py() for x in row), date)
 
         stream = records()
         head = next(stream, None)
         if head is None:
             return
-        where, folder = fs.FileSystem.from_uri(path)
+        where, folder = open_store(path)
         where.create_dir(folder, recursive=True)
         name = f"{uuid.uuid4().hex}.warc.zst"
 
@@ -143,7 +159,7 @@ def write_warc(pages: DataFrame, path: str | None = None, *, min_bytes: int = 0,
             yield head
             yield from stream
 
-        with where.open_output_stream(f"{folder}/{name}") as sink:
+        with where.open_output_stream(f"{folder}/{name}", compression=None) as sink:
             count, total = write_archive(sink, every())
         yield pa.RecordBatch.from_arrays([pa.array([f"{path}/{name}"]), pa.array([count], pa.int64()), pa.array([total], pa.int64())], ["archive", "records", "bytes"])
 
@@ -152,8 +168,13 @@ def write_warc(pages: DataFrame, path: str | None = None, *, min_bytes: int = 0,
 
 def read_warc(spark: SparkSession, manifest: DataFrame, *, with_payload: bool = False) -> DataFrame:
     """Records of the archives named in a manifest: page_id, url, payload_bytes, payload_digest,
-    record_type, refers_to (and payload, null for revisits). Stored payloads are checked against
-    their digests; a damaged archive fails the read."""
+    record_type, refers_to (and payload, null for revisits).
+
+    Size and digest are measured on the payloads that are read; those of revisits are of the stored
+    payload with their digest (null size if none of these archives has it). Stored payloads are checked
+    against their records' digests; a damaged archive fails the read. Null ids and urls come back
+    as nulls, rows that repeat as they are, long payloads whole; an empty manifest gives no rows.
+    """
     ship(spark)
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
@@ -167,16 +188,17 @@ def read_warc(spark: SparkSession, manifest: DataFrame, *, with_payload: bool =
     def read(batches):
         for batch in batches:
             for archive in batch.column(0).to_pylist():
-                where, file = fs.FileSystem.from_uri(archive)
+                where, file = open_store(archive)
                 rows, size = [], 0
-                with where.open_input_stream(file) as source:
+                with where.open_input_stream(file, compression=None) as source:
                     for head, block in read_archive(source):
                         payload = block.partition(b"\r\n\r\n")[2] if head["WARC-Type"] == "response" else None
-                        digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                        if payload is not None and base32_sha1(payload) != digest:
+                        stated = head.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
+                        digest = stated if payload is None else base32_sha1(payload)
+                        if stated not in (None, digest):
                             raise ValueError(f"{archive}: a payload differs from its digest")
                         number = lambda key, head=head: int(head[key]) if key in head else None
-                        rows.append((number("WARC-X-Page"), head.get("WARC-Target-URI"), number("WARC-X-Payload-Length"), digest, head["WARC-Type"], number("WARC-X-Refers-To-Page"), payload if with_payload else None))
+                        rows.append((number("WARC-X-Page"), head.get("WARC-Target-URI"), None if payload is None else len(payload), digest, head["WARC-Type"], number("WARC-X-Refers-To-Page"), payload if with_payload else None))
                         size += len(block) if with_payload else 100
                         if size > 1 << 20:
                             yield flush(rows)
@@ -186,4 +208,26 @@ def read_warc(spark: SparkSession, manifest: DataFrame, *, with_payload: bool =
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return manifest.select("archive").repartition(tasks).mapInArrow(read, schema)
+    rows = manifest.select("archive").repartition(tasks).mapInArrow(read, schema)
+    if not with_payload:
+        rows = materialise(rows, "records")
+    stored = rows.where("record_type <> 'revisit'")
+    sizes = stored.groupBy("payload_digest").agg(F.max("payload_bytes").alias("full"))
+    again = rows.where("record_type = 'revisit'").join(sizes, "payload_digest", "left").withColumn("payload_bytes", F.col("full"))
+    return stored.unionByName(again.select(*rows.columns))
+
+
+def _base32(hexadecimal: str) -> str:
+    """SQL for the base32 text of 160 bits in hexadecimal: four letters for every five digits."""
+    part = lambda i: f"CAST('0x' || substr({hexadecimal}, {5 * i + 1}, 5) AS INTEGER)"
+    return " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({part(i)} >> {shift}) & 31) + 1, 1)" for i in range(8) for shift in (15, 10, 5, 0))
+
+
+#: The rows of op5 for DuckDB.
+WARC_SQL = f"""
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS least, sha1(body) AS digest FROM bodies)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, {_base32("digest")} AS payload_digest,
+       CASE WHEN page_id > least THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > least THEN least END AS refers_to
+FROM firsts
+"""

@@ -5,12 +5,14 @@ import itertools
 import math
 import random
 import re
+import struct
 import zlib
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from quarry.llm import chat, components, decontaminate, fingerprints, licenses, maxent, mixing, ngram_join, passages, quality, queries, warc
@@ -502,6 +504,33 @@ def test_op5_threshold_ties_and_empty(spark):
     assert warc.read_warc(spark, warc.write_warc(pages(spark, []))).count() == 0
 
 
+def test_op5_archives_follow_the_format(spark, tmp_path):
+    page = "<p>" + "long page " * 30
+    df = clash(pages(spark, [(i, f"http://h/{i}", page if i % 2 else f"{page}{i}") for i in range(30)])).coalesce(1)
+    path = f"file://{tmp_path}/w"
+    [archive] = [r.archive for r in warc.write_warc(df, path).collect()]
+    raw = open(archive.removeprefix("file://"), "rb").read()
+    magic, size = struct.unpack("<II", raw[:8])
+    assert magic == 0x184D2A5D  # a skippable frame
+    words = zstandard.ZstdCompressionDict(raw[8 : 8 + size])
+    rest, heads = raw[8 + size :], []
+    while rest:  # one frame for each record, each of which the dictionary opens alone
+        one = zstandard.ZstdDecompressor(dict_data=words).decompressobj()
+        record = one.decompress(rest)
+        heads.append(dict(x.split(": ", 1) for x in record.split(b"\r\n\r\n")[0].decode().split("\r\n")[1:]))
+        rest = one.unused_data
+    again = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(heads) == 30 and len(again) == 14 and not any("Payload-Length" in k for h in heads for k in h)
+    assert {(h["WARC-Refers-To-Target-URI"], h["WARC-Refers-To-Date"]) for h in again} == {("http://h/1", "2024-01-01T00:00:00Z")}
+    # sizes are measured, also for records whose writer states none
+    assert {(r.page_id, r.payload_bytes) for r in warc.read_warc(spark, warc.write_warc(df)).collect()} == {(i, len(page) + (0 if i % 2 else len(str(i)))) for i in range(30)}
+
+
+def test_op5_names_of_stores(tmp_path):
+    assert warc.open_store(f"file://{tmp_path}")[1] == str(tmp_path)
+    assert warc.open_store("dbfs:/a/b")[1] == "/dbfs/a/b"
+
+
 # ---- op6 ----
 
 
