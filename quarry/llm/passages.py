@@ -32,9 +32,8 @@ from . import recurring as R
 from . import words as W
 
 ANCHOR = 6
-#: Phrases in one automaton. Its words are numbered by the 0x100000 code points above the surrogates, which that many phrases cannot use up.
-PHRASES = 0x100000 // ANCHOR
-_FIRST_CODE = 0x10000
+#: Phrases in one automaton, a bound on its memory.
+PHRASES = 1 << 16
 _SENT = "shard int, bucket int, anchors binary, phrases binary, sizes binary, windows binary, several binary"
 _KNOWN = "bucket int, kind int, shard int, bits binary, phrases binary"
 
@@ -139,32 +138,52 @@ def confirm(sent: DataFrame, size: int) -> DataFrame:
     return sent.groupBy("shard").applyInArrow(shard, _KNOWN)
 
 
-def automata(phrases: np.ndarray) -> list[tuple[np.ndarray, ahocorasick.Automaton]]:
-    """(sorted word hashes, automaton over their numbers) for each PHRASES rows of phrases."""
+def _spell(number: np.ndarray, base: int) -> np.ndarray:
+    """Three symbols for each word number, of ranges of their own, so that phrases match on whole words only.
+
+    An automaton's nodes find their next symbol among their children one by one: three symbols of a
+    small alphabet are found sooner than one of a large alphabet.
+    """
+    digits = np.stack([number // (base * base), number // base % base, number % base], axis=-1)
+    return (digits + np.array([2, 2 + base, 2 + 2 * base])).astype("<u4")
+
+
+def automata(phrases: np.ndarray) -> list[tuple[np.ndarray, int, int, ahocorasick.Automaton]]:
+    """(sorted word hashes, base of their spelling, words in a phrase, automaton) for each PHRASES rows of phrases."""
     out = []
     for i in range(0, len(phrases), PHRASES):
         some = phrases[i : i + PHRASES]
         known, code = np.unique(some, return_inverse=True)
-        text = (code.reshape(-1) + _FIRST_CODE).astype("<u4").tobytes().decode("utf-32-le")
+        base = int(np.ceil(len(known) ** (1 / 3))) + 1
+        text = _spell(code.reshape(-1), base).tobytes().decode("utf-32-le")
         automaton, width = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), some.shape[1]
-        for j in range(0, len(text), width):
-            automaton.add_word(text[j : j + width])
+        for j in range(0, len(text), 3 * width):
+            automaton.add_word(text[j : j + 3 * width])
         automaton.make_automaton()
-        out.append((known, automaton))
+        out.append((known, base, width, automaton))
     return out
 
 
-def stream(w: W.Words, machines: list[tuple[np.ndarray, ahocorasick.Automaton]]) -> np.ndarray:
+def stream(w: W.Words, machines: list[tuple[np.ndarray, int, int, ahocorasick.Automaton]]) -> np.ndarray:
     """Whether a phrase of an automaton starts at each word of a chunk; phrases lie within one document."""
     starts = np.zeros(len(w.hashes), bool)
-    shift = np.arange(len(w.hashes)) + np.repeat(np.arange(w.docs), np.diff(w.bounds))
-    for known, automaton in machines:
-        # words that no phrase has, and the ends of documents, match nothing
-        code = np.ones(len(w.hashes) + w.docs, np.uint32)
-        code[shift] = np.where(R.isin(w.hashes, known), np.searchsorted(known, w.hashes) + _FIRST_CODE, 1)
-        hits = np.array(list(automaton.iter(code.astype("<u4").tobytes().decode("utf-32-le"))), np.int64)
+    doc = w.doc_of_word()
+    for known, base, width, automaton in machines:
+        # a word that no phrase has ends every match, and so does a document's end: only runs of words in between are read
+        at = np.flatnonzero(R.isin(w.hashes, known))
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) != 1) | (doc[at[1:]] != doc[at[:-1]])
+        run = np.cumsum(new) - 1
+        long = np.bincount(run, minlength=1)[run] >= width if len(at) else new
+        at, new = at[long], new[long]
+        if not len(at):
+            continue
+        place = 3 * np.arange(len(at)) + np.cumsum(new) - 1
+        symbols = np.ones(int(place[-1]) + 3, "<u4")
+        symbols[place[:, None] + np.arange(3)] = _spell(np.searchsorted(known, w.hashes[at]), base)
+        hits = np.array([end - length for end, length in automaton.iter(symbols.tobytes().decode("utf-32-le"))], np.int64)
         if len(hits):
-            starts[np.searchsorted(shift, hits[:, 0] + 1 - hits[:, 1])] = True
+            starts[at[np.searchsorted(place, hits + 1)]] = True
     return starts
 
 
