@@ -585,6 +585,72 @@ def test_op7_neighbours(spark, texts):
     assert all(len(v) == 1 for v in same.values())
 
 
+def paragraphs_by_hand(text):
+    """A text's paragraphs as word tuples, with repetitions."""
+    out = collections.Counter()
+    for line in (text or "").split("\n"):
+        now = []
+        for word in words(line):
+            now.append(word)
+            if int(next(W.split(pa.array([word]))).hashes[0]) & 7 == 0 or len(now) == 16:
+                out[tuple(now)] += 1
+                now = []
+        if now:
+            out[tuple(now)] += 1
+    return out
+
+
+def likeness_by_hand(x, y):
+    a, b = paragraphs_by_hand(x), paragraphs_by_hand(y)
+    every = (a | b).total()
+    return (a & b).total() / every if every else 1.0
+
+
+def test_op7_likeness_is_that_of_the_paragraphs(spark, texts):
+    texts = [t for t in texts if len(t or "") < 10_000] + ["same line\n" * 5, "same line\n" * 3 + "another"]
+    df = make(spark, texts)
+    got = {r.doc_id: r for r in fingerprints.neighbour_fingerprints(df).collect()}
+    n = len(texts)
+    for i, t in enumerate(texts):
+        own, other = t or "", texts[(i - 1) % n] or ""
+        edited = own[: len(own) - len(own) // 3] + other[: len(own) // 3]
+        assert got[i].near_edited == pytest.approx(likeness_by_hand(own, edited))
+        assert got[i].near_next == pytest.approx(likeness_by_hand(own, other))
+    # stored fingerprints tell the same, or nothing
+    pairs = spark.createDataFrame([(i, got[i].fingerprint, got[i].edited_fingerprint, got[i].near_edited) for i in got] + [(-1, None, "", 0.0)], "id long, a string, b string, want double")
+    again = {r.id: r for r in fingerprints.compare_fingerprints(pairs, "a", "b").collect()}
+    assert again.pop(-1).near is None and sum(r.near is not None for r in again.values()) > n / 2
+    assert all(r.near is None or r.near == pytest.approx(r.want) for r in again.values())
+
+
+def test_op7_fingerprints_round_trip():
+    texts = pa.array(["a b\nc d\ne f", "a b\nc x", "", "p " * 3000])
+    owner, keys = fingerprints.paragraph_digests(texts)
+    first = fingerprints.tables(owner, keys, 4, fingerprints.WIDTH)
+    size, again = fingerprints.decode(fingerprints.encode(np.bincount(owner, minlength=4), first))
+    assert size.tolist() == np.bincount(owner, minlength=4).tolist() and all((x == y).all() for x, y in zip(first, again, strict=True))
+
+
+@pytest.mark.parametrize("ids", [[None] * 300, [4] * 300, [None] * 100 + [4] * 100 + list(range(100))])
+def test_op7_many_rows_of_one_id(spark, ids):
+    texts = [f"text number {i % 250} of many\nwith a second line {i % 7}" for i in range(300)]
+    df = make(spark, texts, ids=ids)
+    order = [(r.doc_id, r.text) for r in df.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc()).collect()]
+    want = []
+    for i, (doc, own) in enumerate(order):
+        other = order[(i + 1) % len(order)][1]
+        want.append((doc, hashlib.sha256((own[: len(own) - len(own) // 3] + other[: len(own) // 3]).encode()).hexdigest()))
+    got = [(r.doc_id, r.edited_sha256) for r in fingerprints.neighbour_fingerprints(clash(df.repartition(5))).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_op7_diff_of_repeated_rows_and_clashing_names(spark):
+    df = clash(spark.createDataFrame([(1, "a b", "a c"), (1, "a b", "a c"), (None, "x", "x")], "doc_id long, old string, new string")).withColumns({c: F.lit(0) for c in ("near", "removed", "added")})
+    got = sorted((tuple(r) for r in fingerprints.diff_versions(df, "old", "new").collect()), key=str)
+    assert got[0] == got[1] and got[0][0] == 1 and len(got[0][1]) == len(got[0][2]) == 1 and got[2] == (None, [], [], 1.0)
+    assert fingerprints.diff_versions(df.limit(0), "old", "new").count() == 0
+
+
 def test_op7_small_tables(spark):
     one = fingerprints.neighbour_fingerprints(make(spark, ["abc def ghi"])).first()
     assert one.near_next == 1.0 and one.edited_sha256 == hashlib.sha256(b"abc def abc").hexdigest()
