@@ -60,7 +60,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = rotate_perspectives(_table(spark, sf_dir, "conversations"))
     mask = F.array_join(F.transform("mask", lambda m: F.concat(m["start"], F.lit("+"), m["length"])), ",").alias("mask")
-    return seen.select("conv_id", "perspective", "part", "n_turns", "n_trained", "rendered", mask)
+    return seen.select("conv_id", "perspective", "part", "piece", "n_turns", "n_trained", "rendered", mask)
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
