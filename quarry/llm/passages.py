@@ -39,7 +39,10 @@ _KNOWN = "bucket int, kind int, shard int, bits binary, phrases binary"
 
 
 def _windows(w: W.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and anchors of a chunk's windows; places and hashes of its anchors."""
+    """Starts and anchors of a chunk's windows; places and hashes of its anchors.
+
+    Anchors are the smallest hashes, so they are mixed again: shards are ranges of evenly spread values.
+    """
     anchor = min(ANCHOR, size)
     _, at, _ = W.runs(w, size)
     if not len(at):
@@ -64,7 +67,7 @@ def _windows(w: W.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         width += step
     high = full[: len(gram)]
     place = np.flatnonzero((high == gram) & (high > 0))
-    return at, least, place, gram[place]
+    return at, W.mix(least), place, W.mix(gram[place])
 
 
 def _chunks(table: pa.Table):
