@@ -10,14 +10,17 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 
 CHUNK_BYTES = 1 << 19
 
 
-def _give_memory_back() -> None:
+@cache
+def give_memory_back() -> None:
     """Have freed arrays returned to the system: workers live on between tasks, and several share an executor."""
     pa.set_memory_pool(pa.system_memory_pool())
     try:
@@ -26,7 +29,6 @@ def _give_memory_back() -> None:
         pass  # another C library
 
 
-_give_memory_back()
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
@@ -110,6 +112,8 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 
 def split(column: pa.Array, *, lower: bool = False, alnum: bool = False, hashed: bool = True, limit: int = CHUNK_BYTES) -> Iterator[Words]:
     """Words of each chunk: runs without white space, or (alnum) runs of a-z, 0-9 and non-ASCII."""
+    if TaskContext.get() is not None:
+        give_memory_back()  # in a worker only: the driver's process is not ours to set up
     separator = _PUNCT if alnum else _SPACE
     for row, _, text_at, raw in chunks(column, limit):
         data = raw
