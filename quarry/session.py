@@ -6,11 +6,15 @@ import io
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+#: Scratch paths made inside each open released() block.
+_OPEN: list[list[str]] = []
 #: Rows in an Arrow batch. Spark's default of 10,000 is meant for short rows; with texts, the batches that JVM and Python hold at once would take most of an executor.
 ARROW_ROWS = 512
 
@@ -50,28 +54,59 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (tests only) a new local one."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local master gets a folder of its own; on a cluster there is no folder to guess.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        where = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="quarry-shared-")
+        if known.isDefined():
+            where = known.get()
+        elif spark.sparkContext.master.startswith("local"):
+            where = tempfile.mkdtemp(prefix="quarry-shared-")
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
 
 
+def _on_store(spark: SparkSession, path: str):
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder, which is removed when the application ends."""
+    """A fresh path in the shared folder, which is removed at the end of the innermost released() block, or of the application."""
     path = f"{shared_dir(spark)}/quarry-{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    there = jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    store, there = _on_store(spark, path)
+    store.deleteOnExit(there)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return path
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage is cut, statistics are exact."""
-    path = scratch(df.sparkSession, label)
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more."""
+    store, there = _on_store(spark, path)
+    store.delete(there, True)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end; results have to be written elsewhere by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            drop(spark, path)
+
+
+def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write df as a table in the shared folder (or at path) and read it back: lineage is cut, statistics are exact."""
+    path = path or scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
