@@ -265,3 +265,18 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
     known = confirm(by(docs).cogroup(by(first)).applyInArrow(send_phrases, _SENT), size)
     out = by(docs).cogroup(by(known)).applyInArrow(locate, schema)
     return out.select("doc_id", "kept_text", "n_words", "n_removed", *(F.col(x).alias(c) for c, x in zip(carry, inner, strict=True)))
+
+
+#: The rows of op3 for DuckDB (doc_ids are unique there).
+PASSAGES_SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+windows AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i + 34 <= len(w) THEN sha256(array_to_string(w[i:i + 34], ' ')) END AS win FROM places),
+again AS (SELECT win FROM windows WHERE win IS NOT NULL GROUP BY win HAVING count(*) > 1),
+marked AS (
+  SELECT doc_id, i, word, max(CASE WHEN a.win IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM windows v LEFT JOIN again a ON v.win = a.win),
+kept AS (SELECT doc_id, CAST(sum(gone) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept_text FROM marked GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
