@@ -11,10 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .. import terms
+
 _FENCE = re.compile(r"^```(?:json)?\s*$", re.M)
 _CLOSE = {"{": "}", "[": "]"}
-#: Key parts whose values are never passed on.
-SECRET_PARTS = ("password", "secret", "token", "api_key", "apikey", "credential", "private_key", "cookie")
+EMPTY = (None, "", [], {})
 
 
 def _cuts(text: str) -> tuple[list[str], bool, int]:
@@ -69,13 +70,17 @@ def parse_object(text: str | None) -> dict | None:
     return _closed(rest[:comma]) if comma >= 0 else None
 
 
+def repaired(column: pa.Array) -> pa.Array:
+    found = [parse_object(x) if x is not None else None for x in column.to_pylist()]
+    return pa.array([None if x is None else json.dumps(x, ensure_ascii=False) for x in found], pa.string())
+
+
 def repair_json(text: Column) -> Column:
     """Whole JSON object text from a tolerant parse, or null. Texts that parse as they are never reach Python."""
 
     @F.arrow_udf("string")
     def repair(column: pa.Array) -> pa.Array:
-        found = [parse_object(x) if x is not None else None for x in column.to_pylist()]
-        return pa.array([None if x is None else json.dumps(x, ensure_ascii=False) for x in found], pa.string())
+        return repaired(column)
 
     whole = F.try_parse_json(text).isNotNull() & F.trim(text).startswith("{")
     return F.when(whole, F.trim(text)).otherwise(repair(F.when(~F.coalesce(whole, F.lit(False)), text)))
@@ -89,37 +94,72 @@ def str_list(value: Column) -> Column:
     return F.filter(F.transform(items, lambda s: F.trim(s)), lambda x: F.coalesce(x != "", F.lit(False)))
 
 
-def _walk(value: Any, keys: set[str], depth: int) -> Iterator[Any]:
+def plain_key(key: Any) -> str:
+    return "".join(c for c in str(key).lower() if c.isalnum())
+
+
+def alias_values(value: Any, keys: set[str], *, by_level: bool = False, depth: int = 25) -> Iterator[Any]:
+    """Non-empty values whose normalised key is one of keys, in depth-first order.
+
+    A value comes before what is in it. by_level: all of an object's own keys before anything in its values.
+    """
     if depth < 0:
         return
-    if isinstance(value, dict):
+    if isinstance(value, list):
+        for v in value:
+            yield from alias_values(v, keys, by_level=by_level, depth=depth - 1)
+    elif isinstance(value, dict):
+        own = {k: plain_key(k) in keys and v not in EMPTY for k, v in value.items()}
+        if by_level:
+            yield from (v for k, v in value.items() if own[k])
         for k, v in value.items():
-            if "".join(c for c in k.lower() if c.isalnum()) in keys and v not in (None, "", [], {}):
+            if own[k] and not by_level:
                 yield v
-        for v in value.values():
-            yield from _walk(v, keys, depth - 1)
-    elif isinstance(value, list):
-        for v in value:
-            yield from _walk(v, keys, depth - 1)
+            yield from alias_values(v, keys, by_level=by_level, depth=depth - 1)
+
+
+def _as_text(value: Any) -> str:
+    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+
 
+def _loaded(column: pa.Array) -> Iterator[Any]:
+    for x in column.to_pylist():
+        try:
+            yield json.loads(x)
+        except (TypeError, ValueError):
+            yield None
 
-def find_aliases(text: Column, aliases: list[str], depth: int = 25) -> Column:
-    """ARRAY<STRING> (JSON) of all non-empty values whose normalised key is one of aliases, a level before the levels in it."""
-    keys = {"".join(c for c in a.lower() if c.isalnum()) for a in aliases}
+
+def find_aliases(text: Column, aliases: list[str], *, by_level: bool = False, depth: int = 25) -> Column:
+    """ARRAY<STRING> (JSON) of all different non-empty values under any of aliases, in the order of alias_values()."""
+    keys = {plain_key(a) for a in aliases}
 
     @F.arrow_udf("array<string>")
     def find(column: pa.Array) -> pa.Array:
         out = []
-        for x in column.to_pylist():
-            try:
-                out.append([v if isinstance(v, str) else json.dumps(v, ensure_ascii=False) for v in _walk(json.loads(x), keys, depth)])
-            except (TypeError, ValueError):
-                out.append([])
+        for value in _loaded(column):
+            found: list[Any] = []
+            for v in alias_values(value, keys, by_level=by_level, depth=depth):
+                if v not in found:
+                    found.append(v)
+            out.append([_as_text(v) for v in found])
         return pa.array(out, pa.list_(pa.string()))
 
     return find(text)
 
 
+def first_alias(text: Column, aliases: list[str], *, by_level: bool = False, depth: int = 25) -> Column:
+    """The first of the values that find_aliases() gives, or null; the search ends there."""
+    keys = {plain_key(a) for a in aliases}
+
+    @F.arrow_udf("string")
+    def find(column: pa.Array) -> pa.Array:
+        found = (next(alias_values(v, keys, by_level=by_level, depth=depth), None) for v in _loaded(column))
+        return pa.array([None if v is None else _as_text(v) for v in found], pa.string())
+
+    return find(text)
+
+
 def find_objects(text: Column, wanted: list[str], depth: int = 25) -> Column:
     """ARRAY<STRING> (JSON) of all nested objects that have every wanted key, down to a depth."""
 
@@ -147,22 +187,21 @@ def find_objects(text: Column, wanted: list[str], depth: int = 25) -> Column:
     return find(text)
 
 
-def scrub(text: Column, parts: tuple[str, ...] = SECRET_PARTS) -> Column:
-    """JSON text without the entries, at any depth, whose key contains a secret's name."""
+def without_private(value: Any) -> Any:
+    """A JSON value without private and secret entries, by their keys, and without nulls; None if it is one of these."""
+    if isinstance(value, dict):
+        kept = {k: without_private(v) for k, v in value.items() if k.lower() not in terms.PRIVATE_KEYS and not any(p in k.lower() for p in terms.SECRET_PARTS)}
+        return {k: v for k, v in kept.items() if v is not None}
+    if isinstance(value, list):
+        return [v for v in map(without_private, value) if v is not None]
+    return value
 
-    def clean(value: Any) -> Any:
-        if isinstance(value, dict):
-            return {k: clean(v) for k, v in value.items() if not any(p in k.lower() for p in parts)}
-        return [clean(v) for v in value] if isinstance(value, list) else value
+
+def scrub(text: Column) -> Column:
+    """JSON text without the entries, at any depth, whose key is private or names a secret; null if it is no JSON."""
 
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
-        out = []
-        for x in column.to_pylist():
-            try:
-                out.append(json.dumps(clean(json.loads(x)), ensure_ascii=False))
-            except (TypeError, ValueError):
-                out.append(None)
-        return pa.array(out, pa.string())
+        return pa.array([None if v is None else json.dumps(without_private(v), ensure_ascii=False) for v in _loaded(column)], pa.string())
 
     return run(text)

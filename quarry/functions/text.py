@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import terms
-from .url import _any, host
+from .url import _any, absolute_url, host
 
 _MARKDOWN_LINK = r"!?\[([^\]]*)\]\([^)]*\)"
 
@@ -41,7 +41,8 @@ def count_word_hits(text: Column, wanted: list[str]) -> Column:
     """How many of the terms stand in the text between word boundaries (letters of any script count as word characters)."""
     out = F.lit(0)
     for t in wanted:
-        out = out + text.rlike(rf"(^|[^\p{{L}}\p{{N}}_])\Q{t.lower()}\E([^\p{{L}}\p{{N}}_]|$)").cast("int")
+        # a plain search rules out most texts before the slower pattern is tried
+        out = out + (text.contains(t.lower()) & text.rlike(rf"(^|[^\p{{L}}\p{{N}}_])\Q{t.lower()}\E([^\p{{L}}\p{{N}}_]|$)")).cast("int")
     return out
 
 
@@ -49,11 +50,16 @@ def any_term(text: Column, wanted: list[str]) -> Column:
     return _any(text, [t.lower() for t in wanted])
 
 
-def strip_markdown_links(text: Column, depth: int = 3) -> Column:
-    """[text](url) and ![alt](url) down to the text; images in links and the like up to depth levels."""
-    for _ in range(depth):
-        text = F.regexp_replace(text, _MARKDOWN_LINK, "$1")
-    return F.trim(text)
+def strip_markdown_links(text: Column) -> Column:
+    """[text](url) and ![alt](url) down to the text, also where they are nested, however deep.
+
+    Each pass takes away one level at least, so as many passes as "](" are left are enough; texts that
+    three passes have cleared, nearly all, need no more.
+    """
+    once = lambda t: F.regexp_replace(t, _MARKDOWN_LINK, "$1")
+    out = once(once(once(text)))
+    left = ((F.length(out) - F.length(F.replace(out, F.lit("]("), F.lit("")))) / 2).cast("int")
+    return F.trim(F.when(left > 0, F.aggregate(F.array_repeat(F.lit(0), left), out, lambda t, _: once(t))).otherwise(out))
 
 
 def _good_title(title: Column) -> Column:
@@ -122,6 +128,16 @@ def job_links(text: Column, fallback: Column) -> Column:
     return F.aggregate(found, nothing, lambda kept, x: F.when(F.exists(kept, lambda y: y["url"] == x["url"]), kept).otherwise(F.concat(kept, F.array(x))))
 
 
+def harvested_links(markdown: Column, base: Column, found: Column) -> Column:
+    """ARRAY<STRUCT<href, text>>: a page's markdown links, made absolute, then those that the fetcher
+    found (ARRAY<STRUCT<href, text>>, internal before external ones); without an address: left out."""
+    pattern = r"\[([^\]]+)\]\(([^)]+)\)"
+    text = lambda i: F.transform(F.regexp_extract_all(F.coalesce(markdown, F.lit("")), F.lit(pattern), F.lit(i)), lambda s: F.trim(s))
+    pairs = F.zip_with(text(2), text(1), lambda href, label: F.struct(absolute_url(href, base).alias("href"), label.alias("text")))
+    given = F.transform(F.coalesce(found, F.array().cast("array<struct<href:string,text:string>>")), lambda x: F.struct(x["href"].alias("href"), x["text"].alias("text")))
+    return F.filter(F.concat(pairs, given), lambda x: F.coalesce(x["href"] != "", F.lit(False)))
+
+
 def error_class(message: Column, kind: Column) -> Column:
     """Class of a failure by its message and exception name; the first rule that applies decides."""
     text, name = F.lower(F.coalesce(message, F.lit(""))), F.lower(F.coalesce(kind, F.lit("")))

@@ -52,19 +52,36 @@ def allowed_host(url: Column, domains: list[str] = terms.BOARD_DOMAINS) -> Colum
     return (h != "") & ~h.isin(*terms.NON_JOB_DOMAINS) & h.isin(*domains)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without "." and ".." segments; those that lead above the root are dropped."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    nothing = F.array().cast("array<string>")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), nothing,
+        lambda out, s: F.when(s == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).when(s == ".", out).otherwise(F.concat(out, F.array(s))),
+    )
+    # a last "." or ".." names a folder
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""))
+
+
 def absolute_url(link: Column, base: Column) -> Column:
-    """Relative to absolute for links that start with a scheme, "//", "/", "?" or a name; dot segments stay."""
+    """A link as seen from a page: with its own scheme as it is; "//", "/", "?" and "#" forms; and names
+    relative to the page's folder, in which "." and ".." are resolved."""
     origin = F.regexp_extract(base, r"^(\w+://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"^(\w+://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
+    path = F.regexp_extract(base, r"^\w+://[^/?#]*([^?#]*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, r"^(.*/)", 1), F.lit("")), F.lit("/"))
     scheme = F.regexp_extract(base, r"^(\w+:)", 1)
+    own, rest = F.regexp_extract(link, r"^([^?#]*)", 1), F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+    whole = F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))
+    plain = ~whole.rlike(r"(^|/)\.\.?(/|$)")
     return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(origin, link))
-        .when(link.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), link))
         .when(link == "", base)
-        .otherwise(F.concat(folder, link))
+        .when(link.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), link))
+        .when(link.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), link))
+        .otherwise(F.concat(origin, F.when(plain, whole).otherwise(_without_dots(whole)), rest))
     )
 
 

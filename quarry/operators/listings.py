@@ -34,7 +34,8 @@ def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row of each key by order; rows with a null or empty key go.
 
     min_by over the row is combined on the map side, so a key with very many rows is no hot partition,
-    which a row_number() window would make of it.
+    which a row_number() window would make of it; and rows cross the network once for each key and task,
+    which a minimum joined back to all rows would not save. Rows that tie in order: any of them.
     """
     own = df.columns
     ranked = df.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(F.col(key).alias("_key"))
@@ -93,13 +94,13 @@ def deferred_first(deferred: DataFrame, fresh: DataFrame, key: str = "job_url",
 
 
 def split_admitted(df: DataFrame, limit: int, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(admitted, deferred): the first limit rows, and the others. One pass ranks the rows near the cut only."""
-    head = df.orderBy(*order).limit(limit)
-    last = head.agg(F.max(F.struct(*order)).alias("edge")).first()
-    if last is None or last.edge is None:
-        return head, df.where("true") if limit <= 0 else df.where("false")
-    edge = F.struct(*(F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, last.edge, strict=True)))
-    return df.where(F.struct(*order) <= edge), df.where(F.struct(*order) > edge)
+    """(admitted, deferred): the first limit rows, exactly, and the others.
+
+    Rows are numbered by a range-partitioned sort and written once, so of rows that tie at the edge each
+    is on one side, and on the same side whenever the two are read.
+    """
+    rows = number_rows(df.orderBy(*order), "_place")
+    return rows.where(F.col("_place") <= limit).drop("_place"), rows.where(F.col("_place") > limit).drop("_place")
 
 
 def enrich_descriptions(df: DataFrame, crawled: DataFrame, key: str = "job_url") -> DataFrame:
@@ -131,8 +132,11 @@ def route(candidates: DataFrame, state: DataFrame, *, most_new: int = terms.MAX_
     resumed = F.col("_status").isin(*terms.TERMINAL) & (F.col("_key") == F.col("evaluation_key")) & F.col("stored_verdict").isNotNull()
     kind = F.when(F.coalesce(resumed, F.lit(False)), "resumed").when(F.col("_status").isin(*terms.RESUMABLE), "retry").otherwise("new")
     out = out.withColumn("route", kind).drop("_status", "_key")
-    edge = out.where("route = 'new'").select(order).orderBy(order).limit(most_new).agg(F.max(order)).first()[0]
-    late = F.lit(False) if edge is None else F.col(order) > edge
+    # the edge is a top-k, not a sort of all; rows that tie in order go by key
+    place = F.struct(order, key)
+    edge = out.where("route = 'new'").select(order, key).orderBy(order, key).limit(most_new).agg(F.max(place)).first()[0]
+    at = None if edge is None else F.struct(*(F.lit(v).cast(out.schema[c].dataType).alias(c) for c, v in zip((order, key), edge, strict=True)))
+    late = F.lit(most_new <= 0) if at is None else place > at
     return out.withColumn("route", F.when((F.col("route") == "new") & late, "waiting").otherwise(F.col("route")))
 
 
@@ -215,9 +219,10 @@ def first_wins_capped(df: DataFrame, key: str, order: list[str], most: int = 100
 def combinations(places: DataFrame, families: DataFrame, words: DataFrame, most: int = 24) -> DataFrame:
     """Search combinations: every place with every family's terms, picked from the pools in turn.
 
-    The three are short configuration lists, (place, p), (family, f) and (family, term, t).
+    The three are short configuration lists, (place, p), (family, f) and (family, term, t); all pairs of
+    places and families are what is asked for, so this is a cross join and written as one.
     """
-    pools = places.join(F.broadcast(families), F.col("p") >= F.lit(0)).join(words, "family")
+    pools = places.crossJoin(families).join(words, "family")
     pools = pools.withColumn("pool", F.col("p") * 1_000_000 + F.col("f"))
     return round_robin(pools, pool="pool", order="t", most=most).select("pick", "place", "family", "term")
 

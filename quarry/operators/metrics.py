@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import error_class
+from ..session import ship
+from .ranged import ranged, running_sum
 
 
 def breakdown(df: DataFrame, by: str = "source") -> DataFrame:
@@ -28,13 +33,12 @@ def duplicate_summary(df: DataFrame, key: str) -> DataFrame:
 def mean_and_p95(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Per group: n, mean and the exact 95th percentile at index round_half_even(0.95 * (n - 1)), each to 3 places.
 
-    Exact without gathering a group: distinct values are counted first (combined on the map side) and
-    the running count, not a list, finds the index.
+    Exact without gathering a group: distinct values are counted (combined on the map side) and sorted
+    into ranges, and the running count over ranges, not a list, finds the index.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
-    upto = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = running_sum(ranged(counts, by, ["_v"]), by, "_c", "_upto")
     all_ = counts.groupBy(*by).agg(F.sum("_c").alias("n"), F.sum(F.col("_v") * F.col("_c")).alias("_s"))
-    ranked = counts.withColumn("_upto", F.sum("_c").over(upto))
     joined = ranked.join(all_, by)
     hit = F.col("_upto") > F.bround(0.95 * (F.col("n") - 1), 0)
     out = joined.groupBy(*by, "n", "_s").agg(F.min(F.when(hit, F.col("_v"))).alias("p95"))
@@ -46,10 +50,36 @@ def status_counters(df: DataFrame, status: str, groups: dict[str, list[str]], by
     return df.groupBy(*(by or [])).agg(*(F.count_if(F.col(status).isin(*values)).alias(name) for name, values in groups.items()))
 
 
-def set_hash(df: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
-    """sha256 of a group's sorted distinct non-empty keys joined by newlines: independent of order."""
-    some = df.where(F.col(key).isNotNull() & (F.col(key) != ""))
-    return some.groupBy(*(by or [])).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(key)), "\n"), 256).alias("hash"))
+def set_hash(df: DataFrame, key: str, by: str) -> DataFrame:
+    """sha256 of a group's sorted non-empty keys (with repeats) joined by newlines: independent of order.
+
+    A digest over all keys in order is sequential by nature: a group's keys are sorted (spilling as
+    needed) and streamed through it, so a group of any size takes time but no memory.
+    """
+    ship(df.sparkSession)
+
+    def digest(batches):
+        now, state, first = None, None, True
+        out: list[tuple] = []
+        for batch in batches:
+            for group, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if first or group != now:
+                    if not first:
+                        out.append((now, state.hexdigest()))
+                    now, state, first = group, hashlib.sha256(text.encode()), False
+                else:
+                    state.update(b"\n" + text.encode())
+        if not first:
+            out.append((now, state.hexdigest()))
+        yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in out], batch_type), pa.array([h for _, h in out], pa.string())], [by, "hash"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    field = df.schema[by]
+    batch_type = to_arrow_type(field.dataType)
+    some = df.where(F.col(key).isNotNull() & (F.col(key) != "")).select(by, key)
+    rows = some.repartition(by).sortWithinPartitions(by, key)
+    return rows.mapInArrow(digest, f"`{by}` {field.dataType.simpleString()}, hash string")
 
 
 def pattern_counts(lines: DataFrame, line: str, patterns: dict[str, str]) -> DataFrame:
@@ -115,11 +145,16 @@ def discovery_totals(seeds: DataFrame) -> DataFrame:
     return out.withColumn("seed_failures", F.col("seeds_attempted") - F.col("seeds_succeeded")).withColumn("problem", problem)
 
 
-def tier_digest(df: DataFrame, tiers: tuple[str, ...] = ("Exceptional", "Strong", "Good")) -> DataFrame:
-    """tier_rank, tier, n, contacts and lines (in final order) of the shown tiers; listings of other tiers are in none."""
-    shown = df.where(F.col("fit_tier").isin(*tiers))
-    line = F.format_string("%d - %s at %s (%s)", F.col("fit_score"), F.col("title"), F.col("company"), F.col("job_url"))
-    key = F.struct((-F.col("fit_score")).alias("s"), F.col("arrival_ord").alias("o"), line.alias("line"))
-    out = shown.groupBy("fit_tier").agg(F.count("*").alias("n"), F.count_if(F.coalesce(F.col("recruiter_email"), F.lit("")) != "").alias("contacts"), F.array_sort(F.collect_list(key)).alias("k"))
+def tier_counts(df: DataFrame, tiers: tuple[str, ...] = ("Exceptional", "Strong", "Good")) -> DataFrame:
+    """tier_rank, tier, n and contacts of the shown tiers; listings of other tiers are in none."""
     rank = F.array_position(F.array(*(F.lit(t) for t in tiers)), F.col("fit_tier"))
-    return out.select(rank.alias("tier_rank"), F.col("fit_tier").alias("tier"), "n", "contacts", F.transform("k", lambda x: x["line"]).alias("lines"))
+    shown = df.where(F.col("fit_tier").isin(*tiers)).groupBy(rank.alias("tier_rank"), F.col("fit_tier").alias("tier"))
+    return shown.agg(F.count("*").alias("n"), F.count_if(F.coalesce(F.col("recruiter_email"), F.lit("")) != "").alias("contacts"))
+
+
+def tier_lines(df: DataFrame, tiers: tuple[str, ...] = ("Exceptional", "Strong", "Good")) -> DataFrame:
+    """tier_rank, tier and line of the shown listings, sorted by tier, score and arrival: rows, not one list for each tier."""
+    rank = F.array_position(F.array(*(F.lit(t) for t in tiers)), F.col("fit_tier"))
+    line = F.format_string("%d - %s at %s (%s)", F.col("fit_score"), F.col("title"), F.col("company"), F.col("job_url"))
+    rows = df.where(F.col("fit_tier").isin(*tiers)).select(rank.alias("tier_rank"), F.col("fit_tier").alias("tier"), line.alias("line"), "fit_score", "arrival_ord")
+    return rows.orderBy("tier_rank", F.desc("fit_score"), "arrival_ord").drop("fit_score", "arrival_ord")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import terms
 from ..functions.text import is_permanent_error
+from .ranged import previous, ranged, runs
 
 
 def transition_table(spark: SparkSession) -> DataFrame:
@@ -27,7 +30,7 @@ def allowed(current: Column, target: Column) -> Column:
 
 def steps(events: DataFrame, *, key: str, order: list[str], status: str) -> DataFrame:
     """events with from_status: the status before, per key in order (null: none)."""
-    return events.withColumn("from_status", F.lag(status).over(Window.partitionBy(key).orderBy(*order)))
+    return previous(ranged(events, [key], order), [key], F.col(status), "from_status").drop("_at", "_part")
 
 
 def invalid_steps(events: DataFrame, *, key: str, order: list[str], status: str) -> DataFrame:
@@ -60,12 +63,50 @@ def new_run(state: DataFrame, completed: bool) -> DataFrame:
     return state.withColumn("evaluation_key", F.when(F.col("status").isin(*terms.TERMINAL), None).otherwise(F.col("evaluation_key")))
 
 
-def migrate(legacy: DataFrame) -> DataFrame:
-    """status from an old row's status or verdict: aliases mapped, an old passing verdict is PASSED."""
-    alias = F.upper(F.trim(F.coalesce("status", F.lit(""))))
-    mapped = F.when(alias.isin("FAILED", "ERROR", "RETRY"), "RETRYABLE_ERROR").when(alias.isin("PENDING", "NEW"), "QUEUED").when(alias.isin("IN_PROGRESS", "RUNNING"), "EVALUATING").otherwise(F.nullif(alias, F.lit("")))
-    judged = F.when(F.col("fit_score").isNull(), "QUEUED").when((F.col("fit_score") >= terms.FIT_THRESHOLD) & F.col("fresher_appropriate"), "PASSED").otherwise("REJECTED")
-    return legacy.withColumn("status", F.coalesce(mapped, judged)).withColumn("version", F.lit(2))
+def migrate(legacy: DataFrame, version: int = 2) -> DataFrame:
+    """State rows of this version from rows of versions 1 and 2: job_url, status, attempts, last_error.
+
+    Old names of states are mapped, a missing state is QUEUED. Rows of other versions, without a URL or
+    with an unknown state are left out. Columns that legacy lacks count as null.
+    """
+    get = lambda c: F.col(c) if c in legacy.columns else F.lit(None)
+    raw = F.upper(F.coalesce(F.nullif(get("status").cast("string"), F.lit("")), F.lit("QUEUED")))
+    status = F.coalesce(*(F.when(raw == old, new) for old, new in terms.STATUS_ALIASES.items()), raw)
+    known = sorted({s for pair in terms.TRANSITIONS for s in pair})
+    number = lambda c: get(c).cast("string").try_cast("int")
+    whole = lambda c: F.when(number(c).isNotNull(), F.greatest(F.lit(0), number(c)))
+    url = F.trim(F.coalesce(get("job_url").cast("string"), F.lit("")))
+    rows = legacy.where(get("version").cast("string").try_cast("int").isin(1, version)).where(url != "").where(status.isin(*known))
+    kept = [c for c in legacy.columns if c not in ("job_url", "status", "attempts", "attempt_count", "last_error", "error", "version")]
+    error = F.coalesce(F.nullif(get("last_error").cast("string"), F.lit("")), get("error").cast("string"))
+    return rows.select(*kept, url.alias("job_url"), status.alias("status"), F.coalesce(whole("attempts"), whole("attempt_count"), F.lit(0)).alias("attempts"), error.alias("last_error"), F.lit(version).alias("version"))
+
+
+def verdict_status(fresher: Column, decision: Column, score: Column) -> Column:
+    """The state that an old verdict amounts to: by its flag, then its decision, then its score."""
+    word = F.lower(F.trim(F.coalesce(decision, F.lit(""))))
+    yes = F.coalesce(fresher, F.lit(False))
+    return (
+        F.when((fresher == False) | (word == "reject"), "REJECTED")  # noqa: E712
+        .when(word.isin("strong_match", "good_match", "weak_match"), F.when(yes, "PASSED").otherwise("REJECTED"))
+        .when(score.isNull(), "EVALUATED")
+        .otherwise(F.when((score >= terms.FIT_THRESHOLD) & yes, "PASSED").otherwise("REJECTED"))
+    )
+
+
+def import_legacy(progress: DataFrame, retries: DataFrame) -> DataFrame:
+    """One state for each URL of two old files: verdicts (job_url, fresher_appropriate, decision, fit_score,
+    attempts) and a retry queue (job_url, attempts, last_error). A waiting retry overrides a verdict."""
+    url = F.trim(F.coalesce("job_url", F.lit("")))
+    done = progress.where(url != "").select(
+        F.col("job_url"), verdict_status(F.col("fresher_appropriate"), F.col("decision"), F.col("fit_score")).alias("status"),
+        F.greatest(F.lit(1), F.coalesce("attempts", F.lit(1))).alias("attempts"), F.lit(None).cast("string").alias("last_error"),
+    )
+    waiting = retries.where(url != "").select(
+        url.alias("job_url"), F.lit("RETRYABLE_ERROR").alias("status"), F.greatest(F.lit(0), F.coalesce("attempts", F.lit(0))).alias("attempts"),
+        F.coalesce(F.nullif("last_error", F.lit("")), F.lit("legacy_retry_queue")).alias("last_error"),
+    )
+    return by_priority([done, waiting], "job_url")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -81,8 +122,6 @@ def upsert(old: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFr
 
 def by_priority(frames: list[DataFrame], key: str) -> DataFrame:
     """One row per key: from the last of the frames that has it."""
-    from functools import reduce
-
     own = frames[0].columns
     both = reduce(lambda a, b: a.unionByName(b), (f.select(*own).withColumn("_p", F.lit(i)) for i, f in enumerate(frames)))
     return both.groupBy(key).agg(F.max_by(F.struct(*own), "_p").alias("_r")).select("_r.*")
@@ -90,40 +129,38 @@ def by_priority(frames: list[DataFrame], key: str) -> DataFrame:
 
 def failure_runs(events: DataFrame, *, key: str, order: list[str], failed: Column) -> DataFrame:
     """events with run: how many failures in a row end here (0 on a success)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = events.withColumn("_bad", failed.cast("int")).withColumn("_island", F.sum(1 - F.col("_bad")).over(upto))
-    inner = Window.partitionBy(key, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return out.withColumn("run", F.sum("_bad").over(inner)).drop("_bad", "_island")
+    return runs(ranged(events, [key], order), [key], failed).drop("_at", "_part", "_bad", "_carry")
 
 
 def breaker_cut(events: DataFrame, *, key: str, order: list[str], failed: Column, limit: int = 3) -> DataFrame:
     """Events up to and with the one that opens the breaker; what comes after is cut."""
-    runs = failure_runs(events, key=key, order=order, failed=failed)
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    opened = F.coalesce(F.max((F.col("run") >= limit).cast("int")).over(w), F.lit(0))
-    return runs.withColumn("_opened", opened).where("_opened = 0").drop("_opened")
+    counted = runs(ranged(events, [key], order), [key], failed)
+    opened = counted.where(F.col("run") >= limit).groupBy(F.col(key).alias("_key")).agg(F.min("_at").alias("_open"))
+    kept = counted.join(opened, counted[key].eqNullSafe(opened["_key"]), "left").where(F.col("_open").isNull() | (F.col("_at") <= F.col("_open")))
+    return kept.drop("_at", "_part", "_bad", "_carry", "_key", "_open")
 
 
 def provider_health(events: DataFrame) -> DataFrame:
-    """State and counters of each provider from (ord, provider, kind, latency_seconds, cooldown_seconds).
+    """State and counters of each provider from (ord, provider, kind, latency_seconds, cooldown_seconds, at_seconds).
 
-    kind is REQUEST, SUCCESS or a failure's name. The state depends on the last outcome and on the
-    run of failures before it alone, so no fold over a gathered list is needed.
+    kind is REQUEST, SUCCESS or a failure's name. The state follows from the last outcome and the run of
+    failures that ends with it. recovery_count: successes that came right after a failure.
+    cooldown_until: the latest end of a cooldown (at_seconds, where given, is when an event was). A few
+    providers with long histories are no few long tasks: see ranged.
     """
     kind = F.upper("kind")
-    outcomes = events.where(kind != "REQUEST")
-    runs = failure_runs(outcomes, key="provider", order=["ord"], failed=kind != "SUCCESS")
-    group = (
-        F.when(kind == "SUCCESS", "SUCCESS").when(kind.isin("TIMEOUT", "TIMEOUTING"), "TIMEOUT").when(kind.isin("RATE_LIMIT", "RATE_LIMITED", "HTTP_429"), "RATE_LIMIT")
-        .when(kind.isin("HTTP_5XX", "SERVER_ERROR"), "SERVER").when(kind.isin("INVALID_JSON", "INVALID_RESPONSE", "INVALID_SCHEMA"), "INVALID").otherwise("OTHER")
-    )
+    at = F.col("at_seconds") if "at_seconds" in events.columns else F.lit(0.0)
+    events = events.withColumn("_until", F.when(F.col("cooldown_seconds") > 0, at + F.col("cooldown_seconds")))
+    outcomes = runs(ranged(events.where(kind != "REQUEST"), ["provider"], ["ord"]), ["provider"], kind != "SUCCESS")
+    outcomes = previous(outcomes, ["provider"], F.col("_bad"), "_was")
     n = lambda name: F.count_if(F.col("_g") == name)
-    last = lambda c: F.max_by(c, "ord")
-    ended = runs.withColumn("_g", group).groupBy("provider").agg(
+    last = lambda c: F.max_by(c, "_at")
+    group = F.coalesce(*(F.when(kind.isin(*names), g) for g, names in terms.OUTCOME_GROUPS.items()), F.lit("OTHER"))
+    ended = outcomes.withColumn("_g", group).groupBy("provider").agg(
         n("SUCCESS").alias("successes"), n("TIMEOUT").alias("timeouts"), n("RATE_LIMIT").alias("rate_limits"), n("SERVER").alias("server_errors"),
         n("INVALID").alias("invalid_responses"), n("OTHER").alias("other_errors"), last("run").alias("consecutive_failures"), last("_g").alias("_last"), last(kind).alias("_kind"),
-        F.sum(F.greatest(F.lit(0.0), F.coalesce("latency_seconds", F.lit(0.0)))).alias("_latency"), F.max("cooldown_seconds").alias("cooldown_seconds"),
+        F.count_if((F.col("_bad") == 0) & (F.col("_was") == 1)).alias("recovery_count"),
+        F.sum(F.greatest(F.lit(0.0), F.coalesce("latency_seconds", F.lit(0.0)))).alias("_latency"), F.max(F.when(F.col("_bad") == 1, F.col("_until"))).alias("cooldown_until"),
     )
     asked = events.groupBy("provider").agg(F.count_if(kind == "REQUEST").alias("requests"))
     state = (
@@ -131,6 +168,6 @@ def provider_health(events: DataFrame) -> DataFrame:
         .when(F.col("_last") == "TIMEOUT", "TIMEOUTING").when(F.col("_last") == "RATE_LIMIT", "RATE_LIMITED").otherwise("DEGRADED")
     )
     out = asked.join(ended, "provider", "left")
-    zero = {c: F.coalesce(c, F.lit(0)) for c in ("successes", "timeouts", "rate_limits", "server_errors", "invalid_responses", "other_errors", "consecutive_failures")}
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("successes", "timeouts", "rate_limits", "server_errors", "invalid_responses", "other_errors", "consecutive_failures", "recovery_count")}
     mean = F.when(F.col("requests") > 0, F.round(F.coalesce("_latency", F.lit(0.0)) / F.col("requests"), 3)).otherwise(0.0)
     return out.withColumn("state", state).withColumns(zero).withColumn("average_latency_seconds", mean).withColumn("last_error", F.when(F.col("_last") != "SUCCESS", F.col("_kind"))).drop("_last", "_kind", "_latency")

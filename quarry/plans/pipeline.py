@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -17,6 +18,7 @@ from ..operators import listings as L
 from ..operators import metrics as M
 from ..operators import state as ST
 from ..session import materialise, ship
+from ..sources.providers import Chain
 
 VERDICT = (
     "fit_score INT, is_fresher_appropriate BOOLEAN, reason STRING, hit_rate_limit BOOLEAN, role_match INT, experience_match INT, technical_match INT, "
@@ -38,8 +40,15 @@ class Settings:
     fresher_only: bool = True
     profile: str = ""
     attempts: int = 3
+    #: Seconds since the epoch after which no evaluator is asked any more.
+    deadline: float | None = None
     extra: dict = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        bad = [k for k in ("budget_seconds", "concurrency", "most", "attempts") if getattr(self, k) <= 0]
+        if bad or not 0 <= self.least_per_source <= self.most:
+            raise ValueError(f"settings out of range: {', '.join(bad) or 'least_per_source'}")
+
 
 def prompt(profile: str) -> Column:
     """What an evaluator is asked about a listing; the description is cut at 10,000 characters."""
@@ -47,19 +56,33 @@ def prompt(profile: str) -> Column:
     return F.concat_ws("\n", F.lit("Rate this listing for the candidate. Answer with one JSON object."), F.lit(f"PROFILE: {profile}"), F.concat(F.lit("TITLE: "), part("title")), F.concat(F.lit("COMPANY: "), part("company")), F.concat(F.lit("LOCATION: "), part("location")), F.concat(F.lit("DESCRIPTION: "), part("description")))
 
 
-def evaluate(df: DataFrame, evaluators: list[Evaluator], settings: Settings) -> DataFrame:
+def evaluate(df: DataFrame, evaluators: list[Evaluator] | Chain, settings: Settings) -> DataFrame:
     """df with verdict_text, error and tries: each prompt goes to the evaluators in turn until one answers with an object.
 
+    evaluators: functions from prompt to answer text, or a Chain of providers, which has its own retries.
+    After the deadline nothing is asked and the error is deadline_exceeded.
+
     Runs where the data is, in so many tasks as concurrency says. A retried task asks again, so
     evaluators must be idempotent; the content key of a row says whether it was asked before.
     """
     ship(df.sparkSession)
-    tries = settings.attempts
+    tries, deadline = settings.attempts, settings.deadline
+
+    def ask_chain(text: str) -> tuple[str | None, str | None, int]:
+        left = None if deadline is None else evaluators.clock.now() + deadline - time.time()
+        found, error = evaluators.evaluate(text, left)
+        return (None if found is None else json.dumps(found)), error, 1
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for text in batch["_prompt"]:
+                if deadline is not None and time.time() >= deadline:
+                    out.append((None, "deadline_exceeded", 0))
+                    continue
+                if isinstance(evaluators, Chain):
+                    out.append(ask_chain(text))
+                    continue
                 answer, error, n = None, "no evaluator", 0
                 for call in evaluators:
                     for _ in range(tries):
@@ -103,7 +126,7 @@ def verdict_struct(text: Column) -> Column:
     )
 
 
-def review(candidates: DataFrame, state: DataFrame, evaluators: list[Evaluator], settings: Settings, as_of: Column, now: Column) -> tuple[DataFrame, DataFrame]:
+def review(candidates: DataFrame, state: DataFrame, evaluators: list[Evaluator] | Chain, settings: Settings, as_of: Column, now: Column) -> tuple[DataFrame, DataFrame]:
     """(reviewed listings, new state rows): finished rows are resumed by content key, the others evaluated."""
     keyed = candidates.withColumn("evaluation_key", S.stable_hash(F.col("job_url"), F.col("description"), F.lit(settings.profile), F.lit("2")))
     routed = materialise(L.route(keyed, ST.release_stale(state, now), most_new=settings.most), "routed")
@@ -112,7 +135,8 @@ def review(candidates: DataFrame, state: DataFrame, evaluators: list[Evaluator],
     resumed = routed.where("route = 'resumed'").withColumn("verdict", F.col("stored_verdict"))
     judged = L.apply_verdict(asked.where("verdict IS NOT NULL").unionByName(resumed, allowMissingColumns=True), as_of)
     judged = materialise(judged.withColumn("status", F.when(F.col("passed"), "PASSED").otherwise("REJECTED")), "judged")
-    failed = asked.where("verdict IS NULL").withColumn("status", ST.target_status(F.lit("RETRYABLE_ERROR"), F.col("error")))
+    late = F.col("error") == "deadline_exceeded"
+    failed = asked.where("verdict IS NULL").withColumn("status", F.when(late, "DEADLINE_EXCEEDED").otherwise(ST.target_status(F.lit("RETRYABLE_ERROR"), F.col("error"))))
     rows = lambda d, verdict, error: d.select("job_url", "status", F.coalesce("tries", F.lit(0)).alias("attempts"), "evaluation_key", verdict.alias("verdict"), error.alias("last_error"), F.lit(None).cast("timestamp").alias("lease_expires_at"), now.alias("updated_at"))
     none = F.lit(None).cast(judged.schema["verdict"].dataType)
     return judged, rows(judged, F.col("verdict"), F.lit(None).cast("string")).unionByName(rows(failed, none, F.col("error")))
@@ -130,7 +154,7 @@ class Run:
     shares: DataFrame
 
 
-def run(raw: DataFrame, seen: DataFrame, deferred: DataFrame, state: DataFrame, evaluators: list[Evaluator], *, as_of: Column, now: Column, settings: Settings = Settings(), crawled: DataFrame | None = None, history: tuple[int, int, float, float] = (0, 0, 0.0, 0.0)) -> Run:
+def run(raw: DataFrame, seen: DataFrame, deferred: DataFrame, state: DataFrame, evaluators: list[Evaluator] | Chain, *, as_of: Column, now: Column, settings: Settings = Settings(), crawled: DataFrame | None = None, history: tuple[int, int, float, float] = (0, 0, 0.0, 0.0)) -> Run:
     """raw listings to ranked passes: dedupe, enrich, score, select fairly, drop the seen, admit, review, rank.
 
     history: attempted, unresolved, mean and p95 latency of the run before, for the admission limit.

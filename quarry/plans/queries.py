@@ -358,7 +358,7 @@ def content_key(spark, d):
 
 @query("SELECT c_mktsegment, sha256(string_agg(c_name, chr(10) ORDER BY c_name)) AS hash FROM customer WHERE c_name <> '' GROUP BY c_mktsegment")
 def set_hash(spark, d):
-    return M.set_hash(_t(spark, d, "customer"), "c_name", ["c_mktsegment"])
+    return M.set_hash(_t(spark, d, "customer"), "c_name", "c_mktsegment")
 
 
 _MD5 = f"md5(c_name || ':' || c_mktsegment || ':{AS_OF}')"

@@ -8,14 +8,15 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import terms
-from ..functions.text import links_in_text
-from ..functions.url import absolute_url, allowed_host, norm_url_strict
+from ..functions.text import company_from_title, harvested_links, is_anti_bot, is_job_text, links_in_text, location_guess, page_title
+from ..functions.url import absolute_url, allowed_host, host, looks_job_url, norm_url_strict
+from ..operators.metrics import discovery_totals, seed_status
 from ..session import materialise, ship
-from .readers import first_of
 
 Fetcher = Callable[[str], str]
 PAGE = "url string, markdown string, error string, seconds double"
@@ -65,9 +66,18 @@ def fetch_urls(urls: DataFrame, fetcher: Fetcher, *, concurrency: int = 4, timeo
     return some.repartition(concurrency, "url").mapInPandas(run, PAGE)
 
 
-def fetch_with_fallback(urls: DataFrame, first: Fetcher, second: Fetcher, **options) -> DataFrame:
-    """The first fetcher's pages, else the second's."""
-    return first_of(fetch_urls(urls, first, **options), fetch_urls(urls, second, **options))
+PROVIDERS = ("auto", "first", "second")
+
+
+def fetch_with_fallback(urls: DataFrame, first: Fetcher, second: Fetcher, *, provider: str = "auto", **options) -> DataFrame:
+    """Pages by the first fetcher and, for URLs that it brought nothing for, by the second; or by one of them alone."""
+    if provider not in PROVIDERS:
+        raise ValueError(f"provider must be one of {', '.join(PROVIDERS)}")
+    if provider != "auto":
+        return fetch_urls(urls, first if provider == "first" else second, **options)
+    got = materialise(fetch_urls(urls, first, **options), "fetched")
+    good = F.coalesce(F.trim("markdown") != "", F.lit(False))
+    return got.where(good).unionByName(fetch_urls(got.where(~good).select("url"), second, **options))
 
 
 def probe(spark: SparkSession, fetcher: Fetcher, url: str, least: int = 50) -> bool:
@@ -76,31 +86,85 @@ def probe(spark: SparkSession, fetcher: Fetcher, url: str, least: int = 50) -> b
     return len(row.markdown or "") >= least
 
 
-def crawl(seeds: DataFrame, fetcher: Fetcher, *, depth: int = 2, pages: int = 28, keywords: tuple[str, ...] = ("job", "career", "developer", "engineer"), domains: list[str] = terms.BOARD_DOMAINS, **options) -> DataFrame:
-    """Best-first discovery from (url) seeds on allowed hosts: (url, markdown, error, seconds, depth).
+def crawl(seeds: DataFrame, fetcher: Fetcher, *, depth: int = 2, pages: int = 20, most_seeds: int = terms.CRAWL_SEEDS, keywords: tuple[str, ...] = tuple(terms.CRAWL_KEYWORDS), weight: float = terms.CRAWL_WEIGHT, domains: list[str] = terms.BOARD_DOMAINS, **options) -> DataFrame:
+    """Best-first discovery from (url) seeds on allowed hosts: (seed, url, markdown, error, seconds, depth, score).
 
-    A level at a time: the new links of a level's pages are scored by keywords, and the best pages of
-    them are fetched next. Each level is written before the next one, so nothing is fetched twice.
+    Seeds on other hosts go before the first most_seeds are taken. Every seed has a budget of its own of
+    so many pages. A level at a time: the new links of a level's pages, on the seed's host, are scored
+    by the share of keywords they have, times weight, and each seed's best are fetched next. Each level
+    is written before the next one, so nothing is fetched twice for a seed.
     """
-    score = lambda c: sum((F.lower(c).contains(k).cast("int") for k in keywords), F.lit(0))
-    todo = seeds.select(norm_url_strict(F.col("url")).alias("url")).where("url <> ''").distinct()
-    known, levels = todo, []
+    hits = lambda c: sum((F.lower(c).contains(k).cast("int") for k in keywords), F.lit(0))
+    score = lambda c: hits(F.regexp_replace(c, "[-_/+]", " ")) * (weight / max(1, len(keywords)))
+    start = seeds.select(norm_url_strict(F.col("url")).alias("url")).where("url <> ''").where(allowed_host(F.col("url"), domains)).distinct()
+    start = start.orderBy("url").limit(most_seeds)
+    todo = materialise(start.select(F.col("url").alias("seed"), "url"), "frontier")
+    known, levels, spent = todo, [], todo.groupBy("seed").agg(F.lit(0).alias("spent"))
     for level in range(depth + 1):
-        best = todo.where(allowed_host(F.col("url"), domains)).orderBy(score(F.col("url")).desc(), "url").limit(pages)
-        got = materialise(fetch_urls(best, fetcher, **options).withColumn("depth", F.lit(level)), "crawl")
-        levels.append(got)
-        links = got.where("markdown IS NOT NULL").select("url", F.explode(links_in_text(F.col("markdown"))).alias("link"))
-        found = links.select(norm_url_strict(absolute_url(F.col("link"), F.col("url"))).alias("url")).where("url <> ''").distinct()
-        todo = materialise(found.join(known, "url", "left_anti"), "frontier")
+        best = todo.withColumn("score", score(F.col("url"))).join(spent, "seed")
+        nth = F.row_number().over(Window.partitionBy("seed").orderBy(F.desc("score"), "url"))
+        best = materialise(best.withColumn("nth", nth).where(F.col("nth") <= pages - F.col("spent")).select("seed", "url", "score"), "level")
+        got = best.join(fetch_urls(best, fetcher, **options), "url").withColumn("depth", F.lit(level))
+        levels.append(materialise(got.select("seed", "url", "markdown", "error", "seconds", "depth", "score"), "crawl"))
+        every = reduce(lambda a, b: a.unionByName(b), levels)
+        spent = todo.select("seed").unionByName(every.select("seed")).distinct().join(every.groupBy("seed").agg(F.count("*").alias("spent")), "seed", "left").na.fill(0)
+        links = levels[-1].where("markdown IS NOT NULL").select("seed", "url", F.explode(links_in_text(F.col("markdown"))).alias("link"))
+        found = links.select("seed", norm_url_strict(absolute_url(F.col("link"), F.col("url"))).alias("url")).where("url <> ''").distinct()
+        found = found.where((host(F.col("url")) == host(F.col("seed"))) & allowed_host(F.col("url"), domains))
+        todo = materialise(found.join(known, ["seed", "url"], "left_anti"), "frontier")
         known = known.unionByName(todo)
-    return reduce(lambda a, b: a.unionByName(b), levels)
+    return every
+
+
+def discover(seeds: DataFrame, fetcher: Fetcher, *, enabled: bool = True, most: int = terms.CRAWL_ROWS, **options) -> tuple[DataFrame, DataFrame]:
+    """(listings, diagnostics by seed) of a crawl. Fails if every seed failed, or if none had a candidate.
+
+    A page that looks like a posting, by its address and title, is a candidate; so is each link to one.
+    A candidate with a posting's text is a listing; the first of each address stays, most in all.
+    """
+    spark = seeds.sparkSession
+    if not enabled:
+        raise SourceDisabled("discovery is switched off")
+    pages = crawl(seeds, fetcher, **options)
+    title = page_title(F.col("markdown"), F.lit(""))
+    own = pages.where("markdown IS NOT NULL").withColumn("title", title).withColumn("anti_bot", is_anti_bot(F.col("markdown")))
+    own = own.withColumn("candidate", ~F.col("anti_bot") & looks_job_url(F.col("url"), F.col("title"), F.lit("")))
+    links = own.where(~F.col("anti_bot")).select("seed", F.explode(harvested_links(F.col("markdown"), F.col("url"), F.lit(None).cast("array<struct<href:string,text:string>>"))).alias("l"))
+    linked = links.where(looks_job_url(F.col("l.href"), F.col("l.text"), F.col("l.text"))).groupBy("seed").agg(F.count("*").alias("linked"))
+    rows = own.where(F.col("candidate") & is_job_text(F.col("markdown")))
+    rows = materialise(rows.withColumn("nth", F.row_number().over(Window.partitionBy("url").orderBy("depth", "seed"))).where("nth = 1").orderBy("depth", "url").limit(most).drop("nth"), "found")
+    per = pages.groupBy("seed").agg(F.count_if(F.col("error").isNull()).alias("good"), F.count("*").alias("pages"))
+    seen = own.groupBy("seed").agg(F.count_if("candidate").alias("own"), F.max("anti_bot").alias("anti_bot"))
+    seed = per.join(seen, "seed", "left").join(linked, "seed", "left").join(rows.groupBy("seed").agg(F.count("*").alias("rows")), "seed", "left").na.fill(0).na.fill(False)
+    seed = seed.select("seed", (F.col("good") > 0).alias("ok"), "pages", "rows", (F.col("own") + F.col("linked")).alias("candidates"), "anti_bot")
+    seed = materialise(seed.withColumn("status", seed_status(F.col("anti_bot"), F.col("ok"), F.col("candidates"), F.col("rows"))), "seeds")
+    problem = discovery_totals(seed).first().problem
+    if problem:
+        raise RuntimeError(f"discovery: {problem}")
+    out = rows.select(
+        F.col("url").alias("job_url"), "title", company_from_title(F.col("title"), F.col("url")).alias("company"),
+        location_guess(F.concat_ws("\n", "title", F.substring("markdown", 1, 1200))).alias("location"), F.substring("markdown", 1, 6000).alias("description"), F.lit("discovery").alias("source"),
+    )
+    return spark.createDataFrame([], out.schema) if rows.isEmpty() else out, seed
+
+
+class SourceDisabled(RuntimeError):
+    """A source that is switched off."""
+
+
+class NotConfigured(RuntimeError):
+    """A source that lacks a key or a program."""
 
 
 def seen_urls(spark: SparkSession, *paths: str) -> DataFrame:
-    """Distinct job_url of the first table that can be read, else none."""
+    """Distinct job_url of the first table that exists, else none.
+
+    A table that exists but cannot be read is an error: with an empty history everything would be sent again.
+    """
     for path in paths:
         try:
             return spark.read.parquet(path).select("job_url").distinct()
-        except Exception:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     return spark.createDataFrame([], "job_url string")

@@ -9,15 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .. import terms
+from ..functions.dates import posting_date_guess, utc_timestamp, within_hours
 from ..functions.jsonx import find_objects
 from ..functions.text import any_term, company_from_result, is_valid_detail, job_links, links_in_text, location_guess, page_title
 from ..functions.text import company_from_title as company_of
-from ..functions.url import absolute_url, is_aggregate_page, is_individual_job_url, looks_job_url, norm_url_strict
+from ..functions.url import absolute_url, is_aggregate_page, is_individual_job_url, looks_job_url, norm_url_loose, norm_url_strict, priority_tier
+from ..session import materialise
 
 LISTING = "job_url string, title string, company string, location string, description string, source string, posting_date string"
 Parser = Callable[[DataFrame], DataFrame]
@@ -87,13 +89,20 @@ def search_api(raw: DataFrame) -> DataFrame:
 
 @source("html_list")
 def html_list(raw: DataFrame, marker: str = "/detail/") -> DataFrame:
-    """Anchors of a list page whose address has a marker; unpaid ones go; one row per address and page."""
-    parts = F.regexp_extract_all("body", F.lit(r"(?is)<a\b[^>]*href=[\"'][^\"']*[\"'][^>]*>.*?</a>"), F.lit(0))
-    rows = raw.select("origin", F.posexplode(parts).alias("nth", "a"))
-    rows = rows.select("origin", "nth", F.regexp_extract("a", r"(?i)href=[\"']([^\"']*)", 1).alias("link"), F.trim(F.regexp_replace(F.regexp_replace("a", "<[^>]+>", " "), r"\s+", " ")).alias("text"))
-    rows = rows.where(F.col("link").contains(marker) & ~F.lower("text").contains("unpaid"))
-    first = rows.groupBy("origin", "link").agg(F.min_by("text", "nth").alias("text"))
-    return _listing(first, "html_list", job_url=absolute_url(F.col("link"), F.col("origin")), title=F.col("text"), location=location_guess(F.col("text")), description=F.col("text"))
+    """Anchors of a list page whose address has a marker, with the text around each: from its block's start
+    to the next anchor with the marker. Unpaid ones go; the first row of each address of a page stays."""
+    anchor = rf"""(?is)<a\b[^>]*href=["'][^"']*{marker}[^"']*["'][^>]*>"""
+    rows = raw.select("origin", F.posexplode(F.split("body", f"(?={anchor})")).alias("nth", "part"))
+    # what stands before an anchor in its own block belongs to it, not to the anchor before
+    block = r"(?is)<(?:div|li)\b(?!.*<(?:div|li)\b).*$"
+    before = F.lag(F.regexp_extract("part", block, 0)).over(Window.partitionBy("origin").orderBy("nth"))
+    plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "))
+    rows = rows.withColumn("lead", F.coalesce(before, F.lit(""))).where(F.col("part").rlike("^" + anchor))
+    link = F.regexp_extract("part", rf"""(?i)href=["']([^"']*{marker}[^"']*)""", 1)
+    rows = rows.select("origin", "nth", link.alias("link"), plain(F.regexp_extract("part", r"(?is)^<a\b[^>]*>(.*?)</a>", 1)).alias("text"), plain(F.concat("lead", F.regexp_replace("part", block, ""))).alias("context"))
+    rows = rows.where((F.col("text") != "") & ~F.lower("context").contains("unpaid"))
+    first = rows.groupBy("origin", "link").agg(F.min_by(F.struct("text", "context"), "nth").alias("f")).select("origin", "link", "f.*")
+    return _listing(first, "html_list", job_url=absolute_url(F.col("link"), F.col("origin")), title=F.col("text"), location=location_guess(F.col("context")), description=F.substring("context", 1, 500))
 
 
 @source("embedded_json")
@@ -135,25 +144,55 @@ def web_search(raw: DataFrame) -> DataFrame:
     return _listing(rows, "web_search", job_url=F.col("url"), title=F.col("title"), company=company_from_result(F.col("title"), F.col("url")), location=location_guess(F.concat_ws(" ", "title", text)), description=F.substring(text, 1, 4000))
 
 
-def expand_aggregates(results: DataFrame, details: DataFrame, *, links: int = 5, pages: int = 10, most: int = 50) -> DataFrame:
-    """Search results that are lists, as rows of the postings they link to (url, title, markdown of details).
+def search_web(results: DataFrame, details: DataFrame, as_of: Column, *, caps: dict[str, int] = terms.SEARCH_CAPS) -> DataFrame:
+    """Listings of a web search: results (query, nth, url, title, markdown, description) and the pages that
+    list results link to, details (url, title, markdown).
 
-    The first pages lists by ord, the first links of each, most links in all; a link counts once.
+    Queries count in order, each with its first results; within a query, results on preferred sites come
+    first. A result that is a posting counts by itself. One that is a list brings its first links to
+    postings, as far as the caps on lists, links and pages go. An address counts once, where it is met
+    first; what does not read like a posting goes. The first total listings are returned, with their place.
     """
-    lists = results.where(is_aggregate_page(F.col("url"), F.col("title"))).orderBy("ord").limit(pages)
-    found = lists.select("ord", F.col("url").alias("parent"), F.posexplode(F.transform(links_in_text(F.coalesce("markdown", F.lit(""))), lambda x: absolute_url(x, F.col("url")))).alias("nth", "link"))
-    good = found.where(is_individual_job_url(F.col("link"), F.lit("")))
-    first = good.groupBy("link").agg(F.min(F.struct("ord", "nth", "parent")).alias("f")).select("link", "f.*")
-    from ..operators.listings import top_k_per_parent
-
-    chosen = top_k_per_parent(first.withColumnRenamed("nth", "at"), parent="parent", order=["at"], k=links).orderBy("ord", "at").limit(most)
-    return chosen.join(details.select(F.col("url").alias("link"), "title", "markdown"), "link").select(F.col("link").alias("url"), "title", "markdown", "ord")
+    asked = results.where((F.col("query") < caps["queries"]) & (F.col("nth") < caps["results"]))
+    asked = asked.select("query", "nth", norm_url_loose(F.trim("url")).alias("url"), F.trim(F.coalesce("title", F.lit(""))).alias("title"), F.coalesce("markdown", F.lit("")).alias("markdown"), F.coalesce("description", F.lit("")).alias("snippet"))
+    asked = asked.withColumns({"tier": priority_tier(F.col("url")), "single": is_individual_job_url(F.col("url"), F.col("title")), "many": is_aggregate_page(F.col("url"), F.col("title"))})
+    order = ["query", "tier", "nth"]
+    text = F.coalesce(F.nullif(F.trim("markdown"), F.lit("")), F.nullif(F.trim("snippet"), F.lit("")), F.col("title"))
+    direct = asked.where("single").select(*order, F.lit(-1).alias("link_nth"), "url", "title", text.alias("text"), F.lit(True).alias("direct"))
+    lists = asked.where("many AND NOT single").orderBy(*order).limit(caps["expansions"])
+    links = lists.select(*order, F.col("title").alias("parent"), F.posexplode(F.slice(F.filter(F.transform(links_in_text(F.col("markdown")), lambda x: absolute_url(x, F.col("url"))), lambda x: is_individual_job_url(x, F.lit(""))), 1, caps["links"])).alias("link_nth", "link"))
+    links = links.withColumn("url", norm_url_loose(F.col("link")))
+    met = direct.select(*order, "link_nth", "url").unionByName(links.select(*order, "link_nth", "url"))
+    place = F.struct(*order, "link_nth")
+    first = met.groupBy("url").agg(F.min(place).alias("first"))
+    here = lambda df: df.join(first, "url").where(place == F.col("first")).drop("first")
+    wanted = here(links).orderBy(*order, "link_nth").limit(caps["details"])
+    pages = wanted.join(details.select(F.col("url").alias("link"), F.col("title").alias("own"), F.col("markdown").alias("text")), "link")
+    pages = pages.select(*order, "link_nth", "url", F.coalesce("own", "parent").alias("title"), "text", F.lit(False).alias("direct"))
+    found = here(direct).unionByName(pages).where(is_valid_detail(F.col("text"))).dropDuplicates(["url"])
+    rows = found.orderBy(*order, "link_nth").limit(caps["total"])
+    rows = rows.withColumn("place", F.row_number().over(Window.orderBy(*order, "link_nth")))  # at most caps["total"] rows
+    guess = F.concat_ws(" ", "title", F.substring("text", 1, 500))
+    return rows.select(
+        "place", F.col("url").alias("job_url"), "title", company_from_result(F.col("title"), F.col("url")).alias("company"), location_guess(guess).alias("location"),
+        F.substring("text", 1, 4000).alias("description"), F.lit("web_search").alias("source"), posting_date_guess(F.substring("text", 1, 1500), as_of).alias("posting_date"),
+    )
 
 
 @source("video_channel")
-def video_channel(raw: DataFrame) -> DataFrame:
-    """(url, title, channel, description) of videos: a row per job link in the description, or the video itself."""
-    linked = raw.withColumn("l", F.explode_outer(job_links(F.col("description"), F.col("title"))))
+def video_channel(raw: DataFrame, as_of: Column | None = None, hours: int = 48, videos: int = 3) -> DataFrame:
+    """(url, title, channel, description, published) of videos: a row per job link in the description, or the video itself.
+
+    A channel's newest videos alone, and of those (with as_of) the ones not older than so many hours; an
+    unreadable time counts as recent. Without published all videos stay.
+    """
+    if "published" in raw.columns:
+        at = utc_timestamp(F.col("published"))
+        newest = F.row_number().over(Window.partitionBy("channel").orderBy(F.desc_nulls_last(at), "url"))
+        raw = raw.withColumn("_nth", newest).where(F.col("_nth") <= videos)
+        if as_of is not None:
+            raw = raw.where(within_hours(at, as_of, hours))
+    linked = raw.where(F.col("url") != "").withColumn("l", F.explode_outer(job_links(F.col("description"), F.col("title"))))
     return _listing(linked, "video_channel", job_url=F.coalesce("l.url", "url"), title=F.coalesce("l.title", "title"), company=F.col("channel"), description=F.substring("description", 1, 2000))
 
 
@@ -165,12 +204,13 @@ def posts(raw: DataFrame, least: int = 40) -> DataFrame:
 
 
 def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
-    """All sources' listings with arrival_ord, a total order that does not depend on timing: by source, then URL and content.
+    """All sources' listings with arrival_ord, a total order: by source, then by the place in its responses.
 
-    The order key is computed, not counted, so rows need not meet in one place.
+    A row's place is its partition's number and its number there, so rows need not meet to be counted.
+    The union is written once: whoever reads it later sees the same order.
     """
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (f.withColumn("_s", F.lit(i)) for i, f in enumerate(frames.values())))
-    return both.withColumn("arrival_ord", F.shiftleft(F.col("_s").cast("long"), 48) + F.shiftrightunsigned(F.xxhash64("job_url", "title", "description"), 16)).drop("_s")
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (f.withColumn("arrival_ord", F.lit(i).cast("long") * (1 << 56) + F.monotonically_increasing_id()) for i, f in enumerate(frames.values())))
+    return materialise(both, "arrivals")
 
 
 def try_sources(frames: dict[str, Callable[[], DataFrame]]) -> tuple[dict[str, DataFrame], dict[str, Exception]]:
@@ -184,12 +224,6 @@ def try_sources(frames: dict[str, Callable[[], DataFrame]]) -> tuple[dict[str, D
     return good, bad
 
 
-def first_of(first: DataFrame, second: DataFrame, key: str = "url", value: str = "markdown") -> DataFrame:
-    """Rows of two fetchers by key: the first one's non-empty result, else the second's."""
-    a, b = first.select(key, F.col(value).alias("_a")), second.select(key, F.col(value).alias("_b"))
-    return a.join(b, key, "full").select(key, F.coalesce(F.nullif(F.col("_a"), F.lit("")), F.col("_b")).alias(value))
-
-
 class _Landed(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -237,7 +271,14 @@ def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_latest_log(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the newest log file in a folder."""
-    lines = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("at"))
-    latest = lines.agg(F.max_by("file", "at")).first()[0]
-    return lines.where(F.col("file") == latest).select("line") if latest else lines.select("line").where("false")
+    """Lines of the newest log file in a folder; a file that starts with a UTF-16 mark is read as such."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "modificationTime")
+    latest = files.agg(F.max_by("file", F.struct("modificationTime", "file"))).first()[0]
+    if latest is None:
+        return spark.createDataFrame([], "line string")
+    mark = F.substring(F.col("content"), 1, 2)
+    whole = spark.read.format("binaryFile").load(latest)
+    if not whole.select(mark.isin(bytearray(b"\xff\xfe"), bytearray(b"\xfe\xff")).alias("wide")).first().wide:
+        return spark.read.text(latest).select(F.col("value").alias("line"))
+    # Spark reads lines of single-byte line ends only: such a file is decoded whole
+    return whole.select(F.explode(F.split(F.decode("content", "UTF-16"), r"\r\n|[\r\n]")).alias("line"))

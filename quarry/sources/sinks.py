@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.metrics import tier_digest
+from ..operators.metrics import tier_counts, tier_lines
 
 
 def flat_for_csv(df: DataFrame) -> DataFrame:
@@ -39,34 +39,45 @@ def best_effort(action, log=print) -> bool:
         return False
 
 
-def publish(df: DataFrame, root: str) -> str:
-    """Write a new version of a table, then point to it: readers see the old or the new one, never half."""
-    version = f"{root}/v-{uuid.uuid4().hex}"
-    df.write.parquet(version)
-    spark = df.sparkSession
+def _store(spark: SparkSession, root: str):
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    files = path(root).getFileSystem(conf)
-    temporary, final = path(f"{root}/_current.tmp"), path(f"{root}/_current")
-    out = files.create(temporary, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    files.delete(final, False)
-    files.rename(temporary, final)
-    return version
+    return path(root).getFileSystem(conf), path
+
+
+def versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, version) of a table's committed versions, oldest first."""
+    files, path = _store(spark, root)
+    if not files.exists(path(root)):
+        return []
+    names = [str(x.getPath().getName()) for x in files.listStatus(path(root))]
+    marks = (n.removeprefix("commit-").partition("-") for n in names if n.startswith("commit-"))
+    return sorted((int(n), version) for n, _, version in marks)
+
+
+def publish(df: DataFrame, root: str, keep: int = 3) -> str:
+    """Write a new version of a table and commit it: readers see the old or the new one, never half or none.
+
+    The commit is the creation of one empty file whose name holds the version, which every file system
+    does whole or not at all; nothing is renamed, replaced or deleted before. Versions before the last
+    keep are removed.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{root}/v-{version}")
+    known = versions(spark, root)
+    files, path = _store(spark, root)
+    files.create(path(f"{root}/commit-{(known[-1][0] if known else 0) + 1:012d}-{version}"), False).close()
+    for n, old in known[: max(0, len(known) + 1 - keep)]:
+        files.delete(path(f"{root}/commit-{n:012d}-{old}"), False)
+        files.delete(path(f"{root}/v-{old}"), True)
+    return f"{root}/v-{version}"
 
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:
     """The published version of a table, or None."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{root}/_current")
-    files = pointer.getFileSystem(conf)
-    if not files.exists(pointer):
-        return None
-    stream = files.open(pointer)
-    text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
-    return spark.read.parquet(text)
+    known = versions(spark, root)
+    return spark.read.parquet(f"{root}/v-{known[-1][1]}") if known else None
 
 
 def cell(c: Column, kind: T.DataType) -> Column:
@@ -111,9 +122,16 @@ def append_with_queue(df: DataFrame, pending: str, send) -> bool:
 
 
 def digest_text(df: DataFrame, counts: DataFrame) -> str:
-    """The daily digest. The driver gets the listings that the digest shows and a row per source."""
-    lines = [f"{r.source}: {r.n}" for r in counts.orderBy(F.desc("n"), "source").collect()]
-    tiers = tier_digest(df).orderBy("tier_rank").collect()
-    head = f"{sum(r.n for r in tiers)} matches, {sum(r.contacts for r in tiers)} with a contact"
-    body = [f"== {r.tier} ({r.n}) ==\n" + "\n".join(r.lines) for r in tiers]
-    return "\n\n".join([head, "\n".join(lines), *body])
+    """The daily digest: counts by source, then the shown tiers, whose lines are streamed in order, not gathered first."""
+    lines = [f"{r.source}: {r.n}" for r in counts.orderBy(F.desc("n"), "source").toLocalIterator()]
+    tiers = {r.tier: r for r in tier_counts(df).orderBy("tier_rank").collect()}
+    head = f"{sum(r.n for r in tiers.values())} matches, {sum(r.contacts for r in tiers.values())} with a contact"
+    body: dict[str, list[str]] = {t: [f"== {t} ({r.n}) =="] for t, r in tiers.items()}
+    for r in tier_lines(df).toLocalIterator():
+        body[r.tier].append(r.line)
+    return "\n\n".join([head, "\n".join(lines), *("\n".join(x) for x in body.values())])
+
+
+def send_digest(body: str, matches: int, day: str, send) -> None:
+    """Hand a digest to a mail transport: send(subject, body). Which one is the caller's choice."""
+    send(f"{matches} matches - {day}", body)

@@ -21,6 +21,14 @@ for _module in (sys.modules[__name__], terms):
     cloudpickle.register_pickle_by_value(_module)
 
 
+def _in_order(rows: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple]:
+    """The named columns of a key's rows of one micro-batch, by the first of them. Only these columns are held,
+    and no more than a trigger takes in (maxFilesPerTrigger, maxOffsetsPerTrigger)."""
+    parts = [batch[list(columns)] for batch in rows]
+    every = parts[0] if len(parts) == 1 else pd.concat(parts)
+    yield from every.sort_values(columns[0], kind="stable").itertuples(index=False, name=None)
+
+
 class StateMachine(StatefulProcessor):
     """Per key: applies wanted transitions in order; emits every step with whether it was allowed.
 
@@ -34,9 +42,8 @@ class StateMachine(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         status, attempts, lease = self.state.get() if self.state.exists() else ("QUEUED", 0, 0)
-        events = pd.concat(list(rows)).sort_values("ord", kind="stable")
         out = []
-        for order, wanted, error in zip(events["ord"], events["status"], events["error"], strict=True):
+        for order, wanted, error in _in_order(rows, "ord", "status", "error"):
             text = (error or "").lower() if isinstance(error, str) else ""
             target = "PERMANENT_ERROR" if wanted == "RETRYABLE_ERROR" and any(m in text for m in terms.PERMANENT_ERRORS) else wanted
             before = status
@@ -78,8 +85,7 @@ class RunningCounts(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n, failures, run = self.state.get() if self.state.exists() else (0, 0, 0)
-        events = pd.concat(list(rows)).sort_values("ord", kind="stable")
-        for bad in events["failed"]:
+        for _, bad in _in_order(rows, "ord", "failed"):
             n, failures, run = n + 1, failures + int(bad), run + 1 if bad else 0
         self.state.update((n, failures, run))
         yield pd.DataFrame({"key": [key[0]], "n": [n], "failures": [failures], "run": [run]})

@@ -119,6 +119,50 @@ TRANSITIONS = [
 TERMINAL = ["PASSED", "REJECTED", "PERMANENT_ERROR"]
 RESUMABLE = ["QUEUED", "RETRYABLE_ERROR", "DEADLINE_EXCEEDED", "EVALUATING"]
 LEASE_SECONDS = 3600
+STATUS_ALIASES = {"FAILED": "RETRYABLE_ERROR", "UNRESOLVED": "RETRYABLE_ERROR", "RETRY": "RETRYABLE_ERROR", "RETRYABLE": "RETRYABLE_ERROR", "DEADLINE": "DEADLINE_EXCEEDED"}
+OUTCOME_GROUPS = {
+    "SUCCESS": ["SUCCESS"], "TIMEOUT": ["TIMEOUT", "TIMEOUTING"], "RATE_LIMIT": ["RATE_LIMIT", "RATE_LIMITED", "HTTP_429"],
+    "SERVER": ["HTTP_5XX", "SERVER_ERROR"], "INVALID": ["INVALID_JSON", "INVALID_RESPONSE", "INVALID_SCHEMA"],
+}
+PRIVATE_KEYS = [
+    "phone", "pin_code", "full_address", "password", "passwords", "api_key", "api_keys", "token", "tokens", "cookie", "cookies",
+    "authentication_secrets", "secrets", "refresh_token", "access_token", "client_secret", "private_key", "resume_pdf",
+]
+SECRET_PARTS = ["password", "api_key", "token", "cookie", "secret"]
+PROFILE_SECTIONS = {
+    "Identity & Career Stage": ["identity", "career_stage", "personal_identity"],
+    "Contact & Public Profiles": ["contact", "public_profiles", "profiles"],
+    "Location & Work Preferences": ["location", "work_preferences", "preferred_locations"],
+    "Professional Profile": ["professional_profile", "professional_summary", "professional_identity"],
+    "Career Objective": ["career_objective", "career_goals", "objective"],
+    "Education": ["education", "academic_background", "academics"],
+    "Experience": ["experience", "work_experience", "internships", "employment"],
+    "Skills": ["skills", "technical_skills", "technical_profile", "technical_stack", "skillset", "technologies", "tech_stack"],
+    "AI Engineering": ["ai_engineering", "ai_capabilities", "ai_skills", "llm_engineering", "verified_ai_engineering"],
+    "Projects": ["projects", "project_portfolio", "project_experience", "flagship_projects", "ai_projects", "professional_projects"],
+    "Leadership": ["leadership", "leadership_experience", "campus_leadership", "activities"],
+    "Achievements": ["achievements", "awards", "honors", "recognition"],
+    "Competitive Programming / CP Profile": ["competitive_programming", "competitive_programming_profile", "cp_profile", "programming_profile", "coding_profile", "ds_algorithm_profile", "competitive_programming_data"],
+    "Job Preferences": ["job_preferences", "career_preferences", "target_preferences"],
+    "Application / Career Content": ["application_content", "application_profile", "application_context", "resume_context"],
+    "Cover Letter / Motivation Context": ["cover_letter", "cover_letter_context", "motivation", "motivation_context"],
+    "Interview / Personal Positioning": ["about_narrative", "personal_brand", "interview_context", "positioning", "personal_positioning"],
+}
+PROFILE_MISSING = "No dedicated section was found; consult Additional Master-Profile Data only when relevant."
+PROFILE_HEAD = ["CANONICAL CANDIDATE PROFILE — SOURCE OF TRUTH", "Use this profile as the factual authority for matching. Do not invent missing facts."]
+PROFILE_SNAPSHOT = "Complete Canonical Profile Snapshot"
+PROFILE_SKILLS_FIRST = [
+    "React", "React 19", "Next.js 15", "Node.js", "Express.js 4", "TypeScript 5", "MongoDB Atlas", "PostgreSQL", "Prisma", "Docker",
+    "MCP (Model Context Protocol)", "JWT (jsonwebtoken)", "Redux Toolkit", "Tailwind CSS 4",
+]
+PROFILE_HIDDEN_PROJECT = "AI SEO Audit Platform"
+PROFILE_MAX = {"projects": 8, "skills": 30, "experiences": 6}
+CRAWL_KEYWORDS = [
+    "software engineer", "software developer", "sde", "frontend", "backend", "full stack", "product engineer", "ai engineer",
+    "ml engineer", "genai", "react", "node", "javascript", "graduate", "fresher", "junior", "intern",
+]
+CRAWL_WEIGHT, CRAWL_SEEDS, CRAWL_ROWS = 0.8, 28, 1000
+SEARCH_CAPS = {"queries": 32, "results": 10, "total": 150, "expansions": 10, "links": 5, "details": 50}
 COMPONENT_CAPS = {"role_match": 25, "experience_match": 20, "technical_match": 25, "project_match": 10, "education_match": 10, "location_match": 5, "company_quality": 5}
 EMAIL_PATTERN = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 URL_PATTERN = r"""https?://[^\s\)\]\>"']+"""

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,8 +155,37 @@ def test_json(spark):
     assert [g[0] for g in got] == ['{"a": 1}', '{"a": 1}', None, None]
     assert one(spark, J.str_list(F.try_parse_json(F.lit('[" a ", "", "b"]')))) == ["a", "b"]
     assert one(spark, J.str_list(F.try_parse_json(F.lit('"x"')))) == ["x"]
-    assert one(spark, J.find_aliases(F.lit('{"a": {"Tech_Skills": ["x"]}, "techskills": "y"}'), ["tech skills"])) == ["y", '["x"]']
-    assert one(spark, J.scrub(F.lit('{"a": 1, "api_key": "s", "b": [{"Token": 2, "c": 3}]}'))) == '{"a": 1, "b": [{"c": 3}]}'
+    assert one(spark, J.find_aliases(F.lit('{"a": {"Tech_Skills": ["x"]}, "techskills": "y"}'), ["tech skills"])) == ['["x"]', "y"]
+    assert one(spark, J.find_aliases(F.lit('{"a": {"Tech_Skills": ["x"]}, "techskills": "y"}'), ["tech skills"], by_level=True)) == ["y", '["x"]']
+    assert [one(spark, J.first_alias(F.lit('{"a": {"k": "x", "K": ""}, "k": "y"}'), ["k"], by_level=b)) for b in (False, True)] == ["x", "y"]
+    assert one(spark, J.find_aliases(F.lit('[{"k": 1}, {"k": 1}, {"k": []}]'), ["k"])) == ["1"] and one(spark, J.first_alias(F.lit("no"), ["k"])) is None
+    private = {"a": 1, "api_key": "s", "b": [{"Token": 2, "c": 3}, None], "phone": "1", "Full_Address": "x", "pin_code": 2, "resume_pdf": "y", "my_secret_x": 1, "n": None}
+    assert json.loads(one(spark, J.scrub(F.lit(json.dumps(private))))) == {"a": 1, "b": [{"c": 3}]}
+    assert one(spark, J.scrub(F.lit("no json"))) is None
+
+
+@pytest.mark.parametrize("depth", [1, 3, 5, 9])
+def test_markdown_links_to_any_depth(spark, depth):
+    text = "x"
+    for i in range(depth):
+        text = f"[{text}](u{i})"
+    assert one(spark, X.strip_markdown_links(F.lit(f"a {text} b ![i](j)"))) == "a x b i"
+
+
+def test_absolute_urls_match_urljoin(spark):
+    from urllib.parse import urljoin
+
+    bases = ["https://a.com", "https://a.com/", "https://a.com/x/y/z.html?q=1#f", "http://a.com/x/"]
+    links = ["b", "./b", "../b", "../../../b", "/b/./c/../d", "//c.org/e", "?k=v", "#g", "b?x=../y", "https://z.org/a/../b", "..", ".", "b/..", "c/./d/", ""]
+    df = spark.createDataFrame([(b, x) for b in bases for x in links], "b string, x string")
+    for r in df.select("b", "x", U.absolute_url(F.col("x"), F.col("b")).alias("u")).collect():
+        assert r.u == urljoin(r.b, r.x), (r.b, r.x)
+
+
+def test_harvested_links(spark):
+    given = F.array(F.struct(F.lit("https://k.org/1").alias("href"), F.lit("t").alias("text")), F.struct(F.lit(None).cast("string").alias("href"), F.lit("u").alias("text")))
+    got = one(spark, X.harvested_links(F.lit("[ One ](/a) and ![i](https://b.org/x)"), F.lit("https://a.com/p"), given))
+    assert [(x.href, x.text) for x in got] == [("https://a.com/a", "One"), ("https://b.org/x", "i"), ("https://k.org/1", "t")]
 
 
 def test_numbers(spark):
@@ -167,9 +197,23 @@ def test_numbers(spark):
     assert limit(0, 0, 65.0, 400.0) == 27
 
 
-def test_profile(spark):
-    import json
+PROFILE = {
+    "identity": {"full_name": "N", "headline": "Builds", "phone": "1"}, "education": [{}, {"program": "BTech", "institution": "Long Name", "cgpa": {"value": 8.1}}],
+    "projects": {"flagship_projects": [{"name": "P1", "tagline": "T", "technologies": {"verified": ["Go", "React", "Go"]}, "resume_bullets": ["did"]}], "ai_projects": [{"name": "AI SEO Audit Platform", "technologies": {"verified": ["Docker"]}}]},
+    "experience": [{"role": "Dev", "organization": "Org", "dates": "2024", "highlights": ["h" * 400]}, "bad"], "deep": {"work_experience": "other", "Discipline": "CS"},
+    "job_preferences": {"preferred_roles": ["SDE"], "salary": ""}, "competitive_programming": {"best_rank": 5}, "achievements": ["won"], "career_objective": "grow", "api_key": "secret",
+}
 
-    text = json.dumps({"basics": {"summary": "Builds things", "password": "x"}, "technical_skills": ["SQL", "Go", "SQL"], "projects": [{"name": "P1", "stack": ["Spark"]}]})
-    row = spark.range(1).select(P.structured_profile(F.lit(text)).alias("p")).first().p
-    assert row.sections["SUMMARY"] == "Builds things" and "SKILLS: SQL, Go" in row.condensed and "P1 - Spark" in row.condensed
+
+def test_profile(spark):
+    row = spark.range(1).select(P.structured_profile(F.lit(json.dumps(PROFILE))).alias("p"), P.structured_profile(F.lit("[]")).alias("q")).first()
+    assert row.q.condensed is None and row.q.sections is None
+    p = row.p
+    assert json.loads(p.sections["Experience"]) == [PROFILE["experience"], "other"] and json.loads(p.sections["Education"]) == [{}, PROFILE["education"][1]]
+    assert "Leadership" not in p.sections and "secret" not in p.raw_text and '"phone"' not in p.raw_text
+    assert p.raw_text.count("\n## ") == 18 and "Complete Canonical Profile Snapshot" in p.raw_text and "No dedicated section" in p.raw_text
+    for line in ("Headline: Builds", "React, Docker, Go", "- P1 — T. Stack: Go, React, Go. did", "BTech — in CS — Long Name", "CGPA/GPA: 8.1", "- Dev — Org (2024)", "  " + "h" * 280, "Career objective: grow", "- won", "- Best Rank: 5", "- Preferred Roles: ['SDE']"):
+        assert line in p.condensed.split("\n"), line
+    assert "SEO" not in p.condensed and len(p.condensed) < len(p.raw_text)
+    made = json.loads(p.structured)
+    assert (made["identity"]["name"], made["identity"]["career_stage"], made["raw_text"][:9]) == ("N", "entry-level", "CANONICAL")

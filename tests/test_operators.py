@@ -66,6 +66,10 @@ def test_admission_split_and_deferred(spark):
     df = spark.createDataFrame([(i, f"u{i}") for i in range(7)], "arrival_ord long, job_url string")
     yes, no = L.split_admitted(df, 3, ["arrival_ord"])
     assert (yes.count(), no.count()) == (3, 4)
+    yes, no = L.split_admitted(df.withColumn("same", F.lit(1)), 2, ["same"])
+    assert (yes.count(), no.count()) == (2, 5) and sorted(r.job_url for r in yes.unionByName(no).collect()) == [f"u{i}" for i in range(7)]
+    yes, no = L.split_admitted(df, 0, ["arrival_ord"])
+    assert (yes.count(), no.count()) == (0, 7)
     both = L.deferred_first(df.where("arrival_ord > 4"), df)
     assert rows(both, "phase", "arrival_ord") == [(0, 5), (0, 6), (1, 0), (1, 1), (1, 2), (1, 3), (1, 4)]
 
@@ -97,6 +101,52 @@ def test_provider_health(spark):
     assert got == {"p": ("CIRCUIT_OPEN", 3, 1, 3.0, "X"), "q": ("AVAILABLE", 0, 0, 2.0, None)}
 
 
+def test_provider_recovery_and_cooldown(spark):
+    kinds = ["TIMEOUT", "SUCCESS", "SUCCESS", "HTTP_429", "x", "SUCCESS", "HTTP_5XX"]
+    events = [(i, "p", k, 1.0, 30.0 if k == "HTTP_429" else 1.0 if k == "HTTP_5XX" else 0.0, float(i)) for i, k in enumerate(kinds)]
+    df = spark.createDataFrame(events, "ord long, provider string, kind string, latency_seconds double, cooldown_seconds double, at_seconds double")
+    r = ST.provider_health(df).first()
+    assert (r.recovery_count, r.cooldown_until, r.consecutive_failures, r.state, r.server_errors) == (2, 33.0, 1, "DEGRADED", 1)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_ranges_do_not_change_runs(spark, parts):
+    from quarry.operators import ranged
+
+    r = random.Random(parts)
+    events = [(r.choice(["a", "b", None]), i, r.random() < 0.7, r.choice("xyz")) for i in range(300)]
+    df = spark.createDataFrame(events, "k string, ord long, bad boolean, s string")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {x.ord: x.run for x in ST.failure_runs(df, key="k", order=["ord"], failed=F.col("bad")).collect()}
+        before = {x.ord: x.from_status for x in ST.steps(df, key="k", order=["ord"], status="s").collect()}
+        cut = {x.ord for x in ST.breaker_cut(df, key="k", order=["ord"], failed=F.col("bad"), limit=4).collect()}
+        total = {x.ord: x.t for x in ranged.running_sum(ranged.ranged(df, ["k"], ["ord"]), ["k"], "ord", "t").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    now, last, opened, sums = {}, {}, set(), {}
+    for k, i, bad, s in events:
+        now[k] = now.get(k, 0) + 1 if bad else 0
+        sums[k] = sums.get(k, 0) + i
+        assert got[i] == now[k] and before[i] == last.get(k) and (i in cut) == (k not in opened) and total[i] == sums[k]
+        last[k] = s
+        if now[k] >= 4:
+            opened.add(k)
+
+
+def test_legacy_states(spark):
+    old = [("a ", "unresolved", 1, "2", "e"), ("b", "Deadline", 2, None, None), ("c", "JUNK", 2, "1", None), ("", "QUEUED", 2, "1", None), ("d", None, 1, "x", None), ("e", "PASSED", 9, "1", None), ("f", "retryable", 2, "-3", None)]
+    got = ST.migrate(spark.createDataFrame(old, "job_url string, status string, version int, attempt_count string, error string"))
+    assert rows(got, "job_url", "status", "attempts", "last_error") == sorted([("a", "RETRYABLE_ERROR", 2, "e"), ("b", "DEADLINE_EXCEEDED", 0, None), ("d", "QUEUED", 0, None), ("f", "RETRYABLE_ERROR", 0, None)], key=str)
+    progress = spark.createDataFrame([("a", True, None, 90, 0), ("b", False, "good_match", 90, 2), ("c", True, "Weak_match ", 10, None), ("d", None, None, None, 1), ("e", True, "reject", 99, 1), ("f", True, None, 50, 1)], "job_url string, fresher_appropriate boolean, decision string, fit_score int, attempts int")
+    retries = spark.createDataFrame([("a", 4, ""), (" ", 1, "x"), ("z", None, "why")], "job_url string, attempts int, last_error string")
+    assert rows(ST.import_legacy(progress, retries), "job_url", "status", "attempts", "last_error") == [
+        ("a", "RETRYABLE_ERROR", 4, "legacy_retry_queue"), ("b", "REJECTED", 2, None), ("c", "PASSED", 1, None), ("d", "EVALUATED", 1, None), ("e", "REJECTED", 1, None), ("f", "REJECTED", 1, None), ("z", "RETRYABLE_ERROR", 0, "why"),
+    ]
+
+
 def test_state_machine_rules(spark):
     pairs = spark.createDataFrame([("QUEUED", "EVALUATING"), ("PASSED", "QUEUED"), ("QUEUED", "RETRYABLE_ERROR"), ("PASSED", "PASSED"), ("EVALUATED", "PASSED")], "a string, b string")
     assert [r[0] for r in pairs.coalesce(1).select(ST.allowed(F.col("a"), F.col("b"))).collect()] == [True, False, True, True, True]
@@ -115,8 +165,8 @@ def test_sources(spark):
     assert rows(R.SOURCES["board_a"](raw(c, "acme")), "company", "location") == [("acme", "India")]
     d = json.dumps({"jobDetails": [{"title": "T", "companyName": "C", "jdURL": "/j/1", "jobDescription": "d", "placeholders": [{"type": "location", "label": "Pune"}]}]})
     assert rows(R.SOURCES["search_api"](raw(d, "https://n.com/s")), "job_url", "location") == [("https://n.com/j/1", "Pune")]
-    e = '<a href="/x/detail/1">Dev <b>Pune</b></a><a href="/x/detail/2">Unpaid</a><a href="/about">About</a><a href="/x/detail/1">again</a>'
-    assert rows(R.SOURCES["html_list"](raw(e, "https://i.com/list")), "job_url", "title", "location") == [("https://i.com/x/detail/1", "Dev Pune", "Pune")]
+    e = '<ul><li><h3>one</h3><a href="/x/detail/1">Dev</a><p>in Pune, paid</p></li><li><a href="/x/detail/2">Other</a> <i>Unpaid</i></li><li>Baner <a href="/x/detail/3">Third</a></li><a href="/about">About</a><a href="/x/detail/1">again</a></ul>'
+    assert rows(R.SOURCES["html_list"](raw(e, "https://i.com/list")), "job_url", "title", "location") == [("https://i.com/x/detail/1", "Dev", "Pune"), ("https://i.com/x/detail/3", "Third", "Baner")]
     f = '<script type="application/json">{"a": [{"b": {"title": "T", "slug": "s-1"}}]}</script>'
     assert rows(R.SOURCES["embedded_json"](raw(f, "https://w.com/")), "job_url", "title") == [("https://w.com/jobs/s-1", "T")]
     frame = spark.createDataFrame([("u", "t", "c", "l", "d", "linkedin"), (None, "t", "c", "l", "d", "google"), ("v", "t", "c", "l", "d", None)], "job_url string, title string, company string, location string, description string, site string")
@@ -128,12 +178,30 @@ def test_sources(spark):
     assert rows(R.SOURCES["posts"](posts), "job_url") == [("p",)]
     both = R.union_sources({"a": R.SOURCES["feed_a"](raw(a)), "b": R.SOURCES["feed_b"](raw(b))})
     assert both.count() == 2 and both.select("arrival_ord").distinct().count() == 2
-
-
-def test_aggregate_expansion(spark):
-    results = spark.createDataFrame([("https://x.in/python-jobs", "", "[a](https://x.in/job/1111111) [b](/job/2222222) [a](https://x.in/job/1111111)", 1)], "url string, title string, markdown string, ord int")
-    details = spark.createDataFrame([("https://x.in/job/1111111", "A", "m"), ("https://x.in/job/2222222", "B", "m")], "url string, title string, markdown string")
-    assert rows(R.expand_aggregates(results, details), "url") == [("https://x.in/job/1111111",), ("https://x.in/job/2222222",)]
+    many = json.dumps({"data": [{"title": "Software Engineer", "url": f"u{i * 7 % 10}", "tags": []} for i in range(10)]})
+    both = R.union_sources({"x": R.SOURCES["feed_a"](raw(many)), "y": R.SOURCES["feed_a"](raw(many))})
+    assert [r.job_url for r in both.orderBy("arrival_ord").collect()] == [f"u{i * 7 % 10}" for i in range(10)] * 2
+    timed = spark.createDataFrame([(f"v{i}", "T", "Ch", "none", p) for i, p in enumerate(["2026-01-09T10:00:00Z", "2026-01-01T00:00:00Z", "bad", "2026-01-10T00:00:00Z", "2026-01-09T11:00:00Z"])], "url string, title string, channel string, description string, published string")
+    assert rows(R.SOURCES["video_channel"](timed, F.lit("2026-01-10T12:00:00Z").cast("timestamp"))) != []
+    assert rows(R.video_channel(timed, F.lit("2026-01-10 12:00:00").cast("timestamp"), 26, 4), "job_url") == [("v0",), ("v3",), ("v4",)]
+
+
+def test_web_search(spark):
+    text = "Requirements: React. Responsibilities and experience. Posted 2 days ago in Pune. " * 12
+    results = [
+        (0, 0, "https://b.in/job/9999999?utm_a=1", "Dev at Bee - x", text, ""),
+        (0, 1, "https://naukri.com/python-jobs", "", "[a](https://x.in/job/1111111) [b](/job/2222222) [a](https://x.in/job/1111111) [c](https://x.in/job/3333333) [d](https://x.in/job/4444444)", ""),
+        (0, 2, "https://naukri.com/job/8888888", "Dev | Nau", "", "snippet with skills to apply"),
+        (1, 0, "https://b.in/job/9999999", "again", text, ""), (1, 1, "https://youtube.com/watch", "", "", ""), (9, 0, "https://b.in/job/7777777", "late query", text, ""),
+    ]
+    results = spark.createDataFrame(results, "query int, nth int, url string, title string, markdown string, description string")
+    details = spark.createDataFrame([("https://x.in/job/1111111", "A at Ex", text), ("https://naukri.com/job/2222222", None, text), ("https://x.in/job/3333333", "C", "all jobs"), ("https://x.in/job/4444444", "D", text)], "url string, title string, markdown string")
+    caps = terms.SEARCH_CAPS | {"queries": 5, "links": 3, "details": 2}
+    got = R.search_web(results, details, F.lit("2026-01-10").cast("timestamp"), caps=caps).orderBy("place").collect()
+    # preferred sites first: the list's links, then the posting on that site, then the other; the third link is beyond the cap on details
+    assert [r.job_url for r in got] == ["https://x.in/job/1111111", "https://naukri.com/job/2222222", "https://naukri.com/job/8888888", "https://b.in/job/9999999"]
+    assert (got[0].company, got[0].location, got[0].posting_date[:10]) == ("Ex", "Pune", "2026-01-08")
+    assert [r.job_url for r in R.search_web(results, details, F.lit("2026-01-10").cast("timestamp"), caps=caps | {"total": 1, "expansions": 0}).collect()] == ["https://naukri.com/job/8888888"]
 
 
 def test_sinks(spark, tmp_path):
@@ -150,6 +218,18 @@ def test_sinks(spark, tmp_path):
     assert K.append_with_queue(row, f"{tmp_path}/q", fail) is False
     assert K.append_with_queue(row, f"{tmp_path}/q", lambda batch: sent.append(batch.count())) is True
     assert sent == [2] and K.current(spark, f"{tmp_path}/q").count() == 0
+    for i in range(5):
+        K.publish(row.withColumn("x", F.lit(i)), f"{tmp_path}/t")
+        assert [r.x for r in K.current(spark, f"{tmp_path}/t").collect()] == [i]
+    assert [n for n, _ in K.versions(spark, f"{tmp_path}/t")] == [3, 4, 5]
+    row.write.parquet(f"{tmp_path}/t/v-half")  # a writer that dies before its commit changes nothing
+    assert [r.x for r in K.current(spark, f"{tmp_path}/t").collect()] == [4] and K.current(spark, f"{tmp_path}/none") is None
+    listings = spark.createDataFrame([(90, "Exceptional", "A", "C", "u", "a@b.co", 2), (95, "Exceptional", "B", "C", "v", "", 1), (10, "Weak", "W", "C", "w", "", 3)], "fit_score int, fit_tier string, title string, company string, job_url string, recruiter_email string, arrival_ord int")
+    text = K.digest_text(listings, spark.createDataFrame([("s", 2), ("t", 5)], "source string, n int"))
+    assert text.splitlines() == ["2 matches, 1 with a contact", "", "t: 5", "s: 2", "", "== Exceptional (2) ==", "95 - B at C (v)", "90 - A at C (u)"]
+    mail = []
+    K.send_digest(text, 2, "10 Jan", lambda subject, body: mail.append((subject, body)))
+    assert mail == [("2 matches - 10 Jan", text)]
     with pytest.raises(TypeError):
         K.only_scalars(df)
 
@@ -225,6 +305,104 @@ def test_final_rank_ranks_all_rows(spark, tmp_path):
     assert [(r["rank"], r.doc_id) for r in got.orderBy("rank").collect()] == list(enumerate(want, 1))
 
 
+def test_chain_of_providers():
+    from quarry.sources import providers as V
+
+    class Time:
+        now, slept = 0.0, []
+
+        def sleep(self, s):
+            self.slept.append(s)
+            self.now += s
+
+    good, log = {"choices": [{"message": {"content": '```json\n{"a": 1}\n```'}}]}, []
+    time_ = Time()
+    time_.slept = []
+    clock = V.Clock(lambda: time_.now, time_.sleep)
+    chat, generate, gateway = V.chat_binding("c", "key", "m"), V.generate_binding("g", "key"), V.gateway_binding("w")
+    record = lambda *e: log.append(e[:2])
+
+    def answers(*replies):
+        left = list(replies)
+
+        def transport(url, headers, payload, timeout):
+            time_.now += 1
+            reply = left.pop(0)
+            if isinstance(reply, type):
+                raise reply("x")
+            return reply
+
+        return transport
+
+    ask = lambda b, *replies, **k: V.ask(b, "p", answers(*replies), record=record, clock=clock, **k)
+    assert ask(chat, V.Reply(200, good)).found == {"a": 1}
+    assert ask(chat, V.Reply(429, retry_after="3"), V.Reply(200, good)).found and time_.slept == [3.0]
+    assert ask(chat, V.Reply(429), V.Reply(429)) == V.Outcome(limited=True) and time_.slept == [3.0, 5.0]
+    assert ask(chat, V.Reply(404)) == V.Outcome() and log[-1] == ("chat", "HTTP_404")
+    assert ask(generate, TimeoutError, V.Reply(200, {"candidates": [{"content": {"parts": [{"text": '{"b": 2}'}]}}]})).found == {"b": 2}
+    assert ask(chat, V.Reply(200, {"choices": []}), V.Reply(200, good)).found and ("chat", "INVALID_RESPONSE") in log
+    assert ask(gateway, V.Reply(200, {"content": ""})) == V.Outcome() and log[-1] == ("gateway", "INVALID_RESPONSE")
+    assert ask(gateway, V.Reply(503), V.Reply(200, {"content": {"c": 3}})).found == {"c": 3} and time_.slept[-1] == 3.0
+    assert ask(gateway, V.Reply(429)).limited and ask(chat, ConnectionError, ConnectionError) == V.Outcome() and log[-1] == ("chat", "NETWORK_ERROR")
+    assert ask(V.chat_binding("c", "", "m")) == V.Outcome()
+    chain = lambda *replies, **k: V.Chain([chat, gateway], answers(*replies), clock=clock, backoffs={}, **k)
+    assert chain(V.Reply(404), V.Reply(200, {"content": {"c": 3}})).evaluate("p") == ({"c": 3}, None)
+    c = chain(V.Reply(429), V.Reply(429), V.Reply(404), V.Reply(200, good), rounds=2)
+    assert c.evaluate("p") == ({"a": 1}, None) and not c.backoffs["chat"].active() and c.backoffs["gateway"].active()
+    assert chain(*[V.Reply(404)] * 6).evaluate("p") == (None, "all providers failed")
+    assert chain(*[V.Reply(404)] * 6).evaluate("p", time_.now + 10) == (None, "deadline_exceeded")
+    late = chain()
+    late.backoff(chat).activate(100)
+    assert late.evaluate("p", time_.now + 5) == (None, "deadline_exceeded")
+
+
+def test_chain_in_a_review(spark):
+    import sys
+
+    from pyspark import cloudpickle
+
+    from quarry.sources import providers as V
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    df = spark.createDataFrame([("u", "t", "c", "l", "d")], "job_url string, title string, company string, location string, description string")
+    chain = V.Chain([V.gateway_binding("w")], lambda url, headers, payload, timeout: V.Reply(200, {"content": {"fit_score": 1}}))
+    assert [(r.verdict_text, r.error) for r in P.evaluate(df, chain, P.Settings()).collect()] == [('{"fit_score": 1}', None)]
+    assert [(r.verdict_text, r.error) for r in P.evaluate(df, chain, P.Settings(deadline=1.0)).collect()] == [(None, "deadline_exceeded")]
+    with pytest.raises(ValueError):
+        P.Settings(concurrency=0)
+
+
+def test_monitor(spark, tmp_path):
+    from quarry.plans import monitor as MO
+
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "run_1.log").write_text("fine")
+    (tmp_path / "logs" / "run_2.log").write_bytes("an Error\nTRACEBACK error\nok".encode("utf-16"))
+    import os
+
+    os.utime(tmp_path / "logs" / "run_1.log", (1, 1))
+    when = lambda m: F.lit(f"2026-01-10 10:{m}:00").cast("timestamp")
+    files = spark.range(1).select(F.lit('{"status": "running"}').alias("progress"), when("00").alias("progress_at"), when("09").alias("metrics_at"))
+    got = {r.check: (r.ok, r.detail) for r in MO.health_report(spark, log_folder=f"file://{tmp_path}/logs", artifacts=files, changed_files=["x"], ignore_file=b"a\x00").collect()}
+    assert got == {"files": (False, "1 changed"), "ignore file": (False, "2 bytes"), "log": (False, "ERROR=2, Traceback=1"), "artifacts": (False, "progress and metrics are not of one run; status is running")}
+    with pytest.raises(RuntimeError, match="ALERT_EMAIL_TO"):
+        MO.validate({"GOOGLE_SHEET_ID": "x", "GOOGLE_SERVICE_ACCOUNT_JSON": "y"})
+    slept, said = [], []
+    assert MO.run_every(lambda: 1 / 0, 2, times=3, sleep=slept.append, log=said.append) == 3 and slept == [7200, 7200] and len(said) == 3
+
+
+def test_sql_names(spark, tmp_path):
+    from quarry.functions.register import register
+
+    register(spark)
+    (tmp_path / "a.json").write_text('{"x": {"Tech_Skills": ["a"]}, "techskills": "b"}')
+    landed = spark.read.format("landed").option("paths", f"file://{tmp_path}/a.json").load()
+    landed.createOrReplaceTempView("landed_rows")
+    assert [r.value for r in spark.sql("SELECT value FROM landed_rows, LATERAL json_aliases(body, 'tech skills') ORDER BY nth").collect()] == ['["a"]', "b"]
+    row = spark.sql("SELECT repair_json('so {\"a\": [1, 2') AS j, walkin_dates('Walk-in drive on 15 January 2026', DATE '2026-01-10').start AS d").first()
+    assert (row.j, str(row.d)) == ('{"a": [1, 2]}', "2026-01-15")
+
+
 def test_date_query(spark):
     assert dt.date.fromisoformat(Q.AS_OF)
 
@@ -251,9 +429,27 @@ def test_fetching(spark):
     both = X.fetch_with_fallback(urls.where("url = 'bad'"), fetch, lambda u: "second", concurrency=1).collect()
     assert [r.markdown for r in both] == ["second"]
     assert X.probe(spark, fetch, "https://example.com") and not X.probe(spark, fetch, "bad")
-    site = {"https://indeed.com/a": "[x](/job-b) https://other.com/c", "https://indeed.com/job-b": "[back](https://indeed.com/a) [d](d)", "https://indeed.com/d": "end"}
-    found = X.crawl(spark.createDataFrame([("https://indeed.com/a",)], "url string"), lambda u: site[u], concurrency=1)
-    assert rows(found, "url", "depth") == [("https://indeed.com/a", 0), ("https://indeed.com/d", 2), ("https://indeed.com/job-b", 1)]
+    asked = []
+    got = X.fetch_with_fallback(urls.where("url = 'u1'"), fetch, lambda u: asked.append(u) or "second", concurrency=1).collect()
+    assert len(got) == 1 and got[0].markdown.startswith("page") and not asked
+    with pytest.raises(ValueError):
+        X.fetch_with_fallback(urls, fetch, fetch, provider="third")
+    site = {"https://indeed.com/a": "[x](/sde-b) https://other.com/c https://naukri.com/n [e](/e)", "https://indeed.com/sde-b": "[back](https://indeed.com/a) [d](d)", "https://indeed.com/d": "end", "https://indeed.com/e": "end", "https://naukri.com/s": "[t](/t)", "https://naukri.com/t": "end"}
+    seeds = spark.createDataFrame([("https://indeed.com/a",), ("https://naukri.com/s",), ("https://other.com/x",)], "url string")
+    found = X.crawl(seeds, lambda u: site[u], concurrency=1)
+    assert rows(found, "url", "depth") == [("https://indeed.com/a", 0), ("https://indeed.com/d", 2), ("https://indeed.com/e", 1), ("https://indeed.com/sde-b", 1), ("https://naukri.com/s", 0), ("https://naukri.com/t", 1)]
+    # each seed has two pages; the better link comes first
+    assert rows(X.crawl(seeds, lambda u: site[u], concurrency=1, pages=2), "url") == [("https://indeed.com/a",), ("https://indeed.com/sde-b",), ("https://naukri.com/s",), ("https://naukri.com/t",)]
+    post = "[Software Engineer at Acme](https://indeed.com/viewjob/1)\n" + "Responsibilities and skills to apply in Pune. " * 10
+    pages = {"https://indeed.com/a": "[Software Engineer](https://indeed.com/viewjob/1)", "https://indeed.com/viewjob/1": post}
+    listings, seeds_done = X.discover(seeds.where("url LIKE '%indeed%'"), lambda u: pages[u], concurrency=1)
+    assert [(r.job_url, r.location) for r in listings.collect()] == [("https://indeed.com/viewjob/1", "Pune")]
+    assert [(r.ok, r.pages, r["rows"], r.status) for r in seeds_done.collect()] == [(True, 2, 1, "SUCCESS")]
+    with pytest.raises(RuntimeError, match="every seed failed"):
+        X.discover(seeds, lambda u: {}[u], concurrency=1)
+    with pytest.raises(X.SourceDisabled):
+        X.discover(seeds, fetch, enabled=False)
+    assert X.seen_urls(spark, "/nowhere/at/all").count() == 0
     waits = []
     with pytest.raises(OSError):
         X.with_retries(lambda: fetch("bad"), sleep=waits.append)
