@@ -67,14 +67,18 @@ def priority_tier(spark, d):
     return _t(spark, d, "pages").select("page_id", U.priority_tier(F.col("url"), ["example.com", "example.net"]).alias("tier"))
 
 
-_LINES = ["Posted 2 days ago", "posted today", "Posted 3 weeks ago", "on 2026-07-01", "none", "posted 5 hours ago"]
+_UNITS, _HOURS = ["hour", "day", "week", "month"], [1, 24, 168, 720]
+_AMOUNT, _UNIT = "(o_orderkey % 17 + 1)", f"({_UNITS})[o_orderkey % 4 + 1]"
 
 
-@query(f"""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN '1998-07-31 (approx, from ''posted 2 day(s) ago'')' WHEN 1 THEN '1998-08-02' WHEN 2 THEN '1998-07-12 (approx, from ''posted 3 week(s) ago'')' WHEN 3 THEN '2026-07-01' WHEN 4 THEN ''
- ELSE '1998-08-02 (approx, from ''posted 5 hour(s) ago'')' END AS posted FROM orders""")
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN '{AS_OF}' WHEN o_orderkey % 9 = 1 THEN strftime(o_orderdate + INTERVAL 30 YEAR, '%Y-%m-%d') WHEN o_orderkey % 9 = 2 THEN ''
+ ELSE strftime(TIMESTAMP '{AS_OF} 12:00:00' - INTERVAL 1 HOUR * ({_AMOUNT} * ({_HOURS})[o_orderkey % 4 + 1]), '%Y-%m-%d') || ' (approx, from ''posted ' || {_AMOUNT} || ' ' || {_UNIT} || '(s) ago'')' END AS posted FROM orders""")
 def posting_date_guess(spark, d):
-    as_of = F.lit(f"{AS_OF} 12:00:00").cast("timestamp_ntz")
-    return _t(spark, d, "orders").select("o_orderkey", D.posting_date_guess(_pick(_LINES, F.col("o_orderkey") % 6), as_of).alias("posted"))
+    as_of, n = F.lit(f"{AS_OF} 12:00:00").cast("timestamp_ntz"), F.col("o_orderkey")
+    day = F.date_format(F.add_months("o_orderdate", 360), "yyyy-MM-dd")
+    said = F.when(n % 9 == 0, "It is new: Just Posted").when(n % 9 == 1, F.concat(F.lit("since "), day, F.lit(", 2040-01-01"))).when(n % 9 == 2, "posted long ago 1999-01-01")
+    ago = F.concat(F.lit("a role, POSTED "), n % 17 + 1, F.when(n % 2 == 0, "+ ").otherwise(" "), _pick(_UNITS, n % 4), F.lit("s ago, on 2031-01-01"))
+    return _t(spark, d, "orders").select("o_orderkey", D.posting_date_guess(F.coalesce(said, ago), as_of).alias("posted"))
 
 
 @query(f"""SELECT n_nationkey, CASE WHEN f AND c = 'HTTP_429' THEN 'RATE_LIMITED' WHEN f AND c IN ('HTTP_403', 'BLOCKED') THEN 'BLOCKED' WHEN f AND c = 'TIMEOUT' THEN 'TIMEOUT' WHEN f AND n > 0 THEN 'DEGRADED' WHEN f THEN 'FAILED' WHEN n = 0 THEN 'NO_RESULTS' ELSE 'SUCCESS' END AS status
@@ -110,8 +114,10 @@ def sheet_cells(spark, d):
     return K.as_cells(rows)
 
 
-@query("""SELECT doc_id, array_to_string(list_concat(list_filter(['la', 'the', 'de'], lambda x: list_contains(w, x)), list_filter(list_transform(list_filter(range(1, len(w) + 1), lambda i: list_position(w, w[i]) = i), lambda i: w[i]), lambda x: x NOT IN ('la', 'the', 'de')))[1:30], ' ') AS words
-FROM (SELECT doc_id, string_split(substr(lower(text), 1, 300), ' ') AS w FROM documents)""")
+@query("""WITH w AS (SELECT doc_id, string_split(lower(text), ' ') AS w FROM documents), e AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM w),
+ f AS (SELECT doc_id, word, CASE word WHEN 'la' THEN 0 WHEN 'the' THEN 1 WHEN 'de' THEN 2 ELSE 2 + min(i) END AS place FROM e GROUP BY doc_id, word),
+ k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS nth FROM f)
+SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS words FROM k WHERE nth <= 30 GROUP BY doc_id""")
 def priority_words(spark, d):
     words = F.split(F.lower("text"), " ")
     return _t(spark, d, "documents").select("doc_id", F.array_join(C.priority_order(words, ["la", "the", "de"]), " ").alias("words"))
@@ -133,10 +139,13 @@ def provider_health(spark, d):
     return ST.provider_health(rows).select("provider", "requests", "successes", "timeouts", "consecutive_failures", "state")
 
 
-@query("SELECT page_id, len(list_distinct(list_transform(regexp_extract_all(url || ' ' || html, 'https?://[^\\s\\)\\]\\>\"'']+'), lambda u: rtrim(u, ').,;:')))) AS n FROM pages".replace("\\\\", "\\"))
+@query("""WITH m AS (SELECT page_id, '[one](' || url || ') ' || url || '. ' || html || ' [two](/a/' || page_id || ')' AS t FROM pages),
+ l AS (SELECT page_id, list_concat(list_transform(regexp_extract_all(t, '\\[[^\\]]*\\]\\(([^)]*)\\)', 1), lambda x: trim(x)), list_transform(regexp_extract_all(t, 'https?://[^\\s\\)\\]\\>"'']+'), lambda u: rtrim(u, ').,;:'))) AS links FROM m),
+ e AS (SELECT page_id, unnest(links) AS link, unnest(range(1, len(links) + 1)) AS i FROM l)
+SELECT page_id, string_agg(link, ' ' ORDER BY i) AS links FROM (SELECT page_id, link, min(i) AS i FROM e GROUP BY page_id, link) GROUP BY page_id""".replace("\\\\", "\\"))
 def links_in_text(spark, d):
-    links = X.links_in_text(F.concat_ws(" ", "url", "html"))
-    return _t(spark, d, "pages").select("page_id", F.size(links).cast("long").alias("n"))
+    text = F.concat(F.lit("[one]("), "url", F.lit(") "), "url", F.lit(". "), "html", F.lit(" [two](/a/"), "page_id", F.lit(")"))
+    return _t(spark, d, "pages").select("page_id", F.array_join(X.links_in_text(text), " ").alias("links"))
 
 
 @query("SELECT user_id, event_id FROM (SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id) ORDER BY event_id LIMIT 100")

@@ -16,7 +16,7 @@ from ..functions import url as U
 from ..operators import listings as L
 from ..operators import metrics as M
 from ..operators import state as ST
-from ..session import ship
+from ..session import scratch, shared_dir, ship
 
 AS_OF = "1998-08-02"
 #: Common words of the tables' texts stand in for role and technology terms.
@@ -121,14 +121,19 @@ _NAV = ", ".join(f"'{t}'" for t in terms.NAV_TITLES)
 _STRIP = "trim({})".replace("{}", "regexp_replace(regexp_replace(regexp_replace({}, '!?\\[([^\\]]*)\\]\\([^)]*\\)', '\\1', 'g'), '!?\\[([^\\]]*)\\]\\([^)]*\\)', '\\1', 'g'), '!?\\[([^\\]]*)\\]\\([^)]*\\)', '\\1', 'g')")
 
 
+_LINES = "'# Menu' || chr(10) || '## [' || replace(replace(left(x, 60), '[', ''), ']', '') || '](u) ![i](j)' || chr(10) || 'ab' || chr(10) || '# A [good [title](a)](b) of page ' || page_id"
+_GIVEN = "CASE page_id % 4 WHEN 0 THEN x WHEN 1 THEN 'Home' WHEN 2 THEN '[' || replace(x, ']', '') || '](u)' ELSE '' END"
+
+
 @query(f"""SELECT page_id, CASE WHEN lower(t) NOT IN ({_NAV}) AND length(t) BETWEEN 3 AND 160 THEN t ELSE coalesce(
  list_filter(list_transform(string_split(u, chr(10)), lambda s: {_STRIP.replace('{}', "trim(regexp_replace(trim(s), '^#+', ''))")}), lambda s: lower(s) NOT IN ({_NAV}) AND length(s) BETWEEN 3 AND 160)[1], nullif(t, ''), 'Software Engineer') END AS title
-FROM (SELECT page_id, {_STRIP.replace('{}', f'trim({_TITLE})')} AS t, url AS u FROM pages)""")
+FROM (SELECT page_id, {_STRIP.replace('{}', f'trim({_GIVEN})')} AS t, {_LINES} AS u FROM (SELECT page_id, {_TITLE} AS x FROM pages))""")
 def page_title_clean(spark, d):
-    title = X.page_title(F.col("url"), F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1))
-    return _t(spark, d, "pages").select("page_id", title.alias("title"))
-
-
+    n, x = F.col("page_id"), F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)
+    given = F.when(n % 4 == 0, x).when(n % 4 == 1, "Home").when(n % 4 == 2, F.concat(F.lit("["), F.replace(x, F.lit("]"), F.lit("")), F.lit("](u)"))).otherwise("")
+    second = F.concat(F.lit("## ["), F.translate(F.substring(x, 1, 60), "[]", ""), F.lit("](u) ![i](j)"))
+    lines = F.concat(F.lit("# Menu\n"), second, F.lit("\nab\n# A [good [title](a)](b) of page "), n)
+    return _t(spark, d, "pages").select("page_id", X.page_title(lines, given).alias("title"))
 
 
 @query(f"""SELECT page_id, i AS nth, links[i] AS link FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM pages), unnest(range(1, len(links) + 1)) AS r(i)""")
@@ -301,7 +306,7 @@ def verdict_clamp_tier(spark, d):
     return rows.select("l_orderkey", "l_linenumber", "fit_score", S.tier(F.col("fit_score")).alias("fit_tier"), ((F.col("fit_score") >= terms.FIT_THRESHOLD) & (F.col("l_returnflag") == "N")).alias("passed"))
 
 
-@query(f"""SELECT doc_id, CAST(rank AS INTEGER) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY (regexp_extract(text, '{terms.EMAIL_PATTERN}') <> '') DESC, n_chars DESC, doc_id) AS rank FROM documents) WHERE rank <= 200""")
+@query(f"""SELECT doc_id, CAST(rank AS INTEGER) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY (regexp_extract(text, '{terms.EMAIL_PATTERN}') <> '') DESC, n_chars DESC, doc_id) AS rank FROM documents)""")
 def final_rank(spark, d):
     rows = _t(spark, d, "documents").select("doc_id", "n_chars", X.first_email(F.col("text")).alias("recruiter_email"))
     return L.number_rows(L.final_rank(rows, score="n_chars", order="doc_id")).select("doc_id", "rank")
@@ -323,7 +328,7 @@ def freshness_score(spark, d):
 
 
 _PHRASES = ["0-1 years", "up to 1 year", "2+ years required", "2-4 years required", "5 years preferred", "senior lead role", "12 yrs of experience", "no number"]
-_LOW = "lower(phrase || ' ' || substr(text, 1, 200))"
+_LOW = "lower(phrase || ' ' || text)"
 _YEARS = rf"coalesce(CAST(nullif(regexp_extract(t, '{terms.YEARS_PATTERN}\s*(?:of\s*experience)?\b', 1), '') AS INTEGER), 0)"
 
 
@@ -435,18 +440,45 @@ def error_class(spark, d):
     return rows.select("n_nationkey", X.error_class(F.col("m"), F.lit("ValueError")).alias("class"))
 
 
-@query("""SELECT doc_id, '{"id": ' || CAST(doc_id AS VARCHAR) || ', "tags": ["a", "b"]}' AS repaired FROM documents""")
+_PLAIN = r"""regexp_replace(text, '[\\"\n\r\t{}\[\],`]', ' ', 'g')"""
+
+
+@query(f"""SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN '{{"id": ' || doc_id || ', "tags": ["a", "b"], "text": "' || x || '"}}' WHEN 1 THEN '{{"id": ' || doc_id || ', "tags": ["a", "b"]}}' WHEN 2 THEN '{{"id": ' || doc_id || ', "tags": ["a"]}}' WHEN 3 THEN '{{"id": ' || doc_id || ', "text": "' || x || '"}}'
+ WHEN 4 THEN '{{"id": ' || doc_id || ', "in": {{"text": "' || x || '"}}}}' WHEN 5 THEN '{{"id": ' || doc_id || '}}' WHEN 6 THEN NULL ELSE '{{"id": ' || doc_id || ', "n": [1, 2]}}' END AS repaired FROM (SELECT doc_id, {_PLAIN} AS x FROM documents)""")
 def json_repair(spark, d):
-    cut = F.concat(F.lit('{"id": '), F.col("doc_id").cast("string"), F.lit(', "tags": ["a", "b"], "text": "'), F.regexp_replace("text", r'[\\"\n\r\t]', " "))
+    n, x = F.col("doc_id"), F.regexp_replace("text", r'[\\"\n\r\t{}\[\],`]', " ")
+    head = F.concat(F.lit('{"id": '), n)
+    cut = (
+        F.when(n % 8 == 0, F.concat(F.lit("```json\n"), head, F.lit(', "tags": ["a", "b"], "text": "'), x, F.lit('"}\n```')))  # fenced
+        .when(n % 8 == 1, F.concat(head, F.lit(', "tags": ["a", "b"], "text": "'), x))  # cut within a string
+        .when(n % 8 == 2, F.concat(head, F.lit(', "tags": ["a", "b')))  # within a list
+        .when(n % 8 == 3, F.concat(F.lit("Here it is: "), head, F.lit(', "text": "'), x, F.lit('"} Done.')))  # within prose
+        .when(n % 8 == 4, F.concat(head, F.lit(', "in": {"text": "'), x, F.lit('"')))  # all brackets open
+        .when(n % 8 == 5, F.concat(head, F.lit(', "next":')))  # after a key
+        .when(n % 8 == 6, x).otherwise(F.concat(head, F.lit(', "n": [1, 2], ')))
+    )
     return _t(spark, d, "documents").select("doc_id", J.repair_json(cut).alias("repaired"))
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate + INTERVAL 30 YEAR, '%Y-%m-%d') AS first_day, strftime(o_orderdate + INTERVAL 30 YEAR, '%Y-%m-%d') AS last_day FROM orders")
+@query("""WITH d AS (SELECT o_orderkey AS k, CAST(o_orderdate + INTERVAL 30 YEAR AS DATE) AS a FROM orders)
+SELECT k AS o_orderkey, CASE WHEN k % 8 IN (4, 7) THEN NULL WHEN k % 8 = 1 THEN strftime(date_trunc('month', a) + INTERVAL 4 DAY, '%Y-%m-%d') WHEN k % 8 = 6 AND (a < DATE '2027-01-01' OR a > DATE '2027-05-20') THEN '2027-05-20' ELSE strftime(a, '%Y-%m-%d') END AS first_day,
+ CASE WHEN k % 8 IN (4, 7) THEN NULL WHEN k % 8 = 1 THEN strftime(date_trunc('month', a) + INTERVAL 6 DAY, '%Y-%m-%d') WHEN k % 8 = 6 AND (a < DATE '2027-01-01' OR a > DATE '2027-05-20') THEN '2027-05-20' ELSE strftime(a, '%Y-%m-%d') END AS last_day FROM d""")
 def walkin_dates(spark, d):
-    text = F.concat(F.lit("Walk-in drive on "), F.date_format(F.add_months("o_orderdate", 360), "d MMM yyyy"), F.lit(" at our campus, bring a resume and an identity card. Our company, founded 12 Jan 2001"))
-    rows = _t(spark, d, "orders").select("o_orderkey", D.walkin_dates(text, F.lit(AS_OF).cast("date")).alias("w"))
-    day = lambda c: F.date_format(c, "yyyy-MM-dd")
-    return rows.select("o_orderkey", day("w.start").alias("first_day"), day("w.end").alias("last_day"))
+    n, day = F.col("o_orderkey"), F.add_months("o_orderdate", 360)
+    at = lambda f: F.date_format(day, f)
+    text = (
+        F.when(n % 8 == 0, F.concat(F.lit("Walk-in drive on "), at("d MMM yyyy"), F.lit(" at our campus, bring a resume. Our company, founded 12 Jan 2001")))
+        .when(n % 8 == 1, F.concat(F.lit("Hiring drive, 5th to 7th "), at("MMMM yyyy"), F.lit(" (5 "), at("MMM yyyy"), F.lit(" and after)")))  # a range; its first day is in it
+        .when(n % 8 == 2, F.concat(F.lit("Interview date: "), at("yyyy-MM-dd")))
+        .when(n % 8 == 3, F.concat(F.lit("| walk in interview | x\nDrive: "), at("MMMM d"), F.lit("th "), at("yyyy")))
+        .when(n % 8 == 4, F.concat(F.lit("Last walk-in was held on "), at("d MMM yyyy"), F.lit(". Deadline "), at("yyyy-MM-dd")))  # of the past
+        .when(n % 8 == 5, F.concat(F.lit("walk-in "), at("MM/dd/yyyy")))
+        .when(n % 8 == 6, F.concat(F.lit("Walk-in on "), at("d MMM yyyy"), F.lit("\nNext drive on 20 May 2027")))  # the first that is ahead, else the latest
+        .otherwise(F.concat(F.lit("Walk-in. "), F.repeat(F.lit("far away "), 30), at("d MMM yyyy")))  # out of reach
+    )
+    rows = _t(spark, d, "orders").select("o_orderkey", D.walkin_dates(text, F.lit("2027-01-01").cast("date")).alias("w"))
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return rows.select("o_orderkey", shown("w.start").alias("first_day"), shown("w.end").alias("last_day"))
 
 
 @query(r"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(url || ' apply' || chr(10) || html, 'https?://[^\s\)\]\>"'']+')) AS raw FROM pages)
@@ -456,27 +488,82 @@ def job_links(spark, d):
     return rows.where("n > 0")
 
 
-@query(f"SELECT user_id AS key, CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN value < 40 THEN 1 ELSE 0 END) AS BIGINT) AS failures FROM events GROUP BY user_id")
-def stream_state(spark, d):
-    """Keyed state over a stream of events, read to its end; the latest counts of each key."""
-    import uuid
+def _stream(spark, d, batches: int, columns: list):
+    """events as a stream of so many files, one in each micro-batch, in order of time."""
+    path = scratch(spark, "events")
+    rows = _t(spark, d, "events")
+    edges = rows.agg(F.max("event_id")).first()[0] + 1
+    for i in range(batches):
+        part = rows.where((F.col("event_id") >= edges * i // batches) & (F.col("event_id") < edges * (i + 1) // batches))
+        part.select(*columns).coalesce(1).write.mode("append").parquet(path)
+    schema = rows.select(*columns).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path), rows
 
-    from ..session import scratch, shared_dir
-    from ..streaming.machine import ROCKSDB, running_failures
 
-    ship(spark)
+def _with_rocksdb(spark, run):
+    from ..streaming.machine import ROCKSDB
+
     shared_dir(spark)
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name)
     spark.conf.set(name, ROCKSDB)
     try:
-        source = spark.read.parquet(f"{d}/events.parquet")
-        stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(d) if not d.endswith("events.parquet") else spark.readStream.schema(source.schema).parquet(d)
-        events = stream.select(F.col("user_id").alias("key"), F.col("event_id").alias("ord"), (F.col("value") < 40).alias("failed"))
-        out = scratch(spark, "stream")
-        run = running_failures(events).writeStream.outputMode("update").option("checkpointLocation", f"{out}-log-{uuid.uuid4().hex}").trigger(availableNow=True)
-        run.foreachBatch(lambda df, i: df.withColumn("batch", F.lit(i)).write.mode("overwrite").parquet(f"{out}/batch={i}")).start().awaitTermination()
+        return run()
     finally:
         spark.conf.set(name, before)
-    rows = spark.read.schema("key long, n long, failures long, run long, batch long").parquet(f"{out}/*")
-    return rows.groupBy("key").agg(F.max_by("n", F.col("n")).alias("n"), F.max_by("failures", F.col("n")).alias("failures"))
+
+
+@query("SELECT user_id AS key, CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN value < 40 THEN 1 ELSE 0 END) AS BIGINT) AS failures FROM events GROUP BY user_id")
+def stream_state(spark, d):
+    """Keyed state over a stream of events in four micro-batches, read to its end; the latest counts of each key."""
+    from ..streaming.machine import running_failures
+
+    out = scratch(spark, "stream")
+
+    def run():
+        stream, _ = _stream(spark, d, 4, [F.col("user_id").alias("key"), F.col("event_id").alias("ord"), (F.col("value") < 40).alias("failed")])
+        writer = running_failures(stream).writeStream.outputMode("update").option("checkpointLocation", f"{out}-log").trigger(availableNow=True)
+        writer.foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}")).start().awaitTermination()
+
+    _with_rocksdb(spark, run)
+    rows = spark.read.schema("key long, n long, failures long, run long, batch int").parquet(out)
+    return rows.groupBy("key").agg(F.max_by("n", "batch").alias("n"), F.max_by("failures", "batch").alias("failures"))
+
+
+_WANTED = "CASE event_id % 7 WHEN 0 THEN 'EVALUATING' WHEN 1 THEN 'EVALUATED' WHEN 2 THEN 'PASSED' WHEN 3 THEN 'RETRYABLE_ERROR' WHEN 4 THEN 'EVALUATING' WHEN 5 THEN 'DEADLINE_EXCEEDED' ELSE 'QUEUED' END"
+_STEP = f"(status = target OR (status = 'QUEUED' AND target IN ('RETRYABLE_ERROR', 'PERMANENT_ERROR')) OR status || '>' || target IN ({_OK}))"
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT user_id // 10 * 1000 + event_id // 40 AS key, event_id, CASE WHEN event_id % 7 = 3 AND event_id % 2 = 0 THEN 'PERMANENT_ERROR' ELSE {_WANTED} END AS target, row_number() OVER (PARTITION BY user_id // 10 * 1000 + event_id // 40 ORDER BY event_id) AS i FROM events),
+ s AS (SELECT key, CAST(0 AS BIGINT) AS i, 'QUEUED' AS status, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS from_status, CAST(NULL AS VARCHAR) AS target, false AS valid FROM (SELECT DISTINCT key FROM e)
+  UNION ALL SELECT e.key, e.i, CASE WHEN {_STEP.replace('target', 'e.target')} THEN e.target ELSE s.status END, e.event_id, s.status, e.target, {_STEP.replace('target', 'e.target')} FROM s JOIN e ON s.key = e.key AND e.i = s.i + 1)
+SELECT event_id, from_status, target AS to_status, valid FROM s WHERE i > 0""")
+def stream_machine(spark, d):
+    """The evaluation state machine over events in four micro-batches; every step with whether it was allowed.
+
+    Its leases are timers, with which a stream never runs out of work: it is stopped when all rows are in.
+    """
+    import time
+
+    from ..streaming.machine import run_state_machine
+
+    out, n = scratch(spark, "machine"), F.col("event_id")
+    wanted = F.get(F.array(*(F.lit(x) for x in ("EVALUATING", "EVALUATED", "PASSED", "RETRYABLE_ERROR", "EVALUATING", "DEADLINE_EXCEEDED", "QUEUED"))), (n % 7).cast("int"))
+    # a key's events are close in time, and the edges between batches fall among them
+    key = (F.floor(F.col("user_id") / 10) * 1000 + F.floor(n / 40)).cast("string").alias("key")
+
+    def run():
+        stream, rows = _stream(spark, d, 4, [key, n.alias("ord"), wanted.alias("status"), F.when(n % 2 == 0, "invalid json").otherwise("timeout").alias("error")])
+        total = rows.count()
+        steps = run_state_machine(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-log").start()
+        try:
+            while steps.isActive and sum(p["numInputRows"] for p in steps.recentProgress) < total:
+                time.sleep(0.2)
+            if not steps.isActive and steps.exception():
+                raise steps.exception()
+        finally:
+            steps.stop()
+
+    _with_rocksdb(spark, run)
+    # the sink's log names the files of whole batches only
+    return spark.read.parquet(out).where("ord >= 0").select(F.col("ord").alias("event_id"), "from_status", "to_status", "valid")

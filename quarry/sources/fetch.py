@@ -119,7 +119,7 @@ def crawl(seeds: DataFrame, fetcher: Fetcher, *, depth: int = 2, pages: int = 20
 def discover(seeds: DataFrame, fetcher: Fetcher, *, enabled: bool = True, most: int = terms.CRAWL_ROWS, **options) -> tuple[DataFrame, DataFrame]:
     """(listings, diagnostics by seed) of a crawl. Fails if every seed failed, or if none had a candidate.
 
-    A page that looks like a posting, by its address and title, is a candidate; so is each link to one.
+    A page that looks like a posting, by its address, is a candidate; so is each link to one.
     A candidate with a posting's text is a listing; the first of each address stays, most in all.
     """
     spark = seeds.sparkSession
@@ -128,7 +128,7 @@ def discover(seeds: DataFrame, fetcher: Fetcher, *, enabled: bool = True, most:
     pages = crawl(seeds, fetcher, **options)
     title = page_title(F.col("markdown"), F.lit(""))
     own = pages.where("markdown IS NOT NULL").withColumn("title", title).withColumn("anti_bot", is_anti_bot(F.col("markdown")))
-    own = own.withColumn("candidate", ~F.col("anti_bot") & looks_job_url(F.col("url"), F.col("title"), F.lit("")))
+    own = own.withColumn("candidate", ~F.col("anti_bot") & looks_job_url(F.col("url"), F.lit(""), F.lit("")))
     links = own.where(~F.col("anti_bot")).select("seed", F.explode(harvested_links(F.col("markdown"), F.col("url"), F.lit(None).cast("array<struct<href:string,text:string>>"))).alias("l"))
     linked = links.where(looks_job_url(F.col("l.href"), F.col("l.text"), F.col("l.text"))).groupBy("seed").agg(F.count("*").alias("linked"))
     rows = own.where(F.col("candidate") & is_job_text(F.col("markdown")))

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .. import terms
@@ -90,7 +91,7 @@ def search_api(raw: DataFrame) -> DataFrame:
 @source("html_list")
 def html_list(raw: DataFrame, marker: str = "/detail/") -> DataFrame:
     """Anchors of a list page whose address has a marker, with the text around each: from its block's start
-    to the next anchor with the marker. Unpaid ones go; the first row of each address of a page stays."""
+    to the next anchor with the marker. The first row of each address of a page stays, unless it is unpaid."""
     anchor = rf"""(?is)<a\b[^>]*href=["'][^"']*{marker}[^"']*["'][^>]*>"""
     rows = raw.select("origin", F.posexplode(F.split("body", f"(?={anchor})")).alias("nth", "part"))
     # what stands before an anchor in its own block belongs to it, not to the anchor before
@@ -100,8 +101,9 @@ def html_list(raw: DataFrame, marker: str = "/detail/") -> DataFrame:
     rows = rows.withColumn("lead", F.coalesce(before, F.lit(""))).where(F.col("part").rlike("^" + anchor))
     link = F.regexp_extract("part", rf"""(?i)href=["']([^"']*{marker}[^"']*)""", 1)
     rows = rows.select("origin", "nth", link.alias("link"), plain(F.regexp_extract("part", r"(?is)^<a\b[^>]*>(.*?)</a>", 1)).alias("text"), plain(F.concat("lead", F.regexp_replace("part", block, ""))).alias("context"))
-    rows = rows.where((F.col("text") != "") & ~F.lower("context").contains("unpaid"))
-    first = rows.groupBy("origin", "link").agg(F.min_by(F.struct("text", "context"), "nth").alias("f")).select("origin", "link", "f.*")
+    # an address is known by its first anchor with a text, and goes with it
+    first = rows.where(F.col("text") != "").groupBy("origin", "link").agg(F.min_by(F.struct("text", "context"), "nth").alias("f")).select("origin", "link", "f.*")
+    first = first.where(~F.lower("context").contains("unpaid"))
     return _listing(first, "html_list", job_url=absolute_url(F.col("link"), F.col("origin")), title=F.col("text"), location=location_guess(F.col("context")), description=F.substring("context", 1, 500))
 
 
@@ -261,13 +263,26 @@ class LandedSource(DataSource):
 
 def read_landed(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Parse a folder of landed responses, one file each, by a registered source."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("origin"))
+    raw = spark.read.text(path, wholetext=True).select(F.col("value").alias("body"), F.col("_metadata.file_path").alias("origin"))
     return SOURCES[name](raw)
 
 
 def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a JSON file with a fixed schema; malformed ones are kept apart in _corrupt_record, not lost with the rest."""
-    return spark.read.schema(schema + ", _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+    """Rows of files that hold a JSON array of objects each (or one object), with the columns of schema and _bad.
+
+    Other keys are left out. A value that does not fit its column is null and makes its row bad, as does an
+    element that is no object; the other rows of the file are as good as without it. A file that is no JSON
+    gives one bad row.
+    """
+    parsed = F.try_parse_json("value")
+    items = F.coalesce(F.try_variant_get(parsed, "$", "array<variant>"), F.array(parsed))
+    rows = spark.read.text(path, wholetext=True).select(F.explode(items).alias("v"))
+    fields = StructType.fromDDL(schema).fields
+    own = [F.try_variant_get("v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in fields]
+    given = lambda f: F.coalesce(~F.is_variant_null(F.try_variant_get("v", f"$.{f.name}", "variant")), F.lit(False))
+    unfit = reduce(lambda a, b: a | b, (given(f) & c.isNull() for f, c in zip(fields, own, strict=True)))
+    is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
+    return rows.select(*own, (unfit | ~is_object).alias("_bad"))
 
 
 def read_latest_log(spark: SparkSession, path: str) -> DataFrame:
