@@ -25,12 +25,13 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import input_bytes, materialise, ship
+from . import sums
 from . import words as W
+from .sums import SENT, message, part, sum_arrays
 
 CLASSES, FEATURES, END = 32, 4, 31
 #: A class feature's step in a round is RATE * its mean gradient, held back by RESERVE tokens.
@@ -39,7 +40,7 @@ RATE, RESERVE, BLOCKS, MINIBATCH = 4.0, 20.0, 4, 1 << 12
 GRAIN = 1024
 #: Pairs that occur less often are no features; PRIOR is the inverse variance of a pair's weight.
 CUTOFF, PRIOR, ROUNDS = 2, 0.3, 4
-HEAD_PAIRS, FLUSH, SHARD_BYTES, BATCH_BYTES, FAN_IN = 1 << 16, 1 << 21, 32 << 20, 4 << 20, 64
+HEAD_PAIRS, FLUSH, SHARD_BYTES, BATCH_BYTES = 1 << 16, 1 << 21, 32 << 20, 4 << 20
 
 
 @dataclass(frozen=True)
@@ -134,30 +135,12 @@ def _unplanes(body: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-def _sum_arrays(df: DataFrame, tasks: int, dtype: str) -> dict[str, np.ndarray]:
-    """Sums of the arrays of rows (block, lane, body), at most FAN_IN of them in a task at a time."""
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, dtype) for x in table["body"].to_pylist())
-        return pa.table([table["block"].slice(0, 1), pa.array([table["lane"][0].as_py() // FAN_IN], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["block", "lane", "body"])
-
-    while True:
-        tasks = -(-tasks // FAN_IN)
-        df = df.withColumn("lane", F.pmod("lane", F.lit(max(1, tasks)))).groupBy("block", "lane").applyInArrow(add, "block string, lane long, body binary")
-        if tasks <= 1:
-            return {r.block: np.frombuffer(r.body, dtype) for r in df.collect()}
-
-
 def _read(batches: Iterator[pa.RecordBatch], column: int = 1):
     for batch in batches:
         for w in W.split(batch.column(column), lower=True):
             yield batch, w
 
 
-def _part() -> int:
-    return TaskContext.get().partitionId() if TaskContext.get() else 0
-
-
 # ---- pairs (hashed last word, word) and counts ----
 
 _TABLE = "shard int, words binary, counts binary, sizes binary, histories binary, times binary"
@@ -214,7 +197,7 @@ def gather_pairs(taught: DataFrame, sizes: Sizes) -> DataFrame:
         def out():
             value, history = (np.concatenate(x) for x in zip(*held, strict=True))
             value, history, times = _distinct(value, history, np.ones(len(value), np.int64))
-            return table(_pack_pairs(_shard_of(value, sizes.shards), value, history, times), (_part() * 31 + flush) % (1 << 30)).to_batches()
+            return table(_pack_pairs(_shard_of(value, sizes.shards), value, history, times), (part() * 31 + flush) % (1 << 30)).to_batches()
 
         for _, w in _read(batches):
             t = tokens(w, sizes)
@@ -240,7 +223,7 @@ def gather_pairs(taught: DataFrame, sizes: Sizes) -> DataFrame:
 
     sent = taught.mapInArrow(send, _TABLE + ", lane int")
     # a frequent word is sent by every task with all its histories; they are merged in levels
-    lanes = -(-sizes.flushes // FAN_IN)
+    lanes = -(-sizes.flushes // sums.FAN_IN)
     if lanes > 1:
         sent = sent.withColumn("lane", F.pmod("lane", F.lit(lanes))).groupBy("shard", "lane").applyInArrow(merge(False), _TABLE + ", lane int")
     return materialise(sent.groupBy("shard").applyInArrow(merge(True), _TABLE), "pairs")
@@ -322,17 +305,14 @@ def _class_rounds(taught: DataFrame, sizes: Sizes, prior: np.ndarray) -> tuple[n
                 count += np.bincount(t.history.astype(np.int64) * CLASSES + target, minlength=len(count))
                 for i in range(0, len(target), MINIBATCH):
                     add_gradient(total, start, prior, t.features[:, i : i + MINIBATCH], target[i : i + MINIBATCH])
-            some = [k for k in range(FEATURES) if total[k].any()]
-            blocks = ["seen", *(f"{k}" for k in some)]
-            bodies = [count.astype(np.float64).tobytes(), *(total[k].astype(np.float64).tobytes() for k in some)]
-            yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array([_part()] * len(blocks), pa.int64()), pa.array(bodies, pa.binary())], ["block", "lane", "body"])
-
-        sums = _sum_arrays(taught.where(block == nth).coalesce(tasks).mapInArrow(learn, "block string, lane long, body binary"), tasks, "<f8")
-        if "seen" in sums:
-            seen = seen + sums["seen"].astype(np.int64)
+            yield message({"seen": count.astype(float)} | {f"{k}": total[k].astype(float) for k in range(FEATURES) if total[k].any()})
+
+        got = sum_arrays(taught.where(block == nth).coalesce(tasks).mapInArrow(learn, SENT), tasks, "<f8")
+        if "seen" in got:
+            seen = seen + got["seen"].astype(np.int64)
         for k in range(FEATURES):
-            if str(k) in sums:
-                step = sums[str(k)].reshape(shape[1:])
+            if str(k) in got:
+                step = got[str(k)].reshape(shape[1:])
                 weights[k] += (RATE / GRAIN * step[:, :CLASSES] / (RESERVE + step[:, CLASSES:])).astype(np.float32)
         shared.unpersist()
     return weights, seen.reshape(-1, CLASSES)
@@ -351,11 +331,11 @@ def _normalise(pairs: DataFrame, model: Model) -> None:
             for word, counts, at, history, times in _each(batches):
                 value, count = word[at], counts[at]
                 np.add.at(total, (history, (value & np.uint64(31)).astype(np.int64)), np.exp(m.pair_values(value, count, history, times)) - (count + 1.0))
-            yield pa.RecordBatch.from_arrays([pa.array(["z"]), pa.array([_part()], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["block", "lane", "body"])
+            yield message({"z": total})
 
         tasks = max(1, -(-input_bytes(pairs) // (8 << 20)))
-        sums = _sum_arrays(pairs.mapInArrow(add, "block string, lane long, body binary"), tasks, "<f8")
-        more = sums["z"].reshape(model.norm.shape) if "z" in sums else 0.0
+        got = sum_arrays(pairs.mapInArrow(add, SENT), tasks, "<f8")
+        more = got["z"].reshape(model.norm.shape) if "z" in got else 0.0
         model.norm = model.start[None, :] + more
         shared.unpersist()
 
@@ -473,8 +453,8 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
                 target, word = t.target, t.value != END
                 lm = np.empty(len(target))
                 for i in range(0, len(target), MINIBATCH):
-                    part = _log_softmax(_scores(m.weights, m.prior, t.features[:, i : i + MINIBATCH]))
-                    lm[i : i + MINIBATCH] = part[np.arange(len(part)), target[i : i + MINIBATCH]]
+                    logs = _log_softmax(_scores(m.weights, m.prior, t.features[:, i : i + MINIBATCH]))
+                    lm[i : i + MINIBATCH] = logs[np.arange(len(logs)), target[i : i + MINIBATCH]]
                 lm -= np.where(word, norm[t.history, target], 0)
                 base = np.where(word, 0.0, np.log10(m.ends + 1))
                 at, here = _find(m.head["key"], _pair_key(t.value, t.history))
@@ -483,15 +463,15 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
                     lm += np.where(here, m.head["value"][at], 0)
                     base += np.where(here, np.log10(m.head["count"][at] + 1.0), 0)
                 away = word & ~here
-                sums = [np.bincount(t.doc, x, w.docs) for x in (np.ones(len(lm)), here | (~word & (m.ends > 0)), base, lm)]
-                rows.append(pa.RecordBatch.from_arrays([*(batch.column(c).slice(w.first, w.docs) for c in (0, 2)), *(pa.array(x) for x in sums)], ["doc_id", "held_out", "n", "known", "base", "lm"]))
+                per_doc = [np.bincount(t.doc, x, w.docs) for x in (np.ones(len(lm)), here | (~word & (m.ends > 0)), base, lm)]
+                rows.append(pa.RecordBatch.from_arrays([*(batch.column(c).slice(w.first, w.docs) for c in (0, 2)), *(pa.array(x) for x in per_doc)], ["doc_id", "held_out", "n", "known", "base", "lm"]))
                 tail.append((t.value[away], t.history[away], (t.doc[away] + first).astype(np.uint32)))
                 first += w.docs
             sink = pa.BufferOutputStream()
             table = pa.Table.from_batches(rows).combine_chunks()
             with pa.ipc.new_stream(sink, table.schema) as stream:
                 stream.write_table(table)
-            key = (_part() << 24) + nth
+            key = (part() << 24) + nth
             nth += 1
             value, history, doc = (np.concatenate(x) for x in zip(*tail, strict=True))
             order = np.lexsort((doc, value))
@@ -529,8 +509,8 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
                 at, found = _find(key, _pair_key(np.repeat(asked_word, many), history))
                 more = np.where(found, value[at], 0) if len(key) else np.zeros(len(at))
                 who, place = np.unique(doc, return_inverse=True)
-                sums = [np.bincount(place, x) for x in (np.log10(count + 1.0), known, np.log(count + 1.0) + more)]
-                row[3:] = [_planes(who), _planes(sums[0]), _planes(sums[1].astype(np.uint32)), _planes(sums[2])]
+                got = [np.bincount(place, x) for x in (np.log10(count + 1.0), known, np.log(count + 1.0) + more)]
+                row[3:] = [_planes(who), _planes(got[0]), _planes(got[1].astype(np.uint32)), _planes(got[2])]
             for column, x in zip(out, row, strict=True):
                 column.append(x)
         return pa.table([pa.array(x, k) for x, k in zip(out, (pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4), strict=True)], names=["batch", "kind", "shard", "body", "base", "known", "value"])

@@ -25,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise, parts, settled, shared_dir, ship
+from ..session import input_bytes, materialise, parts, settled, shared_dir, ship
 from . import recurring as R
 from . import words as W
 from .components import connected_components
+from .sums import SENT, message, sum_arrays
 
 SKETCH_BITS = 20
 _PIECES = 64
@@ -71,22 +72,16 @@ def frequency_sketch(df: DataFrame, k: int, text: str = "text") -> np.ndarray:
             block = [s >> np.uint64(64 - SKETCH_BITS) for _, s in _shingle_sets(batch.column(0), k)]
             if block:
                 table += np.bincount(np.concatenate(block).astype(np.int64), minlength=len(table))
-        cut = np.split(table, _PIECES)
-        some = [i for i in range(_PIECES) if cut[i].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([cut[i].astype(np.int64).tobytes() for i in some], pa.binary())], ["piece", "counts"])
+        yield message({f"{i}": x for i, x in enumerate(np.split(table, _PIECES)) if x.any()})
+
+    got = sum_arrays(df.select(text).mapInArrow(count, SENT), _tasks(df), "<i8")
+    none = np.zeros((1 << SKETCH_BITS) // _PIECES, np.int64)
+    return np.concatenate([got.get(f"{i}", none) for i in range(_PIECES)])
 
-    def add(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[piece] = total.get(piece, 0) + np.frombuffer(counts, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["piece", "counts"])
 
-    schema = "piece int, counts binary"
-    table = np.zeros((_PIECES, (1 << SKETCH_BITS) // _PIECES), np.int64)
-    for row in df.select(text).mapInArrow(count, schema).repartition(_PIECES, "piece").mapInArrow(add, schema).collect():
-        table[row.piece] = np.frombuffer(row.counts, np.int64)
-    return table.ravel()
+def _tasks(df: DataFrame) -> int:
+    """About how many tasks a scan makes; only the number of levels of a sum depends on it."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-input_bytes(df) // (8 << 20)))
 
 
 def _levels(table: np.ndarray) -> np.ndarray:
@@ -107,7 +102,7 @@ def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame
     to be of one document left out; lead: how many), its bitmap."""
     ranks = df.sparkSession.sparkContext.broadcast(levels)
     n = parts(df)
-    shards = parts(df, R.SHARD_BYTES)
+    route = R.Route.of(n, parts(df, R.SHARD_BYTES))
     # dealt by row, so that rows that repeat do not meet in one bucket
     docs = settled(df).withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")).groupBy("bucket")
 
@@ -118,10 +113,10 @@ def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame
         return np.concatenate([np.zeros(0, np.uint64), *(asked(s) for _, s in _shingle_sets(table["text"], k))])
 
     def send(table: pa.Table) -> pa.Table:
-        return R.pack(table["bucket"][0].as_py(), every(table), shards, _WIDTH)
+        return R.pack(table["bucket"][0].as_py(), every(table), route.first, _WIDTH)
 
     def rows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        level, twice = ranks.value, R.unpack(every(table), answers, 1, shards)
+        level, twice = ranks.value, R.unpack(every(table), answers, 1, route.first)
         out = []
         for _, s in _shingle_sets(table["text"], k):
             size = len(s)
@@ -136,7 +131,7 @@ def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame
         types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         return pa.table([table["doc_id"], *(pa.array(x, t) for x, t in zip((size, digest, key, lead, prefix, bits), types, strict=True))], names=["doc_id", "n", "digest", "prefix_key", "lead", "prefix", "bits"])
 
-    answers = R.answer(docs.applyInArrow(send, R.SENT_DDL), 1, _WIDTH).groupBy("bucket")
+    answers = R.answer(docs.applyInArrow(send, R.SENT_DDL), 1, route, _WIDTH).groupBy("bucket")
     return docs.cogroup(answers).applyInArrow(rows, "doc_id long, n long, digest string, prefix_key string, lead long, prefix array<long>, bits array<long>")
 
 

@@ -222,6 +222,7 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
     shared_dir(spark)
     n = parts(df)
     shards = parts(df, R.SHARD_BYTES)
+    route = R.Route.of(n, shards)
     inner = [f"_carry{i}" for i in range(len(carry))]
     docs = settled(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *(F.col(c).alias(x) for c, x in zip(carry, inner, strict=True))))
     # dealt by row, so that rows that repeat do not meet in one bucket
@@ -229,11 +230,11 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
     key = lambda table, left=None: (table if len(table) else left)["bucket"][0].as_py()
 
     def send_anchors(table: pa.Table) -> pa.Table:
-        return R.pack(key(table), _join(_windows(w, size)[3] for w in _chunks(table)), shards)
+        return R.pack(key(table), _join(_windows(w, size)[3] for w in _chunks(table)), route.first)
 
     def send_phrases(table: pa.Table, answers: pa.Table) -> pa.Table:
         chunks = [(w, *_windows(w, size)) for w in _chunks(table)]
-        recurring = R.unpack(_join(x[4] for x in chunks), answers, 1, shards)
+        recurring = R.unpack(_join(x[4] for x in chunks), answers, 1, route.first)
         return pack_phrases(key(table, answers), chunks, recurring, size, shards)
 
     fields = [f for f in docs.schema.fields if f.name in inner]
@@ -261,7 +262,7 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
         return pa.table(columns + [table[x] for x in inner], names=["doc_id", "kept_text", "n_words", "n_removed", *inner])
 
     by = lambda frame: frame.groupBy("bucket")
-    first = R.answer(by(docs).applyInArrow(send_anchors, R.SENT_DDL), 1)
+    first = R.answer(by(docs).applyInArrow(send_anchors, R.SENT_DDL), 1, route)
     known = confirm(by(docs).cogroup(by(first)).applyInArrow(send_phrases, _SENT), size)
     out = by(docs).cogroup(by(known)).applyInArrow(locate, schema)
     return out.select("doc_id", "kept_text", "n_words", "n_removed", *(F.col(x).alias(c) for c, x in zip(carry, inner, strict=True)))

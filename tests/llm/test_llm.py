@@ -15,7 +15,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, components, decontaminate, fingerprints, licenses, maxent, mixing, ngram_join, passages, quality, queries, warc
+from quarry.llm import chat, components, decontaminate, fingerprints, licenses, maxent, mixing, ngram_join, passages, quality, queries, recurring, sums, warc
 from quarry.llm import words as W
 
 from .conftest import SCHEMA, make
@@ -222,7 +222,7 @@ def test_op2_scores_do_not_depend_on_partitions(spark, texts, monkeypatch):
     df = make(spark, texts * 3)
     one = sorted(tuple(r) for r in maxent.score_texts(df.coalesce(1)).collect())
     monkeypatch.setattr(maxent, "FLUSH", 500)
-    monkeypatch.setattr(maxent, "FAN_IN", 3)
+    monkeypatch.setattr(sums, "FAN_IN", 3)
     monkeypatch.setattr(maxent, "BATCH_BYTES", 2000)
     monkeypatch.setattr(maxent, "HEAD_PAIRS", 7)
     many = sorted(tuple(r) for r in maxent.score_texts(df.repartition(9)).collect())
@@ -373,6 +373,18 @@ def test_op3_many_phrases_need_several_automata(monkeypatch):
     assert passages.stream(w, machines).tolist() == [tuple(text[i : i + 6]) in wanted and (i < 245 or i >= 250) for i in range(400)]
 
 
+def test_messages_by_wide_ranges_say_the_same(spark, texts, monkeypatch):
+    """With FAN passed, op1 and op3 send by ranges and groups of buckets."""
+    df = make(spark, texts * 2).repartition(5)
+    plain = sorted((r.doc_id, r.n_removed, r.kept_text) for r in passages.drop_repeated_passages(df, size=4).collect())
+    joined = sorted(tuple(r) for r in ngram_join.ngram_components(df, k=3, percent=90).collect())
+    monkeypatch.setattr(recurring, "FAN", 1)
+    monkeypatch.setattr(recurring, "SHARD_BYTES", 200)
+    assert recurring.Route.of(100, 7) == recurring.Route(9, 3, 10)
+    assert sorted((r.doc_id, r.n_removed, r.kept_text) for r in passages.drop_repeated_passages(df, size=4).collect()) == plain
+    assert sorted(tuple(r) for r in ngram_join.ngram_components(df, k=3, percent=90).collect()) == joined
+
+
 def test_op3_odd_rows(spark):
     text = " ".join(map(str, range(40)))
     rows = make(spark, [text] * 3 + ["", None], ids=[None, None, 4, None, 4])
