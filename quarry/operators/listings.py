@@ -49,28 +49,34 @@ def dedupe_by_url(df: DataFrame, url: str = "job_url", order: str = "arrival_ord
 
 
 def fair_top_k(df: DataFrame, *, score: str, group: str, order: str, most: int = terms.MAX_CANDIDATES, least: int = terms.MIN_PER_SOURCE, threshold: int = terms.MIN_SCORE) -> DataFrame:
-    """Up to most rows over a threshold: the best least of each group are sure of a place, the rest go
-    round the groups in turn; then the best by score. Adds rank.
+    """The best rows by score, with at least so many of each group; adds rank.
 
-    Only most rows of a group can matter, so each group is cut to that by a top-k window (which Spark
-    pushes below the shuffle) before the small global ranking.
+    Rows over the threshold; the first least of each group by score are sure of a place; the others
+    take turns, a row of each group by first arrival, until there are most; all of these are then ranked
+    by score. Each group is cut to its best rows before anything is ranked across groups, which is two
+    top-k selections: no task sees the rows of all groups, however many there are.
     """
-    passed = df.where(F.col(score) >= threshold)
+    passed = materialise(df.where(F.col(score) >= threshold), "passed")
     first = passed.groupBy(group).agg(F.min(order).alias("_first"))
     within = Window.partitionBy(group).orderBy(F.desc(score), order)
-    best = passed.withColumn("_rn", F.row_number().over(within)).where(F.col("_rn") <= most).join(first, group)
-    extra = F.col("_rn") > least
-    turn = Window.orderBy(extra, F.when(extra, F.col("_rn")).otherwise(F.col("_first")), F.when(extra, F.col("_first")).otherwise(F.col("_rn")))
-    chosen = best.withColumn("_pos", F.row_number().over(turn)).where(~extra | (F.col("_pos") <= most))
-    final = Window.orderBy(F.desc(score), "_pos")
-    return chosen.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= most).drop("_rn", "_first", "_pos")
+    # a limit on the row number reaches the sort's map side
+    best = passed.withColumn("_rn", F.row_number().over(within)).where(F.col("_rn") <= max(most, least)).join(first, group)
+    best = materialise(best, "best")
+    sure, extra = best.where(F.col("_rn") <= least), best.where(F.col("_rn") > least)
+    turns = extra.orderBy("_rn", "_first").limit(max(0, most - sure.count()))
+    chosen = sure.withColumn("_turn", F.struct(F.lit(0).alias("late"), F.col("_first").alias("a"), F.col("_rn").cast("long").alias("b")))
+    chosen = chosen.unionByName(turns.withColumn("_turn", F.struct(F.lit(1).alias("late"), F.col("_rn").cast(dict(best.dtypes)["_first"]).alias("a"), F.col("_first").cast("long").alias("b"))))
+    top = chosen.orderBy(F.desc(score), "_turn").limit(most)
+    final = Window.orderBy(F.desc(score), "_turn")  # of most rows
+    return top.withColumn("rank", F.row_number().over(final)).drop("_rn", "_first", "_turn")
 
 
 def round_robin(df: DataFrame, *, pool: str, order: str, most: int) -> DataFrame:
     """The first rows of each pool in turn until there are most; adds pick."""
     within = Window.partitionBy(pool).orderBy(order)
     best = df.withColumn("_rn", F.row_number().over(within)).where(F.col("_rn") <= most)
-    return best.withColumn("pick", F.row_number().over(Window.orderBy("_rn", pool))).where(F.col("pick") <= most).drop("_rn")
+    picked = best.orderBy("_rn", pool).limit(most)
+    return picked.withColumn("pick", F.row_number().over(Window.orderBy("_rn", pool))).drop("_rn")  # of most rows
 
 
 def top_k_per_parent(df: DataFrame, *, parent: str, order: list[str], k: int) -> DataFrame:

@@ -18,10 +18,11 @@ def breakdown(df: DataFrame, by: str = "source") -> DataFrame:
 
 
 def shares(df: DataFrame, by: str = "source") -> DataFrame:
-    """Rows per group and their percentage of all, rounded to 2 places (half even). The window sees one row per group."""
+    """Rows per group and their percentage of all, rounded to 2 places (half even). The total is one row, joined to each group."""
     n = breakdown(df, by)
-    total = F.sum("n").over(Window.partitionBy())
-    return n.withColumn("share", F.coalesce(F.bround(F.col("n") * 100.0 / F.nullif(total, F.lit(0)), 2), F.lit(0.0)))
+    total = n.agg(F.sum("n").alias("_total"))
+    share = F.coalesce(F.bround(F.col("n") * 100.0 / F.nullif("_total", F.lit(0)), 2), F.lit(0.0))
+    return n.crossJoin(total).select(by, "n", share.alias("share"))
 
 
 def duplicate_summary(df: DataFrame, key: str) -> DataFrame:
