@@ -9,7 +9,7 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import terms
@@ -17,6 +17,7 @@ from ..functions.text import company_from_title, harvested_links, is_anti_bot, i
 from ..functions.url import absolute_url, allowed_host, host, looks_job_url, norm_url_strict
 from ..operators.metrics import discovery_totals, seed_status
 from ..session import materialise, ship
+from .readers import search_web, wanted_details
 
 Fetcher = Callable[[str], str]
 PAGE = "url string, markdown string, error string, seconds double"
@@ -156,6 +157,52 @@ class NotConfigured(RuntimeError):
     """A source that lacks a key or a program."""
 
 
+def required(value: str | None, name: str) -> str:
+    """A setting that a source cannot do without."""
+    if not value:
+        raise NotConfigured(f"{name} is not set")
+    return value
+
+
+#: (query, most results) -> results with url, title, markdown and description.
+Search = Callable[[str, int], list[dict]]
+RESULT = "query int, nth int, url string, title string, markdown string, description string, error string"
+
+
+def search_queries(queries: DataFrame, search: Search, *, limit: int = 10, concurrency: int = 4, timeout: float = 30.0) -> DataFrame:
+    """Results of (query INT, text) rows: query, nth and a result's fields, with at most limit (100 at most) of each
+    query; a query that fails is one row with an error, and stops no other."""
+    ship(queries.sparkSession)
+    limit = max(1, min(limit, 100))
+    names = ("url", "title", "markdown", "description")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for number, text in zip(batch["query"], batch["text"], strict=True):
+                try:
+                    found = with_timeout(lambda text=text: search(text, limit), timeout)[:limit]
+                    out += [(number, i, *(r.get(n) for n in names), None) for i, r in enumerate(found)]
+                except Exception as e:
+                    out.append((number, -1, None, None, None, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["query", "nth", *names, "error"])
+
+    return queries.select("query", "text").repartition(concurrency, "query").mapInPandas(run, RESULT)
+
+
+def web_search(queries: DataFrame, search: Search, fetcher: Fetcher, as_of: Column, *, enabled: bool = True, key: str | None = "", caps: dict[str, int] = terms.SEARCH_CAPS, **options) -> DataFrame:
+    """Listings of a whole web search: queries are asked in order, lists among the results are followed, and
+    the pages that they bring within the caps are fetched once. See search_web() for what counts."""
+    if not enabled:
+        raise SourceDisabled("web search is switched off")
+    if key is not None:
+        required(key, "the search key")
+    asked = queries.where(F.col("query") < caps["queries"])
+    results = materialise(search_queries(asked, search, limit=min(caps["results"], caps["total"])), "results").where("error IS NULL")
+    pages = materialise(fetch_urls(wanted_details(results, caps), fetcher, **options), "details")
+    return search_web(results, pages.select("url", F.lit(None).cast("string").alias("title"), "markdown"), as_of, caps=caps)
+
+
 def seen_urls(spark: SparkSession, *paths: str) -> DataFrame:
     """Distinct job_url of the first table that exists, else none.
 

@@ -146,6 +146,33 @@ def web_search(raw: DataFrame) -> DataFrame:
     return _listing(rows, "web_search", job_url=F.col("url"), title=F.col("title"), company=company_from_result(F.col("title"), F.col("url")), location=location_guess(F.concat_ws(" ", "title", text)), description=F.substring(text, 1, 4000))
 
 
+def _met(results: DataFrame, caps: dict[str, int]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Of search results: the postings among them and the links that their lists bring within the caps, each address
+    where it is met first; and the order of meeting."""
+    asked = results.where((F.col("query") < caps["queries"]) & (F.col("nth") < caps["results"]))
+    asked = asked.select("query", "nth", norm_url_loose(F.trim("url")).alias("url"), F.trim(F.coalesce("title", F.lit(""))).alias("title"), F.coalesce("markdown", F.lit("")).alias("markdown"), F.coalesce("description", F.lit("")).alias("snippet"))
+    asked = asked.withColumns({"tier": priority_tier(F.col("url")), "single": is_individual_job_url(F.col("url"), F.col("title")), "many": is_aggregate_page(F.col("url"), F.col("title"))})
+    # the caps bound these rows; written once, the rules are not worked out again for each use below
+    asked = materialise(asked, "asked")
+    order = ["query", "tier", "nth"]
+    text = F.coalesce(F.nullif(F.trim("markdown"), F.lit("")), F.nullif(F.trim("snippet"), F.lit("")), F.col("title"))
+    direct = asked.where("single").select(*order, F.lit(-1).alias("link_nth"), "url", "title", text.alias("text"))
+    lists = asked.where("many AND NOT single").orderBy(*order).limit(caps["expansions"])
+    inside = F.filter(F.transform(links_in_text(F.col("markdown")), lambda x: absolute_url(x, F.col("url"))), lambda x: is_individual_job_url(x, F.lit("")))
+    links = lists.select(*order, F.col("title").alias("parent"), F.posexplode(F.slice(inside, 1, caps["links"])).alias("link_nth", "link"))
+    links = materialise(links.withColumn("url", norm_url_loose(F.col("link"))), "links")
+    place = F.struct(*order, "link_nth")
+    first = direct.select("url", place.alias("p")).unionByName(links.select("url", place.alias("p"))).groupBy("url").agg(F.min("p").alias("first"))
+    here = lambda df: df.join(first, "url").where(place == F.col("first")).drop("first")
+    order.append("link_nth")
+    return here(direct), here(links).orderBy(*order).limit(caps["details"]), order
+
+
+def wanted_details(results: DataFrame, caps: dict[str, int] = terms.SEARCH_CAPS) -> DataFrame:
+    """The pages (url) that search_web() will ask for as details."""
+    return _met(results, caps)[1].select(F.col("link").alias("url")).distinct()
+
+
 def search_web(results: DataFrame, details: DataFrame, as_of: Column, *, caps: dict[str, int] = terms.SEARCH_CAPS) -> DataFrame:
     """Listings of a web search: results (query, nth, url, title, markdown, description) and the pages that
     list results link to, details (url, title, markdown).
@@ -155,25 +182,12 @@ def search_web(results: DataFrame, details: DataFrame, as_of: Column, *, caps: d
     postings, as far as the caps on lists, links and pages go. An address counts once, where it is met
     first; what does not read like a posting goes. The first total listings are returned, with their place.
     """
-    asked = results.where((F.col("query") < caps["queries"]) & (F.col("nth") < caps["results"]))
-    asked = asked.select("query", "nth", norm_url_loose(F.trim("url")).alias("url"), F.trim(F.coalesce("title", F.lit(""))).alias("title"), F.coalesce("markdown", F.lit("")).alias("markdown"), F.coalesce("description", F.lit("")).alias("snippet"))
-    asked = asked.withColumns({"tier": priority_tier(F.col("url")), "single": is_individual_job_url(F.col("url"), F.col("title")), "many": is_aggregate_page(F.col("url"), F.col("title"))})
-    order = ["query", "tier", "nth"]
-    text = F.coalesce(F.nullif(F.trim("markdown"), F.lit("")), F.nullif(F.trim("snippet"), F.lit("")), F.col("title"))
-    direct = asked.where("single").select(*order, F.lit(-1).alias("link_nth"), "url", "title", text.alias("text"), F.lit(True).alias("direct"))
-    lists = asked.where("many AND NOT single").orderBy(*order).limit(caps["expansions"])
-    links = lists.select(*order, F.col("title").alias("parent"), F.posexplode(F.slice(F.filter(F.transform(links_in_text(F.col("markdown")), lambda x: absolute_url(x, F.col("url"))), lambda x: is_individual_job_url(x, F.lit(""))), 1, caps["links"])).alias("link_nth", "link"))
-    links = links.withColumn("url", norm_url_loose(F.col("link")))
-    met = direct.select(*order, "link_nth", "url").unionByName(links.select(*order, "link_nth", "url"))
-    place = F.struct(*order, "link_nth")
-    first = met.groupBy("url").agg(F.min(place).alias("first"))
-    here = lambda df: df.join(first, "url").where(place == F.col("first")).drop("first")
-    wanted = here(links).orderBy(*order, "link_nth").limit(caps["details"])
+    direct, wanted, order = _met(results, caps)
     pages = wanted.join(details.select(F.col("url").alias("link"), F.col("title").alias("own"), F.col("markdown").alias("text")), "link")
-    pages = pages.select(*order, "link_nth", "url", F.coalesce("own", "parent").alias("title"), "text", F.lit(False).alias("direct"))
-    found = here(direct).unionByName(pages).where(is_valid_detail(F.col("text"))).dropDuplicates(["url"])
-    rows = found.orderBy(*order, "link_nth").limit(caps["total"])
-    rows = rows.withColumn("place", F.row_number().over(Window.orderBy(*order, "link_nth")))  # at most caps["total"] rows
+    pages = pages.select(*order, "url", F.coalesce("own", "parent").alias("title"), "text")
+    found = direct.select(*order, "url", "title", "text").unionByName(pages).where(is_valid_detail(F.col("text"))).dropDuplicates(["url"])
+    rows = found.orderBy(*order).limit(caps["total"])
+    rows = rows.withColumn("place", F.row_number().over(Window.orderBy(*order)))  # of at most caps["total"] rows
     guess = F.concat_ws(" ", "title", F.substring("text", 1, 500))
     return rows.select(
         "place", F.col("url").alias("job_url"), "title", company_from_result(F.col("title"), F.col("url")).alias("company"), location_guess(guess).alias("location"),

@@ -451,6 +451,21 @@ def test_fetching(spark):
     with pytest.raises(X.SourceDisabled):
         X.discover(seeds, fetch, enabled=False)
     assert X.seen_urls(spark, "/nowhere/at/all").count() == 0
+    good = "Requirements and skills to apply in Pune. "
+
+    def search(text, most):
+        if text == "bad":
+            raise OSError("down")
+        return [{"url": "https://x.in/python-jobs", "title": "list", "markdown": "[a](https://x.in/job/1111111) [b](https://x.in/job/2222222)"}, {"url": f"https://x.in/job/{text}", "title": "T at Co", "description": good}] * most
+
+    queries = spark.createDataFrame([(0, "3333333"), (1, "bad"), (2, "4444444")], "query int, text string")
+    when = F.lit("2026-01-10").cast("timestamp")
+    got = X.web_search(queries, search, lambda u: good if u.endswith("2") else "all jobs", when, key="k", concurrency=1).orderBy("place").collect()
+    assert [(r.job_url[-7:], r.location) for r in got] == [("2222222", "Pune"), ("3333333", "Pune"), ("4444444", "Pune")]
+    assert [r.error for r in X.search_queries(queries.where("query = 1"), search).collect()] == ["OSError: down"]
+    with pytest.raises(X.NotConfigured):
+        X.web_search(queries, search, fetch, when)
+    assert X.search_queries(queries.where("query = 0"), search, limit=500).count() == 100
     waits = []
     with pytest.raises(OSError):
         X.with_retries(lambda: fetch("bad"), sleep=waits.append)
