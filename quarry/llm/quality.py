@@ -194,10 +194,10 @@ def classify_quality(df: DataFrame, labels: DataFrame, *, threshold: float = 0.7
     Learns only from labelled rows whose crc32(doc_id as text) mod folds is not held. Only the text
     is an input of a score. predicted is 1 if score >= threshold.
 
-    Null and empty texts have the statistics of an empty text. Rows that repeat get equal scores, and
-    each counts where it is labelled, once for each of its labels; null labels or ids, and labels but
+    Null and empty texts have the statistics of an empty text; long texts count whole. Rows that repeat,
+    like all ties, get equal scores, and each counts where it is labelled, once for each of its labels; null labels or ids, and labels but
     0 and 1, teach nothing. If a class has fewer than two rows, every score is the smoothed share of
-    class 1. Empty tables give no rows.
+    class 1. Empty tables give no rows; other columns are ignored.
     """
     ship(df.sparkSession)
     known = materialise(text_statistics(df, doc_id, text), "statistics")
