@@ -167,6 +167,21 @@ def fetch_fallback(spark, d):
     return FE.fetch_with_fallback(urls.unionByName(urls), _page, _second, concurrency=2).select("url", "markdown", "error")
 
 
+def _blocking(url: str) -> str:
+    number = int(url.rsplit("/", 1)[1])
+    if number % 4 == 0 or number > 17:
+        raise OSError("HTTP 406 Not Acceptable" if number % 5 else "HTTP 500")
+    return f"page {number}"
+
+
+@query("""WITH RECURSIVE n AS (SELECT n_nationkey AS k, CASE WHEN (n_nationkey % 4 = 0 OR n_nationkey > 17) AND n_nationkey % 5 > 0 THEN 1 WHEN n_nationkey % 4 = 0 OR n_nationkey > 17 THEN 0 ELSE -1 END AS b FROM nation),
+ s AS (SELECT CAST(-1 AS INTEGER) AS k, 0 AS run UNION ALL SELECT n.k, CASE WHEN n.b < 0 THEN 0 ELSE s.run + n.b END FROM s JOIN n ON n.k = s.k + 1 WHERE s.run < 3)
+SELECT CAST(k AS BIGINT) AS ord, CASE WHEN k % 4 = 0 OR k > 17 THEN NULL ELSE 'page ' || k END AS markdown FROM s WHERE k >= 0""")
+def fetch_breaker(spark, d):
+    urls = _t(spark, d, "nation").select(F.col("n_nationkey").alias("ord"), F.concat(F.lit("u/"), "n_nationkey").alias("url"))
+    return FE.fetch_until_blocked(urls, _blocking).select("ord", "markdown")
+
+
 _SEEDS = ["https://indeed.com/s/0", "https://www.naukri.com/s/1", "https://other.org/s/2", "https://wellfound.com/s/3"]
 
 

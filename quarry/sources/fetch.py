@@ -67,6 +67,34 @@ def fetch_urls(urls: DataFrame, fetcher: Fetcher, *, concurrency: int = 4, timeo
     return some.repartition(concurrency, "url").mapInPandas(run, PAGE)
 
 
+def fetch_until_blocked(urls: DataFrame, fetcher: Fetcher, *, limit: int = 3, blocked: str = "406", timeout: float = 30.0, order: str = "ord", url: str = "url") -> DataFrame:
+    """(ord, url, markdown, error, seconds) in order, until limit requests in a row were blocked: the rest is not asked.
+
+    Blocked: a failure whose text contains blocked; other failures count neither way, an answer starts over. What a
+    site allows depends on the requests before, so this is one task by nature, for lists of search pages.
+    """
+    ship(urls.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        run_of = 0
+        for batch in batches:
+            out = []
+            for at, u in zip(batch["ord"], batch["url"], strict=True):
+                if run_of >= limit:
+                    break
+                start = time.monotonic()
+                try:
+                    text, error, run_of = with_timeout(lambda u=u: fetcher(u), timeout), None, 0
+                except Exception as e:
+                    text, error = None, f"{type(e).__name__}: {e}"
+                    run_of += blocked in error
+                out.append((at, u, text, error, time.monotonic() - start))
+            yield pd.DataFrame(out, columns=["ord", "url", "markdown", "error", "seconds"])
+
+    rows = urls.select(F.col(order).cast("long").alias("ord"), F.col(url).alias("url")).where("url IS NOT NULL AND url <> ''")
+    return rows.coalesce(1).sortWithinPartitions("ord").mapInPandas(run, "ord long, " + PAGE)
+
+
 PROVIDERS = ("auto", "first", "second")
 
 

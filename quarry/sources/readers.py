@@ -6,7 +6,9 @@ reader turns them into rows of one schema. A new source is a function registered
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -230,14 +232,39 @@ def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def try_sources(frames: dict[str, Callable[[], DataFrame]]) -> tuple[dict[str, DataFrame], dict[str, Exception]]:
-    """The sources that can be planned, and why others cannot: one broken source does not stop the rest."""
-    good, bad = {}, {}
-    for name, make in frames.items():
+    """The sources that deliver, and why others do not: one broken source does not stop the rest.
+
+    Sources run side by side, and each is read to its end and written here, so one that breaks while its rows
+    are read is found out as well as one that cannot be planned. An empty source delivers.
+    """
+
+    def land(make: Callable[[], DataFrame]) -> DataFrame | Exception:
         try:
-            good[name] = make()
+            return materialise(make(), "source")
         except Exception as e:
-            bad[name] = e
-    return good, bad
+            return e
+
+    with ThreadPoolExecutor(max(1, min(len(frames), 13))) as pool:
+        got = dict(zip(frames, pool.map(land, frames.values()), strict=True))
+    return {k: v for k, v in got.items() if isinstance(v, DataFrame)}, {k: v for k, v in got.items() if isinstance(v, Exception)}
+
+
+class OncePerRun:
+    """Makes something once, however many threads ask for it: the first makes it, the others wait and get the same,
+    or the same failure. A search that several sources share is asked once."""
+
+    def __init__(self, make: Callable[[], DataFrame]):
+        self._make, self._lock, self._made = make, threading.Lock(), None
+
+    def __call__(self) -> DataFrame:
+        with self._lock:
+            if self._made is None:
+                self._made = Future()
+                try:
+                    self._made.set_result(self._make())
+                except Exception as e:
+                    self._made.set_exception(e)
+        return self._made.result()
 
 
 class _Landed(InputPartition):

@@ -404,6 +404,35 @@ def test_sql_names(spark, tmp_path):
     assert (row.j, str(row.d)) == ('{"a": [1, 2]}', "2026-01-15")
 
 
+def test_sources_fail_alone_and_share(spark):
+    import threading
+
+    def late():
+        @F.udf("string")
+        def broken(x):
+            raise ValueError("half way")
+
+        return spark.range(3).select(broken("id").alias("x"))
+
+    def unplanned():
+        raise OSError("down")
+
+    good, bad = R.try_sources({"a": lambda: spark.range(3).toDF("x"), "b": late, "c": unplanned, "d": lambda: spark.range(0).toDF("x")})
+    assert {k: v.count() for k, v in good.items()} == {"a": 3, "d": 0} and set(bad) == {"b", "c"}
+    asked = []
+    once = R.OncePerRun(lambda: asked.append(1) or spark.range(2))
+    threads = [threading.Thread(target=once) for _ in range(5)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(asked) == 1 and once() is once()
+    fails = R.OncePerRun(unplanned)
+    for _ in range(2):
+        with pytest.raises(OSError):
+            fails()
+
+
 def test_date_query(spark):
     assert dt.date.fromisoformat(Q.AS_OF)
 
