@@ -292,7 +292,7 @@ def _class_rounds(taught: DataFrame, sizes: Sizes, prior: np.ndarray) -> tuple[n
     weights = np.zeros((*shape[:2], CLASSES), np.float32)
     seen = np.zeros((1 << sizes.history_bits) * CLASSES, np.int64)
     # a task reads many times what it sends
-    tasks = max(spark.sparkContext.defaultParallelism, input_bytes(taught) * BLOCKS // (64 * int(np.prod(shape)) * 4))
+    tasks = max(spark.sparkContext.defaultParallelism, input_bytes(taught) * BLOCKS // (16 * int(np.prod(shape)) * 4))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(BLOCKS))
     for nth in range(BLOCKS):
         shared = spark.sparkContext.broadcast(weights)
