@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+import sys
 import time
 from collections.abc import Callable, Mapping
 
@@ -17,6 +19,18 @@ ERROR_PATTERNS = ["ERROR", "Traceback", "gateway unavailable", "rate limited", "
 REQUIRED_SETTINGS = ["GOOGLE_SHEET_ID", "GOOGLE_SERVICE_ACCOUNT_JSON", "ALERT_EMAIL_TO"]
 
 
+def get_logger(name: str, level: int = logging.INFO) -> logging.Logger:
+    """A logger to standard output with time, level and name; asked for again, the same one with one handler."""
+    log = logging.getLogger(name)
+    if not log.handlers:
+        handler = logging.StreamHandler(sys.stdout)
+        handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(name)s: %(message)s"))
+        log.addHandler(handler)
+        log.propagate = False
+    log.setLevel(level)
+    return log
+
+
 def log_issues(lines: DataFrame) -> DataFrame:
     """pattern, n: the lines of a log (line) that contain each error pattern."""
     return pattern_counts(lines.select(F.lower("line").alias("line")), "line", {p: p.lower() for p in ERROR_PATTERNS})
@@ -59,8 +73,9 @@ def validate(settings: Mapping[str, str]) -> None:
         raise RuntimeError("missing settings: " + ", ".join(missing))
 
 
-def run_every(run: Callable[[], object], hours: float = 24.0, *, times: int | None = None, sleep: Callable[[float], None] = time.sleep, log: Callable[[str], None] = print) -> int:
+def run_every(run: Callable[[], object], hours: float = 24.0, *, times: int | None = None, sleep: Callable[[float], None] = time.sleep, log: Callable[[str], None] | None = None) -> int:
     """Run again and again, for ever or so many times; a run that fails is logged and does not end the loop. How many failed."""
+    log = log or get_logger("quarry.loop").warning
     done = failed = 0
     while times is None or done < times:
         try:

@@ -388,6 +388,7 @@ def test_monitor(spark, tmp_path):
     assert got == {"files": (False, "1 changed"), "ignore file": (False, "2 bytes"), "log": (False, "ERROR=2, Traceback=1"), "artifacts": (False, "progress and metrics are not of one run; status is running")}
     with pytest.raises(RuntimeError, match="ALERT_EMAIL_TO"):
         MO.validate({"GOOGLE_SHEET_ID": "x", "GOOGLE_SERVICE_ACCOUNT_JSON": "y"})
+    assert MO.get_logger("quarry.test") is MO.get_logger("quarry.test") and len(MO.get_logger("quarry.test").handlers) == 1
     slept, said = [], []
     assert MO.run_every(lambda: 1 / 0, 2, times=3, sleep=slept.append, log=said.append) == 3 and slept == [7200, 7200] and len(said) == 3
 
