@@ -49,14 +49,17 @@ def _shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
         if len(short):
             whole = [W.mix(np.array([len(h)], np.uint64) + W.rolling(h, len(h)))[0] for h in (w.hashes[w.bounds[i] : w.bounds[i + 1]] for i in short)]
             doc, value = np.concatenate([doc, short]), np.concatenate([value, np.array(whole, np.uint64)])
-        order = np.lexsort((value, doc))
-        doc, value = doc[order], value[order]
-        keep = np.ones(len(doc), bool)
-        keep[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-        doc, value = doc[keep], value[keep]
+            order = np.argsort(doc, kind="stable")
+            doc, value = doc[order], value[order]
         cut = np.searchsorted(doc, np.arange(w.docs + 1))
+        value = W.sort_within(value, cut)
         for i in range(w.docs):
-            yield w.first + i, value[cut[i] : cut[i + 1]]
+            s = value[cut[i] : cut[i + 1]]
+            if len(s) > 1:
+                new = np.ones(len(s), bool)
+                np.not_equal(s[1:], s[:-1], out=new[1:])
+                s = s[new]
+            yield w.first + i, s
 
 
 def frequency_sketch(df: DataFrame, k: int, text: str = "text") -> np.ndarray:
@@ -109,20 +112,26 @@ def _index(df: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame
     def asked(s: np.ndarray) -> np.ndarray:
         return s[(s & _ASKED) == 0] & _SHORT
 
-    def every(table: pa.Table) -> np.ndarray:
-        return np.concatenate([np.zeros(0, np.uint64), *(asked(s) for _, s in _shingle_sets(table["text"], k))])
+    def sets_of(table: pa.Table) -> list[np.ndarray]:
+        return [s for _, s in _shingle_sets(table["text"], k)]
+
+    def every(sets: list[np.ndarray]) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint64), *map(asked, sets)])
 
     def send(table: pa.Table) -> pa.Table:
-        return R.pack(table["bucket"][0].as_py(), every(table), route.first, _WIDTH)
+        return R.pack(table["bucket"][0].as_py(), every(sets_of(table)), route.first, _WIDTH)
 
     def rows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        level, twice = ranks.value, R.unpack(every(table), answers, 1, route.first)
+        sets = sets_of(table)  # about as large as the bucket's texts
+        level, several, at = ranks.value, R.flags(every(sets), answers, 1, route.first), 0
         out = []
-        for _, s in _shingle_sets(table["text"], k):
+        for s in sets:
             size = len(s)
             p = size - -(-percent * size // 100) + 1 if size else 0
             alone = (s & _ASKED) == 0
-            alone[alone] = ~R.isin(s[alone] & _SHORT, twice)
+            n_asked = int(np.count_nonzero(alone))
+            alone[alone] = ~several[at : at + n_asked]
+            at += n_asked
             rank = np.where(alone, -1, level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)])
             prefix = s[np.lexsort((s, rank))[:p]].view(np.int64)
             lead = min(p, int(alone.sum()))

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import distinct
+
 #: Bytes of documents for each shard. There are fewer shards than buckets, so that messages (one for each of
 #: both) stay long; a shard holds about as many bytes of hashes at most.
 SHARD_BYTES = 64 << 20
@@ -133,13 +135,24 @@ def isin(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[at] == values
 
 
-def unpack(hashes: np.ndarray, answers: pa.Table, kind: int, shards: int) -> np.ndarray:
-    """The distinct hashes of a bucket that occur twice or more, sorted. hashes: as given to pack()."""
-    value = np.unique(hashes)
+def _said(value: np.ndarray, answers: pa.Table, kind: int, shards: int) -> np.ndarray:
+    """For each of a bucket's sorted distinct hashes whether it occurs twice or more."""
     cut = _cuts(value, shards)
     yes = np.zeros(len(value), bool)
     for k, shard, bits in zip(answers["kind"].to_pylist(), answers["shard"].to_pylist(), answers["bits"].to_pylist(), strict=True):
         if k == kind:
             a, b = cut[shard], cut[shard + 1]
             yes[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
-    return value[yes]
+    return yes
+
+
+def unpack(hashes: np.ndarray, answers: pa.Table, kind: int, shards: int) -> np.ndarray:
+    """The distinct hashes of a bucket that occur twice or more, sorted. hashes: as given to pack()."""
+    value = distinct(hashes)
+    return value[_said(value, answers, kind, shards)]
+
+
+def flags(hashes: np.ndarray, answers: pa.Table, kind: int, shards: int) -> np.ndarray:
+    """For each of hashes, as given to pack(), whether it occurs twice or more."""
+    value, place = np.unique(hashes, return_inverse=True)
+    return _said(value, answers, kind, shards)[place]

@@ -11,6 +11,7 @@ import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +66,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; by sorting, which for numbers is much faster than np.unique's table."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
+def sort_within(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """values sorted within each of the parts that bounds give."""
+    out = values.copy()
+    for a, b in pairwise(bounds.tolist()):
+        if b - a > 1:
+            out[a:b].sort()
+    return out
+
+
 @dataclass
 class Words:
     """The words of some documents: first..first+len(bounds)-1 of the batch."""
@@ -126,7 +144,7 @@ def split(column: pa.Array, *, lower: bool = False, alnum: bool = False, hashed:
         # a word never runs from one text into the next
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         cuts = text_at[1:-1]
-        cuts = np.unique(cuts[(cuts > 0) & (cuts < n)])
+        cuts = distinct(cuts[(cuts > 0) & (cuts < n)])
         if len(cuts):
             cuts = cuts[(inside[cuts] == 1) & (inside[cuts + 1] == 1)]
             if len(cuts):
