@@ -146,14 +146,25 @@ def _read(batches: Iterator[pa.RecordBatch], column: int = 1):
 _TABLE = "shard int, words binary, counts binary, sizes binary, histories binary, times binary"
 
 
-def _distinct(value: np.ndarray, history: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct pairs and how often each occurs."""
-    order = np.lexsort((history, value))
-    value, history, times = value[order], history[order], times[order]
-    new = np.ones(len(value), bool)
-    new[1:] = (value[1:] != value[:-1]) | (history[1:] != history[:-1])
-    first = np.flatnonzero(new)
-    return value[first], history[first], np.add.reduceat(times, first) if len(first) else times
+def _firsts(sorted_values: np.ndarray) -> np.ndarray:
+    """Where each different value starts."""
+    new = np.ones(len(sorted_values), bool)
+    new[1:] = sorted_values[1:] != sorted_values[:-1]
+    return np.flatnonzero(new)
+
+
+def _distinct(value: np.ndarray, history: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct pairs and how often each occurs (times: of each given pair; else once)."""
+    known, place = np.unique(value, return_inverse=True)
+    # a pair as one number: the word's place, then the history's 16 bits
+    key = (place.astype(np.uint64) << np.uint64(16)) | history.astype(np.uint64)
+    if times is None:
+        key, total = np.unique(key, return_counts=True)
+    else:
+        order = np.argsort(key)
+        first = _firsts(key[order])
+        key, total = key[order][first], np.add.reduceat(times[order], first) if len(first) else times
+    return known[key >> np.uint64(16)], (key & np.uint64(0xFFFF)).astype(np.uint16), total
 
 
 def _pack_pairs(shards: np.ndarray, value: np.ndarray, history: np.ndarray, times: np.ndarray, counts: np.ndarray | None = None, keep: np.ndarray | None = None) -> list[list]:
@@ -161,7 +172,8 @@ def _pack_pairs(shards: np.ndarray, value: np.ndarray, history: np.ndarray, time
     edge = np.append(np.searchsorted(shards, np.unique(shards)), len(shards))
     rows = []
     for a, b in pairwise(edge.tolist()):
-        word, first = np.unique(value[a:b], return_index=True)
+        first = _firsts(value[a:b])
+        word = value[a:b][first]
         own = keep[a:b] if keep is not None else np.ones(b - a, bool)
         size = np.add.reduceat(own.astype(np.int64), first)
         total = np.add.reduceat(times[a:b], first)
@@ -196,7 +208,7 @@ def gather_pairs(taught: DataFrame, sizes: Sizes) -> DataFrame:
 
         def out():
             value, history = (np.concatenate(x) for x in zip(*held, strict=True))
-            value, history, times = _distinct(value, history, np.ones(len(value), np.int64))
+            value, history, times = _distinct(value, history)
             return table(_pack_pairs(_shard_of(value, sizes.shards), value, history, times), (part() * 31 + flush) % (1 << 30)).to_batches()
 
         for _, w in _read(batches):
@@ -474,14 +486,16 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
             key = (part() << 24) + nth
             nth += 1
             value, history, doc = (np.concatenate(x) for x in zip(*tail, strict=True))
-            order = np.lexsort((doc, value))
-            value, history, doc = value[order], history[order], doc[order]
+            known, place = np.unique(value, return_inverse=True)
+            order = np.argsort((place.astype(np.uint64) << np.uint64(32)) | doc)
+            value, history, doc = known[place[order]], history[order], doc[order]
             cut = np.searchsorted(_shard_of(value, sizes.shards), np.arange(sizes.shards + 1))
             some = np.flatnonzero(np.diff(cut))
             sent: list[list] = [[None, *([None] * len(some))] for _ in range(4)]
             for i, s in enumerate(some.tolist(), 1):
                 a, b = cut[s], cut[s + 1]
-                word, times = np.unique(value[a:b], return_counts=True)
+                begin = _firsts(value[a:b])
+                word, times = value[a:b][begin], np.diff(np.append(begin, b - a))
                 for column, x in zip(sent, (word, times.astype(np.uint32), history[a:b], doc[a:b]), strict=True):
                     column[i] = _planes(x)
             bodies = [sink.getvalue().to_pybytes(), *([None] * len(some))]
