@@ -134,7 +134,7 @@ def confirm(sent: DataFrame, size: int) -> DataFrame:
             good = R.isin(w, twice)
             owner = np.repeat(np.arange(len(sizes) // 4), np.frombuffer(sizes, "<u4"))
             out[0].append(w[good].tobytes())
-            out[1].append(np.frombuffer(phrases, np.uint64).reshape(-1, width)[np.unique(owner[good])].tobytes())
+            out[1].append(np.frombuffer(phrases, np.uint64).reshape(-1, width)[W.distinct(owner[good])].tobytes())
         n = len(windows)
         return pa.table([table["bucket"], pa.array(np.full(n, 2), pa.int32()), table["shard"], *(pa.array(x, pa.binary()) for x in out)], names=["bucket", "kind", "shard", "bits", "phrases"])
 
@@ -241,7 +241,7 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
     schema = "doc_id long, kept_text string, n_words long, n_removed long" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in fields)
 
     def locate(table: pa.Table, known: pa.Table) -> pa.Table:
-        confirmed = np.unique(_join(np.frombuffer(x, np.uint64) for x in known["bits"].to_pylist()))
+        confirmed = W.distinct(_join(np.frombuffer(x, np.uint64) for x in known["bits"].to_pylist()))
         machines = automata(_join(np.frombuffer(x, np.uint64) for x in known["phrases"].to_pylist()).reshape(-1, min(ANCHOR, size)))
         kept, n_words, n_removed = [], [], []
         valid = table["text"].is_valid().to_numpy()
