@@ -37,16 +37,23 @@ def _per_doc(flag: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(flag, dtype=np.int64)])[at])
 
 
-def _distinct(doc: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _distinct(bounds: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many different values each document has, and how often its commonest occurs."""
-    if not len(doc):
+    n = len(bounds) - 1
+    if not len(value):
         return np.zeros(n, np.int64), np.zeros(n, np.int64)
-    order = np.lexsort((value, doc))
-    d, v = doc[order], value[order]
-    first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (v[1:] != v[:-1])]))
+    v = W.sort_within(value, bounds)
+    new = np.ones(len(v), bool)
+    new[1:] = v[1:] != v[:-1]
+    new[bounds[:-1][bounds[:-1] < len(v)]] = True
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(v)))
+    # one part of first for each document that has values
+    at = np.searchsorted(first, bounds)
+    some = np.flatnonzero(np.diff(at))
     most = np.zeros(n, np.int64)
-    np.maximum.at(most, d[first], np.diff(np.append(first, len(d))))
-    return np.bincount(d[first], minlength=n), most
+    most[some] = np.maximum.reduceat(count, at[:-1][some])
+    return np.diff(at), most
 
 
 def statistics(texts: pa.Array) -> np.ndarray:
@@ -62,10 +69,10 @@ def statistics(texts: pa.Array) -> np.ndarray:
         total, square = np.bincount(doc, length, n), np.bincount(doc, length**2, n)
         mean = total / np.maximum(words, 1)
         spread = np.sqrt(np.maximum(square / np.maximum(words, 1) - mean**2, 0))
-        different, most = _distinct(doc, w.hashes, n)
+        different, most = _distinct(w.bounds, w.hashes)
         pair_doc, _, pair = W.runs(w, 2)
         pairs = np.bincount(pair_doc, minlength=n)
-        different_pairs, _ = _distinct(pair_doc, pair, n)
+        different_pairs, _ = _distinct(np.concatenate([[0], np.cumsum(pairs)]), pair)
         # lines, as sums of their words' hashes
         line = np.concatenate([[0], np.cumsum(w.data == 10)])[w.starts]
         lines = repeated = np.zeros(n)
@@ -73,7 +80,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
             first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])]))
             sums = np.add.reduceat(w.hashes, first)
             lines = np.bincount(doc[first], minlength=n).astype(float)
-            repeated = lines - _distinct(doc[first], sums, n)[0]
+            repeated = lines - _distinct(np.searchsorted(doc[first], np.arange(n + 1)), sums)[0]
         capital = np.bincount(doc, (kind[w.starts] == 1).astype(float), n) if len(doc) else np.zeros(n)
         logit = lambda x: np.log((x + 0.01) / (1.01 - np.clip(x, 0, 1)))
         out.append(
