@@ -280,11 +280,11 @@ class LandedReader(DataSourceReader):
         return [_Landed(p) for p in self.paths] or [_Landed("")]
 
     def read(self, partition: _Landed):
-        from pyarrow import fs
+        from quarry.sources.stores import open_store
 
         if partition.path:
-            where, path = fs.FileSystem.from_uri(partition.path)
-            with where.open_input_stream(path) as stream:
+            where, path = open_store(partition.path)
+            with where.open_input_stream(path, compression=None) as stream:
                 yield (stream.read().decode("utf-8", "replace"), partition.path)
 
 
