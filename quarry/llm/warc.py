@@ -16,11 +16,11 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import zstandard as zstd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, scratch, ship
+from ..sources.stores import open_store
 
 DICT_MAGIC = 0x184D2A5D
 SAMPLE_BYTES, SAMPLE_RECORDS, DICT_BYTES = 2 << 20, 400, 64 << 10
@@ -33,16 +33,6 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def open_store(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a URI, by the names that Spark's file systems go by as well."""
-    scheme, sep, rest = uri.partition(":")
-    if sep and scheme in ("s3a", "s3n"):
-        uri = f"s3:{rest}"
-    elif sep and scheme == "dbfs":
-        uri = f"file:///dbfs/{rest.lstrip('/')}"
-    return fs.FileSystem.from_uri(uri)
-
-
 def _line(url: str) -> str:
     return " ".join(url.split())
 
