@@ -35,9 +35,9 @@ from .sums import SENT, message, part, sum_arrays
 
 CLASSES, FEATURES, END = 32, 4, 31
 #: A class feature's step in a round is RATE * its mean gradient, held back by RESERVE tokens.
-RATE, RESERVE, BLOCKS, MINIBATCH = 4.0, 20.0, 4, 1 << 12
-#: Gradients are counted in such parts, exactly.
-GRAIN = 1024
+RATE, RESERVE, BLOCKS = 4.0, 20.0, 4
+#: Gradients are counted in parts of 1 / GRAIN; MINIBATCH * GRAIN is 2**24, up to which 32-bit sums are exact. STEP tokens fit a cache.
+GRAIN, MINIBATCH, STEP = 512, 1 << 15, 1 << 12
 #: Pairs that occur less often are no features; PRIOR is the inverse variance of a pair's weight.
 CUTOFF, PRIOR, ROUNDS = 2, 0.3, 4
 HEAD_PAIRS, FLUSH, SHARD_BYTES, BATCH_BYTES = 1 << 16, 1 << 21, 32 << 20, 4 << 20
@@ -98,9 +98,11 @@ def tokens(w: W.Words, sizes: Sizes) -> Tokens:
     return Tokens(doc, value, features.astype(np.uint16), (last >> np.uint64(64 - sizes.history_bits)).astype(np.uint16))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _log_softmax(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Each row's log probability of its target; x is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), target]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
 
 
 def _scores(weights: np.ndarray, prior: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -112,16 +114,20 @@ def _scores(weights: np.ndarray, prior: np.ndarray, features: np.ndarray) -> np.
 
 def add_gradient(total: np.ndarray, weights: np.ndarray, prior: np.ndarray, features: np.ndarray, target: np.ndarray) -> None:
     """Add some tokens' gradient, in parts of 1/GRAIN, and each feature's tokens (last column) to total."""
-    gap = -np.exp(_log_softmax(_scores(weights, prior, features)))
-    gap[np.arange(len(target)), target] += 1
-    gap = np.rint(gap * GRAIN)
+    gap = np.empty((len(target), CLASSES), np.float32)
+    for i in range(0, len(target), STEP):
+        x = _scores(weights, prior, features[:, i : i + STEP])
+        x -= x.max(axis=1, keepdims=True)
+        np.exp(x, out=x)
+        np.multiply(x, -GRAIN / x.sum(axis=1, keepdims=True), out=gap[i : i + STEP])
+    gap[np.arange(len(target)), target] += GRAIN
+    np.rint(gap, out=gap)
     for k in range(FEATURES):
         order = np.argsort(features[k], kind="stable")
         f = features[k][order]
         first = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
         f = f[first]
-        # whole numbers below 2**24 are exact
-        total[k, f, :CLASSES] += np.add.reduceat(gap[order], first, axis=0).astype(np.int64)
+        total[k, f, :CLASSES] += np.add.reduceat(gap[order], first, axis=0)
         total[k, f, CLASSES] += np.diff(np.append(first, len(order)))
 
 
@@ -310,14 +316,14 @@ def _class_rounds(taught: DataFrame, sizes: Sizes, prior: np.ndarray) -> tuple[n
         shared = spark.sparkContext.broadcast(weights)
 
         def learn(batches, shared=shared):
-            start, total, count = shared.value, np.zeros(shape, np.int64), np.zeros(len(seen), np.int64)
+            start, total, count = shared.value, np.zeros(shape), np.zeros(len(seen), np.int64)
             for _, w in _read(batches):
                 t = tokens(w, sizes)
                 target = t.target
                 count += np.bincount(t.history.astype(np.int64) * CLASSES + target, minlength=len(count))
                 for i in range(0, len(target), MINIBATCH):
                     add_gradient(total, start, prior, t.features[:, i : i + MINIBATCH], target[i : i + MINIBATCH])
-            yield message({"seen": count.astype(float)} | {f"{k}": total[k].astype(float) for k in range(FEATURES) if total[k].any()})
+            yield message({"seen": count.astype(float)} | {f"{k}": total[k] for k in range(FEATURES) if total[k].any()})
 
         got = sum_arrays(taught.where(block == nth).coalesce(tasks).mapInArrow(learn, SENT), tasks, "<f8")
         if "seen" in got:
@@ -464,9 +470,8 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
                 t = tokens(w, sizes)
                 target, word = t.target, t.value != END
                 lm = np.empty(len(target))
-                for i in range(0, len(target), MINIBATCH):
-                    logs = _log_softmax(_scores(m.weights, m.prior, t.features[:, i : i + MINIBATCH]))
-                    lm[i : i + MINIBATCH] = logs[np.arange(len(logs)), target[i : i + MINIBATCH]]
+                for i in range(0, len(target), STEP):
+                    lm[i : i + STEP] = _log_softmax(_scores(m.weights, m.prior, t.features[:, i : i + STEP]), target[i : i + STEP])
                 lm -= np.where(word, norm[t.history, target], 0)
                 base = np.where(word, 0.0, np.log10(m.ends + 1))
                 at, here = _find(m.head["key"], _pair_key(t.value, t.history))

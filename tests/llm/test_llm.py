@@ -312,8 +312,9 @@ def test_op2_scores_match_a_plain_model(spark, monkeypatch):
 def test_class_softmax_is_a_distribution():
     r = np.random.default_rng(0)
     weights = r.normal(size=(maxent.FEATURES, 1 << 8, maxent.CLASSES)).astype(np.float32)
-    x = maxent._log_softmax(maxent._scores(weights, np.zeros(maxent.CLASSES, np.float32), r.integers(0, 1 << 8, (maxent.FEATURES, 50)).astype(np.uint16)))
-    assert np.allclose(np.exp(x).sum(axis=1), 1, atol=1e-4)
+    features = r.integers(0, 1 << 8, (maxent.FEATURES, 50)).astype(np.uint16)
+    x = [maxent._log_softmax(maxent._scores(weights, np.zeros(maxent.CLASSES, np.float32), features), np.full(50, c)) for c in range(maxent.CLASSES)]
+    assert np.allclose(np.exp(x).sum(axis=0), 1, atol=1e-4)
 
 
 # ---- op3 ----
