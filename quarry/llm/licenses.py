@@ -218,8 +218,7 @@ def scan_text(text: str | None, automaton: ahocorasick.Automaton, known: dict[st
     """(n_words, n_base, first_word, last_word, base_labels, labels, score, expressions, asks)."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     spaced = raw.translate(_WORDS_ONLY)
-    words = spaced.split(b" ")
-    words = [w for w in words if w]
+    words = spaced.split()  # all other white space has become blanks
     flat = f" {b' '.join(words).decode('latin-1')} "
     base, labels, tags, places, done, at = set(), {}, [], [], 0, 0
     for end, (phrase, length) in automaton.iter(flat):
