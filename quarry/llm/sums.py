@@ -8,6 +8,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import words as W
+
 #: Arrays of one block that a task adds up at a level.
 FAN_IN = 64
 SENT = "block string, lane long, body binary"
@@ -27,6 +29,7 @@ def sum_arrays(sent: DataFrame, tasks: int, dtype: str) -> dict[str, np.ndarray]
     """The sum of each block's arrays; what reaches the driver is one array for each block."""
 
     def add(table: pa.Table) -> pa.Table:
+        W.give_memory_back()  # this runs in workers only, some of which meet no text
         total = sum(np.frombuffer(x, dtype) for x in table["body"].to_pylist())
         return pa.table([table["block"].slice(0, 1), table["lane"].slice(0, 1), pa.array([total.tobytes()], pa.binary())], names=["block", "lane", "body"])
 

@@ -30,6 +30,10 @@ def give_memory_back() -> None:
         pass  # another C library
 
 
+# in a worker only, before it reads any data: the driver's process is not ours to set up
+if TaskContext.get() is not None:
+    give_memory_back()
+
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
@@ -130,8 +134,6 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 
 def split(column: pa.Array, *, lower: bool = False, alnum: bool = False, hashed: bool = True, limit: int = CHUNK_BYTES) -> Iterator[Words]:
     """Words of each chunk: runs without white space, or (alnum) runs of a-z, 0-9 and non-ASCII."""
-    if TaskContext.get() is not None:
-        give_memory_back()  # in a worker only: the driver's process is not ours to set up
     separator = _PUNCT if alnum else _SPACE
     for row, _, text_at, raw in chunks(column, limit):
         data = raw
