@@ -131,6 +131,6 @@ def input_bytes(df: DataFrame) -> int:
     return size if size < 1 << 55 else 0
 
 
-def parts(df: DataFrame, target: int = 4 << 20) -> int:
+def parts(df: DataFrame, target: int = 2 << 20) -> int:
     """How many pieces of about target bytes df makes; at least the session's shuffle partitions."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // target))
