@@ -234,7 +234,10 @@ def _pairs(rows: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     known = (F.col("low") == F.col("high")) & (F.col("l") == F.col("h")) & (F.col("low") == F.col("l"))
     out = few.join(other, (few["bucket"] == other["bucket"]) & (F.col("id") < F.col("r")) & ~known & _could_link(percent, "n", "pos", "m", "j")).select(F.col("id").alias("a"), F.col("r").alias("b"))
 
-    many = rows.where(F.col("rows") > FEW).withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int"))
+    many = rows.where(F.col("rows") > FEW)
+    if many.isEmpty():
+        return out.distinct()
+    many = many.withColumn("blocks", F.ceil(F.col("rows") / BLOCK).cast("int"))
     many = many.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     many = many.join(bits, "id").select("bucket", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "id", "n", "pos", "bits", "low", "high")
 
@@ -270,8 +273,8 @@ def ngram_components(df: DataFrame, *, k: int = 5, percent: int = 80, doc_id: st
 
     # copies of a set are one unit; units with the same size and prefix are one group
     units = materialise(some.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix_key").alias("prefix_key"), F.first("bits").alias("bits"), F.first("lead").alias("lead"), F.first("prefix").alias("prefix")), "units")
-    groups = units.groupBy("n", "prefix_key").agg(F.min("rep").alias("gid"), F.count("*").alias("members"), F.first("lead").alias("lead"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
-    groups = materialise(groups.withColumn("bits", F.when(F.col("members") == 1, F.col("bits"))), "groups")
+    groups = units.groupBy("n", "prefix_key").agg(F.min("rep").alias("gid"), F.count("*").alias("members"), F.first("lead").alias("lead"), F.first("prefix").alias("prefix"))
+    groups = materialise(groups, "groups")
     several = groups.where("members > 1").select("n", "prefix_key", "gid")
     # members of groups of several, the others are their group's only one
     crowd = materialise(units.join(several, ["n", "prefix_key"]).select("gid", "rep", "n"), "members")
@@ -281,7 +284,9 @@ def ngram_components(df: DataFrame, *, k: int = 5, percent: int = 80, doc_id: st
     shared = tokens.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
     tokens = materialise(tokens.join(shared, "token"), "tokens")
 
-    group_bits, set_bits = groups.select(F.col("gid").alias("id"), "bits"), units.select(F.col("rep").alias("id"), "bits")
+    # bitmaps are looked up for rows of large buckets alone; a group of several sets has none
+    set_bits = units.select(F.col("rep").alias("id"), "bits")
+    group_bits = groups.select(F.col("gid").alias("id"), "members").join(set_bits, "id").select("id", F.when(F.col("members") == 1, F.col("bits")).alias("bits"))
 
     # an id's sets belong together, whatever they share
     named = index.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.xxhash64("digest")).alias("low"), F.max(F.xxhash64("digest")).alias("high"))
