@@ -82,24 +82,24 @@ def _join(arrays) -> np.ndarray:
     return np.concatenate([_empty(), *arrays])
 
 
-def pack_phrases(bucket: int, chunks: list[tuple], recurring: np.ndarray, size: int, shards: int) -> pa.Table:
-    """What a bucket sends the shards of its recurring anchors: each one's words, and the windows around it.
+def _summary(w: W.Words, size: int) -> tuple[np.ndarray, ...]:
+    """What is sent of a chunk, if it recurs, so that the chunk itself need not be held: its windows' anchors and
+    hashes; its different anchors and each one's words."""
+    at, least, place, own = _windows(w, size)
+    gram, first = np.unique(own, return_index=True)
+    spelled = w.hashes[place[first][:, None] + np.arange(min(ANCHOR, size))]
+    return least, W.rolling(w.hashes, size)[at] if len(at) else _empty(), gram, spelled
 
-    chunks: (words, window starts, their anchors, anchors' places, anchors).
-    """
+
+def pack_phrases(bucket: int, chunks: list[tuple], recurring: np.ndarray, size: int, shards: int) -> pa.Table:
+    """What a bucket sends the shards of its recurring anchors: each one's words, and the windows around it."""
     width = min(ANCHOR, size)
-    least, window, gram, spelled = [], [], [], []
-    for w, at, low, place, own in chunks:
-        keep = R.isin(low, recurring)
-        least.append(low[keep])
-        window.append(W.rolling(w.hashes, size)[at[keep]] if keep.any() else _empty())
-        value, first = np.unique(own, return_index=True)
-        first = first[R.isin(value, recurring)]
-        gram.append(own[first])
-        spelled.append(w.hashes[place[first][:, None] + np.arange(width)])
+    keep = [(R.isin(x[0], recurring), R.isin(x[2], recurring)) for x in chunks]
+    least, window = (_join(x[i][k] for x, (k, _) in zip(chunks, keep, strict=True)) for i in (0, 1))
+    gram = [x[2][k] for x, (_, k) in zip(chunks, keep, strict=True)]
+    spelled = [x[3][k] for x, (_, k) in zip(chunks, keep, strict=True)]
     gram, first = np.unique(_join(gram), return_index=True)
     spelled = np.concatenate([np.zeros((0, width), np.uint64), *spelled])[first]
-    least, window = _join(least), _join(window)
     order = np.lexsort((window, least))
     least, window = least[order], window[order]
     new = np.ones(len(window), bool)
@@ -233,8 +233,8 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
         return R.pack(key(table), _join(_windows(w, size)[3] for w in _chunks(table)), route.first)
 
     def send_phrases(table: pa.Table, answers: pa.Table) -> pa.Table:
-        chunks = [(w, *_windows(w, size)) for w in _chunks(table)]
-        recurring = R.unpack(_join(x[4] for x in chunks), answers, 1, route.first)
+        chunks = [_summary(w, size) for w in _chunks(table)]
+        recurring = R.unpack(_join(x[2] for x in chunks), answers, 1, route.first)
         return pack_phrases(key(table, answers), chunks, recurring, size, shards)
 
     fields = [f for f in docs.schema.fields if f.name in inner]
