@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -199,7 +200,8 @@ def number_rows(df: DataFrame, name: str = "rank") -> DataFrame:
     for p in sorted(counts):
         before.append((p, total))
         total += counts[p]
-    offsets = df.sparkSession.createDataFrame(before, "_part long, _before long")
+    # an Arrow table, not a list: for a list every executor would start Python workers of its own
+    offsets = df.sparkSession.createDataFrame(pa.table([pa.array([p for p, _ in before], pa.int64()), pa.array([n for _, n in before], pa.int64())], names=["_part", "_before"]))
     out = rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
     return out.select(*df.columns, place.cast("int").alias(name))
