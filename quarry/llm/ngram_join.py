@@ -293,8 +293,10 @@ def ngram_components(df: DataFrame, *, k: int = 5, percent: int = 80, doc_id: st
     named = materialise(named.where("low <> high").select("doc_id"), "named")
     twice = not named.isEmpty()
     links = some.join(named, "doc_id").join(units.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b") if twice else None
-    links = materialise(links, "links") if twice else spark.createDataFrame([], "a long, b long")
-    part = connected_components(links) if twice else spark.createDataFrame([], "node long, component long")
+    # an empty range, not an empty list: for a list every executor would start Python workers of its own
+    nothing = lambda a, b: spark.range(0).select(F.col("id").alias(a), F.col("id").alias(b))
+    links = materialise(links, "links") if twice else nothing("a", "b")
+    part = connected_components(links) if twice else nothing("node", "component")
 
     def with_component(rows: DataFrame, rep: str) -> DataFrame:
         return rows.join(part.withColumnRenamed("node", rep), rep, "left").withColumn("component", F.coalesce("component", rep))
