@@ -15,6 +15,7 @@ from .maxent import score_texts
 from .mixing import MIX_SQL, mix_sources
 from .ngram_join import JOIN_SQL, ngram_components
 from .passages import PASSAGES_SQL, drop_repeated_passages
+from .periods import RUNS_SQL, loop_tails, periodic_runs, run_digests
 from .quality import classify_quality
 from .warc import WARC_SQL, read_warc, write_warc
 
@@ -67,6 +68,11 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", loop_tails().alias("text"))
+    return run_digests(periodic_runs(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -79,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op6_chat_perspectives": op6_chat_perspectives,
         "op2_lm_scoring": op2_lm_scoring,
+        "op11_periodic_runs": op11_periodic_runs,
     }
 
 
@@ -90,4 +97,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_warc_round_trip": WARC_SQL,
         "op6_chat_perspectives": PERSPECTIVES_SQL,
         "op10_source_mixing": MIX_SQL,
+        "op11_periodic_runs": RUNS_SQL,
     }

@@ -176,3 +176,28 @@ def runs(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = doc[: len(hashes)] == doc[k - 1 :] if len(hashes) else np.zeros(0, bool)
     at = np.flatnonzero(inside)
     return doc[at], at, hashes[at]
+
+
+def joined(words: Words, keep: np.ndarray | None = None) -> pa.Array:
+    """Each document's words (those that keep marks) joined by one space."""
+    starts, ends, bounds = words.starts, words.ends, words.bounds
+    if keep is not None:
+        bounds = np.concatenate([[0], np.cumsum(keep)])[bounds]
+        starts, ends = starts[keep], ends[keep]
+    body, at, _ = spaced(words.data, starts, ends)
+    # a document's last blank belongs to no one: cut it off by shifting what follows
+    some = np.diff(bounds) > 0
+    size = at[bounds[1:]] - at[bounds[:-1]] - some
+    whole = np.ones(len(body), bool)
+    whole[at[bounds[1:]][some] - 1] = False
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(body[whole])).cast(pa.string())
+
+
+def spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of data one after the other with a blank behind each; where each starts (and the end of all), where each ends."""
+    at = np.concatenate([[0], np.cumsum(ends - starts + 1)])
+    take = np.arange(at[-1]) + np.repeat(starts - at[:-1], np.diff(at))
+    body = data[np.minimum(take, len(data) - 1)] if len(take) else np.zeros(0, np.uint8)
+    body[at[1:] - 1] = 0x20
+    return body, at, at[1:] - 1
