@@ -17,6 +17,8 @@ from .ngram_join import JOIN_SQL, ngram_components
 from .passages import PASSAGES_SQL, drop_repeated_passages
 from .periods import RUNS_SQL, loop_tails, periodic_runs, run_digests
 from .quality import classify_quality
+from .simhash import simhash_components
+from .spelling import FORMS_SQL, spelling_groups
 from .warc import WARC_SQL, read_warc, write_warc
 
 
@@ -73,6 +75,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(docs))
 
 
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(_table(spark, sf_dir, "documents"), misspell_every=31)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -86,6 +97,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_chat_perspectives": op6_chat_perspectives,
         "op2_lm_scoring": op2_lm_scoring,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_simhash_near_dedup": op12_simhash_near_dedup,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
@@ -98,4 +111,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_perspectives": PERSPECTIVES_SQL,
         "op10_source_mixing": MIX_SQL,
         "op11_periodic_runs": RUNS_SQL,
+        "op13_spelling_variants": FORMS_SQL,
     }

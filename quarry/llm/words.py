@@ -42,6 +42,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -132,8 +134,23 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-def split(column: pa.Array, *, lower: bool = False, alnum: bool = False, hashed: bool = True, limit: int = CHUNK_BYTES) -> Iterator[Words]:
-    """Words of each chunk: runs without white space, or (alnum) runs of a-z, 0-9 and non-ASCII."""
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span."""
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("up", len(data)), out=total[1:])
+    return mix((total[ends] - total[starts]) * _powers("down", len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
+
+
+def _latin(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to Latin letters: A-Z, a-z and U+00C0 to U+00FF, which are two bytes, the first 0xC3."""
+    wide = data == 0xC3
+    letters = _LETTER[data] | wide
+    letters[1:] |= wide[:-1]
+    return letters
+
+
+def split(column: pa.Array, *, lower: bool = False, alnum: bool = False, letters: bool = False, hashed: bool = True, limit: int = CHUNK_BYTES) -> Iterator[Words]:
+    """Words of each chunk: runs without white space, or (alnum) runs of a-z, 0-9 and non-ASCII, or (letters) runs of Latin letters."""
     separator = _PUNCT if alnum else _SPACE
     for row, _, text_at, raw in chunks(column, limit):
         data = raw
@@ -141,7 +158,7 @@ def split(column: pa.Array, *, lower: bool = False, alnum: bool = False, hashed:
             data = _LOWER[data]
         n = len(data)
         inside = np.zeros(n + 2, np.int8)
-        inside[1 : n + 1] = ~separator[data]
+        inside[1 : n + 1] = _latin(data) if letters else ~separator[data]
         edge = np.diff(inside)
         # a word never runs from one text into the next
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -151,11 +168,7 @@ def split(column: pa.Array, *, lower: bool = False, alnum: bool = False, hashed:
             cuts = cuts[(inside[cuts] == 1) & (inside[cuts + 1] == 1)]
             if len(cuts):
                 starts, ends = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
-        hashes = None
-        if hashed:
-            total = np.zeros(n + 1, np.uint64)
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("up", n), out=total[1:])
-            hashes = mix((total[ends] - total[starts]) * _powers("down", n + 1)[starts] + (ends - starts).astype(np.uint64))
+        hashes = hash_spans(data, starts, ends) if hashed else None
         yield Words(row, raw, data, text_at, starts, ends, np.searchsorted(starts, text_at), hashes)
 
 
@@ -201,3 +214,9 @@ def spaced(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     body = data[np.minimum(take, len(data) - 1)] if len(take) else np.zeros(0, np.uint8)
     body[at[1:] - 1] = 0x20
     return body, at, at[1:] - 1
+
+
+def gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of data one after the other, and their offsets."""
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    return data[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], np.diff(offsets))], offsets
