@@ -280,7 +280,7 @@ def near_words(words: DataFrame, *, least: int = 7) -> DataFrame:
     rows = _shards(words, least)
     total = 4 * words.count()
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS))
-    groups = max(1 << 12, total // (SHARD // 8))
+    groups = max(1 << 12, total // max(1, SHARD // 8))
     done = None
     while True:
         # shards that may be large are found by counts of hashed groups of shards, so that few are counted one by one

@@ -12,10 +12,11 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, components, decontaminate, fingerprints, licenses, maxent, mixing, ngram_join, passages, quality, queries, recurring, sums, warc
+from quarry.llm import chat, components, decontaminate, fingerprints, licenses, maxent, mixing, ngram_join, passages, periods, quality, queries, recurring, simhash, spelling, sums, warc
 from quarry.llm import words as W
 
 from .conftest import SCHEMA, make
@@ -989,7 +990,7 @@ def test_op10_degenerate(spark):
 
 def test_registered_once_each():
     names = list(queries.queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(names)
 
 
@@ -1102,3 +1103,322 @@ def test_chat_digest_columns(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     got = queries.op6_chat_perspectives(spark, str(tmp_path)).collect()
     assert len(got) == 2 and all(re.fullmatch(r"\d+\+\d+", r["mask"]) for r in got)
+
+
+# ---- op11 ----
+
+
+def plain_runs(w, least=6, times=4):
+    """All runs, from every pair of neighbours at every period."""
+    best = {}
+    for q in range(1, len(w) // times + 1):
+        i = q
+        while i < len(w):
+            j = i
+            while j < len(w) and w[j] == w[j - q]:
+                j += 1
+            if j > i:
+                best.setdefault((i - q, j), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in best.items() if e - s >= max(least, times * q))
+
+
+def repetitive(r, letters, size):
+    out = []
+    while len(out) < size:
+        unit = [r.randrange(letters) for _ in range(r.randint(1, 6))]
+        out += unit if r.random() < 0.5 else unit * r.randint(2, 7) + unit[: r.randint(0, len(unit))]
+    return out[:size]
+
+
+@pytest.mark.parametrize(("least", "times"), [(6, 4), (2, 2), (3, 3), (9, 2)])
+def test_op11_runs_match_all_periods(least, times):
+    r = random.Random(least)
+    for _ in range(400):
+        w = repetitive(r, r.choice([1, 2, 3, 6]), r.randint(0, 70))
+        assert periods.runs_of(w, least, times) == plain_runs(w, least, times)
+
+
+def test_op11_candidates_hold_all_runs():
+    r = random.Random(4)
+    texts = [" ".join(f"w{x}" for x in repetitive(r, r.choice([2, 4, 9]), r.randint(0, 90))) for _ in range(200)]
+    for w in W.split(pa.array(texts), limit=2000):
+        found = periods.candidates(w, 6, 4)
+        assert found == sorted(found)
+        for d in range(w.docs):
+            for start, length, _ in plain_runs(w.hashes[w.bounds[d] : w.bounds[d + 1]].tolist()):
+                assert any(a <= w.bounds[d] + start and w.bounds[d] + start + length <= b for a, b in found)
+
+
+def test_op11_positions_stay_in_order():
+    r = random.Random(5)
+    for order in (range(3000), range(3000, 0, -1), r.sample(range(9000), 3000)):
+        seen, got = [], None
+        for x in order:
+            if got is None:
+                got = periods.Positions(x)
+            else:
+                below, above = got.add(x)
+                assert below == max((y for y in seen if y < x), default=None) if len(seen) < 300 else True
+                assert above == min((y for y in seen if y > x), default=None) if len(seen) < 300 else True
+            seen.append(x)
+        assert list(got) == sorted(seen)
+        assert got.size == len(seen)
+
+
+def looped(i, text):
+    w = words(text)
+    h = zlib.crc32(str(i).encode()) if i is not None else 1
+    if h % 10 or not w:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[a + (j - a) % p] if j >= a else x for j, x in enumerate(w)]
+
+
+def test_op11_rows_match_brute_force(spark, texts, tmp_path):
+    long = " ".join(["tick tock"] * 20_000 + ["end"])
+    every = [*texts * 3, long, "a " * 5, "a " * 6, "a b a b a b a", "a b a b a b a b"]
+    ids = [None if k % 17 == 5 else k for k in range(len(every))]
+    clash(make(spark, every, ids=ids)).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((tuple(r) for r in queries.op11_periodic_runs(spark, str(tmp_path)).collect()), key=str)
+    want = []
+    for i, t in zip(ids, every, strict=True):
+        w = looped(i, t)
+        if w[:2] == ["tick", "tock"]:
+            found = [(0, 40_000, 2)]  # all others would take the plain way some minutes
+        else:
+            found = plain_runs(w) if len(w) < 3000 else periods.runs_of(w)
+        gone = {j for s, n, q in found for j in range(s + q, s + n)}
+        best = min(found, key=lambda x: (-Fraction(x[1], x[2]), x[0], x[2]), default=(None,) * 3)
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+        kept = " ".join(x for j, x in enumerate(w) if j not in gone)
+        want.append((i, len(found), *best, 1000 * best[1] // best[2] if found else None, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest()))
+    assert got == sorted(want, key=str)
+
+
+def test_op11_empty_and_general(spark):
+    assert periodic_rows(spark, []) == []
+    assert periodic_rows(spark, [None, "", " \n", "x y x y x"], min_length=4, min_exponent=2) == [(0, [], ""), (0, [], ""), (0, [], ""), (5, [(0, 5, 2)], "x y")]
+
+
+def periodic_rows(spark, texts, **kwargs):
+    got = periods.periodic_runs(clash(make(spark, texts)), **kwargs).orderBy("doc_id").collect()
+    return [(r.n_words, [tuple(x) for x in r.runs], r.collapsed_text) for r in got]
+
+
+# ---- op12 ----
+
+
+def plain_print(text, k=4):
+    w = words(lower(text))
+    shingles = [" ".join(w[i : i + k]) for i in range(len(w) - k + 1)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, ids, radius):
+    parent = list(range(len(prints)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x, y in itertools.combinations(range(len(prints)), 2):
+        if ids[x] is not None and ids[y] is not None and ((prints[x] ^ prints[y]).bit_count() <= radius or ids[x] == ids[y]):
+            parent[find(x)] = find(y)
+    least = {}
+    for x, i in enumerate(ids):
+        if i is not None:
+            least[find(x)] = min(i, least.get(find(x), i))
+    return [None if i is None else least[find(x)] for x, i in enumerate(ids)]
+
+
+def test_op12_fingerprints_and_components(spark, texts):
+    r = random.Random(8)
+    base = texts[0].split() * 6
+    near = []
+    for _ in range(40):
+        w = list(base)
+        for _ in range(r.randint(0, 3)):
+            w[r.randrange(len(w))] = r.choice(base)
+        near.append(" ".join(w))
+    every = [*texts, *near, "four words are one", "ONE", "one"]
+    ids = [None if k % 19 == 7 else k // 2 if k % 23 == 3 else k for k in range(len(every))]
+    prints = [plain_print(t) for t in every]
+    got = simhash.simhash_components(clash(make(spark, every, ids=ids))).collect()
+    want = sorted(zip(ids, prints, plain_components(prints, ids, 4), strict=True), key=str)
+    assert sorted(((x.doc_id, x.print % 2**64, x.component_id) for x in got), key=str) == want
+    assert len({p for p in prints if p}) > 30
+
+
+def balls(r, n, spread):
+    """Fingerprints around a few others, some of which chain."""
+    out, centre = set(), [r.getrandbits(64) for _ in range(5)]
+    while len(out) < n:
+        x = r.choice(centre)
+        for _ in range(r.randint(0, spread)):
+            x ^= 1 << r.randrange(64)
+        out.add(x)
+    return [x - 2**64 if x >> 63 else x for x in out]
+
+
+@pytest.mark.parametrize("radius", [0, 3, 4])
+@pytest.mark.parametrize(("tree", "asked", "crowd"), [(4096, 1 << 15, 64), (16, 8, 64), (4096, 8, 0), (8, 64, 1)])
+def test_op12_large_keys_and_more_blocks_say_the_same(spark, monkeypatch, radius, tree, asked, crowd):
+    for name, value in (("TREE", tree), ("ASKED", asked), ("CROWD", crowd), ("SHARD", 256)):
+        monkeypatch.setattr(simhash, name, value)
+    prints = balls(random.Random(radius), 300, 7)
+    df = spark.createDataFrame([(p, 1 + k % 5) for k, p in enumerate(prints)], "print long, docs long")
+    links = [(r.a, r.b) for r in simhash.near_links(df, radius).collect()]
+    everyone = prints + [p for link in links for p in link]
+    assert set(everyone) == set(prints)
+    assert joined_classes(prints, links) == joined_classes(prints, [(a, b) for a, b in itertools.combinations(prints, 2) if ((a ^ b) % 2**64).bit_count() <= radius])
+
+
+def joined_classes(nodes, links):
+    label = {n: n for n in nodes}
+    for a, b in links:
+        x, y = label[a], label[b]
+        if x != y:
+            label = {n: (x if c == y else c) for n, c in label.items()}
+    groups = collections.defaultdict(set)
+    for n, c in label.items():
+        groups[c].add(n)
+    return sorted(map(sorted, groups.values()))
+
+
+def test_op12_trees_find_all_neighbours():
+    r = np.random.default_rng(3)
+    prints = np.unique(np.array(balls(random.Random(9), 500, 6), np.int64).view(np.uint64))
+    r.shuffle(prints)
+    roots = np.repeat([0, 200], [200, 300])
+    forest = simhash.Forest(prints, roots)
+    for radius in (0, 1, 4, 9, 64):
+        got = sorted((int(q), int(n)) for a, b in forest.near(prints, roots, radius) for q, n in zip(a, b, strict=True))
+        assert got == [(q, n) for q in range(500) for n in range(500) if roots[q] == roots[n] and int(prints[q] ^ prints[n]).bit_count() <= radius]
+
+
+def test_op12_forests_not_pairs():
+    prints = np.array([1 << b for b in range(64)], np.uint64)
+    a, b = simhash._forest_links(prints, np.zeros(64, np.int64), None, 4)
+    assert len(a) == len(b) == 63
+
+
+def test_op12_empty_and_blank(spark):
+    assert simhash.simhash_components(make(spark, [])).count() == 0
+    got = simhash.simhash_components(make(spark, [None, "", " ", "some words"])).orderBy("doc_id").collect()
+    assert [(r.print, r.component_id) for r in got[:3]] == [(0, 0)] * 3
+    assert got[3].component_id == 3
+
+
+def test_op12_hex(spark, tmp_path):
+    make(spark, ["", "a b c d e", "x y"]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.fingerprint for r in queries.op12_simhash_near_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: f"{plain_print(t):016x}" for i, t in enumerate(["", "a b c d e", "x y"])}
+
+
+# ---- op13 ----
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def common_start(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdé"])
+def test_op13_tries_find_each_pair_once(letters):
+    r = random.Random(len(letters))
+    for _ in range(500):
+        some = list({"".join(r.choice(letters) for _ in range(r.randint(0, 7))) for _ in range(r.randint(1, 80))})
+        r.shuffle(some)
+        until, got = r.choice([99, 99, 3, 1]), []
+        spelling.one_edit_pairs(some, until, lambda i, j, got=got: got.append((min(i, j), max(i, j))))
+        assert sorted(got) == [(i, j) for i, j in itertools.combinations(range(len(some)), 2) if one_edit(some[i], some[j]) and common_start(some[i], some[j]) < until]
+
+
+def plain_forms(counts, times=10):
+    near = {a: [b for b in counts if b != a and one_edit(a, b)] for a in counts}
+    form = {}
+    for a, others in near.items():
+        best = min(others, key=lambda b: (-counts[b], b), default=None)
+        if best is not None and counts[best] >= times * counts[a]:
+            form[a] = best
+    out = []
+    for a in counts:
+        root = a
+        while root in form:
+            root = form[root]
+        out.append((a, form.get(a), root, counts[a], len(near[a]), counts[form[a]] if a in form else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(("shard", "rows"), [(20_000, 1 << 16), (20, 64), (3, 8)])
+def test_op13_shards_of_any_size_say_the_same(spark, monkeypatch, shard, rows):
+    r = random.Random(12)
+    monkeypatch.setattr(spelling, "SHARD", shard)
+    monkeypatch.setattr(spelling, "ROWS", rows)
+    counts = {"a" * 9: 4000, "a" * 8: 300, "a" * 7 + "b": 25, "a" * 7: 2, "aaaaaaab" + "c" * 300: 2, "aaaaaaab" + "c" * 299: 40}
+    for _ in range(260):
+        counts["".join(r.choice("abé") for _ in range(r.randint(7, 10)))] = r.choice([2, 2, 3, 20, 30, 200, 2000])
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = spelling.spelling_forms(df).collect()
+    assert sorted(((x.word, x.form, x.root, x.n, x.n_near, x.form_n) for x in got), key=str) == plain_forms(counts)
+
+
+def test_op13_chains_of_forms(spark):
+    counts = {"aaaaaaaaaa"[: 10 - k] + "b" * k: 10**k for k in range(1, 7)}
+    got = {r.word: r.root for r in spelling.spelling_forms(spark.createDataFrame([(w, n * 2) for w, n in counts.items()], "word string, n long")).collect()}
+    assert set(got.values()) == {"aaaabbbbbb"}
+
+
+def plain_vocabulary(rows, every):
+    counts = collections.Counter()
+    for i, text in rows:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{i}:{run}".encode())
+            if every and i is not None and h % every == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            if len(run) >= 7:
+                counts[run] += 1
+    return counts
+
+
+@pytest.mark.parametrize("every", [None, 1, 3, 31])
+def test_op13_words_and_counts(spark, monkeypatch, every):
+    monkeypatch.setattr(spelling, "MERGED", 50)
+    r = random.Random(3)
+    letters = "abcdefgzAZéÀÿ×÷" + "ĀŁ中-1'ß"
+    texts = ["".join(r.choice(letters[: r.choice([4, 15, 23])]) if r.random() < 0.93 else " " for _ in range(r.randint(0, 400))) for _ in range(150)]
+    texts += [None, "", "abcdefgÃ", "É" * 500, "x" * 65, "y" * 64, "z" * 300, "nowords 123"]
+    ids = [None if k % 11 == 2 else -k if k % 13 == 5 else k for k in range(len(texts))]
+    got = {x.word: x.n for x in spelling.vocabulary(clash(make(spark, texts, ids=ids)), misspell_every=every).collect()}
+    assert got == plain_vocabulary(zip(ids, texts, strict=True), every)
+
+
+def test_op13_rows_match_brute_force(spark, tmp_path):
+    r = random.Random(6)
+    stock = ["".join(r.choice("abcdeo") for _ in range(r.randint(6, 9))) for _ in range(60)]
+    texts = [" ".join(r.choice(stock[: r.choice([3, 60])]) for _ in range(200)) for _ in range(40)]
+    make(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    counts = {w: n for w, n in plain_vocabulary(enumerate(texts), 31).items() if n >= 2}
+    got = queries.op13_spelling_variants(spark, str(tmp_path)).collect()
+    want = plain_forms(counts)
+    assert sorted(((x.word, x.form, x.root, x.n, x.n_near, x.form_n) for x in got), key=str) == want
+    assert sum(x[1] is not None for x in want) > 5
+
+
+def test_op13_empty(spark):
+    assert spelling.spelling_groups(make(spark, [])).count() == 0
+    assert spelling.spelling_groups(make(spark, [None, "", "short words only"]), misspell_every=31).count() == 0
