@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,20 +10,44 @@ from pyspark.sql import functions as F
 
 from .. import terms
 from .dates import age_days, iso_date, walkin_dates
-from .text import any_term, count_hits, count_word_hits, first_email
+from .matching import Wanted, term_counts
+from .text import any_term, count_hits, first_email
+
+
+#: Any statement of years holds one of these, so only texts that do are searched for one.
+_YEAR_WORDS = ["year", "yr"]
 
 
 def experience(text: Column) -> Column:
     """STRUCT<min_years, max_years, required, preferred, graduate_friendly, eligible, reason> of a description."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    graduate = any_term(low, terms.GRADUATE)
-    years = F.coalesce(F.nullif(F.regexp_extract(low, terms.YEARS_PATTERN + r"\s*(?:of\s*experience)?\b", 1), F.lit("")).cast("int"), F.lit(0))
-    preferred = (years > 0) & low.rlike(terms.YEARS_PATTERN + terms.YEARS_PREFERRED)
-    required = (years > 0) & ~preferred
-    senior = (count_hits(low, terms.SENIOR) >= 2) & ~graduate
-    too_long = required & (years > 1) & ~graduate
-    reason = F.when(senior, "Role appears too senior based on title/description keywords.").when(too_long, F.concat(F.lit("Mandatory experience ("), years.cast("string"), F.lit("+ years) exceeds 1 year and no fresher signal found."))).otherwise("")
-    return F.struct(years.alias("min_years"), F.lit(0).alias("max_years"), required.alias("required"), preferred.alias("preferred"), graduate.alias("graduate_friendly"), (~(senior | too_long)).alias("eligible"), reason.alias("reason"))
+    found = term_counts([low], {"senior": Wanted(terms.SENIOR), "graduate": Wanted(terms.GRADUATE), "years": Wanted(_YEAR_WORDS)})
+    return _experience(low, found.getField)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once: conditions would work it out again at each use."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def _experience(low: Column, found: Callable[[str], Column]) -> Column:
+    """experience() of a lower-case text, of which found gives the counts of senior and graduate terms and of words for years."""
+    counts = [found(x).alias(x) for x in ("senior", "graduate")]
+    number = lambda t: F.coalesce(F.regexp_extract(t, terms.YEARS_PATTERN + r"\s*(?:of\s*experience)?\b", 1).try_cast("int"), F.lit(0))
+    # only texts with a word for years are searched for a statement of them
+    dated = _let(F.struct(F.when(found("years") > 0, low).alias("low"), *counts), lambda x: F.struct(x["low"].alias("low"), F.coalesce(number(x["low"]), F.lit(0)).alias("years"), x["senior"].alias("senior"), x["graduate"].alias("graduate")))
+
+    def judged(x: Column) -> Column:
+        years, graduate, preferred = x["years"], x["graduate"] > 0, x["preferred"]
+        required = (years > 0) & ~preferred
+        senior = (x["senior"] >= 2) & ~graduate
+        too_long = required & (years > 1) & ~graduate
+        reason = F.when(senior, "Role appears too senior based on title/description keywords.").when(too_long, F.concat(F.lit("Mandatory experience ("), years.cast("string"), F.lit("+ years) exceeds 1 year and no fresher signal found."))).otherwise("")
+        return F.struct(years.alias("min_years"), F.lit(0).alias("max_years"), required.alias("required"), preferred.alias("preferred"), graduate.alias("graduate_friendly"), (~(senior | too_long)).alias("eligible"), reason.alias("reason"))
+
+    preferred = lambda x: (x["years"] > 0) & F.coalesce(x["low"].rlike(terms.YEARS_PATTERN + terms.YEARS_PREFERRED), F.lit(False))
+    known = _let(dated, lambda x: F.struct(x["years"].alias("years"), preferred(x).alias("preferred"), x["senior"].alias("senior"), x["graduate"].alias("graduate")))
+    return _let(known, judged)
 
 
 def _gate(score: Column, reject: Column) -> Column:
@@ -39,8 +64,13 @@ def location_gate(location: Column) -> Column:
 
 def education_gate(text: Column) -> Column:
     low = F.lower(F.coalesce(text, F.lit("")))
-    only = low.rlike(terms.CS_ONLY_PATTERN)
-    return _gate(F.when(only, 0).when(any_term(low, terms.EDUCATION_OPEN), 4).otherwise(2), only)
+    return _education(low, any_term(low, terms.EDUCATION_OPEN))
+
+
+def _education(low: Column, open_to_all: Column) -> Column:
+    # the pattern ends in "only" or starts with "strictly": a plain search rules out most texts
+    only = (low.contains(" only") | low.contains("strictly ")) & low.rlike(terms.CS_ONLY_PATTERN)
+    return _gate(F.when(only, 0).when(open_to_all, 4).otherwise(2), only)
 
 
 def freshness_gate(posted: Column, as_of: Column, most: int = terms.FRESHNESS_DAYS) -> Column:
@@ -50,23 +80,32 @@ def freshness_gate(posted: Column, as_of: Column, most: int = terms.FRESHNESS_DA
     return _gate(score, F.coalesce(age > most, F.lit(False)))
 
 
+#: What prefilter_score counts, in title (0), description (1), company (2) and location (3).
+_PREFILTER = {
+    "senior_t": Wanted(terms.SENIOR), "senior": Wanted(terms.SENIOR, 1, 1), "graduate": Wanted(terms.GRADUATE, 1, 1), "years": Wanted(_YEAR_WORDS, 1, 1),
+    "title_roles": Wanted(terms.ROLES, words=True), "roles": Wanted(terms.ROLES, 1, 1, words=True), "education": Wanted(terms.EDUCATION_OPEN, 0, 1),
+    "tech": Wanted(terms.CORE_TECH, 0, 3), "profile": Wanted(terms.PROFILE, 0, 3), "infra": Wanted(terms.INFRASTRUCTURE, 0, 3), "fresher": Wanted(terms.FRESHER, 0, 3),
+    "walkin": Wanted(terms.WALKIN_POSITIVE, 0, 3), "other": Wanted(terms.WALKIN_NEGATIVE, 0, 3), "near": Wanted(terms.NEIGHBOURHOODS, 0, 3),
+}
+
+
 def prefilter_score(df: DataFrame, as_of: Column, *, fresher_only: bool = True, name: str = "prefilter_score") -> DataFrame:
     """df with a relevance score from its title, description, company, location and posting_date; 0 for any failed gate.
 
-    Only rows that announce a walk-in go through the date search; everything else is generated code.
+    Texts are read once for the terms of all lists. Only rows that announce a walk-in go through the date
+    search; everything else is generated code.
     """
     low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
-    t, d = low("title"), low("description")
-    full = F.concat_ws(" ", t, d, low("company"), low("location"))
-    walkin = any_term(full, terms.WALKIN_POSITIVE) & ~any_term(full, terms.WALKIN_NEGATIVE)
+    texts = df.withColumns({"_t": low("title"), "_d": low("description")})
+    found = texts.withColumn("_n", term_counts([F.col("_t"), F.col("_d"), low("company"), low("location")], _PREFILTER))
+    n = lambda x: F.col(f"_n.{x}")
     posted = iso_date(F.trim(F.coalesce(F.col("posting_date"), F.lit(""))))
-    facts = df.withColumn("_f", F.struct(
-        (2 * count_hits(t, terms.SENIOR) + count_hits(d, terms.SENIOR)).alias("senior"), experience(d).getField("eligible").alias("eligible"),
-        count_word_hits(t, terms.ROLES).alias("title_roles"), count_word_hits(d, terms.ROLES).alias("roles"), count_hits(full, terms.CORE_TECH).alias("tech"),
-        count_hits(full, terms.PROFILE).alias("profile"), count_hits(full, terms.INFRASTRUCTURE).alias("infra"), count_hits(full, terms.FRESHER).alias("fresher"),
-        location_gate(F.col("location")).alias("location"), education_gate(F.concat_ws(" ", t, d)).alias("education"), freshness_gate(posted, as_of).alias("fresh"),
-        walkin.alias("walkin"), any_term(full, terms.NEIGHBOURHOODS).alias("near"), (first_email(F.col("description")) != "").alias("email"),
-    ))
+    facts = found.withColumn("_f", F.struct(
+        (2 * n("senior_t") + n("senior")).alias("senior"), _experience(F.col("_d"), n).getField("eligible").alias("eligible"),
+        *(n(x).alias(x) for x in ("title_roles", "roles", "tech", "profile", "infra", "fresher")),
+        location_gate(F.col("location")).alias("location"), _education(F.concat_ws(" ", "_t", "_d"), n("education") > 0).alias("education"), freshness_gate(posted, as_of).alias("fresh"),
+        ((n("walkin") > 0) & (n("other") == 0)).alias("walkin"), (n("near") > 0).alias("near"), (first_email(F.col("description")) != "").alias("email"),
+    )).drop("_t", "_d", "_n")
     f = lambda x: F.col(f"_f.{x}")
     # only announced walk-ins reach the Python worker with a text
     dates = walkin_dates(F.when(f("walkin"), F.col("description")), as_of)

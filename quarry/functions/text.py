@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import terms
+from .matching import Wanted, term_counts, terms_in
 from .url import _any, absolute_url, host
 
 _MARKDOWN_LINK = r"!?\[([^\]]*)\]\([^)]*\)"
@@ -24,13 +25,25 @@ def company_domain(name: Column) -> Column:
     return F.when(out == "", "").otherwise(F.concat(out, F.lit(".com")))
 
 
+#: Up to so many terms are searched for one by one in generated code: a search ends at its first hit, and no text leaves the JVM.
+FEW = 20
+
+
 def term_hits(text: Column, wanted: list[str]) -> Column:
     """Those terms that the (lower-case) text contains as substrings, in list order."""
+    if len(wanted) > FEW:
+        return terms_in(text, wanted)
     return F.filter(F.array(*(F.lit(t) for t in wanted)), lambda t: F.contains(text, F.lower(t)))
 
 
+def _count(text: Column, wanted: list[str], words: bool) -> Column:
+    return F.when(text.isNotNull(), term_counts([text], {"n": Wanted(wanted, words=words)}).getField("n"))
+
+
 def count_hits(text: Column, wanted: list[str]) -> Column:
-    """How many of the terms the text contains; one code-generated sum, no arrays."""
+    """How many of the terms the text contains."""
+    if len(wanted) > FEW:
+        return _count(text, wanted, words=False)
     out = F.lit(0)
     for t in wanted:
         out = out + text.contains(t.lower()).cast("int")
@@ -39,6 +52,8 @@ def count_hits(text: Column, wanted: list[str]) -> Column:
 
 def count_word_hits(text: Column, wanted: list[str]) -> Column:
     """How many of the terms stand in the text between word boundaries (letters of any script count as word characters)."""
+    if len(wanted) > FEW:
+        return _count(text, wanted, words=True)
     out = F.lit(0)
     for t in wanted:
         # a plain search rules out most texts before the slower pattern is tried
@@ -47,6 +62,8 @@ def count_word_hits(text: Column, wanted: list[str]) -> Column:
 
 
 def any_term(text: Column, wanted: list[str]) -> Column:
+    if len(wanted) > FEW:
+        return count_hits(text, wanted) > 0
     return _any(text, [t.lower() for t in wanted])
 
 

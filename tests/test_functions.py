@@ -1,15 +1,20 @@
 import datetime as dt
 import json
+import random
+import re
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
+from quarry import terms
 from quarry.functions import dates as D
 from quarry.functions import jsonx as J
 from quarry.functions import profile as P
 from quarry.functions import score as S
 from quarry.functions import text as X
 from quarry.functions import url as U
+from quarry.functions.matching import Finder, Wanted, term_counts
 
 
 def values(spark, rows, schema, *columns):
@@ -217,3 +222,56 @@ def test_profile(spark):
     assert "SEO" not in p.condensed and len(p.condensed) < len(p.raw_text)
     made = json.loads(p.structured)
     assert (made["identity"]["name"], made["identity"]["career_stage"], made["raw_text"][:9]) == ("N", "entry-level", "CANONICAL")
+
+
+# ---- many terms in one pass ----
+
+
+def test_finder_matches_a_search_for_each_term():
+    r = random.Random(4)
+    letters = "ab é_1."
+    word = re.compile(r"\w")
+    for _ in range(300):
+        term = lambda: "".join(r.choice(letters) for _ in range(r.randint(1, 4))).strip() or "a"
+        fields = ["".join(r.choice(letters) for _ in range(r.randint(0, 12))) for _ in range(r.randint(1, 4))]
+        lists = []
+        for _ in range(4):
+            first = r.randrange(len(fields))
+            lists.append(Wanted([term() for _ in range(r.randint(0, 6))], first, r.randrange(first, len(fields)), r.random() < 0.5))
+        for wanted, n, found in zip(lists, Finder(lists).counts(fields), Finder(lists).find(fields), strict=True):
+            text = " ".join(fields[wanted.first : wanted.last + 1])
+
+            def there(t, text=text, words=wanted.words):
+                places = [i for i in range(len(text)) if text.startswith(t, i)]
+                return any(not words or not (word.match(text[i - 1 : i]) or word.match(text[i + len(t) : i + len(t) + 1])) for i in places)
+
+            assert n == sum(there(t) for t in wanted.terms)
+            assert found == {t for t in wanted.terms if there(t)}
+
+
+def test_many_terms_say_what_few_say(spark):
+    texts = ["Senior LEAD engineer, 5+ years", "sde 1 or sde-1x; ÄSDE", "", None, "node.js and express.js. Nodes", "react" * 50 + " graduate engineer trainee"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    low = F.lower("text")
+    for wanted in (terms.ROLES, terms.PROFILE + terms.PROFILE[:3], terms.FRESHER):
+        few = [wanted[i : i + 5] for i in range(0, len(wanted), 5)]
+        total = lambda f: reduce(lambda a, b: a + b, (f(low, some) for some in few))  # noqa: B023, E731
+        row = df.select("id", X.count_hits(low, wanted).alias("a"), total(X.count_hits).alias("b"), X.count_word_hits(low, wanted).alias("c"), total(X.count_word_hits).alias("d"), X.any_term(low, wanted).alias("e"), X.term_hits(low, wanted).alias("f")).collect()
+        for r in row:
+            assert r.a == r.b
+            assert r.c == r.d
+            assert r.e == (None if r.a is None else r.a > 0)
+            assert (r.f is None) == (r.a is None)
+            assert r.f is None or r.f == [t for t in wanted if t.lower() in texts[r.id].lower()]
+
+
+def test_terms_across_fields_count_for_lists_that_span_them(spark):
+    df = spark.createDataFrame([("walk", "in drive", "x", "y")], "a string, b string, c string, d string")
+    lists = {"both": Wanted(["walk in", "drive x y"], 0, 3), "first": Wanted(["walk in", "walk"]), "middle": Wanted(["in", "walk in", "drive x"], 1, 2, words=True)}
+    assert tuple(df.select(term_counts([F.col(c) for c in "abcd"], lists).alias("n")).first().n) == (2, 1, 2)
+
+
+def test_experience_with_and_without_years(spark):
+    rows = [("3 years", 3, True, False, False), ("3 years preferred", 3, False, True, True), ("yearly bonus", 0, False, False, True), ("senior lead", 0, False, False, False), ("senior lead fresher", 0, False, False, True), (None, 0, False, False, True), ("2-4 YRS of experience, graduate", 4, True, False, True)]
+    got = spark.createDataFrame([(r[0],) for r in rows], "t string").select("t", S.experience(F.col("t")).alias("e")).collect()
+    assert [(r.t, r.e.min_years, r.e.required, r.e.preferred, r.e.eligible) for r in got] == rows
