@@ -89,8 +89,14 @@ def first_k(df: DataFrame, order: list[str], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def unseen(df: DataFrame, seen: DataFrame, key: str = "job_url") -> DataFrame:
-    """Rows whose key is not in history (repeats stay). Catalyst broadcasts the keys while they are few."""
+def unseen(df: DataFrame, seen, key: str = "job_url") -> DataFrame:
+    """Rows whose key is not in history (repeats stay).
+
+    seen: a table of keys, which Catalyst broadcasts while they are few; or a sources.tables.History, of
+    which only the ranges are read that the rows may be in, whatever has been seen before.
+    """
+    if not isinstance(seen, DataFrame):
+        return seen.unseen(df)
     return df.join(seen.select(key).distinct(), key, "left_anti")
 
 
@@ -204,7 +210,7 @@ def number_rows(df: DataFrame, name: str = "rank") -> DataFrame:
     offsets = df.sparkSession.createDataFrame(pa.table([pa.array([p for p, _ in before], pa.int64()), pa.array([n for _, n in before], pa.int64())], names=["_part", "_before"]))
     out = rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    return out.select(*df.columns, place.cast("int").alias(name))
+    return out.select(*df.columns, place.alias(name))
 
 
 def enrich_contacts(df: DataFrame, *lookups: DataFrame, key: str = "company", order: str = "arrival_ord", budget: int = 1) -> DataFrame:

@@ -60,7 +60,8 @@ def evaluate(df: DataFrame, evaluators: list[Evaluator] | Chain, settings: Setti
     """df with verdict_text, error and tries: each prompt goes to the evaluators in turn until one answers with an object.
 
     evaluators: functions from prompt to answer text, or a Chain of providers, which has its own retries.
-    After the deadline nothing is asked and the error is deadline_exceeded.
+    After the deadline nothing is asked and the error is deadline_exceeded. Rows whose prompts are equal
+    are asked about once and share the answer; every row of df comes back, whatever its address.
 
     Runs where the data is, in so many tasks as concurrency says. A retried task asks again, so
     evaluators must be idempotent; the content key of a row says whether it was asked before.
@@ -104,9 +105,11 @@ def evaluate(df: DataFrame, evaluators: list[Evaluator] | Chain, settings: Setti
             extra = pd.DataFrame(out, columns=["verdict_text", "error", "tries"], index=batch.index)
             yield pd.concat([batch.drop(columns=["_prompt"]), extra], axis=1)
 
-    asked = df.select("job_url", prompt(settings.profile).alias("_prompt")).repartition(settings.concurrency, "job_url")
-    answers = materialise(asked.mapInPandas(ask, "job_url string, verdict_text string, error string, tries int"), "answers")
-    return df.join(answers, "job_url")
+    # rows are known by what is asked about them, not by their address, which may be missing or come twice
+    df = df.withColumn("_asked", F.sha2(prompt(settings.profile), 256))
+    asked = df.groupBy("_asked").agg(F.first(prompt(settings.profile)).alias("_prompt")).repartition(settings.concurrency, "_asked")
+    answers = materialise(asked.mapInPandas(ask, "_asked string, verdict_text string, error string, tries int"), "answers")
+    return df.join(answers, "_asked").drop("_asked")
 
 
 def verdict_struct(text: Column) -> Column:

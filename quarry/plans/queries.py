@@ -306,7 +306,7 @@ def verdict_clamp_tier(spark, d):
     return rows.select("l_orderkey", "l_linenumber", "fit_score", S.tier(F.col("fit_score")).alias("fit_tier"), ((F.col("fit_score") >= terms.FIT_THRESHOLD) & (F.col("l_returnflag") == "N")).alias("passed"))
 
 
-@query(f"""SELECT doc_id, CAST(rank AS INTEGER) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY (regexp_extract(text, '{terms.EMAIL_PATTERN}') <> '') DESC, n_chars DESC, doc_id) AS rank FROM documents)""")
+@query(f"""SELECT doc_id, CAST(rank AS BIGINT) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY (regexp_extract(text, '{terms.EMAIL_PATTERN}') <> '') DESC, n_chars DESC, doc_id) AS rank FROM documents)""")
 def final_rank(spark, d):
     rows = _t(spark, d, "documents").select("doc_id", "n_chars", X.first_email(F.col("text")).alias("recruiter_email"))
     return L.number_rows(L.final_rank(rows, score="n_chars", order="doc_id")).select("doc_id", "rank")

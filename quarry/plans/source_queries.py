@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,9 +15,11 @@ from ..operators import metrics as M
 from ..operators import state as ST
 from ..session import scratch
 from ..sources import fetch as FE
+from ..sources import outbox
 from ..sources import providers as V
 from ..sources import readers as R
 from ..sources import sinks as K
+from ..sources.tables import BucketTable, History
 from . import monitor as MO
 from . import pipeline as PL
 from .queries import AS_OF, _sql_any, _t, query
@@ -138,7 +141,7 @@ def source_web_search(spark, d):
     return rows.select("place", "job_url", "location", F.substring("posting_date", 1, 10).alias("posted"))
 
 
-@query("""SELECT CAST(row_number() OVER (ORDER BY s, doc_id) AS INTEGER) AS place, s, doc_id FROM (SELECT 0 AS s, doc_id FROM documents WHERE lang = 'en' UNION ALL SELECT 1, doc_id FROM documents WHERE lang <> 'en')""")
+@query("""SELECT CAST(row_number() OVER (ORDER BY s, doc_id) AS BIGINT) AS place, s, doc_id FROM (SELECT 0 AS s, doc_id FROM documents WHERE lang = 'en' UNION ALL SELECT 1, doc_id FROM documents WHERE lang <> 'en')""")
 def arrival_order(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "lang")
     one = lambda w: docs.where(w).orderBy("doc_id").select("doc_id")
@@ -271,6 +274,41 @@ def append_queue(spark, d):
     return spark.read.parquet(got)
 
 
+@query("SELECT event_id, event_type, value FROM events WHERE event_id % 3 <> 2")
+def outbox_rows(spark, d):
+    """Two batches through the outbox format; a third, of which a task fails, leaves nothing to see."""
+    rows, root = _t(spark, d, "events").select("event_id", "event_type", "value"), scratch(spark, "outbox")
+    outbox.put(rows.where("event_id % 3 = 0"), root)
+    broken = F.when(F.col("event_id") % 7 == 5, F.raise_error(F.lit("broken row"))).otherwise(F.col("event_type")).alias("event_type")
+    try:
+        outbox.put(rows.where("event_id % 3 = 2").select("event_id", broken, "value"), root)
+    except PySparkException as e:
+        if "broken row" not in str(e):
+            raise
+    outbox.put(rows.where("event_id % 3 = 1"), root)
+    return outbox.pending(spark, root, rows.schema)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT (o_orderkey % 4 = 0 OR (o_orderkey % 4 = 1 AND o_orderstatus = 'F'))")
+def history_unseen(spark, d):
+    """Orders that neither of two runs has added to the history."""
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    seen = History(spark, scratch(spark, "history"), "o_orderkey")
+    seen.extend(orders.where("o_orderkey % 4 = 0"))
+    seen.extend(orders.where("o_orderkey % 8 = 0 OR (o_orderkey % 4 = 1 AND o_orderstatus = 'F')"))
+    return L.unseen(orders.select("o_orderkey", "o_custkey"), seen, "o_orderkey")
+
+
+@query("""SELECT user_id, event_id, event_type AS status FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN event_id % 10 = 0 THEN 2 WHEN event_id % 2 = 1 THEN 1 ELSE 0 END DESC, event_id DESC) AS n FROM events) WHERE n = 1""")
+def state_buckets(spark, d):
+    """A state of users that three runs write to, each rewriting the buckets of its users alone."""
+    rows = _t(spark, d, "events").select("user_id", "event_id", F.col("event_type").alias("status"))
+    state = BucketTable(spark, scratch(spark, "state"), "user_id", buckets=16)
+    for part in ("event_id % 2 = 0 AND event_id % 10 <> 0", "event_id % 2 = 1", "event_id % 10 = 0"):
+        state.upsert(rows.where(part), ["event_id"])
+    return state.read()
+
+
 @query(f"""SELECT 'u/' || o_orderkey AS "Link", o_orderstatus AS "Company", CAST(o_orderkey % 101 AS INTEGER) AS "Fit Score", CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'See listing' END AS "Walk-in Details", '{AS_OF} 09:05' AS "Date Added", CASE WHEN o_orderkey % 3 = 0 THEN 'a@b.co' ELSE '' END AS "Recruiter Email" FROM orders""")
 def sheet_rows(spark, d):
     n = F.col("o_orderkey")
@@ -293,7 +331,7 @@ def _scored(spark, d):
     return rows.withColumn("fit_tier", S.tier(F.col("fit_score")))
 
 
-@query("""SELECT CAST(row_number() OVER (ORDER BY c_custkey % 101 < 90, c_custkey % 101 < 80, c_custkey % 101 DESC, c_custkey) AS INTEGER) AS place, (c_custkey % 101) || ' - ' || c_name || ' at ' || c_mktsegment || ' (u/' || c_custkey || ')' AS line FROM customer WHERE c_custkey % 101 >= 70""")
+@query("""SELECT CAST(row_number() OVER (ORDER BY c_custkey % 101 < 90, c_custkey % 101 < 80, c_custkey % 101 DESC, c_custkey) AS BIGINT) AS place, (c_custkey % 101) || ' - ' || c_name || ' at ' || c_mktsegment || ' (u/' || c_custkey || ')' AS line FROM customer WHERE c_custkey % 101 >= 70""")
 def digest_lines(spark, d):
     return L.number_rows(M.tier_lines(_scored(spark, d)), "place").select("place", "line")
 
@@ -435,7 +473,7 @@ def job_links_titled(spark, d):
     return rows.select("page_id", (F.col("at") + 1).alias("nth"), "l.url", "l.title")
 
 
-@query(rf"""SELECT doc_id, CAST(rank AS INTEGER) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id % 7, doc_id) AS rank FROM documents) WHERE rank <= 90""")
+@query(rf"""SELECT doc_id, CAST(rank AS BIGINT) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id % 7, doc_id) AS rank FROM documents) WHERE rank <= 90""")
 def admitted_ties(spark, d):
     rows = _listings(spark, d).select("doc_id", (F.col("doc_id") % 7).alias("o"))
     yes, no = L.split_admitted(rows, 90, ["o", "doc_id"])

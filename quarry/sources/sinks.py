@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.metrics import tier_counts, tier_lines
+from . import outbox
+from .commits import CommitLog, Conflict
 
 
 def flat_for_csv(df: DataFrame) -> DataFrame:
@@ -39,45 +41,46 @@ def best_effort(action, log=print) -> bool:
         return False
 
 
-def _store(spark: SparkSession, root: str):
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    return path(root).getFileSystem(conf), path
-
-
 def versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     """(number, version) of a table's committed versions, oldest first."""
-    files, path = _store(spark, root)
-    if not files.exists(path(root)):
-        return []
-    names = [str(x.getPath().getName()) for x in files.listStatus(path(root))]
-    marks = (n.removeprefix("commit-").partition("-") for n in names if n.startswith("commit-"))
-    return sorted((int(n), version) for n, _, version in marks)
+    log = CommitLog(spark, root)
+    return [(n, log.read(n)["version"]) for n in log.numbers()]
 
 
-def publish(df: DataFrame, root: str, keep: int = 3) -> str:
+def publish(df: DataFrame, root: str, keep: int = 3, base: int | None = None) -> str:
     """Write a new version of a table and commit it: readers see the old or the new one, never half or none.
 
-    The commit is the creation of one empty file whose name holds the version, which every file system
-    does whole or not at all; nothing is renamed, replaced or deleted before. Versions before the last
-    keep are removed.
+    The commit is one new file with the next number, which only one writer can create; nothing is renamed,
+    replaced or deleted before. base is the number that df was made from: if another version has been
+    committed since, this one is taken back and Conflict raised, so that no one's rows are lost unseen.
+    Without base, df stands for itself and becomes the newest version whatever came between. Versions
+    before the last keep are removed.
     """
-    spark = df.sparkSession
-    version = uuid.uuid4().hex
+    spark, version = df.sparkSession, uuid.uuid4().hex
     df.write.parquet(f"{root}/v-{version}")
-    known = versions(spark, root)
-    files, path = _store(spark, root)
-    files.create(path(f"{root}/commit-{(known[-1][0] if known else 0) + 1:012d}-{version}"), False).close()
-    for n, old in known[: max(0, len(known) + 1 - keep)]:
-        files.delete(path(f"{root}/commit-{n:012d}-{old}"), False)
-        files.delete(path(f"{root}/v-{old}"), True)
+    log = CommitLog(spark, root)
+    while True:
+        last = max(log.numbers(), default=0)
+        if (base is None or base == last) and log.commit(last + 1, {"version": version}):
+            break
+        if base is not None:
+            log.remove(f"v-{version}")
+            raise Conflict(f"{root}: made from version {base}, but the newest is {max(log.numbers(), default=0)}")
+    for n, old in versions(spark, root):
+        if n <= last + 1 - keep:
+            log.remove(f"commit-{n:012d}", f"v-{old}")
     return f"{root}/v-{version}"
 
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:
     """The published version of a table, or None."""
-    known = versions(spark, root)
-    return spark.read.parquet(f"{root}/v-{known[-1][1]}") if known else None
+    body = CommitLog(spark, root).latest()[1]
+    return spark.read.parquet(f"{root}/v-{body['version']}") if body else None
+
+
+def current_number(spark: SparkSession, root: str) -> int:
+    """What publish() takes as base; read it before current(), so that a version between the two is noticed."""
+    return max(CommitLog(spark, root).numbers(), default=0)
 
 
 def cell(c: Column, kind: T.DataType) -> Column:
@@ -108,16 +111,13 @@ def only_scalars(df: DataFrame) -> DataFrame:
 
 
 def append_with_queue(df: DataFrame, pending: str, send) -> bool:
-    """Send waiting rows, then new ones; if sending fails the whole batch waits for the next call."""
-    spark = df.sparkSession
-    waiting = current(spark, pending)
-    batch = only_scalars(df if waiting is None else waiting.unionByName(df))
+    """Queue new rows in the outbox at pending, then hand all that wait to send at once, oldest batch first; if sending fails everything waits for the next call."""
+    outbox.put(only_scalars(df), pending)
     try:
-        send(batch)
+        outbox.drain(df.sparkSession, pending, df.schema, send)
     except Exception:
-        publish(batch, pending)
         return False
-    publish(batch.limit(0), pending)
+    outbox.clear(pending)
     return True
 
 
