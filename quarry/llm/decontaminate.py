@@ -10,7 +10,10 @@ the same question with other parameters have the same template. Four kinds of wi
   depending on what stands before it), if it has MIN_ANCHORS literals and k - 1 tokens or more.
 * WHOLE_TEXT: for such items, and those under k tokens, the whole word sequence as it is.
 
-So every item of MIN_WORDS words or more can be found, whatever its share of slots.
+So every item with a word can be found, whatever its share of slots. Items that have the same template,
+with the same slots alike in it, are one for the first and third kind: the first of them stands for all,
+and each is looked for word for word as well, so templated questions and templated pages do not make all
+pairs.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ UNITS = (
 NUMBER, NAME, UNIT = (W.mix(np.array([i], np.uint64))[0] for i in (1, 2, 3))
 #: Bits of the filter that thins documents' windows before the join; of fixed size.
 _FILTER_BITS = 1 << 23
-MIN_LITERALS, MIN_ANCHORS, MIN_WORDS = 3, 2, 3
+MIN_LITERALS, MIN_ANCHORS = 3, 2
 TEMPLATE, VALUES, WHOLE_TEMPLATE, WHOLE_TEXT = range(4)
 
 
@@ -101,6 +104,9 @@ class Template:
 
 _ROW = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("place", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64()))])
 _ROW_DDL = "row long, id long, kind int, n int, place long, hash long, slots array<long>"
+#: Of an item also which of its slots are alike (numbered in order), and whether its windows with literals are enough.
+_ITEM = pa.schema([*_ROW, ("labels", pa.list_(pa.int64())), ("plain", pa.bool_())])
+_ITEM_DDL = _ROW_DDL + ", labels array<long>, plain boolean"
 
 
 def _emit(columns: list[list], ids: list, rows: np.ndarray, t: Template, kind: int, n: int, at: np.ndarray, value: np.ndarray) -> None:
@@ -116,7 +122,7 @@ def _item_windows(batches, k: int, coverage: float):
         ids = batch.column(0).to_pylist()
         for w in W.split(batch.column(1), lower=True, alnum=True):
             t, columns = Template(w), [[] for _ in _ROW]
-            rows, mine = np.zeros(w.docs, np.int64), ids[w.first : w.first + w.docs]
+            rows, mine = np.arange(w.docs), ids[w.first : w.first + w.docs]
             length, words = np.bincount(t.doc, minlength=w.docs), np.diff(w.bounds)
             rich = t.windows(TEMPLATE, k)
             found = np.bincount(t.doc[rich[0]], minlength=w.docs)
@@ -126,43 +132,89 @@ def _item_windows(batches, k: int, coverage: float):
             keep = ~plain[t.doc[poor[0]]]
             _emit(columns, mine, rows, t, VALUES, k, poor[0][keep], poor[1][keep])
             first = np.searchsorted(t.doc, np.arange(w.docs))
-            for i in np.flatnonzero(~plain & (words >= MIN_WORDS)).tolist():
+            for i in np.flatnonzero(words > 0).tolist():
                 for kind, n, start in ((WHOLE_TEMPLATE, int(length[i]) - 1, first[i] + 1), (WHOLE_TEXT, int(words[i]), w.bounds[i])):
-                    if kind == WHOLE_TEMPLATE and n < k - 1:
+                    if kind == WHOLE_TEMPLATE and (plain[i] or n < k - 1):
                         continue
                     at, value = t.windows(kind, n)
                     own = at == start
                     _emit(columns, mine, rows, t, kind, n, at[own], value[own])
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROW, strict=True)], schema=_ROW)
+            number: list[dict[int, int]] = [{} for _ in range(w.docs)]
+            order = sorted(range(len(columns[0])), key=lambda j: (columns[2][j], columns[4][j]))
+            labels: list = [None] * len(order)
+            for j in order:
+                seen = number[columns[0][j]]
+                labels[j] = [seen.setdefault(v, len(seen)) for v in columns[6][j]]
+            columns += [labels, [bool(plain[i]) for i in columns[0]]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ITEM, strict=True)], schema=_ITEM)
 
 
-def find_leaks(df: DataFrame, benchmark: DataFrame, *, k: int = 5, coverage: float = 0.5, consistency: float = 0.8, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """doc_id, item_id, windows, item_windows, coverage, consistent, exact: one row for each document and leaked item.
+def _covered(places, k: int):
+    """How many tokens the windows of k tokens at these places take in."""
+    start = F.struct(F.lit(-k).cast("long").alias("last"), F.lit(0).cast("long").alias("n"))
+    step = lambda s, p: F.struct(p.alias("last"), (s["n"] + F.least(F.lit(k).cast("long"), p - s["last"])).alias("n"))
+    return F.aggregate(F.array_sort(places), start, step, lambda s: s["n"])
 
-    An item leaks if at least coverage of its windows of k tokens are in the document, on diagonals of
-    three windows or more, and at least consistency of its slot values map to one value each there.
+
+def _items(benchmark: DataFrame, k: int, coverage: float, item_id: str, item_text: str) -> tuple[DataFrame, DataFrame]:
+    """(windows of the items, by item; item: item, item_id, team, members). An item is an id with a text."""
+    named = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).distinct()
+    named = named.withColumn("item", F.xxhash64("item_id", "text"))
+    rows = materialise(named.select("item", "text").mapInArrow(lambda batches: _item_windows(batches, k, coverage), _ITEM_DDL).drop("row").withColumnRenamed("id", "item"), "windows")
+    # a team: items with the same windows, that differ in slots but not in which of them are alike
+    alike = F.xxhash64(F.array_sort(F.collect_list(F.struct("kind", "n", "place", "hash", "labels"))))
+    team = rows.where(F.when(F.col("plain"), F.col("kind") == TEMPLATE).otherwise(F.col("kind") == WHOLE_TEMPLATE)).groupBy("item").agg(alike.alias("team"))
+    head = F.struct(F.col("item_id").isNull(), "item_id", "item")
+    size = team.join(named, "item").groupBy("team").agg(F.count("*").alias("members"), F.min_by("item", head).alias("first"))
+    known = materialise(named.select("item", "item_id").join(team, "item", "left").join(size, "team", "left"), "items")
+    rows = rows.join(known.select("item", "members", (F.col("item") == F.col("first")).alias("leads")), "item")
+    alone = F.coalesce(F.col("members") == 1, F.lit(True))
+    # only the first of a team is looked for by template; an item that is alone needs its words only where templates say too little
+    keep = F.when(F.col("kind") == WHOLE_TEXT, ~F.col("plain") | ~alone).when((F.col("kind") == WHOLE_TEMPLATE) | F.col("plain"), alone | F.col("leads")).otherwise(True)
+    return rows.where(keep).select("item", "kind", "n", "place", "hash", "slots"), known.select("item", "item_id", F.coalesce("team", "item").alias("team"), F.coalesce("members", F.lit(1)).alias("members"), F.coalesce("first", "item").alias("first"))
+
+
+def template_teams(benchmark: DataFrame, *, k: int = 5, coverage: float = 0.5, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """item_id, representative: the item that find_leaks() names when a document holds their template with values that are no item's."""
+    ship(benchmark.sparkSession)
+    _, known = _items(benchmark, k, coverage, item_id, item_text)
+    first = known.select(F.col("item").alias("first"), F.col("item_id").alias("representative"))
+    return known.join(first, "first").select("item_id", "representative")
+
+
+def find_leaks(df: DataFrame, benchmark: DataFrame, *, k: int = 5, coverage: float = 0.5, token_coverage: float = 0.8, consistency: float = 0.8, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """doc_id, item_id, windows, item_windows, coverage, consistent, exact, template_items: one row for each document and leaked item.
+
+    An item leaks if at least coverage of its windows of k tokens are in the document, or windows that take
+    in at least token_coverage of the tokens that all its windows do (so that words put in here and there
+    do not hide it), and at least consistency of its slot values map to one value each along a diagonal.
     exact: all slot values are the item's own. Its windows are those with MIN_LITERALS literals; if these
     are under coverage of all, all windows count (the others match with equal values only), and the item
     also leaks if it occurs whole: word for word, or, with MIN_ANCHORS literals after its first token,
-    with other values that map consistently. Items under k tokens leak word for word. Items under
-    MIN_WORDS words are never found.
+    with other values that map consistently. Items under k tokens, of one word even, leak word for word.
+
+    Items of one template (template_items of them, see template_teams()) give a row for each of them that
+    the document holds word for word, and else one row, for the first of them by id.
 
     Null or empty texts, of documents or items, have no windows; long ones are read whole. A row's windows
     are its own; of rows that share a doc_id, or have none (null), the best is given, once for each item.
-    Ties and repeated items give equal rows once. Empty tables give no rows; other columns are ignored.
-    The benchmark may be of any size: documents' windows are thinned by a filter of fixed size and
-    joined by hash, first with each item's rarest windows, of which a leak has one at least.
+    An item without an id is found and given as null; of different texts under one item_id each is looked
+    for, and the best is given. Ties and repeated items give equal rows once. Empty tables give no rows;
+    other columns are ignored. The benchmark may be of any size: documents' windows are thinned by a filter
+    of fixed size and joined by hash, first with each item's rarest windows, of which a leak has one at least.
     """
     spark = df.sparkSession
     ship(spark)
-    items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).cast("string").alias("text"))
-    items = items.mapInArrow(lambda batches: _item_windows(batches, k, coverage), _ROW_DDL).drop("row").distinct()
-    size = items.groupBy("id").agg(F.count_distinct(F.when(F.col("kind") <= VALUES, F.col("place"))).alias("item_windows"))
-    often = items.groupBy("kind", "hash").agg(F.count_distinct("id").alias("items"))
-    rare = F.row_number().over(Window.partitionBy("id", F.col("kind") >= WHOLE_TEMPLATE).orderBy("items", "hash", "place"))
-    items = items.join(size, "id").join(often, ["kind", "hash"]).withColumn("nth", rare)
-    seed = (F.col("kind") >= WHOLE_TEMPLATE) | (F.col("nth") <= F.col("item_windows") - F.ceil(F.col("item_windows") * coverage) + 1)
-    items = materialise(items.select(F.col("id").alias("item_id"), "kind", "n", "place", "hash", "slots", F.greatest("item_windows", F.lit(1)).alias("item_windows"), seed.alias("seed")), "items")
+    items, known = _items(benchmark, k, coverage, item_id, item_text)
+    small = F.col("kind") <= VALUES
+    size = items.groupBy("item").agg(F.count_distinct(F.when(small, F.col("place"))).alias("item_windows"), _covered(F.collect_set(F.when(small, F.col("place"))), k).alias("item_tokens"))
+    often = items.groupBy("kind", "hash").agg(F.count_distinct("item").alias("items"))
+    rare = F.row_number().over(Window.partitionBy("item", F.col("kind") >= WHOLE_TEMPLATE).orderBy("items", "hash", "place"))
+    items = items.join(size, "item").join(often, ["kind", "hash"]).withColumn("nth", rare)
+    # the fewest windows that a leak has
+    fewest = F.least(F.ceil(F.col("item_windows") * coverage), F.ceil(F.col("item_tokens") * token_coverage / k))
+    seed = (F.col("kind") >= WHOLE_TEMPLATE) | (F.col("nth") <= F.col("item_windows") - fewest + 1)
+    items = materialise(items.select("item", "kind", "n", "place", "hash", "slots", F.greatest("item_windows", F.lit(1)).alias("item_windows"), F.greatest("item_tokens", F.lit(1)).alias("item_tokens"), seed.alias("seed")), "items")
 
     # one word for each 64 bits of the filter at most, whatever the benchmark's size
     slot = F.col("hash").bitwiseAND(F.lit(_FILTER_BITS - 1))
@@ -188,20 +240,26 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, *, k: int = 5, coverage: flo
 
     found = df.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(of_docs, _ROW_DDL)
     found = materialise(found.select("row", F.col("id").alias("doc_id"), "kind", "hash", F.col("place").alias("at"), F.col("slots").alias("values")), "found")
-    pairs = found.join(items.where("seed").select("kind", "hash", "item_id"), ["kind", "hash"]).select("row", "item_id").distinct()
-    hits = found.join(pairs, "row").join(items, ["item_id", "kind", "hash"]).where(F.size("slots") == F.size("values"))
+    pairs = found.join(items.where("seed").select("kind", "hash", "item"), ["kind", "hash"]).select("row", "item").distinct()
+    hits = found.join(pairs, "row").join(items, ["item", "kind", "hash"]).where(F.size("slots") == F.size("values"))
     whole = F.col("kind") >= WHOLE_TEMPLATE
     both = F.arrays_zip(F.col("slots").alias("own"), F.col("values").alias("other"))
-    by_diagonal = hits.groupBy("row", "doc_id", "item_id", "item_windows", F.when(whole, F.col("kind")).otherwise(-1).alias("whole"), (F.col("at") - F.col("place")).alias("diagonal"))
-    by_diagonal = by_diagonal.agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set(both))).alias("pairs"))
-    by_diagonal = by_diagonal.where((F.col("whole") > 0) | (F.size("places") >= F.least(F.lit(3), "item_windows")))
+    by_diagonal = hits.groupBy("row", "doc_id", "item", "item_windows", "item_tokens", F.when(whole, F.col("kind")).otherwise(-1).alias("whole"), (F.col("at") - F.col("place")).alias("diagonal"))
+    as_is = F.collect_set(F.when(F.col("slots") == F.col("values"), F.col("place"))).alias("as_is")
+    by_diagonal = by_diagonal.agg(F.collect_set("place").alias("places"), as_is, F.array_distinct(F.flatten(F.collect_set(both))).alias("pairs"))
     own = F.expr("size(array_distinct(transform(pairs, x -> x.own)))")
     single = F.expr("size(filter(array_distinct(transform(pairs, x -> x.own)), v -> size(filter(pairs, y -> y.own = v)) = 1))")
-    by_diagonal = by_diagonal.withColumn("own", own).withColumn("single", single).withColumn("same", F.expr("forall(pairs, x -> x.own = x.other)"))
+    by_diagonal = by_diagonal.withColumn("own", own).withColumn("single", single)
     # whole matches stand for themselves; the others add up over an item's diagonals
     alone = F.when(F.col("whole") > 0, F.col("diagonal"))
-    leaks = by_diagonal.groupBy("row", "doc_id", "item_id", "item_windows", "whole", alone.alias("alone")).agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("windows"), F.sum("own").alias("own"), F.sum("single").alias("single"), F.min("same").alias("exact"))
-    leaks = leaks.withColumn("windows", F.when(F.col("whole") > 0, F.col("item_windows")).otherwise(F.col("windows")).cast("long"))
-    leaks = leaks.withColumn("coverage", F.col("windows") / F.col("item_windows")).where((F.col("coverage") >= coverage) & (F.col("single") >= consistency * F.col("own")))
-    best = leaks.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "exact", "windows", "item_windows")).alias("best"))
-    return best.select("doc_id", "item_id", "best.windows", "best.item_windows", "best.coverage", F.lit(True).alias("consistent"), "best.exact")
+    leaks = by_diagonal.groupBy("row", "doc_id", "item", "item_windows", "item_tokens", "whole", alone.alias("alone")).agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"), F.flatten(F.collect_list("as_is")).alias("as_is"), F.sum("own").alias("own"), F.sum("single").alias("single"))
+    leaks = leaks.withColumn("exact", F.size(F.array_except("places", "as_is")) == 0)
+    full = F.col("whole") > 0
+    leaks = leaks.withColumn("windows", F.when(full, F.col("item_windows")).otherwise(F.size("places")).cast("long")).withColumn("coverage", F.col("windows") / F.col("item_windows"))
+    enough = full | (F.col("coverage") >= coverage) | (_covered(F.col("places"), k) >= token_coverage * F.col("item_tokens"))
+    leaks = leaks.where(enough & (F.col("single") >= consistency * F.col("own"))).join(known, "item")
+    # of one template, the items that a document holds as they are; else the first
+    leaks = leaks.groupBy("row", "doc_id", "team").agg(F.max("exact").alias("as_is"), F.collect_set(F.struct("item_id", "members", "coverage", "exact", "windows", "item_windows")).alias("found"))
+    leaks = leaks.select("doc_id", F.explode(F.filter("found", lambda x: x["exact"] | ~F.col("as_is"))).alias("x")).select("doc_id", "x.*")
+    best = leaks.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "exact", "windows", "item_windows", "members")).alias("best"))
+    return best.select("doc_id", "item_id", "best.windows", "best.item_windows", "best.coverage", F.lit(True).alias("consistent"), "best.exact", F.col("best.members").alias("template_items"))

@@ -735,7 +735,7 @@ def test_op8_finds_copies_and_variants(spark):
         "say tiny item now again", None, "", "ab cd", "1 2 3 4 5 6 7 8 9",
     ]
     got = {(r.doc_id, r["item_id"]): (r.consistent, r.exact) for r in decontaminate.find_leaks(clash(make(spark, docs)), bench, consistency=0.9).collect()}
-    assert got == {(0, 1): (True, True), (1, 1): (True, False), (3, 2): (True, True), (5, 3): (True, True)}
+    assert got == {(0, 1): (True, True), (1, 1): (True, False), (3, 2): (True, True), (5, 3): (True, True), (8, 6): (True, True)}
 
 
 def template_by_hand(text):
@@ -764,7 +764,7 @@ def template_by_hand(text):
     return out, [low[a:b] for a, b in found]
 
 
-def leaks_by_hand(doc, item, k=5, coverage=0.5, consistency=0.8):
+def leaks_by_hand(doc, item, k=5, coverage=0.5, consistency=0.8, token_coverage=0.8):
     """(windows, item_windows, exact) or None."""
     d, d_words = template_by_hand(doc)
     t, t_words = template_by_hand(item)
@@ -782,7 +782,7 @@ def leaks_by_hand(doc, item, k=5, coverage=0.5, consistency=0.8):
     rich = [i for i in every if literals(t[i : i + k]) >= decontaminate.MIN_LITERALS]
     plain = len(t) >= k and len(rich) >= coverage * len(every)
     out, total = [], max(1, len(rich) if plain else len(every))
-    diagonals = collections.defaultdict(lambda: (set(), set()))
+    diagonals, as_is = collections.defaultdict(lambda: (set(), set())), set()
     for i in rich if plain else every:
         for j in range(len(d) - k + 1):
             a, b = t[i : i + k], d[j : j + k]
@@ -790,12 +790,17 @@ def leaks_by_hand(doc, item, k=5, coverage=0.5, consistency=0.8):
                 diagonals[j - i][0].add(i), diagonals[j - i][1].update(slots(a, b))
             elif i not in rich and [x[0] for x in a] == [x[0] for x in b] and literals(b) < decontaminate.MIN_LITERALS:
                 diagonals[j - i][0].add(i)
-    diagonals = [x for x in diagonals.values() if len(x[0]) >= min(3, total)]
-    places = {i for x, _ in diagonals for i in x}
-    single, own, exact = (list(x) for x in zip(*(fits(p) for _, p in diagonals), strict=True)) if diagonals else ([0], [0], [True])
-    if len(places) >= coverage * total and places and sum(single) >= consistency * sum(own):
-        out.append((len(places) / total, all(exact), len(places), total))
-    if not plain and len(t_words) >= decontaminate.MIN_WORDS:
+            else:
+                continue
+            if all(x == y for x, y in slots(a, b)):
+                as_is.add(i)
+    places = {i for x, _ in diagonals.values() for i in x}
+    tokens = lambda at: len({i + x for i in at for x in range(k)})
+    single, own, _ = (list(x) for x in zip(*(fits(p) for _, p in diagonals.values()), strict=True)) if diagonals else ([0], [0], [True])
+    enough = len(places) >= coverage * total or tokens(places) >= token_coverage * tokens(rich if plain else every)
+    if places and enough and sum(single) >= consistency * sum(own):
+        out.append((len(places) / total, places <= as_is, len(places), total))
+    if not plain and t_words:
         if any(d_words[j : j + len(t_words)] == t_words for j in range(len(d_words) - len(t_words) + 1)):
             out.append((1.0, True, total, total))
         rest = t[1:]
@@ -828,7 +833,45 @@ def test_op8_finds_what_all_pairs_find(spark):
     assert got == want
     n = len(docs)
     assert {(n - 5, 60), (n - 4, 61), (n - 3, 60), (n - 2, 60), (n - 1, 61)} <= set(got) and got[n - 5, 60][0] and not got[n - 3, 60][0]
-    assert all((4 * j, j) in got for j, t in enumerate(items[:60]) if len(t.split()) >= 3)
+    assert all((4 * j, j) in got for j, t in enumerate(items[:60]))
+
+
+def test_op8_items_of_one_and_two_words(spark):
+    bench = spark.createDataFrame([(1, "quantum entanglement"), (2, "Zyzzyva"), (3, "7"), (4, ""), (5, None)], "item_id long, text string")
+    docs = ["they said quantum entanglement twice", "a zyzzyva, really", "quantum", "entanglement quantum", "7 up"]
+    assert {(r.doc_id, r.item_id, r.exact) for r in decontaminate.find_leaks(make(spark, docs), bench).collect()} == {(0, 1, True), (1, 2, True), (4, 3, True)}
+
+
+def test_op8_items_without_id_and_texts_that_share_one(spark):
+    r = random.Random(2)
+    item = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    short, long, other = item(13), item(60), item(20)
+    bench = spark.createDataFrame([(1, short), (1, long), (None, other), (None, short), (2, short)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.find_leaks(make(spark, [f"x {short} y", f"{long}", f"{other} z", item(30)]), bench).collect()}
+    assert got == {(0, 1), (0, 2), (0, None), (1, 1), (2, None)}
+
+
+def test_op8_templates_do_not_make_all_pairs(spark):
+    ask = lambda a, b: f"if a train goes {a} km in {b} hours how far does it go in one hour on the same track"
+    plus = lambda a, b: f"Compute {a} + {b} * 3 - {a} over two"
+    bench = spark.createDataFrame([(i, ask(100 + i, 3 + i)) for i in range(60)] + [(100 + i, plus(10 + i, 40 + i)) for i in range(60)], "item_id long, text string")
+    docs = [f"well {ask(500 + i, 90 + i)} then" for i in range(60)] + [f"well {plus(700 + i, 800 + i)} then" for i in range(60)] + [ask(105, 8), plus(17, 47), ask(100, 3) + " " + ask(101, 4)]
+    got = decontaminate.find_leaks(make(spark, docs), bench).collect()
+    assert {(r.doc_id, r.item_id, r.exact) for r in got} == {(i, 0, False) for i in range(60)} | {(60 + i, 100, False) for i in range(60)} | {(120, 5, True), (121, 107, True), (122, 0, True), (122, 1, True)}
+    teams = {r.item_id: r.representative for r in decontaminate.template_teams(bench).collect()}
+    assert teams == {i: 0 for i in range(60)} | {100 + i: 100 for i in range(60)}
+
+
+@pytest.mark.parametrize(("every", "least"), [(15, 1.0), (10, 1.0), (8, 1.0), (7, 0.9), (6, 0.9), (5, 0.9)])
+def test_op8_recall_against_words_put_in(spark, every, least):
+    r = random.Random(every)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7)))
+    items = [[word() for _ in range(r.randint(20, 60))] for _ in range(200)]
+    docs = [" ".join(x for j, w in enumerate(item) for x in ([word(), w] if j and j % every == 0 else [w])) for item in items]
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.find_leaks(make(spark, docs), bench).collect()}
+    assert all(a == b for a, b in got)
+    assert len(got) >= least * 200
 
 
 def test_op8_rows_without_id_and_long_texts(spark):
