@@ -35,7 +35,10 @@ def rotate_perspectives(
     written with a backslash (and one more than there were), so no text can pass for a marker.
 
     A long dialogue is cut into parts of turns_per_part turn numbers (part = turn div that), so no
-    conversation is gathered whole; parts follow each other by number. None: dialogues stay whole. A
+    conversation is gathered whole; parts follow each other by number, and turn numbers go on through them.
+    A part or piece without a system turn of its own opens with the conversation's first one (by turn and
+    text), so what a participant is told does not change with the dialogue's length; n_turns counts it.
+    None: dialogues stay whole. A
     part of more than rows_per_piece rows (rows that repeat, or have no turn or all the same one) is
     cut into pieces of that many, in order; other parts are piece 0. Turns are ordered by turn, role
     and text, nulls first; ties are alike. A null or blank role is a participant called "unknown",
@@ -62,6 +65,12 @@ def rotate_perspectives(
             cut = cut.select(*own.columns, F.floor((F.col("nth") - F.col("first")) / rows_per_piece).alias("piece"))
             rows = own.join(heavy, among, "left_anti").withColumn("piece", F.lit(0).cast("long")).unionByName(cut)
     parts = rows.groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_list(F.struct("turn", "speaker", "content"))).alias("turns"))
+    # what sets the scene holds for the whole dialogue, so a part or piece without it opens with it
+    if turns_per_part:
+        scene = own.where(F.col("speaker").isin(*system)).groupBy(F.col("conv_id").alias("c")).agg(F.min(F.struct("turn", "speaker", "content")).alias("scene"))
+        parts = parts.join(scene, parts["conv_id"].eqNullSafe(scene["c"]), "left").drop("c")
+        without = F.col("scene").isNotNull() & ~F.exists("turns", lambda t: t["speaker"].isin(*system))
+        parts = parts.withColumn("turns", F.when(without, F.concat(F.array("scene"), "turns")).otherwise(F.col("turns"))).drop("scene")
     seen = parts.join(people, parts["conv_id"].eqNullSafe(people["c"])).drop("c")
 
     mine = lambda t: t["speaker"] == F.col("perspective")
@@ -89,16 +98,23 @@ def rotate_perspectives(
     )
 
 
-#: The digest columns of op6 for DuckDB: one row per conversation, perspective and part.
+#: The digest columns of op6 for DuckDB: one row per conversation, perspective, part and piece.
 PERSPECTIVES_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(nullif(trim(regexp_replace(role, '[\r\n]', ' ', 'g')), ''), 'unknown') AS speaker, coalesce(text, '') AS content,
          coalesce(CAST(floor(turn / 256.0) AS BIGINT), 0) AS part
   FROM conversations),
-own AS (
-  SELECT *, CAST(floor((row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, speaker, content) - 1) / 1024) AS BIGINT) AS piece,
-         regexp_replace(content, '<(\\*)\|', '<\1\\|', 'g') AS plain, regexp_replace(speaker, '<(\\*)\|', '<\1\\|', 'g') AS name
+cut AS (
+  SELECT *, 1 AS later, CAST(floor((row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, speaker, content) - 1) / 1024) AS BIGINT) AS piece
   FROM turns),
+scene AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, content) AS nth FROM turns WHERE speaker = 'system') WHERE nth = 1),
+bare AS (SELECT conv_id, part, piece FROM cut GROUP BY conv_id, part, piece HAVING count(*) FILTER (WHERE speaker = 'system') = 0),
+opened AS (
+  SELECT conv_id, turn, speaker, content, part, later, piece FROM cut UNION ALL
+  SELECT b.conv_id, s.turn, s.speaker, s.content, b.part, 0, b.piece FROM bare b JOIN scene s ON b.conv_id IS NOT DISTINCT FROM s.conv_id),
+own AS (
+  SELECT *, regexp_replace(content, '<(\\*)\|', '<\1\\|', 'g') AS plain, regexp_replace(speaker, '<(\\*)\|', '<\1\\|', 'g') AS name
+  FROM opened),
 people AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM own WHERE speaker <> 'system'),
 seen AS (
   SELECT own.*, perspective, speaker <> 'system' AND speaker = perspective AS trained,
@@ -106,10 +122,10 @@ seen AS (
          plain || '<|im_end|>' || chr(10) AS body
   FROM own JOIN people ON own.conv_id IS NOT DISTINCT FROM people.c)
 , placed AS (
-  SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part, piece ORDER BY turn NULLS FIRST, speaker, content ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part, piece ORDER BY later, turn NULLS FIRST, speaker, content ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
   FROM seen)
 SELECT conv_id, perspective, part, piece, count(*) AS n_turns, CAST(count(*) FILTER (WHERE trained) AS BIGINT) AS n_trained,
-       string_agg(head || body, '' ORDER BY turn NULLS FIRST, speaker, content) AS rendered,
-       coalesce(string_agg(CAST(CAST(pos + length(head) AS BIGINT) AS VARCHAR) || '+' || CAST(length(body) AS VARCHAR), ',' ORDER BY turn NULLS FIRST, speaker, content) FILTER (WHERE trained), '') AS mask
+       string_agg(head || body, '' ORDER BY later, turn NULLS FIRST, speaker, content) AS rendered,
+       coalesce(string_agg(CAST(CAST(pos + length(head) AS BIGINT) AS VARCHAR) || '+' || CAST(length(body) AS VARCHAR), ',' ORDER BY later, turn NULLS FIRST, speaker, content) FILTER (WHERE trained), '') AS mask
 FROM placed GROUP BY conv_id, perspective, part, piece
 """

@@ -605,6 +605,26 @@ def test_op6_cuts_parts_of_many_rows(spark):
     assert whole == {1: 57, None: 12, 2: 9}
 
 
+def test_op6_every_part_says_what_sets_the_scene(spark):
+    rows = [(1, 0, "system", "be kind"), (1, 0, "system", "also"), *[(1, i, "ann" if i % 2 else "bob", f"t{i}") for i in range(1, 600)], (1, 590, "system", "late"), (2, 300, "ann", "x"), (None, None, "system", "null"), (None, 700, "ann", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for piece in (1024, 100):
+        got = [x for x in chat.rotate_perspectives(clash(df), rows_per_piece=piece).collect() if x.perspective == "ann"]
+        for x in got:
+            told = [(m.role, m.content) for m in x.messages]
+            assert x.n_turns == len(told)
+            if x.conv_id == 1:
+                own = [c for role, c in told if role == "system"]
+                assert own in (["also"], ["also", "be kind"], ["late"])  # ties by text
+                assert told[0][0] == "system" or own == ["late"]
+            elif x.conv_id is None:
+                assert told == ([("system", "null")] if x.part == 0 else [("system", "null"), ("assistant", "y")])
+            else:
+                assert told == [("assistant", "x")]
+        mine = sorted((x for x in got if x.conv_id == 1), key=lambda x: (x.part, x.piece))
+        assert [m.turn for x in mine for m in x.messages if m.role != "system"] == list(range(1, 600))
+
+
 def test_op6_is_native(spark):
     df = spark.createDataFrame([(1, 1, "a", "b")], "conv_id long, turn long, role string, text string")
     assert not re.search("Python|Arrow|Pandas", chat.rotate_perspectives(df)._jdf.queryExecution().executedPlan().toString())
