@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
+from ..sources.arrivals import ArrivalSource
 from ..sources.outbox import OutboxSource
 from ..sources.readers import LandedSource
 from . import dates, jsonx, profile
@@ -37,7 +38,7 @@ def repair_json(column):
 
 def register(spark: SparkSession) -> None:
     """Make walkin_dates(text, as_of), repair_json(text), profile_sections(text) and condensed_profile(text) known to SQL,
-    json_aliases(text, aliases) as a table function, and "landed" and "outbox" as formats."""
+    json_aliases(text, aliases) as a table function, and "landed", "outbox" and "arrivals" as formats."""
     ship(spark)
     spark.udf.register("walkin_dates", dates._walkin)
     spark.udf.register("repair_json", repair_json)
@@ -46,3 +47,4 @@ def register(spark: SparkSession) -> None:
     spark.udtf.register("json_aliases", JsonAliases)
     spark.dataSource.register(LandedSource)
     spark.dataSource.register(OutboxSource)
+    spark.dataSource.register(ArrivalSource)

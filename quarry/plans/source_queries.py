@@ -14,6 +14,7 @@ from ..operators import listings as L
 from ..operators import metrics as M
 from ..operators import state as ST
 from ..session import scratch
+from ..sources import arrivals as A
 from ..sources import fetch as FE
 from ..sources import outbox
 from ..sources import providers as V
@@ -274,6 +275,19 @@ def append_queue(spark, d):
     return spark.read.parquet(got)
 
 
+@query("SELECT CAST(1 + p_partkey % 3 AS BIGINT) AS landing, p_partkey, p_name FROM part")
+def arrivals_stream(spark, d):
+    """Three landings that a stream takes in two starts; landings are the order of arrival."""
+    body = F.to_json(F.struct("p_partkey", "p_name"))
+    rows = _t(spark, d, "part").select("p_partkey", body.alias("body"), F.lit("part").alias("origin"))
+    root, check, table = (scratch(spark, x) for x in ("arrivals", "check", "taken"))
+    for i in range(3):
+        A.land(rows.where(F.col("p_partkey") % 3 == i), root)
+        if i:
+            taken = A.take_new(spark, root, check, table)
+    return taken.select("landing", F.get_json_object("body", "$.p_partkey").cast("long").alias("p_partkey"), F.get_json_object("body", "$.p_name").alias("p_name"))
+
+
 @query("SELECT event_id, event_type, value FROM events WHERE event_id % 3 <> 2")
 def outbox_rows(spark, d):
     """Two batches through the outbox format; a third, of which a task fails, leaves nothing to see."""

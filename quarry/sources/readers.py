@@ -160,8 +160,8 @@ def _met(results: DataFrame, caps: dict[str, int]) -> tuple[DataFrame, DataFrame
     text = F.coalesce(F.nullif(F.trim("markdown"), F.lit("")), F.nullif(F.trim("snippet"), F.lit("")), F.col("title"))
     direct = asked.where("single").select(*order, F.lit(-1).alias("link_nth"), "url", "title", text.alias("text"))
     lists = asked.where("many AND NOT single").orderBy(*order).limit(caps["expansions"])
-    inside = F.filter(F.transform(links_in_text(F.col("markdown")), lambda x: absolute_url(x, F.col("url"))), lambda x: is_individual_job_url(x, F.lit("")))
-    links = lists.select(*order, F.col("title").alias("parent"), F.posexplode(F.slice(inside, 1, caps["links"])).alias("link_nth", "link"))
+    inside = F.transform(links_in_text(F.col("markdown")), lambda x: absolute_url(x, F.col("url")))
+    links = first_postings(lists.select(*order, F.col("title").alias("parent"), inside.alias("inside")), caps["links"])
     links = materialise(links.withColumn("url", norm_url_loose(F.col("link"))), "links")
     place = F.struct(*order, "link_nth")
     first = direct.select("url", place.alias("p")).unionByName(links.select("url", place.alias("p"))).groupBy("url").agg(F.min("p").alias("first"))
@@ -170,6 +170,13 @@ def _met(results: DataFrame, caps: dict[str, int]) -> tuple[DataFrame, DataFrame
     return here(direct), here(links).orderBy(*order).limit(caps["details"]), order
 
 
+def first_postings(lists: DataFrame, most: int, inside: str = "inside") -> DataFrame:
+    """Each list's first links (in the column inside) that are postings, with their place: a query of its own for every row."""
+    links = lists.sparkSession.tvf.posexplode(F.col(inside).outer()).toDF("link_nth", "link")
+    mine = links.where(is_individual_job_url(F.col("link"), F.lit(""))).orderBy("link_nth").limit(most)
+    return lists.lateralJoin(mine).drop(inside)
+
+
 def wanted_details(results: DataFrame, caps: dict[str, int] = terms.SEARCH_CAPS) -> DataFrame:
     """The pages (url) that search_web() will ask for as details."""
     return _met(results, caps)[1].select(F.col("link").alias("url")).distinct()

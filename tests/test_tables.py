@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from quarry.operators import listings as L
 from quarry.plans import pipeline as P
+from quarry.sources import arrivals as A
 from quarry.sources import outbox as O
+from quarry.sources import readers as R
 from quarry.sources import sinks as K
 from quarry.sources.commits import CommitLog, Conflict
 from quarry.sources.tables import BucketTable, History
@@ -206,6 +208,33 @@ def test_outbox_abort_removes_what_tasks_wrote(spark, tmp_path):
     assert os.listdir(tmp_path / "box" / "rows") == []
 
 
+# ---- arrivals ----
+
+
+def test_a_stream_takes_each_landing_once(spark, tmp_path):
+    root, taken = str(tmp_path / "in"), lambda: A.take_new(spark, root, str(tmp_path / "check"), str(tmp_path / "out"))
+    responses = lambda *bodies: spark.createDataFrame([(b, "o") for b in bodies], "body string, origin string")
+    assert A.land(responses("a", "b"), root) == 1
+    assert sorted((r.landing, r.body) for r in taken().collect()) == [(1, "a"), (1, "b")]
+    assert [A.land(responses(x), root) for x in "cd"] == [2, 3]
+    responses("half").write.parquet(f"{root}/data-uncommitted")
+    assert sorted((r.landing, r.body) for r in taken().collect()) == [(1, "a"), (1, "b"), (2, "c"), (3, "d")]
+    assert taken().count() == 4
+    assert sorted(map(tuple, A.arrivals(spark, root).collect())) == [(1, "a", "o"), (1, "b", "o"), (2, "c", "o"), (3, "d", "o")]
+    assert A.arrivals(spark, str(tmp_path / "none")).count() == 0
+
+
+# ---- lateral joins ----
+
+
+def test_first_postings_of_each_list(spark):
+    links = lambda *n: [f"https://{'x.in/job' if i % 2 else 'youtube.com/watch'}/100000{i}" for i in n]
+    df = spark.createDataFrame([(1, links(1, 2, 3, 5, 7)), (2, links(2)), (3, []), (4, links(9)), (4, links(9))], "list int, inside array<string>")
+    got = R.first_postings(df, 2)
+    assert "LateralJoin" in got._jdf.queryExecution().analyzed().toString()
+    assert sorted((r.list, r.link[-1]) for r in got.collect()) == [(1, "1"), (1, "3"), (4, "9"), (4, "9")]
+
+
 # ---- numbering, evaluation ----
 
 
