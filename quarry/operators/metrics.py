@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import error_class
@@ -51,6 +51,18 @@ def status_counters(df: DataFrame, status: str, groups: dict[str, list[str]], by
     return df.groupBy(*(by or [])).agg(*(F.count_if(F.col(status).isin(*values)).alias(name) for name, values in groups.items()))
 
 
+def counted_write(df: DataFrame, path: str, counters: dict[str, Column]) -> dict[str, int]:
+    """Write df as Parquet and return its counters (aggregates by name), which come with the write: no second pass over df."""
+    seen = Observation()
+    df.observe(seen, *(c.alias(name) for name, c in counters.items())).write.parquet(path)
+    return seen.get
+
+
+def status_counts(status: Column, groups: dict[str, list[str]]) -> dict[str, Column]:
+    """Counters of rows whose status is in each named list, for counted_write() or observe()."""
+    return {"total": F.count("*")} | {name: F.count_if(status.isin(*values)) for name, values in groups.items()}
+
+
 def set_hash(df: DataFrame, key: str, by: str) -> DataFrame:
     """sha256 of a group's sorted non-empty keys (with repeats) joined by newlines: independent of order.
 

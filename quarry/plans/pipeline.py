@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import terms
@@ -155,6 +155,8 @@ class Run:
     final: DataFrame
     state: DataFrame
     shares: DataFrame
+    #: Rows that came in, different addresses, and verdicts by outcome; counted as they were written.
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 def run(raw: DataFrame, seen: DataFrame, deferred: DataFrame, state: DataFrame, evaluators: list[Evaluator] | Chain, *, as_of: Column, now: Column, settings: Settings = Settings(), crawled: DataFrame | None = None, history: tuple[int, int, float, float] = (0, 0, 0.0, 0.0)) -> Run:
@@ -163,16 +165,18 @@ def run(raw: DataFrame, seen: DataFrame, deferred: DataFrame, state: DataFrame,
     history: attempted, unresolved, mean and p95 latency of the run before, for the admission limit.
     """
     ship(raw.sparkSession)
-    unique = L.dedupe_by_url(L.normalise_rows(raw))
+    seen_raw, seen_unique, judged = Observation(), Observation(), Observation()
+    unique = L.dedupe_by_url(L.normalise_rows(raw.observe(seen_raw, F.count("*").alias("raw"))))
     if crawled is not None:
         unique = L.enrich_descriptions(unique, crawled)
-    unique = materialise(unique, "unique")
+    unique = materialise(unique.observe(seen_unique, F.count("*").alias("unique")), "unique")
     scored = S.prefilter_score(unique, as_of, fresher_only=settings.fresher_only)
     short = materialise(L.fair_top_k(scored, score="prefilter_score", group="source", order="arrival_ord", most=settings.most, least=settings.least_per_source, threshold=settings.threshold), "shortlist")
     queue = L.deferred_first(deferred, L.unseen(short, seen))
     limit = raw.sparkSession.range(1).select(S.admission_limit(F.lit(settings.budget_seconds), F.lit(history[0]), F.lit(history[1]), F.lit(history[2]), F.lit(history[3]), settings.concurrency, settings.safety, 1, settings.most).alias("n")).first().n
     admitted, later = L.split_admitted(materialise(queue, "queue"), limit, ["phase", "arrival_ord"])
     reviewed, rows = review(admitted, state, evaluators, settings, as_of, now)
+    rows = materialise(rows.observe(judged, *(c.alias(n) for n, c in M.status_counts(F.col("status"), {"passed": ["PASSED"], "rejected": ["REJECTED"], "unfinished": terms.RESUMABLE}).items() if n != "total")), "rows")
     passed = L.unseen(L.first_wins(reviewed.where("passed"), "job_url", ["arrival_ord"]), seen)
     final = L.final_rank(L.enrich_contacts(passed))
-    return Run(unique, short, admitted, later, reviewed, final, ST.upsert(state.select(*rows.columns), rows, "job_url", ["updated_at"]), M.shares(unique))
+    return Run(unique, short, admitted, later, reviewed, final, ST.upsert(state.select(*rows.columns), rows, "job_url", ["updated_at"]), M.shares(unique), seen_raw.get | seen_unique.get | judged.get)

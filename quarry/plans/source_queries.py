@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import terms
 from ..functions import text as X
+from ..functions.register import register
 from ..operators import listings as L
 from ..operators import metrics as M
 from ..operators import state as ST
@@ -23,7 +24,7 @@ from ..sources import sinks as K
 from ..sources.tables import BucketTable, History
 from . import monitor as MO
 from . import pipeline as PL
-from .queries import AS_OF, _sql_any, _t, query
+from .queries import _RUNS, AS_OF, _sql_any, _t, query
 from .rule_queries import TODAY, _list, _listings, _nth
 
 
@@ -288,6 +289,22 @@ def arrivals_stream(spark, d):
     return taken.select("landing", F.get_json_object("body", "$.p_partkey").cast("long").alias("p_partkey"), F.get_json_object("body", "$.p_name").alias("p_name"))
 
 
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE event_type IN ('purchase', 'signup')) AS passed, count(*) FILTER (WHERE event_type = 'error') AS failed FROM events")
+def observed_counters(spark, d):
+    """Counters that come with the write of the rows they count."""
+    rows = _t(spark, d, "events")
+    got = M.counted_write(rows, scratch(spark, "counted"), M.status_counts(F.col("event_type"), {"passed": ["purchase", "signup"], "failed": ["error"]}))
+    return spark.range(1).select(*(F.lit(v).cast("long").alias(k) for k, v in got.items()))
+
+
+@query(f"SELECT user_id, CAST(max(run) AS BIGINT) AS longest, max(run) >= 3 AS opened FROM ({_RUNS}) GROUP BY user_id")
+def sql_failure_runs(spark, d):
+    """The table function failure_runs, by its SQL name, over a partitioned table argument."""
+    register(spark)
+    rows = _t(spark, d, "events").selectExpr("user_id", "ts", "event_id", "value < 40 AS failed")
+    return spark.sql("SELECT * FROM failure_runs(TABLE({rows}) PARTITION BY user_id ORDER BY (ts, event_id), 3)", rows=rows)
+
+
 @query("SELECT event_id, event_type, value FROM events WHERE event_id % 3 <> 2")
 def outbox_rows(spark, d):
     """Two batches through the outbox format; a third, of which a task fails, leaves nothing to see."""

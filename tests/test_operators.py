@@ -262,6 +262,7 @@ def test_two_runs_resume(spark):
     assert one.unique.count() == 4 and one.shortlist.count() == 3 and one.deferred.count() == 0
     assert rows(one.final, "job_url", "fit_score", "fit_tier", "reason") == [("u/1", 90, "Exceptional", "fits")]
     assert rows(one.state, "job_url", "status") == [("u/1", "PASSED"), ("u/2", "PERMANENT_ERROR"), ("u/3", "RETRYABLE_ERROR")]
+    assert one.counts == {"raw": 5, "unique": 4, "passed": 1, "rejected": 0, "unfinished": 1}
 
 
 def test_verdict_rules(spark):
