@@ -434,10 +434,12 @@ _CLASS = f"""CASE WHEN contains(m, 'timeout') THEN 'TIMEOUT' WHEN {_sql_any('m',
  WHEN {_sql_any('m', ['blocked', 'captcha', 'bot detection', 'robot'])} THEN 'BLOCKED' WHEN {_sql_any('m', ['json', 'parse', 'parser', 'schema'])} THEN 'PARSER_ERROR' ELSE 'UNKNOWN_ERROR' END"""
 
 
-@query(f"SELECT n_nationkey, {_CLASS} AS class FROM (SELECT n_nationkey, lower(({_MESSAGES})[n_nationkey % 8 + 1]) AS m FROM nation)")
+@query(f"SELECT doc_id, {_CLASS} AS class FROM (SELECT doc_id, lower(CASE WHEN doc_id % 9 = 8 THEN text ELSE text || chr(10) || ({_MESSAGES})[doc_id % 9 + 1] END) AS m FROM documents)")
 def error_class(spark, d):
-    rows = _t(spark, d, "nation").select("n_nationkey", F.get(F.array(*(F.lit(m) for m in _MESSAGES)), (F.col("n_nationkey") % 8).cast("int")).alias("m"))
-    return rows.select("n_nationkey", X.error_class(F.col("m"), F.lit("ValueError")).alias("class"))
+    """Whole texts, most of them with a message at the end."""
+    n = F.col("doc_id")
+    said = F.concat_ws("\n", "text", F.get(F.array(*(F.lit(m) for m in _MESSAGES)), (n % 9).cast("int")))
+    return _t(spark, d, "documents").select("doc_id", X.error_class(said, F.lit("ValueError")).alias("class"))
 
 
 _PLAIN = r"""regexp_replace(text, '[\\"\n\r\t{}\[\],`]', ' ', 'g')"""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from .. import terms
@@ -15,6 +13,7 @@ from ..functions import score as S
 from ..functions import text as X
 from ..functions import url as U
 from ..operators import listings as L
+from ..sources import readers as R
 from . import pipeline as PL
 from .queries import _RE, _TITLE, _YEARS, _sql_any, _sql_hits, _sql_pairs, _sql_words, _t, query
 
@@ -337,11 +336,10 @@ def search_combinations(spark, d):
     return L.combinations(places, families, words)
 
 
-def _union(frames):
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 @query("""SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, CAST(NULL AS VARCHAR) AS status FROM customer UNION ALL SELECT o_orderkey, NULL, NULL, o_orderstatus FROM orders""")
 def union_of_columns(spark, d):
-    return _union([_t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")), _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))])
+    customers = _t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    orders = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    return R.union_sources({"customers": customers, "orders": orders}).select("id", "name", "balance", "status")
+
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import terms
+from ..functions import score as S
 from ..functions import text as X
 from ..functions.register import register
 from ..operators import listings as L
@@ -245,11 +247,11 @@ def json_file_rows(spark, d):
     return back.select("n_nationkey", "n_name", F.col("_bad").alias("bad"))
 
 
-@query("SELECT 'u/' || p_partkey AS job_url, p_name AS title, 'India' AS location FROM part WHERE p_partkey < 500")
+@query("SELECT 'u/' || p_partkey AS job_url, p_name AS title, 'India' AS location FROM part")
 def landed_files(spark, d):
     path = scratch(spark, "landed")
     item = F.struct(F.col("p_name").alias("title"), F.col("u").alias("absolute_url"))
-    bodies = _bodies(_part_rows(spark, d).where("p_partkey < 500"), "p_group", item, "jobs")
+    bodies = _bodies(_part_rows(spark, d), "p_group", item, "jobs")
     # one file for each response, over several lines
     bodies.select(F.regexp_replace("body", "[{]", "{\n").alias("value"), "origin").repartition("origin").write.partitionBy("origin").text(path)
     return R.read_landed(spark, "board_a", f"{path}/*").select("job_url", "title", "location")
@@ -305,6 +307,72 @@ def sql_failure_runs(spark, d):
     return spark.sql("SELECT * FROM failure_runs(TABLE({rows}) PARTITION BY user_id ORDER BY (ts, event_id), 3)", rows=rows)
 
 
+@query("SELECT 'landed' AS origin, p_partkey, p_name FROM part")
+def landed_format(spark, d):
+    """Responses, a file each, through the format "landed" by its name."""
+    register(spark)
+    path, body = scratch(spark, "landed"), F.to_json(F.collect_list(F.struct("p_partkey", "p_name")))
+    _part_rows(spark, d).groupBy("p_brand").agg(body.alias("value")).select("value").repartition(8).write.option("compression", "none").text(path)
+    files = [r[0] for r in spark.read.text(path).select("_metadata.file_path").distinct().collect()]
+    raw = spark.read.format("landed").option("paths", ",".join(files)).load()
+    # a file holds a response on each line
+    lines = raw.select(F.explode(F.split("body", "\n")).alias("line")).where("line <> ''")
+    rows = lines.select(F.explode(F.from_json("line", "array<struct<p_partkey: bigint, p_name: string>>")).alias("x"))
+    return rows.select(F.lit("landed").alias("origin"), "x.p_partkey", "x.p_name")
+
+
+@query("""SELECT 'good' AS source, count(*) AS n, 'SUCCESS' AS status FROM part UNION ALL SELECT 'broken', 0, 'TIMEOUT' UNION ALL SELECT 'banned', 0, 'BLOCKED' UNION ALL SELECT 'empty', 0, 'NO_RESULTS'""")
+def sources_tried(spark, d):
+    """Sources that deliver beside those that fail while they are read: a row of outcome for each."""
+    rows = _part_rows(spark, d).select("p_partkey", "p_name")
+    fails = lambda message: lambda: rows.withColumn("p_name", F.when(F.col("p_partkey") % 11 == 3, F.raise_error(F.lit(message))).otherwise(F.col("p_name")))
+    got, why = R.try_sources({"good": lambda: rows, "broken": fails("request timeout"), "banned": fails("captcha required"), "empty": lambda: rows.where("p_partkey < 0")})
+    said = {name: next(m for m in ("request timeout", "captcha required") if m in str(e)) for name, e in why.items()}
+    counts = [df.agg(F.lit(name).alias("source"), F.count("*").alias("n"), F.lit(None).cast("string").alias("error")) for name, df in got.items()]
+    failed = [spark.range(1).select(F.lit(name).alias("source"), F.lit(0).cast("long").alias("n"), F.lit(m).alias("error")) for name, m in said.items()]
+    every = reduce(lambda a, b: a.unionByName(b), counts + failed)
+    kind = F.when(F.col("error").isNotNull(), "RuntimeError")
+    return every.select("source", "n", M.source_status(F.col("error"), kind, F.col("n")).alias("status"))
+
+
+@query("SELECT DISTINCT o_custkey AS job_url FROM orders")
+def seen_history(spark, d):
+    """The keys of the first history table that exists."""
+    path = scratch(spark, "seen")
+    _t(spark, d, "orders").select(F.col("o_custkey").alias("job_url")).write.parquet(path)
+    return FE.seen_urls(spark, f"{path}-missing", path)
+
+
+_MARKS = json.dumps(terms.COMPONENT_CAPS | {"is_fresher_appropriate": True, "why": ["all points"]})
+
+
+def _judge(prompt: str) -> str:
+    """A stand-in for a model, which answers, or fails, by what it is asked about."""
+    kind = _number(prompt)
+    return _MARKS if kind == 4 else _answer(prompt)
+
+
+@query("""SELECT 'u/' || c_custkey AS job_url, CASE WHEN c_custkey % 10 = 0 THEN 'PASSED' WHEN k = 0 THEN 'PERMANENT_ERROR' WHEN k < 3 THEN 'RETRYABLE_ERROR' WHEN k = 3 THEN 'REJECTED' ELSE 'PASSED' END AS status,
+ CASE WHEN c_custkey % 10 = 0 THEN 0 WHEN k < 2 THEN 2 ELSE 1 END AS attempts, CASE WHEN c_custkey % 10 = 0 OR k > 2 THEN NULL WHEN k = 0 THEN 'ValueError: invalid json' WHEN k = 1 THEN 'TimeoutError: timeout' ELSE 'RuntimeError: rate limit' END AS last_error
+FROM (SELECT c_custkey, CAST(list_sum(list_transform(string_split('Rate this listing for the candidate. Answer with one JSON object.' || chr(10) || 'PROFILE: ' || chr(10) || 'TITLE: ' || c_name || chr(10) || 'COMPANY: ' || c_mktsegment || chr(10) || 'LOCATION: ' || chr(10) || 'DESCRIPTION: ', ''), lambda c: ascii(c))) % 5 AS INTEGER) AS k FROM customer)""")
+def reviewed(spark, d):
+    """A whole review: verdicts of earlier runs are resumed by content, waiting and new listings are evaluated, all are judged."""
+    rows = _t(spark, d, "customer").select(F.concat(F.lit("u/"), "c_custkey").alias("job_url"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("company"), F.lit("").alias("location"), F.lit("").alias("description"), F.col("c_custkey").alias("arrival_ord"))
+    n = F.col("arrival_ord")
+    key = _content_key(F.col("job_url"))
+    none, never = F.lit(None).cast("string"), F.lit(None).cast("timestamp")
+    verdict = PL.verdict_struct(F.lit(_MARKS))
+    old = rows.where(n % 10 < 2).select("job_url", F.when(n % 10 == 0, "PASSED").otherwise("QUEUED").alias("status"), F.lit(0).alias("attempts"), key.alias("evaluation_key"), F.when(n % 10 == 0, verdict).alias("verdict"), none.alias("last_error"), never.alias("lease_expires_at"), never.alias("updated_at"))
+    now = F.lit(f"{TODAY} 00:00:00").cast("timestamp")
+    _, state = PL.review(rows, old, [_judge], PL.Settings(attempts=2, most=2_000_000_000), F.lit(TODAY).cast("date"), now)
+    return state.select("job_url", "status", "attempts", "last_error")
+
+
+def _content_key(url: Column) -> Column:
+    """The content key that review() gives a listing without a description."""
+    return S.stable_hash(url, F.lit(""), F.lit(""), F.lit("2"))
+
+
 @query("SELECT event_id, event_type, value FROM events WHERE event_id % 3 <> 2")
 def outbox_rows(spark, d):
     """Two batches through the outbox format; a third, of which a task fails, leaves nothing to see."""
