@@ -115,34 +115,40 @@ def probe(spark: SparkSession, fetcher: Fetcher, url: str, least: int = 50) -> b
     return len(row.markdown or "") >= least
 
 
-def crawl(seeds: DataFrame, fetcher: Fetcher, *, depth: int = 2, pages: int = 20, most_seeds: int = terms.CRAWL_SEEDS, keywords: tuple[str, ...] = tuple(terms.CRAWL_KEYWORDS), weight: float = terms.CRAWL_WEIGHT, domains: list[str] = terms.BOARD_DOMAINS, **options) -> DataFrame:
+def crawl(seeds: DataFrame, fetcher: Fetcher, *, depth: int = 2, pages: int = 20, width: int = 5, most_seeds: int = terms.CRAWL_SEEDS, keywords: tuple[str, ...] = tuple(terms.CRAWL_KEYWORDS), weight: float = terms.CRAWL_WEIGHT, domains: list[str] = terms.BOARD_DOMAINS, **options) -> DataFrame:
     """Best-first discovery from (url) seeds on allowed hosts: (seed, url, markdown, error, seconds, depth, score).
 
     Seeds on other hosts go before the first most_seeds are taken. Every seed has a budget of its own of
-    so many pages. A level at a time: the new links of a level's pages, on the seed's host, are scored
-    by the share of keywords they have, times weight, and each seed's best are fetched next. Each level
-    is written before the next one, so nothing is fetched twice for a seed.
+    so many pages, and a frontier of links on its host that were met and not fetched, of any depth up to
+    depth. Links are scored by the share of keywords they have, times weight. Round by round each seed's
+    width best links are fetched (ties: less deep ones, then by address), so a promising page deep in the
+    site goes before a dull one near its root; with a width of 1 each page is chosen knowing all before it.
+    Frontier and pages of a round are written before the next, so nothing is fetched twice for a seed.
     """
     hits = lambda c: sum((F.lower(c).contains(k).cast("int") for k in keywords), F.lit(0))
     score = lambda c: hits(F.regexp_replace(c, "[-_/+]", " ")) * (weight / max(1, len(keywords)))
     start = seeds.select(norm_url_strict(F.col("url")).alias("url")).where("url <> ''").where(allowed_host(F.col("url"), domains)).distinct()
     start = start.orderBy("url").limit(most_seeds)
-    todo = materialise(start.select(F.col("url").alias("seed"), "url"), "frontier")
-    known, levels, spent = todo, [], todo.groupBy("seed").agg(F.lit(0).alias("spent"))
-    for level in range(depth + 1):
-        best = todo.withColumn("score", score(F.col("url"))).join(spent, "seed")
-        nth = F.row_number().over(Window.partitionBy("seed").orderBy(F.desc("score"), "url"))
-        best = materialise(best.withColumn("nth", nth).where(F.col("nth") <= pages - F.col("spent")).select("seed", "url", "score"), "level")
-        got = best.join(fetch_urls(best, fetcher, **options), "url").withColumn("depth", F.lit(level))
-        levels.append(materialise(got.select("seed", "url", "markdown", "error", "seconds", "depth", "score"), "crawl"))
-        every = reduce(lambda a, b: a.unionByName(b), levels)
-        spent = todo.select("seed").unionByName(every.select("seed")).distinct().join(every.groupBy("seed").agg(F.count("*").alias("spent")), "seed", "left").na.fill(0)
-        links = levels[-1].where("markdown IS NOT NULL").select("seed", "url", F.explode(links_in_text(F.col("markdown"))).alias("link"))
-        found = links.select("seed", norm_url_strict(absolute_url(F.col("link"), F.col("url"))).alias("url")).where("url <> ''").distinct()
-        found = found.where((host(F.col("url")) == host(F.col("seed"))) & allowed_host(F.col("url"), domains))
-        todo = materialise(found.join(known, ["seed", "url"], "left_anti"), "frontier")
-        known = known.unionByName(todo)
-    return every
+    frontier = materialise(start.select(F.col("url").alias("seed"), "url", F.lit(0).alias("depth"), score(F.col("url")).alias("score")), "frontier")
+    fetched, rounds = None, []
+    while True:
+        left = frontier if fetched is None else frontier.join(fetched.select("seed", "url"), ["seed", "url"], "left_anti")
+        spent = frontier.select("seed").distinct().withColumn("spent", F.lit(0)) if fetched is None else fetched.groupBy("seed").agg(F.count("*").alias("spent"))
+        nth = F.row_number().over(Window.partitionBy("seed").orderBy(F.desc("score"), "depth", "url"))
+        best = left.withColumn("nth", nth).where(F.col("nth") <= width).join(spent, "seed").where(F.col("nth") <= pages - F.col("spent"))
+        best = materialise(best.select("seed", "url", "depth", "score"), "best")
+        if best.isEmpty() and rounds:
+            return fetched
+        got = best.join(fetch_urls(best, fetcher, **options), "url")
+        rounds.append(materialise(got.select("seed", "url", "markdown", "error", "seconds", "depth", "score"), "crawl"))
+        fetched = reduce(lambda a, b: a.unionByName(b), rounds)
+        if best.isEmpty():
+            return fetched
+        links = rounds[-1].where((F.col("depth") < depth) & F.col("markdown").isNotNull()).select("seed", "url", "depth", F.explode(links_in_text(F.col("markdown"))).alias("link"))
+        found = links.select("seed", norm_url_strict(absolute_url(F.col("link"), F.col("url"))).alias("url"), (F.col("depth") + 1).alias("depth")).where("url <> ''")
+        found = found.where((host(F.col("url")) == host(F.col("seed"))) & allowed_host(F.col("url"), domains)).groupBy("seed", "url").agg(F.min("depth").alias("depth"))
+        new = found.join(frontier, ["seed", "url"], "left_anti").select("seed", "url", "depth", score(F.col("url")).alias("score"))
+        frontier = frontier.unionByName(materialise(new, "frontier"))
 
 
 def discover(seeds: DataFrame, fetcher: Fetcher, *, enabled: bool = True, most: int = terms.CRAWL_ROWS, **options) -> tuple[DataFrame, DataFrame]:

@@ -520,3 +520,31 @@ def test_streaming_state_machine(spark, tmp_path):
     out.stop()
     got = rows(spark.read.parquet(f"{tmp_path}/out"), "key", "ord", "from_status", "to_status", "valid")
     assert got == [("a", 1, "QUEUED", "EVALUATING", True), ("a", 2, "EVALUATING", "EVALUATED", True), ("a", 3, "EVALUATED", "QUEUED", False), ("a", 4, "EVALUATED", "PASSED", True), ("b", 1, "QUEUED", "PERMANENT_ERROR", True), ("c", 1, "QUEUED", "PASSED", False)]
+
+
+def test_crawl_takes_the_best_link_of_any_depth(spark):
+    import sys
+
+    from pyspark import cloudpickle
+
+    from quarry.sources import fetch as X
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    dull = " ".join(f"[d](/dull{i})" for i in range(6))
+    site = {"/": dull + " [s](/sde-jobs)", "/sde-jobs": "[r](/react-node-software-engineer)", "/react-node-software-engineer": "[g](/graduate-backend-intern)", "/graduate-backend-intern": "end"}
+    seeds = spark.createDataFrame([("https://indeed.com/",), ("https://naukri.com/",)], "url string")
+
+    def fetch(url):
+        return site.get("/" + url.split("/", 3)[3], "end")
+
+    def path(budget, width, depth=3):
+        got = X.crawl(seeds, fetch, concurrency=1, pages=budget, width=width, depth=depth).collect()
+        assert len(got) == len({(r.seed, r.url) for r in got})
+        return {seed: sorted((r.depth, r.url.split("/", 3)[3]) for r in got if r.seed == seed) for seed in {r.seed for r in got}}
+
+    # the deep pages with keywords go before the dull ones next to the seed, and each seed has its own budget
+    best = [(0, ""), (1, "sde-jobs"), (2, "react-node-software-engineer"), (3, "graduate-backend-intern")]
+    assert path(4, 1) == {f"https://{h}.com/": best for h in ("indeed", "naukri")}
+    assert path(5, 1)["https://indeed.com/"] == sorted([*best, (1, "dull0")])
+    assert [u for _, u in path(4, 1, depth=2)["https://indeed.com/"]] == ["", "dull0", "sde-jobs", "react-node-software-engineer"]
+    assert len(path(50, 3)["https://naukri.com/"]) == 10
