@@ -5,16 +5,16 @@ found in three passes over the documents, which are dealt into buckets once:
 
 1. Phrases. Of the short phrases in a window, the one with the smallest hash is its anchor; equal
    windows have equal anchors. Anchors that occur once rule out most windows cheaply.
-2. Confirmation. A shard owns a range of phrases. It gets each bucket's recurring phrases, as word
-   sequences, with the windows around them, counts the windows exactly over all documents and sends
-   every bucket the confirmed phrases and windows that concern it: the dictionary.
-3. Automata. A bucket compiles its part of the dictionary into Aho-Corasick automata over word
-   numbers, of a bounded number of phrases each, and streams all of its documents through them. What
-   they hit are the only places looked at: a window around a hit is removed if it is confirmed.
-
-A phrase that no document of a bucket has cannot be hit there, so to stream a bucket's documents
-through its own part of the dictionary gives what streaming them through all of it would, at a cost
-that grows with the documents only.
+2. Confirmation. A shard owns a range of windows. It gets those around each bucket's recurring phrases,
+   counts them exactly over all documents and tells every bucket which of its are confirmed.
+3. Automata. A bucket merges confirmed windows that follow each other into passages, compiles the
+   different ones into Aho-Corasick automata, of a bounded number of words each, and streams all of its
+   documents through them. What is removed is what hits cover, from their first to their last word.
+
+A passage is made of confirmed windows alone, so wherever it stands all of its words are covered by
+windows that recur; and each window of a bucket that recurs is in a passage of the bucket. So to stream
+a bucket's documents through its own passages gives what streaming them through those of all buckets
+would, at a cost that grows with the documents only.
 """
 
 from __future__ import annotations
@@ -32,10 +32,10 @@ from . import recurring as R
 from . import words as W
 
 ANCHOR = 6
-#: Phrases in one automaton, a bound on its memory.
-PHRASES = 1 << 16
-_SENT = "shard int, bucket int, anchors binary, phrases binary, sizes binary, windows binary, several binary"
-_KNOWN = "bucket int, kind int, shard int, bits binary, phrases binary"
+#: Words in one automaton, a bound on its memory; words in a passage, beyond which another one starts.
+WORDS, LONGEST = 1 << 17, 1 << 12
+_SENT = "shard int, bucket int, windows binary, several binary"
+_KNOWN = "bucket int, kind int, shard int, bits binary"
 
 
 def _windows(w: W.Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -84,44 +84,26 @@ def _join(arrays) -> np.ndarray:
 
 def _summary(w: W.Words, size: int) -> tuple[np.ndarray, ...]:
     """What is sent of a chunk, if it recurs, so that the chunk itself need not be held: its windows' anchors and
-    hashes; its different anchors and each one's words."""
-    at, least, place, own = _windows(w, size)
-    gram, first = np.unique(own, return_index=True)
-    spelled = w.hashes[place[first][:, None] + np.arange(min(ANCHOR, size))]
-    return least, W.rolling(w.hashes, size)[at] if len(at) else _empty(), gram, spelled
-
-
-def pack_phrases(bucket: int, chunks: list[tuple], recurring: np.ndarray, size: int, shards: int) -> pa.Table:
-    """What a bucket sends the shards of its recurring anchors: each one's words, and the windows around it."""
-    width = min(ANCHOR, size)
-    keep = [(R.isin(x[0], recurring), R.isin(x[2], recurring)) for x in chunks]
-    least, window = (_join(x[i][k] for x, (k, _) in zip(chunks, keep, strict=True)) for i in (0, 1))
-    gram = [x[2][k] for x, (_, k) in zip(chunks, keep, strict=True)]
-    spelled = [x[3][k] for x, (_, k) in zip(chunks, keep, strict=True)]
-    gram, first = np.unique(_join(gram), return_index=True)
-    spelled = np.concatenate([np.zeros((0, width), np.uint64), *spelled])[first]
-    order = np.lexsort((window, least))
-    least, window = least[order], window[order]
-    new = np.ones(len(window), bool)
-    new[1:] = (window[1:] != window[:-1]) | (least[1:] != least[:-1])
-    first = np.flatnonzero(new)
-    several = np.diff(np.append(first, len(window))) > 1
-    least, window = least[first], window[first]
-    edge = np.searchsorted(least, gram)
-    sizes = np.diff(np.append(edge, len(least))).astype("<u4")
-    cut = R._cuts(gram, shards)
-    at = np.append(edge, len(least))[cut]
+    hashes, and its different anchors."""
+    at, least, _, own = _windows(w, size)
+    return least, W.rolling(w.hashes, size)[at] if len(at) else _empty(), W.distinct(own)
+
+
+def pack_windows(bucket: int, chunks: list[tuple], recurring: np.ndarray, shards: int) -> pa.Table:
+    """What a bucket sends the shards: the windows around its recurring anchors, and which it has several times.
+
+    Windows are dealt by their own hash, not by their anchor's, so a phrase that very many different windows
+    share makes no shard hot.
+    """
+    value, count = np.unique(_join(x[1][R.isin(x[0], recurring)] for x in chunks), return_counts=True)
+    cut = R._cuts(value, shards)
     some = np.flatnonzero(np.diff(cut))
-    sent = [
-        [part[x[i] : x[i + 1]].tobytes() for i in some] if part is not several else [np.packbits(part[x[i] : x[i + 1]]).tobytes() for i in some]
-        for part, x in ((gram, cut), (spelled, cut), (sizes, cut), (window, at), (several, at))
-    ]
-    return pa.table([pa.array(some, pa.int32()), pa.array(np.full(len(some), bucket), pa.int32()), *(pa.array(x, pa.binary()) for x in sent)], names=["shard", "bucket", "anchors", "phrases", "sizes", "windows", "several"])
+    sent = [[value[cut[i] : cut[i + 1]].tobytes() for i in some], [np.packbits(count[cut[i] : cut[i + 1]] > 1).tobytes() for i in some]]
+    return pa.table([pa.array(some, pa.int32()), pa.array(np.full(len(some), bucket), pa.int32()), *(pa.array(x, pa.binary()) for x in sent)], names=["shard", "bucket", "windows", "several"])
 
 
-def confirm(sent: DataFrame, size: int) -> DataFrame:
-    """(bucket, kind 2, shard, bits: confirmed windows, phrases: the phrases they are around) of each bucket."""
-    width = min(ANCHOR, size)
+def confirm(sent: DataFrame) -> DataFrame:
+    """(bucket, kind 2, shard, bits: the bucket's confirmed windows)."""
 
     def shard(table: pa.Table) -> pa.Table:
         windows = [np.frombuffer(x, np.uint64) for x in table["windows"].to_pylist()]
@@ -129,18 +111,28 @@ def confirm(sent: DataFrame, size: int) -> DataFrame:
         every = _join([*windows, *(w[x] for w, x in zip(windows, again, strict=True))])
         value, count = np.unique(every, return_counts=True)
         twice = value[count > 1]
-        out: list[list[bytes]] = [[], []]
-        for w, phrases, sizes in zip(windows, table["phrases"].to_pylist(), table["sizes"].to_pylist(), strict=True):
-            good = R.isin(w, twice)
-            owner = np.repeat(np.arange(len(sizes) // 4), np.frombuffer(sizes, "<u4"))
-            out[0].append(w[good].tobytes())
-            out[1].append(np.frombuffer(phrases, np.uint64).reshape(-1, width)[W.distinct(owner[good])].tobytes())
-        n = len(windows)
-        return pa.table([table["bucket"], pa.array(np.full(n, 2), pa.int32()), table["shard"], *(pa.array(x, pa.binary()) for x in out)], names=["bucket", "kind", "shard", "bits", "phrases"])
+        good = pa.array([w[R.isin(w, twice)].tobytes() for w in windows], pa.binary())
+        return pa.table([table["bucket"], pa.array(np.full(len(windows), 2), pa.int32()), table["shard"], good], names=["bucket", "kind", "shard", "bits"])
 
     return sent.groupBy("shard").applyInArrow(shard, _KNOWN)
 
 
+def merged_passages(w: W.Words, confirmed: np.ndarray, size: int) -> list[bytes]:
+    """The words (as their hashes) of each stretch of a chunk that confirmed windows cover, cut between windows where it is over LONGEST words."""
+    doc, at, value = W.runs(w, size)
+    good = R.isin(value, confirmed)
+    doc, at = doc[good], at[good]
+    if not len(at):
+        return []
+    new = np.ones(len(at), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (at[1:] > at[:-1] + size)
+    start = at[new][np.cumsum(new) - 1]  # where each window's stretch starts
+    new[1:] |= (at[1:] - start[1:]) // LONGEST != (at[:-1] - start[:-1]) // LONGEST
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at)) - 1
+    return [w.hashes[a:b].tobytes() for a, b in zip(at[first].tolist(), (at[last] + size).tolist(), strict=True)]
+
+
 def _spell(number: np.ndarray, base: int) -> np.ndarray:
     """Three symbols for each word number, of ranges of their own, so that phrases match on whole words only.
 
@@ -151,28 +143,33 @@ def _spell(number: np.ndarray, base: int) -> np.ndarray:
     return (digits + np.array([2, 2 + base, 2 + 2 * base])).astype("<u4")
 
 
-def automata(phrases: np.ndarray) -> list[tuple[np.ndarray, int, int, ahocorasick.Automaton]]:
-    """(sorted word hashes, base of their spelling, words in a phrase, automaton) for each PHRASES rows of phrases."""
-    out = []
-    for i in range(0, len(phrases), PHRASES):
-        some = phrases[i : i + PHRASES]
-        known, code = np.unique(some, return_inverse=True)
+def automata(passages: list[bytes]) -> list[tuple[np.ndarray, int, int, ahocorasick.Automaton]]:
+    """(sorted word hashes, base of their spelling, words in the shortest passage, automaton) for each WORDS words of different passages."""
+    out, some, held = [], [], 0
+    for i, passage in enumerate(passages):
+        some.append(np.frombuffer(passage, np.uint64))
+        held += len(some[-1])
+        if held < WORDS and i + 1 < len(passages):
+            continue
+        known, code = np.unique(np.concatenate(some), return_inverse=True)
         base = int(np.ceil(len(known) ** (1 / 3))) + 1
         text = _spell(code.reshape(-1), base).tobytes().decode("utf-32-le")
-        automaton, width = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), some.shape[1]
-        for j in range(0, len(text), 3 * width):
-            automaton.add_word(text[j : j + 3 * width])
+        automaton, at = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), 0
+        for x in some:
+            automaton.add_word(text[at : at + 3 * len(x)])
+            at += 3 * len(x)
         automaton.make_automaton()
-        out.append((known, base, width, automaton))
+        out.append((known, base, min(map(len, some)), automaton))
+        some, held = [], 0
     return out
 
 
-def stream(w: W.Words, machines: list[tuple[np.ndarray, int, int, ahocorasick.Automaton]]) -> np.ndarray:
-    """Whether a phrase of an automaton starts at each word of a chunk; phrases lie within one document."""
-    starts = np.zeros(len(w.hashes), bool)
+def covered_words(w: W.Words, machines: list[tuple[np.ndarray, int, int, ahocorasick.Automaton]]) -> np.ndarray:
+    """Whether a hit of a passage covers each word of a chunk, from its first to its last word; hits lie within one document."""
+    edge = np.zeros(len(w.hashes) + 1, np.int32)
     doc = w.doc_of_word()
     for known, base, width, automaton in machines:
-        # a word that no phrase has ends every match, and so does a document's end: only runs of words in between are read
+        # a word that no passage has ends every match, and so does a document's end: only runs of words in between are read
         at = np.flatnonzero(R.isin(w.hashes, known))
         new = np.ones(len(at), bool)
         new[1:] = (np.diff(at) != 1) | (doc[at[1:]] != doc[at[:-1]])
@@ -184,23 +181,15 @@ def stream(w: W.Words, machines: list[tuple[np.ndarray, int, int, ahocorasick.Au
         place = 3 * np.arange(len(at)) + np.cumsum(new) - 1
         symbols = np.ones(int(place[-1]) + 3, "<u4")
         symbols[place[:, None] + np.arange(3)] = _spell(np.searchsorted(known, w.hashes[at]), base)
-        hits = np.array([end - length for end, length in automaton.iter(symbols.tobytes().decode("utf-32-le"))], np.int64)
+        longest: dict[int, int] = {}
+        for end, length in automaton.iter(symbols.tobytes().decode("utf-32-le")):
+            if length > longest.get(end, 0):
+                longest[end] = length
+        hits = np.fromiter(longest.items(), np.dtype((np.int64, 2)), len(longest))
         if len(hits):
-            starts[at[np.searchsorted(place, hits + 1)]] = True
-    return starts
-
-
-def repeated_words(w: W.Words, machines: list, confirmed: np.ndarray, size: int) -> np.ndarray:
-    """Whether each word of a chunk lies in a confirmed window around a hit."""
-    edge = np.zeros(len(w.hashes) + 1, np.int32)
-    starts = stream(w, machines)
-    _, at, value = W.runs(w, size)
-    if starts.any() and len(at):
-        hits = np.concatenate([[0], np.cumsum(starts)])
-        near = hits[at + size - min(ANCHOR, size) + 1] > hits[at]
-        at = at[near][R.isin(value[near], confirmed)]
-        np.add.at(edge, at, 1)
-        np.add.at(edge, at + size, -1)
+            first = at[np.searchsorted(place, hits[:, 0] - hits[:, 1] + 1)]
+            np.add.at(edge, first, 1)
+            np.add.at(edge, first + hits[:, 1] // 3, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -232,21 +221,22 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
     def send_anchors(table: pa.Table) -> pa.Table:
         return R.pack(key(table), _join(_windows(w, size)[3] for w in _chunks(table)), route.first)
 
-    def send_phrases(table: pa.Table, answers: pa.Table) -> pa.Table:
+    def send_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
         chunks = [_summary(w, size) for w in _chunks(table)]
         recurring = R.unpack(_join(x[2] for x in chunks), answers, 1, route.first)
-        return pack_phrases(key(table, answers), chunks, recurring, size, shards)
+        return pack_windows(key(table, answers), chunks, recurring, shards)
 
     fields = [f for f in docs.schema.fields if f.name in inner]
     schema = "doc_id long, kept_text string, n_words long, n_removed long" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in fields)
 
     def locate(table: pa.Table, known: pa.Table) -> pa.Table:
         confirmed = W.distinct(_join(np.frombuffer(x, np.uint64) for x in known["bits"].to_pylist()))
-        machines = automata(_join(np.frombuffer(x, np.uint64) for x in known["phrases"].to_pylist()).reshape(-1, min(ANCHOR, size)))
+        # each passage once; in the order of the documents, so that a task that is run again compiles the same
+        machines = automata(list(dict.fromkeys(x for w in _chunks(table) for x in merged_passages(w, confirmed, size))))
         kept, n_words, n_removed = [], [], []
         valid = table["text"].is_valid().to_numpy()
         for w in _chunks(table):
-            gone = repeated_words(w, machines, confirmed, size)
+            gone = covered_words(w, machines)
             raw = w.data.tobytes()
             for i in range(w.docs):
                 mine = raw[w.text_at[i] : w.text_at[i + 1]].split()
@@ -263,7 +253,7 @@ def drop_repeated_passages(df: DataFrame, *, size: int = 35, doc_id: str = "doc_
 
     by = lambda frame: frame.groupBy("bucket")
     first = R.answer(by(docs).applyInArrow(send_anchors, R.SENT_DDL), 1, route)
-    known = confirm(by(docs).cogroup(by(first)).applyInArrow(send_phrases, _SENT), size)
+    known = confirm(by(docs).cogroup(by(first)).applyInArrow(send_windows, _SENT))
     out = by(docs).cogroup(by(known)).applyInArrow(locate, schema)
     return out.select("doc_id", "kept_text", "n_words", "n_removed", *(F.col(x).alias(c) for c, x in zip(carry, inner, strict=True)))
 

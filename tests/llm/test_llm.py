@@ -349,30 +349,47 @@ def test_op3_repeated_rows_verbatim_and_empty(spark):
 
 
 def test_op3_positions_come_from_the_automata(spark, texts, monkeypatch):
-    assert sum(r.n_removed for r in passages.drop_repeated_passages(make(spark, texts), size=4).collect()) > 0
-    dictionary = np.array([[1, 2, 3], [2, 3, 4]], np.uint64)
-    w = next(W.split(pa.array(["a b c d", "b c", "x b c d"])))
-    a, b, c, d = w.hashes[:4]
-    assert not passages.stream(w, passages.automata(dictionary)).any() and not passages.stream(w, []).any()
-    hits = passages.stream(w, passages.automata(np.array([[b, c, d]])))
-    assert hits.nonzero()[0].tolist() == [1, 7]
-    confirmed = np.unique(W.runs(w, 3)[2])
-    machines = passages.automata(np.array([[a, b, c], [b, c, d]]))
-    assert passages.repeated_words(w, machines, confirmed, 3).tolist() == [True] * 4 + [False] * 3 + [True] * 3
-    # without an automaton nothing is looked at, confirmed or not
-    assert not passages.repeated_words(w, [], confirmed, 3).any()
-
-
-def test_op3_many_phrases_need_several_automata(monkeypatch):
-    monkeypatch.setattr(passages, "PHRASES", 3)
-    r = random.Random(8)
-    text = [f"w{r.randrange(50)}" for _ in range(400)]
-    w = next(W.split(pa.array([" ".join(text[:250]), " ".join(text[250:])])))
-    at = sorted(r.sample(range(240), 20))
-    machines = passages.automata(np.array([w.hashes[i : i + 6] for i in at]))
-    wanted = {tuple(text[i : i + 6]) for i in at}
-    assert len(machines) == 7
-    assert passages.stream(w, machines).tolist() == [tuple(text[i : i + 6]) in wanted and (i < 245 or i >= 250) for i in range(400)]
+    removed = lambda: sorted((r.doc_id, r.n_removed, r.kept_text) for r in passages.drop_repeated_passages(make(spark, texts), size=4).coalesce(1).collect())
+    before = removed()
+    assert sum(n for _, n, _ in before) > 0
+    w = next(W.split(pa.array(["a b c d", "b c", "x b c d", "a b c x b c d"])))
+    confirmed = np.unique(W.runs(next(W.split(pa.array(["a b c d"]))), 3)[2])
+    machines = passages.automata(passages.merged_passages(w, confirmed, 3))
+    # removal is told by the automata alone; what was confirmed is not asked again
+    assert passages.covered_words(w, machines).tolist() == [True] * 4 + [False] * 2 + [False] + [True] * 3 + [True] * 3 + [False] + [True] * 3
+    assert not passages.covered_words(w, []).any()
+
+
+def test_op3_without_automata_nothing_is_removed(spark, texts):
+    from pyspark import cloudpickle
+
+    # by value, so that the workers get the change
+    cloudpickle.register_pickle_by_value(passages)
+    kept = passages.automata
+    try:
+        passages.automata = lambda found: []
+        assert {r.n_removed for r in passages.drop_repeated_passages(make(spark, texts), size=4).collect()} == {0}
+    finally:
+        passages.automata = kept
+        cloudpickle.unregister_pickle_by_value(passages)
+
+
+@pytest.mark.parametrize(("bound", "longest"), [(1 << 17, 1 << 12), (5, 1 << 12), (40, 7), (1, 1)])
+def test_op3_automata_of_any_size_cover_what_windows_cover(monkeypatch, bound, longest):
+    monkeypatch.setattr(passages, "WORDS", bound)
+    monkeypatch.setattr(passages, "LONGEST", longest)
+    r = random.Random(bound + longest)
+    for _ in range(40):
+        docs = [" ".join(r.choice("abcd") for _ in range(r.randint(0, 30))) for _ in range(6)]
+        w, size = next(W.split(pa.array(docs))), r.choice([1, 2, 3, 5])
+        _, at, value = W.runs(w, size)
+        confirmed = np.array(sorted({v for v in value.tolist() if r.random() < 0.4}), np.uint64)
+        machines = passages.automata(list(dict.fromkeys(passages.merged_passages(w, confirmed, size))))
+        want = np.zeros(len(w.hashes), bool)
+        for i, v in zip(at.tolist(), value.tolist(), strict=True):
+            if v in confirmed:
+                want[i : i + size] = True
+        assert passages.covered_words(w, machines).tolist() == want.tolist()
 
 
 def test_messages_by_wide_ranges_say_the_same(spark, texts, monkeypatch):
