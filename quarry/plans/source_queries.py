@@ -373,6 +373,34 @@ def _content_key(url: Column) -> Column:
     return S.stable_hash(url, F.lit(""), F.lit(""), F.lit("2"))
 
 
+@query("SELECT c_custkey, 'deadline_exceeded' AS error, CAST(0 AS INTEGER) AS tries FROM customer")
+def deadline_passed(spark, d):
+    """After the deadline nothing is asked, and every row says so."""
+    rows = _t(spark, d, "customer").select("c_custkey", F.concat(F.lit("u/"), "c_custkey").alias("job_url"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("company"), F.lit("").alias("location"), F.lit("").alias("description"))
+    return PL.evaluate(rows, [_answer], PL.Settings(deadline=1.0)).select("c_custkey", "error", F.col("tries").cast("int").alias("tries"))
+
+
+@query("""WITH first AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS nth FROM documents WHERE doc_id % 2 = 0),
+ second AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id % 2, doc_id) AS nth FROM (SELECT doc_id FROM first WHERE nth > 40 UNION ALL SELECT doc_id FROM documents WHERE doc_id % 2 = 1))
+SELECT doc_id, 1 AS run FROM first WHERE nth <= 40 UNION ALL SELECT doc_id, CASE WHEN nth <= 60 THEN 2 ELSE 3 END FROM second""")
+def deferred_carried_over(spark, d):
+    """Two runs with an admission limit: what the first defers comes first in the second, and what that defers waits for a third."""
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("job_url"), F.col("doc_id").alias("arrival_ord"))
+    admitted, later = L.split_admitted(docs.where("arrival_ord % 2 = 0"), 40, ["arrival_ord"])
+    queue = L.deferred_first(later, docs.where("arrival_ord % 2 = 1")).drop("place")
+    second, third = L.split_admitted(queue, 60, ["phase", "arrival_ord"])
+    of = lambda df, run: df.select(F.col("job_url").alias("doc_id"), F.lit(run).alias("run"))
+    return of(admitted, 1).unionByName(of(second, 2)).unionByName(of(third, 3))
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source")
+def exported_summary(spark, d):
+    """A run's summary as it is exported, read back."""
+    path = scratch(spark, "summary")
+    K.export_summary(M.breakdown(_t(spark, d, "documents")), path)
+    return spark.read.schema("source string, n long").json(path)
+
+
 @query("SELECT event_id, event_type, value FROM events WHERE event_id % 3 <> 2")
 def outbox_rows(spark, d):
     """Two batches through the outbox format; a third, of which a task fails, leaves nothing to see."""
