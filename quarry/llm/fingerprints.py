@@ -182,8 +182,10 @@ def compare_fingerprints(df: DataFrame, left: str, right: str) -> DataFrame:
 
     removed and added are the digests of the paragraphs that only the left or the right one has. If the
     tables are too small for the difference (peeling gets stuck; only the texts could say more) or a
-    fingerprint is null, all three are null. Equal fingerprints give 1.0. One row per row of df;
-    columns of df called like a result are replaced.
+    fingerprint is null, all three are null. Equal fingerprints, those of two empty texts among them, give
+    1.0 and no digests; an empty text against another has that one's paragraphs alone; long texts differ like
+    others, as far as their tables reach. One row per row of df, also for rows that repeat; an empty table
+    gives none; columns of df called like a result are replaced.
     """
     ship(df.sparkSession)
 

@@ -178,7 +178,11 @@ def _taught(known: DataFrame, labels: DataFrame, folds: int, held: int, doc_id:
 def learn_quality(df: DataFrame, labels: DataFrame, *, folds: int = 4, held: int = 2, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Discriminant:
     """The model that classify_quality() learns, for use with quality_score().
 
-    Statistics are made where the texts are, and only they are joined with the labels.
+    Statistics are made where the texts are, and only they are joined with the labels. Rows of the held fold,
+    null ids, null labels and labels but 0 and 1 teach nothing; null and empty texts teach what an empty text
+    is like, long ones are read whole; rows and labels that repeat count each. If a class has fewer than two
+    rows, or a table is empty, the model gives every text the smoothed share of class 1. Other columns are
+    ignored.
     """
     ship(df.sparkSession)
     some = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(~_held(F.col("doc_id"), folds, held))
@@ -186,7 +190,11 @@ def learn_quality(df: DataFrame, labels: DataFrame, *, folds: int = 4, held: int
 
 
 def quality_score(model: Discriminant, text: Column) -> Column:
-    """The score of a text column; null and empty texts have one too."""
+    """The score (0 to 1, higher: class 1 is likelier) of a text column.
+
+    Null texts are scored as empty ones, which have a score like any other; long texts are read whole. Equal
+    texts have equal scores, whatever else is in their rows; an empty table gives no rows.
+    """
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
