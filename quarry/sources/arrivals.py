@@ -8,6 +8,7 @@ again takes what its checkpoint has not seen, each landing once.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,11 +16,18 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..session import ship
+from . import stores
 from .commits import CommitLog
+from .stores import open_store
+
+# Spark's own driver-side worker for streams has no access to shipped packages: what it runs travels by value
+for _module in (sys.modules[__name__], stores):
+    cloudpickle.register_pickle_by_value(_module)
 
 #: landing: its number; body, origin: the response.
 SCHEMA = "landing long, body string, origin string"
@@ -36,14 +44,8 @@ def land(responses: DataFrame, root: str) -> int:
             return number
 
 
-def _open(root: str) -> tuple[fs.FileSystem, str]:
-    from quarry.sources.stores import open_store
-
-    return open_store(root)
-
-
 def _numbers(root: str) -> list[int]:
-    where, base = _open(root)
+    where, base = open_store(root)
     found = where.get_file_info(fs.FileSelector(base, allow_not_found=True))
     return sorted(int(x.base_name.removeprefix("commit-")) for x in found if x.base_name.startswith("commit-"))
 
@@ -55,7 +57,7 @@ class _File(InputPartition):
 
 
 def _files(root: str, after: int, upto: int) -> list[_File]:
-    where, base = _open(root)
+    where, base = open_store(root)
     out = []
     for n in _numbers(root):
         if after < n <= upto:
@@ -68,7 +70,7 @@ def _files(root: str, after: int, upto: int) -> list[_File]:
 
 def _rows(root: str, partition: _File) -> Iterator[pa.RecordBatch]:
     if partition.path:
-        where, _ = _open(root)
+        where, _ = open_store(root)
         with where.open_input_file(partition.path) as file:
             for batch in pq.ParquetFile(file).iter_batches(256, columns=["body", "origin"]):
                 yield pa.RecordBatch.from_arrays([pa.array([partition.landing] * batch.num_rows, pa.int64()), *(c.cast(pa.string()) for c in batch.columns)], ["landing", "body", "origin"])
