@@ -490,16 +490,22 @@ def job_links(spark, d):
     return rows.where("n > 0")
 
 
+#: Rows in a file of a stream of events.
+_STREAM_ROWS = 500_000
+
+
 def _stream(spark, d, batches: int, columns: list):
-    """events as a stream of so many files, one in each micro-batch, in order of time."""
+    """events as a stream of so many micro-batches, in order of time; large ones are several files, the same number each."""
     path = scratch(spark, "events")
     rows = _t(spark, d, "events")
     edges = rows.agg(F.max("event_id")).first()[0] + 1
-    for i in range(batches):
-        part = rows.where((F.col("event_id") >= edges * i // batches) & (F.col("event_id") < edges * (i + 1) // batches))
-        part.select(*columns).coalesce(1).write.mode("append").parquet(path)
+    within = [(F.col("event_id") >= edges * i // batches) & (F.col("event_id") < edges * (i + 1) // batches) for i in range(batches)]
+    # the smallest batch tells how many files all have: none is then without rows, for which no file is written
+    files = max(1, min(rows.agg(*(F.count_if(w).alias(f"n{i}") for i, w in enumerate(within))).first()) // _STREAM_ROWS)
+    for w in within:
+        rows.where(w).select(*columns).repartition(files).write.mode("append").parquet(path)
     schema = rows.select(*columns).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path), rows
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path), rows
 
 
 def _with_rocksdb(spark, run):

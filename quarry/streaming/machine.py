@@ -1,13 +1,19 @@
-"""The evaluation state machine and provider health as streaming operators with keyed state."""
+"""The evaluation state machine and provider health as streaming operators with keyed state.
+
+Keys are held in buckets, each with one state: a state for each key costs a dozen calls between Python and
+the JVM a micro-batch, whatever its number of rows.
+"""
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from typing import ClassVar
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from .. import terms
@@ -21,29 +27,60 @@ for _module in (sys.modules[__name__], terms):
     cloudpickle.register_pickle_by_value(_module)
 
 
+#: Keys share a state by a hash: what Spark asks of Python for each state and micro-batch costs a thousand rows.
+BUCKETS = 4096
+
+
+def _by_bucket(events: DataFrame, buckets: int, *columns: str):
+    """The named columns of a stream, of which the first is the key, by buckets of keys."""
+    key = F.col(columns[0]).cast("string")
+    rows = events.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), key.alias("key"), *columns[1:])
+    return rows.groupBy("bucket")
+
+
 def _in_order(rows: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple]:
-    """The named columns of a key's rows of one micro-batch, by the first of them. Only these columns are held,
+    """Key and named columns of a bucket's rows of one micro-batch, by the first of these. Only these columns are held,
     and no more than a trigger takes in (maxFilesPerTrigger, maxOffsetsPerTrigger)."""
-    parts = [batch[list(columns)] for batch in rows]
+    parts = [batch[["key", *columns]] for batch in rows]
     every = parts[0] if len(parts) == 1 else pd.concat(parts)
     yield from every.sort_values(columns[0], kind="stable").itertuples(index=False, name=None)
 
 
+class _Keys:
+    """The states of a bucket's keys: one value of parallel arrays, read and written once a micro-batch."""
+
+    def __init__(self, handle: StatefulProcessorHandle, fields: dict[str, str]) -> None:
+        self.width = len(fields)
+        self.state = handle.getValueState("keys", ", ".join(f"{name} array<{kind}>" for name, kind in ({"key": "string"} | fields).items()))
+
+    def get(self) -> dict[str | None, tuple]:
+        if not self.state.exists():
+            return {}
+        keys, *values = self.state.get()
+        return dict(zip(keys, zip(*values, strict=True), strict=True))
+
+    def update(self, held: dict[str | None, tuple]) -> None:
+        self.state.update((list(held), *([v[i] for v in held.values()] for i in range(self.width))))
+
+
 class StateMachine(StatefulProcessor):
     """Per key: applies wanted transitions in order; emits every step with whether it was allowed.
 
     An evaluation takes a lease of processing time; when it runs out, the timer makes the key
-    retryable and emits that step.
+    retryable and emits that step. Leases that a bucket's keys take in one micro-batch end together: one timer.
     """
 
+    COLUMNS: ClassVar = ["key", "ord", "from_status", "to_status", "valid", "attempts"]
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("state", "status string, attempts int, lease long")
+        self.keys = _Keys(handle, {"status": "string", "attempts": "int", "lease": "long"})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        status, attempts, lease = self.state.get() if self.state.exists() else ("QUEUED", 0, 0)
-        out = []
-        for order, wanted, error in _in_order(rows, "ord", "status", "error"):
+        held, out = self.keys.get(), []
+        until, leased = timerValues.getCurrentProcessingTimeInMs() + terms.LEASE_SECONDS * 1000, False
+        for name, order, wanted, error in _in_order(rows, "ord", "status", "error"):
+            status, attempts, lease = held.get(name, ("QUEUED", 0, 0))
             text = (error or "").lower() if isinstance(error, str) else ""
             target = "PERMANENT_ERROR" if wanted == "RETRYABLE_ERROR" and any(m in text for m in terms.PERMANENT_ERRORS) else wanted
             before = status
@@ -53,47 +90,56 @@ class StateMachine(StatefulProcessor):
                 if (target == "EVALUATING" and status != "EVALUATING") or through:
                     attempts += 1
                 if target == "EVALUATING" and status != "EVALUATING":
-                    lease = timerValues.getCurrentProcessingTimeInMs() + terms.LEASE_SECONDS * 1000
-                    self.handle.registerTimer(lease)
+                    lease, leased = until, True
                 status = target
-            out.append((key[0], int(order), before, target, valid, attempts))
-        self.state.update((status, attempts, lease))
-        yield pd.DataFrame(out, columns=["key", "ord", "from_status", "to_status", "valid", "attempts"])
+            held[name] = (status, attempts, lease)
+            out.append((name, int(order), before, target, valid, attempts))
+        if leased:
+            self.handle.registerTimer(until)
+        self.keys.update(held)
+        yield pd.DataFrame(out, columns=self.COLUMNS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            status, attempts, lease = self.state.get()
-            if status == "EVALUATING" and expiredTimerInfo.getExpiryTimeInMs() >= lease:
-                self.state.update(("RETRYABLE_ERROR", attempts, 0))
-                yield pd.DataFrame([(key[0], -1, status, "RETRYABLE_ERROR", True, attempts)], columns=["key", "ord", "from_status", "to_status", "valid", "attempts"])
+        held, now = self.keys.get(), expiredTimerInfo.getExpiryTimeInMs()
+        late = [(name, attempts) for name, (status, attempts, lease) in held.items() if status == "EVALUATING" and now >= lease]
+        if late:
+            self.keys.update(held | {name: ("RETRYABLE_ERROR", attempts, 0) for name, attempts in late})
+            yield pd.DataFrame([(name, -1, "EVALUATING", "RETRYABLE_ERROR", True, attempts) for name, attempts in late], columns=self.COLUMNS)
 
     def close(self) -> None:
         pass
 
 
-def run_state_machine(events: DataFrame) -> DataFrame:
-    """A stream of (key, ord, status, error) as a stream of steps. Needs the RocksDB state store."""
+def run_state_machine(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """A stream of (key, ord, status, error) as a stream of steps. Needs the RocksDB state store.
+
+    buckets: of how many keys a state is made follows from it; a checkpoint holds for one number only.
+    """
     schema = "key string, ord long, from_status string, to_status string, valid boolean, attempts int"
-    return events.groupBy("key").transformWithStateInPandas(StateMachine(), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
+    grouped = _by_bucket(events, buckets, "key", "ord", "status", "error")
+    return grouped.transformWithStateInPandas(StateMachine(), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
 
 
 class RunningCounts(StatefulProcessor):
     """Per key: events, failures and the current run of failures."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("counts", "n long, failures long, run long")
+        self.keys = _Keys(handle, {"n": "long", "failures": "long", "run": "long"})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n, failures, run = self.state.get() if self.state.exists() else (0, 0, 0)
-        for _, bad in _in_order(rows, "ord", "failed"):
-            n, failures, run = n + 1, failures + int(bad), run + 1 if bad else 0
-        self.state.update((n, failures, run))
-        yield pd.DataFrame({"key": [key[0]], "n": [n], "failures": [failures], "run": [run]})
+        held, new = self.keys.get(), {}
+        for name, _, bad in _in_order(rows, "ord", "failed"):
+            n, failures, run = new.get(name) or held.get(name, (0, 0, 0))
+            new[name] = (n + 1, failures + int(bad), run + 1 if bad else 0)
+        self.keys.update(held | new)
+        yield pd.DataFrame([(name, *counts) for name, counts in new.items()], columns=["key", "n", "failures", "run"])
 
     def close(self) -> None:
         pass
 
 
-def running_failures(events: DataFrame) -> DataFrame:
-    """A stream of (key, ord, failed) as a stream of each key's latest counts."""
-    return events.groupBy("key").transformWithStateInPandas(RunningCounts(), outputStructType="key long, n long, failures long, run long", outputMode="Update", timeMode="None")
+def running_failures(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """A stream of (key, ord, failed) as a stream of the latest counts of each key that had events."""
+    grouped = _by_bucket(events, buckets, "key", "ord", "failed")
+    counts = grouped.transformWithStateInPandas(RunningCounts(), outputStructType="key string, n long, failures long, run long", outputMode="Update", timeMode="None")
+    return counts.withColumn("key", F.col("key").cast("long"))

@@ -522,6 +522,101 @@ def test_streaming_state_machine(spark, tmp_path):
     assert got == [("a", 1, "QUEUED", "EVALUATING", True), ("a", 2, "EVALUATING", "EVALUATED", True), ("a", 3, "EVALUATED", "QUEUED", False), ("a", 4, "EVALUATED", "PASSED", True), ("b", 1, "QUEUED", "PERMANENT_ERROR", True), ("c", 1, "QUEUED", "PASSED", False)]
 
 
+def test_streaming_keys_share_states(spark, tmp_path):
+    from quarry.streaming.machine import ROCKSDB, run_state_machine, running_failures
+
+    r = random.Random(5)
+    statuses = ["EVALUATING", "EVALUATED", "PASSED", "RETRYABLE_ERROR", "QUEUED"]
+    events = [(r.choice([None, *range(300)]), i, r.choice(statuses), r.choice(["invalid json", None]), r.random() < 0.5) for i in range(2000)]
+    for part in (events[:1000], events[1000:]):
+        spark.createDataFrame(part, "key long, ord long, status string, error string, failed boolean").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    stream = spark.readStream.schema("key long, ord long, status string, error string, failed boolean").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    counts, steps = {}, {}
+    for key, ord_, wanted, error, failed in events:
+        n, failures, run = counts.get(key, (0, 0, 0))
+        counts[key] = (n + 1, failures + failed, run + 1 if failed else 0)
+        now = next((s[1] for s in reversed(steps.get(key, [])) if s[2]), "QUEUED")
+        target = "PERMANENT_ERROR" if wanted == "RETRYABLE_ERROR" and error else wanted
+        through = now == "QUEUED" and target in ("RETRYABLE_ERROR", "PERMANENT_ERROR")
+        steps.setdefault(key, []).append((ord_, target, target == now or through or (now, target) in set(terms.TRANSITIONS)))
+
+    done = running_failures(stream, buckets=8).writeStream.outputMode("update").option("checkpointLocation", f"{tmp_path}/log1").trigger(availableNow=True)
+    done = done.foreachBatch(lambda df, i: df.write.parquet(f"{tmp_path}/out1/batch={i}")).start()
+    done.awaitTermination()
+    # one state for each bucket, whatever the number of keys
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in done.recentProgress) == 8
+    got = spark.read.schema("key long, n long, failures long, run long, batch int").parquet(f"{tmp_path}/out1")
+    last = {x.key: (x.n, x.failures, x.run) for x in got.orderBy("batch").collect()}
+    assert last == counts and got.where("batch = 0").count() < len(counts) < got.count()
+
+    out = run_state_machine(stream, buckets=8).writeStream.format("parquet").option("path", f"{tmp_path}/out2").option("checkpointLocation", f"{tmp_path}/log2").start()
+    for _ in range(600):
+        if not out.isActive or sum(p["numInputRows"] for p in out.recentProgress) == 2000:
+            break
+        time.sleep(0.1)
+    out.stop()
+    got = {x.ord: (x.key, x.to_status, x.valid) for x in spark.read.parquet(f"{tmp_path}/out2").collect()}
+    assert got == {o: (None if k is None else str(k), target, valid) for k, found in steps.items() for o, target, valid in found}
+
+
+def test_leases_of_a_bucket_end_each_in_its_time():
+    import pandas as pd
+
+    from quarry.streaming.machine import StateMachine
+
+    class Value:
+        held = None
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+
+        def update(self, value):
+            self.held = value
+
+    class Handle:
+        def __init__(self):
+            self.value, self.timers = Value(), []
+
+        def getValueState(self, *args, **more):
+            return self.value
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentProcessingTimeInMs = self.getExpiryTimeInMs = lambda: ms
+
+    handle, machine, hour = Handle(), StateMachine(), terms.LEASE_SECONDS * 1000
+    machine.init(handle)
+    feed = lambda at, *keys: list(machine.handleInputRows((0,), iter([pd.DataFrame([(k, i, s, None) for i, (k, s) in enumerate(keys)], columns=["key", "ord", "status", "error"])]), At(at)))
+    feed(0, ("a", "EVALUATING"), ("b", "EVALUATING"), ("c", "EVALUATING"), ("b", "EVALUATED"))
+    feed(10, ("d", "EVALUATING"), ("e", "QUEUED"), ("c", "EVALUATED"))
+    assert handle.timers == [hour, hour + 10]
+    late = lambda at: [tuple(x) for df in machine.handleExpiredTimer((0,), None, At(at)) for x in df.itertuples(index=False)]
+    assert late(hour) == [("a", -1, "EVALUATING", "RETRYABLE_ERROR", True, 1)]
+    assert late(hour + 10) == [("d", -1, "EVALUATING", "RETRYABLE_ERROR", True, 1)]
+    assert late(hour + 10) == []
+
+
+def test_a_large_micro_batch_is_several_files(spark, tmp_path, monkeypatch):
+    spark.range(1000).select(F.col("id").alias("event_id")).repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    for size, files in ((100, 2), (500_000, 1)):
+        monkeypatch.setattr(Q, "_STREAM_ROWS", size)
+        stream, _ = Q._stream(spark, str(tmp_path), 4, ["event_id"])
+        seen, reads = {}, []
+        done = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/log{size}")
+
+        def take(df, i, seen=seen, reads=reads):
+            got = df.select("event_id", F.input_file_name().alias("file")).collect()
+            seen[i] = sorted(x.event_id for x in got)
+            reads.append(len({x.file for x in got}))
+
+        done.foreachBatch(take).start().awaitTermination()
+        assert seen == {i: list(range(250 * i, 250 * i + 250)) for i in range(4)}
+        assert reads == [files] * 4
+
+
 def test_crawl_takes_the_best_link_of_any_depth(spark):
     import sys
 
