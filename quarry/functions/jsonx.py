@@ -177,9 +177,9 @@ def find_objects(text: Column, wanted: list[str], depth: int = 25) -> Column:
     @F.arrow_udf("array<string>")
     def find(column: pa.Array) -> pa.Array:
         out = []
-        for x in column.to_pylist():
+        for x in column:  # a page at a time becomes Python objects
             try:
-                out.append([json.dumps(v, ensure_ascii=False) for v in walk(json.loads(x), depth)])
+                out.append([json.dumps(v, ensure_ascii=False) for v in walk(json.loads(x.as_py()), depth)])
             except (TypeError, ValueError):
                 out.append([])
         return pa.array(out, pa.list_(pa.string()))

@@ -512,6 +512,24 @@ def test_search_summary_of_more_listings_than_raw_rows(spark, tmp_path):
     assert (got.total_unique_jobs, got.duplicate_count, got.breakdown, got.largest) == (5003, -3, "a=5000,b=3", 99.94)
 
 
+def test_made_responses_do_not_grow_with_the_table(spark, tmp_path):
+    n = F.col("id")
+    named = lambda word, k: F.concat(F.lit(word), n % k).alias
+    table = spark.range(20_000).select(n.alias("p_partkey"), named("name ", 9)("p_name"), named("Brand", 5)("p_brand"), named("TYPE ", 4)("p_type"))
+    table.write.parquet(f"{tmp_path}/part.parquet")
+    longest = {}
+    for keys in (2_000, 20_000):
+        rows = source_queries._part_rows(spark, str(tmp_path)).where(F.col("p_partkey") < keys)
+        for group in ("p_group", "p_brand"):
+            body = source_queries._bodies(rows, group, F.struct("u"), "items")
+            longest[keys, group] = body.agg(F.max(F.length("body"))).first()[0]
+            assert body.select(F.sum(F.size(F.from_json("body", "items array<struct<u:string>>")["items"]))).first()[0] == keys
+    assert all(longest[20_000, group] < 1.2 * longest[2_000, group] for group in ("p_group", "p_brand"))
+    got = source_queries.source_embedded_json(spark, str(tmp_path))
+    assert got.count() == got.select("job_url").distinct().count() == 20_000
+    assert source_queries.landed_files(spark, str(tmp_path)).select("job_url").distinct().count() == 20_000
+
+
 def test_streaming_state_machine(spark, tmp_path):
     from quarry.streaming.machine import ROCKSDB, run_state_machine
 
