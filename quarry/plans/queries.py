@@ -491,34 +491,47 @@ def job_links(spark, d):
 
 
 #: Rows in a file of a stream of events.
-_STREAM_ROWS = 500_000
+_STREAM_ROWS = 100_000
+#: Rows of a stream for each bucket of its keys, and the fewest buckets: what a bucket costs by itself is some 5,000 rows a micro-batch.
+_BUCKET_ROWS, _BUCKETS = 1 << 16, 64
 
 
 def _stream(spark, d, batches: int, columns: list):
-    """events as a stream of so many micro-batches, in order of time; large ones are several files, the same number each."""
+    """events as a stream of so many micro-batches, in order of time, and their number; large micro-batches are several files, the same number each."""
     path = scratch(spark, "events")
-    rows = _t(spark, d, "events")
+    rows, n = _t(spark, d, "events"), F.col("event_id")
     edges = rows.agg(F.max("event_id")).first()[0] + 1
-    within = [(F.col("event_id") >= edges * i // batches) & (F.col("event_id") < edges * (i + 1) // batches) for i in range(batches)]
+    within = [(n >= edges * i // batches) & (n < edges * (i + 1) // batches) for i in range(batches)]
+    # the first has any id below zero too, the last all events without one
+    within[0], within[-1] = n < edges // batches, (n >= edges * (batches - 1) // batches) | n.isNull()
+    sizes = rows.agg(*(F.count_if(w).alias(f"n{i}") for i, w in enumerate(within))).first()
     # the smallest batch tells how many files all have: none is then without rows, for which no file is written
-    files = max(1, min(rows.agg(*(F.count_if(w).alias(f"n{i}") for i, w in enumerate(within))).first()) // _STREAM_ROWS)
+    files = max(1, min(sizes) // _STREAM_ROWS)
     for w in within:
         rows.where(w).select(*columns).repartition(files).write.mode("append").parquet(path)
     schema = rows.select(*columns).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path), rows
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path), sum(sizes)
 
 
-def _with_rocksdb(spark, run):
+def _buckets(rows: int) -> int:
+    return max(_BUCKETS, rows // _BUCKET_ROWS)
+
+
+def _with_rocksdb(spark, run, buckets: int):
+    """run() with states in RocksDB, in no more partitions than a quarter of the buckets: each is opened and committed in every micro-batch."""
     from ..streaming.machine import ROCKSDB
 
     shared_dir(spark)
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, ROCKSDB)
+    parts = "spark.sql.shuffle.partitions"
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, parts: str(min(int(spark.conf.get(parts)), buckets // 4))}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         return run()
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 @query("SELECT user_id AS key, CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN value < 40 THEN 1 ELSE 0 END) AS BIGINT) AS failures FROM events GROUP BY user_id")
@@ -528,12 +541,14 @@ def stream_state(spark, d):
 
     out = scratch(spark, "stream")
 
+    stream, total = _stream(spark, d, 4, [F.col("user_id").alias("key"), F.col("event_id").alias("ord"), (F.col("value") < 40).alias("failed")])
+    buckets = _buckets(total)
+
     def run():
-        stream, _ = _stream(spark, d, 4, [F.col("user_id").alias("key"), F.col("event_id").alias("ord"), (F.col("value") < 40).alias("failed")])
-        writer = running_failures(stream).writeStream.outputMode("update").option("checkpointLocation", f"{out}-log").trigger(availableNow=True)
+        writer = running_failures(stream, buckets).writeStream.outputMode("update").option("checkpointLocation", f"{out}-log").trigger(availableNow=True)
         writer.foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{out}/batch={i}")).start().awaitTermination()
 
-    _with_rocksdb(spark, run)
+    _with_rocksdb(spark, run, buckets)
     rows = spark.read.schema("key long, n long, failures long, run long, batch int").parquet(out)
     return rows.groupBy("key").agg(F.max_by("n", "batch").alias("n"), F.max_by("failures", "batch").alias("failures"))
 
@@ -560,10 +575,11 @@ def stream_machine(spark, d):
     # a key's events are close in time, and the edges between batches fall among them
     key = (F.floor(F.col("user_id") / 10) * 1000 + F.floor(n / 40)).cast("string").alias("key")
 
+    stream, total = _stream(spark, d, 4, [key, n.alias("ord"), wanted.alias("status"), F.when(n % 2 == 0, "invalid json").otherwise("timeout").alias("error")])
+    buckets = _buckets(total)
+
     def run():
-        stream, rows = _stream(spark, d, 4, [key, n.alias("ord"), wanted.alias("status"), F.when(n % 2 == 0, "invalid json").otherwise("timeout").alias("error")])
-        total = rows.count()
-        steps = run_state_machine(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-log").start()
+        steps = run_state_machine(stream, buckets).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-log").start()
         try:
             while steps.isActive and sum(p["numInputRows"] for p in steps.recentProgress) < total:
                 time.sleep(0.2)
@@ -572,6 +588,6 @@ def stream_machine(spark, d):
         finally:
             steps.stop()
 
-    _with_rocksdb(spark, run)
+    _with_rocksdb(spark, run, buckets)
     # the sink's log names the files of whole batches only
     return spark.read.parquet(out).where("ord >= 0").select(F.col("ord").alias("event_id"), "from_status", "to_status", "valid")

@@ -1,7 +1,8 @@
 """The evaluation state machine and provider health as streaming operators with keyed state.
 
 Keys are held in buckets, each with one state: a state for each key costs a dozen calls between Python and
-the JVM a micro-batch, whatever its number of rows.
+the JVM a micro-batch, whatever its number of rows. Rows reach a state packed, many of a bucket as one row of arrays:
+Spark's runner of states makes Python objects of every row it is given.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ import sys
 from collections.abc import Iterator
 from typing import ClassVar
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +34,46 @@ for _module in (sys.modules[__name__], terms):
 BUCKETS = 4096
 
 
-def _by_bucket(events: DataFrame, buckets: int, *columns: str):
-    """The named columns of a stream, of which the first is the key, by buckets of keys."""
-    key = F.col(columns[0]).cast("string")
-    rows = events.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), key.alias("key"), *columns[1:])
-    return rows.groupBy("bucket")
+#: Rows of a task that are packed together, and so the most that a packed row holds.
+PACKED_ROWS = 1 << 17
+
+
+def _packed(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """A row for each bucket, with the other columns' values as lists."""
+    table = pa.Table.from_batches(batches).sort_by("bucket").combine_chunks()
+    bucket = table["bucket"].to_numpy()
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    edges = pa.array(np.append(starts, len(bucket)), pa.int32())
+    lists = [pa.ListArray.from_arrays(edges, table[c].combine_chunks()) for c in table.column_names[1:]]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts], table["bucket"].type), *lists], names=table.column_names)
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= PACKED_ROWS:
+            yield _packed(held)
+            held, n = [], 0
+    if n:
+        yield _packed(held)
+
+
+def _by_bucket(events: DataFrame, buckets: int, *columns):
+    """The given columns of a stream, of which the first is the key, by buckets of keys; rows of a bucket are packed."""
+    head, *others = events.select(*columns).columns
+    key = F.col(head).cast("string")
+    rows = events.select(*columns).select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), key.alias("key"), *others)
+    packed = ", ".join(f"{f.name} array<{f.dataType.simpleString()}>" for f in rows.schema.fields[1:])
+    return rows.mapInArrow(_pack, f"bucket long, {packed}").groupBy("bucket")
+
+
+class _OfPacked:
+    """A processor of rows that is given packed ones."""
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        return super().handleInputRows(key, (pd.DataFrame({c: np.concatenate(part[c].to_list()) for c in part.columns[1:]}) for part in rows), timerValues)
 
 
 def _in_order(rows: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple]:
@@ -110,6 +148,10 @@ class StateMachine(StatefulProcessor):
         pass
 
 
+class _PackedMachine(_OfPacked, StateMachine):
+    pass
+
+
 def run_state_machine(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """A stream of (key, ord, status, error) as a stream of steps. Needs the RocksDB state store.
 
@@ -117,7 +159,7 @@ def run_state_machine(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """
     schema = "key string, ord long, from_status string, to_status string, valid boolean, attempts int"
     grouped = _by_bucket(events, buckets, "key", "ord", "status", "error")
-    return grouped.transformWithStateInPandas(StateMachine(), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
+    return grouped.transformWithStateInPandas(_PackedMachine(), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime")
 
 
 class RunningCounts(StatefulProcessor):
@@ -138,8 +180,12 @@ class RunningCounts(StatefulProcessor):
         pass
 
 
+class _PackedCounts(_OfPacked, RunningCounts):
+    pass
+
+
 def running_failures(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """A stream of (key, ord, failed) as a stream of the latest counts of each key that had events."""
-    grouped = _by_bucket(events, buckets, "key", "ord", "failed")
-    counts = grouped.transformWithStateInPandas(RunningCounts(), outputStructType="key string, n long, failures long, run long", outputMode="Update", timeMode="None")
+    grouped = _by_bucket(events, buckets, "key", "ord", F.coalesce("failed", F.lit(False)).alias("failed"))
+    counts = grouped.transformWithStateInPandas(_PackedCounts(), outputStructType="key string, n long, failures long, run long", outputMode="Update", timeMode="None")
     return counts.withColumn("key", F.col("key").cast("long"))

@@ -586,6 +586,67 @@ def test_streaming_keys_share_states(spark, tmp_path):
     assert got == {o: (None if k is None else str(k), target, valid) for k, found in steps.items() for o, target, valid in found}
 
 
+def test_stream_rows_are_packed_by_bucket(monkeypatch):
+    import pyarrow as pa
+
+    from quarry.streaming import machine
+
+    r = random.Random(7)
+    events = [(r.randrange(5), r.choice([None, "a", "b"]), r.choice([None, i]), r.choice([None, True, False])) for i in range(2500)]
+    parts = [pa.RecordBatch.from_pylist([dict(zip(("bucket", "key", "ord", "failed"), x, strict=True)) for x in events[i : i + 100]]) for i in range(0, 2500, 100)]
+    monkeypatch.setattr(machine, "PACKED_ROWS", 1000)
+    packed = [batch.to_pylist() for batch in machine._pack(iter(parts))]
+    # every thousand rows become a row for each bucket
+    assert [[x["bucket"] for x in rows] for rows in packed] == [[0, 1, 2, 3, 4]] * 3
+    for i, batch in enumerate(packed):
+        for x in batch:
+            assert list(zip(x["key"], x["ord"], x["failed"], strict=True)) == [e[1:] for e in events[1000 * i : 1000 * i + 1000] if e[0] == x["bucket"]]
+    assert list(machine._pack(iter(batch.slice(0, 0) for batch in parts))) == []
+
+
+def test_stream_state_takes_all_events_in_states_for_their_number(spark, tmp_path, monkeypatch):
+    from pyspark.sql.streaming import StreamingQueryListener
+
+    from quarry.streaming import machine
+
+    states, r = [], random.Random(9)
+
+    class Seen(StreamingQueryListener):
+        onQueryStarted = onQueryIdle = onQueryTerminated = lambda self, event: None
+
+        def onQueryProgress(self, event):
+            states.extend((s.numRowsTotal, s.numShufflePartitions) for s in event.progress.stateOperators)
+
+    # some without an id, with one below zero, without a value or a user
+    events = [(r.choice([i] * 20 + [None, -i]), r.choice([None, *range(1000)]), r.choice([None, 10.0, 50.0])) for i in range(6000)]
+    events.append((6000, 0, 50.0))
+    spark.createDataFrame(events, "event_id long, user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(machine, "PACKED_ROWS", 500)
+    before = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass")}
+    listener = Seen()
+    spark.streams.addListener(listener)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "50")
+        got = {x.key: (x.n, x.failures) for x in Q.stream_state(spark, str(tmp_path)).collect()}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+        for _ in range(100):
+            if len(states) >= 4:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    want = {}
+    for _, user, value in events:
+        n, failures = want.get(user, (0, 0))
+        want[user] = (n + 1, failures + (value is not None and value < 40))
+    assert got == want
+    # 64 states, not one for each of the thousand keys, in 16 partitions
+    assert max(states) == (64, 16)
+    assert [Q._buckets(rows) for rows in (0, 6_000_000, 36_000_000)] == [64, 91, 549]
+
+
 def test_leases_of_a_bucket_end_each_in_its_time():
     import pandas as pd
 
