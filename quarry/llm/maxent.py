@@ -36,11 +36,15 @@ from .sums import SENT, message, part, sum_arrays
 CLASSES, FEATURES, END = 32, 4, 31
 #: A class feature's step in a round is RATE * its mean gradient, held back by RESERVE tokens.
 RATE, RESERVE, BLOCKS = 4.0, 20.0, 4
-#: Gradients are counted in parts of 1 / GRAIN; MINIBATCH * GRAIN is 2**24, up to which 32-bit sums are exact. STEP tokens fit a cache.
-GRAIN, MINIBATCH, STEP = 512, 1 << 15, 1 << 12
+#: Gradients are counted in parts of 1 / GRAIN; MOST tokens' sums stay below 2**31, so that half an int64 holds them. STEP tokens' scores fit a cache.
+GRAIN, MOST, MINIBATCH, STEP = 512, (1 << 22) - 1, 1 << 15, 1 << 10
+#: Texts are split in pieces whose arrays of eight bytes a character stay in a cache, and below the size that give_memory_back() maps anew each time.
+PIECE = (1 << 15) - 64
 #: Pairs that occur less often are no features; PRIOR is the inverse variance of a pair's weight.
 CUTOFF, PRIOR, ROUNDS = 2, 0.3, 4
 HEAD_PAIRS, FLUSH, SHARD_BYTES, BATCH_BYTES = 1 << 16, 1 << 21, 32 << 20, 4 << 20
+#: Bits by which the commonest pairs are looked up: four times as many prefixes as pairs.
+PREFIX = 18
 
 
 @dataclass(frozen=True)
@@ -99,36 +103,85 @@ def tokens(w: W.Words, sizes: Sizes) -> Tokens:
 
 
 def _log_softmax(x: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Each row's log probability of its target; x is used up."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(x)), target]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
+    """Each row's log probability of its target; x is used up.
+
+    A weight moves by less than RATE in each of BLOCKS rounds, so a score is less than
+    FEATURES * BLOCKS * RATE = 64 from the prior's, and no sum of exp over- or underflows.
+    """
+    own = x[np.arange(len(x)), target].astype(float)
+    return own - np.log(np.einsum("ij->i", np.exp(x, out=x)).astype(float))
 
 
-def _scores(weights: np.ndarray, prior: np.ndarray, features: np.ndarray) -> np.ndarray:
-    total = weights[0].take(features[0], axis=0)
+def _scores(weights: np.ndarray, prior: np.ndarray, features: np.ndarray, room: np.ndarray | None = None) -> np.ndarray:
+    """Each token's score of every class, in room[0] if there is room (for 2 * STEP tokens)."""
+    n = features.shape[1]
+    total, more = (np.empty((2, n, CLASSES), np.float32) if room is None else room)[:, :n]
+    # features are below the tables' lengths; "clip" only spares a copy
+    weights[0].take(features[0], axis=0, out=total, mode="clip")
     for k in range(1, FEATURES):
-        total += weights[k].take(features[k], axis=0)
-    return total + prior
-
-
-def add_gradient(total: np.ndarray, weights: np.ndarray, prior: np.ndarray, features: np.ndarray, target: np.ndarray) -> None:
-    """Add some tokens' gradient, in parts of 1/GRAIN, and each feature's tokens (last column) to total."""
-    gap = np.empty((len(target), CLASSES), np.float32)
-    for i in range(0, len(target), STEP):
-        x = _scores(weights, prior, features[:, i : i + STEP])
-        x -= x.max(axis=1, keepdims=True)
-        np.exp(x, out=x)
-        np.multiply(x, -GRAIN / x.sum(axis=1, keepdims=True), out=gap[i : i + STEP])
-    gap[np.arange(len(target)), target] += GRAIN
-    np.rint(gap, out=gap)
-    for k in range(FEATURES):
-        order = np.argsort(features[k], kind="stable")
-        f = features[k][order]
-        first = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
-        f = f[first]
-        total[k, f, :CLASSES] += np.add.reduceat(gap[order], first, axis=0)
-        total[k, f, CLASSES] += np.diff(np.append(first, len(order)))
+        total += weights[k].take(features[k], axis=0, out=more, mode="clip")
+    total += prior
+    return total
+
+
+class Gradient:
+    """The class softmax's gradient, in parts of 1/GRAIN, and each feature's tokens."""
+
+    def __init__(self, class_bits: int) -> None:
+        self.slots = 1 << class_bits
+        #: Of each feature: its tokens of each class, and the sums of their probabilities. An int64 holds two classes' sums, so half as many are added up.
+        self.tokens = np.zeros((FEATURES, self.slots * CLASSES), np.int32)
+        self.sums = np.zeros((FEATURES, CLASSES // 2, self.slots), np.int64)
+        self.waiting = 0
+        self.total: np.ndarray | None = None
+        self.room = np.empty((2, STEP, CLASSES), np.float32)
+
+    def add(self, weights: np.ndarray, prior: np.ndarray, features: np.ndarray, target: np.ndarray) -> None:
+        size = min(MINIBATCH, MOST)
+        for i in range(0, len(target), size):
+            own = target[i : i + size]
+            if self.waiting + len(own) > MOST:
+                self._settle()
+            self.waiting += len(own)
+            self._add(weights, prior, features[:, i : i + size], own)
+
+    def _add(self, weights: np.ndarray, prior: np.ndarray, features: np.ndarray, target: np.ndarray) -> None:
+        n = len(target)
+        shares = np.empty((CLASSES // 2, n), np.int64)
+        for i in range(0, n, STEP):
+            x = _scores(weights, prior, features[:, i : i + STEP], self.room)
+            np.exp(x, out=x)
+            x *= (GRAIN / np.einsum("ij->i", x))[:, None]
+            np.rint(x, out=x)
+            shares[:, i : i + STEP] = x.astype("<i4").view("<i8").T
+        one = np.ones(n, np.int32)
+        for k in range(FEATURES):
+            f = features[k].astype(np.int64)
+            np.add.at(self.tokens[k], f * CLASSES + target, one)
+            for pair in range(CLASSES // 2):
+                np.add.at(self.sums[k, pair], f, shares[pair])
+
+    def _feature(self, k: int) -> np.ndarray:
+        """What waits of a feature: (slots, CLASSES + 1), the last column for its tokens."""
+        out = np.empty((self.slots, CLASSES + 1))
+        tokens = self.tokens[k].reshape(self.slots, CLASSES)
+        out[:, 0:CLASSES:2] = (self.sums[k] & 0xFFFFFFFF).T
+        out[:, 1:CLASSES:2] = (self.sums[k] >> 32).T
+        np.subtract(tokens * float(GRAIN), out[:, :CLASSES], out=out[:, :CLASSES])
+        out[:, CLASSES] = tokens.sum(axis=1)
+        return out
+
+    def _settle(self) -> None:
+        if self.total is None:
+            self.total = np.zeros((FEATURES, self.slots, CLASSES + 1))
+        for k in range(FEATURES):
+            self.total[k] += self._feature(k)
+        self.tokens[:], self.sums[:], self.waiting = 0, 0, 0
+
+    def blocks(self) -> dict[str, np.ndarray]:
+        """Each feature's sums by its number; features without tokens are left out."""
+        out = {str(k): self._feature(k) + (0 if self.total is None else self.total[k]) for k in range(FEATURES)}
+        return {k: x for k, x in out.items() if x.any()}
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -143,7 +196,7 @@ def _unplanes(body: bytes, kind: str) -> np.ndarray:
 
 def _read(batches: Iterator[pa.RecordBatch], column: int = 1):
     for batch in batches:
-        for w in W.split(batch.column(column), lower=True):
+        for w in W.split(batch.column(column), lower=True, limit=PIECE):
             yield batch, w
 
 
@@ -316,14 +369,13 @@ def _class_rounds(taught: DataFrame, sizes: Sizes, prior: np.ndarray) -> tuple[n
         shared = spark.sparkContext.broadcast(weights)
 
         def learn(batches, shared=shared):
-            start, total, count = shared.value, np.zeros(shape), np.zeros(len(seen), np.int64)
+            start, total, count = shared.value, Gradient(sizes.class_bits), np.zeros(len(seen), np.int64)
             for _, w in _read(batches):
                 t = tokens(w, sizes)
                 target = t.target
-                count += np.bincount(t.history.astype(np.int64) * CLASSES + target, minlength=len(count))
-                for i in range(0, len(target), MINIBATCH):
-                    add_gradient(total, start, prior, t.features[:, i : i + MINIBATCH], target[i : i + MINIBATCH])
-            yield message({"seen": count.astype(float)} | {f"{k}": total[k] for k in range(FEATURES) if total[k].any()})
+                np.add.at(count, t.history.astype(np.int64) * CLASSES + target, np.ones(len(target), np.int64))
+                total.add(start, prior, t.features, target)
+            yield message({"seen": count.astype(float)} | total.blocks())
 
         got = sum_arrays(taught.where(block == nth).coalesce(tasks).mapInArrow(learn, SENT), tasks, "<f8")
         if "seen" in got:
@@ -431,15 +483,29 @@ def _batches_of(chunks, limit: int):
         yield held
 
 
-def _find(among: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place, whether it is there) of values among sorted ones."""
+def _find(among: np.ndarray, value: np.ndarray, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(place, whether it is there) of values among sorted ones; first: _first_places() of those."""
     if not len(among):
         return np.zeros(len(value), np.int64), np.zeros(len(value), bool)
-    at = np.searchsorted(among, value)
-    at[at == len(among)] = 0
+    if first is None:
+        at = np.searchsorted(among, value)
+        at[at == len(among)] = 0
+        return at, among[at] == value
+    at = first[value >> np.uint64(64 - PREFIX)]
+    low = np.flatnonzero(among[at] < value)
+    while len(low):
+        low = low[at[low] < len(among) - 1]
+        at[low] += 1
+        low = low[among[at[low]] < value[low]]
     return at, among[at] == value
 
 
+def _first_places(among: np.ndarray) -> np.ndarray:
+    """For each value of the first PREFIX bits, the place of the first of the sorted values that is no less (the last place, if none is)."""
+    starts = np.arange(1 << PREFIX, dtype=np.uint64) << np.uint64(64 - PREFIX)
+    return np.minimum(np.searchsorted(among, starts), max(0, len(among) - 1)).astype(np.int32)
+
+
 def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of df.
 
@@ -463,6 +529,9 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
     def send(batches):
         m = shared.value
         norm = np.log(m.norm)
+        head, first_places = m.head, _first_places(m.head["key"])
+        head_base = np.log10(head["count"] + 1.0)
+        room = np.empty((2, STEP, CLASSES), np.float32)
         nth = 0
         for group in _batches_of(_read(batches), batch_bytes):
             rows, tail, first = [], [], 0
@@ -471,14 +540,14 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
                 target, word = t.target, t.value != END
                 lm = np.empty(len(target))
                 for i in range(0, len(target), STEP):
-                    lm[i : i + STEP] = _log_softmax(_scores(m.weights, m.prior, t.features[:, i : i + STEP]), target[i : i + STEP])
+                    lm[i : i + STEP] = _log_softmax(_scores(m.weights, m.prior, t.features[:, i : i + STEP], room), target[i : i + STEP])
                 lm -= np.where(word, norm[t.history, target], 0)
                 base = np.where(word, 0.0, np.log10(m.ends + 1))
-                at, here = _find(m.head["key"], _pair_key(t.value, t.history))
-                if len(m.head["key"]):
-                    here &= word & (m.head["word"][at] == t.value) & (m.head["history"][at] == t.history)
-                    lm += np.where(here, m.head["value"][at], 0)
-                    base += np.where(here, np.log10(m.head["count"][at] + 1.0), 0)
+                at, here = _find(head["key"], _pair_key(t.value, t.history), first_places)
+                if len(head["key"]):
+                    here &= word & (head["word"][at] == t.value) & (head["history"][at] == t.history)
+                    lm += np.where(here, head["value"][at], 0)
+                    base += np.where(here, head_base[at], 0)
                 away = word & ~here
                 per_doc = [np.bincount(t.doc, x, w.docs) for x in (np.ones(len(lm)), here | (~word & (m.ends > 0)), base, lm)]
                 rows.append(pa.RecordBatch.from_arrays([*(batch.column(c).slice(w.first, w.docs) for c in (0, 2)), *(pa.array(x) for x in per_doc)], ["doc_id", "held_out", "n", "known", "base", "lm"]))
@@ -510,12 +579,11 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
         """A shard's answer to each batch: its documents' sums over the shard's words."""
         m = shared.value
         word = counts = np.zeros(0, np.uint64)
-        key = value = np.zeros(0)
+        key, value = np.zeros(0, np.int64), np.zeros(0)
         if len(own):
             word, counts, at, history, times = _unpack_pairs(*(own[c][0].as_py() for c in ("words", "counts", "sizes", "histories", "times")))
-            key = _pair_key(word[at], history)
-            order = np.argsort(key)
-            key, value = key[order], (m.pair_values(word[at], counts[at], history, times) - np.log(counts[at] + 1.0))[order]
+            # pairs lie by word, then history
+            key, value = (at << 16) | history, m.pair_values(word[at], counts[at], history, times) - np.log(counts[at] + 1.0)
         out: list[list] = [[] for _ in range(7)]
         for batch, kind, shard, body, words, size, histories, docs in zip(*(asked[c].to_pylist() for c in ("batch", "kind", "shard", "body", "words", "sizes", "histories", "docs")), strict=True):
             row = [batch, kind, shard, body, None, None, None]
@@ -525,8 +593,8 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
                 at, known = _find(word, asked_word)
                 count = np.where(known, counts[at], 0) if len(word) else np.zeros(len(at), np.int64)
                 count, known = np.repeat(count, many), np.repeat(known, many)
-                at, found = _find(key, _pair_key(np.repeat(asked_word, many), history))
-                more = np.where(found, value[at], 0) if len(key) else np.zeros(len(at))
+                at, found = _find(key, np.repeat(at << 16, many) | history)
+                more = np.where(found & known, value[at], 0) if len(key) else np.zeros(len(at))
                 who, place = np.unique(doc, return_inverse=True)
                 got = [np.bincount(place, x) for x in (np.log10(count + 1.0), known, np.log(count + 1.0) + more)]
                 row[3:] = [_planes(who), _planes(got[0]), _planes(got[1].astype(np.uint32)), _planes(got[2])]

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from fractions import Fraction
 
@@ -318,6 +319,72 @@ def test_class_softmax_is_a_distribution():
     assert np.allclose(np.exp(x).sum(axis=0), 1, atol=1e-4)
 
 
+def gradient_case(n, bits):
+    r = np.random.default_rng(3)
+    weights = r.normal(size=(maxent.FEATURES, 1 << bits, maxent.CLASSES)).astype(np.float32)
+    prior = np.log(r.dirichlet(np.ones(maxent.CLASSES))).astype(np.float32)
+    features = np.minimum(r.geometric(0.01, (maxent.FEATURES, n)), (1 << bits) - 1).astype(np.uint16)
+    return weights, prior, features, r.integers(0, maxent.CLASSES, n)
+
+
+@pytest.mark.parametrize("most", [None, 100, 2500])
+def test_op2_gradient_is_the_sum_over_tokens(monkeypatch, most):
+    n, bits = 4000, 8
+    weights, prior, features, target = gradient_case(n, bits)
+    if most:
+        monkeypatch.setattr(maxent, "MOST", most)
+    got = maxent.Gradient(bits)
+    for i in range(0, n, 1500):
+        got.add(weights, prior, features[:, i : i + 1500], target[i : i + 1500])
+    x = prior + sum(weights[k].astype(float)[features[k]] for k in range(maxent.FEATURES))
+    p = np.exp(x) / np.exp(x).sum(axis=1, keepdims=True)
+    for k in range(maxent.FEATURES):
+        wanted, seen = np.zeros((1 << bits, maxent.CLASSES)), np.bincount(features[k], minlength=1 << bits)
+        np.add.at(wanted, features[k], np.eye(maxent.CLASSES)[target] - p)
+        body = got.blocks()[str(k)]
+        assert (body[:, maxent.CLASSES] == seen).all()
+        assert (body == np.rint(body)).all() and (abs(body[:, :-1] / maxent.GRAIN - wanted) <= seen[:, None] / maxent.GRAIN * 0.51).all()
+
+
+def test_op2_gradient_holds_sums_of_certain_classes():
+    # every token is sure of its class, and the class is the one in an int64's upper half
+    weights = np.zeros((maxent.FEATURES, 4, maxent.CLASSES), np.float32)
+    weights[0, :, 31] = 60
+    got, n = maxent.Gradient(2), maxent.MINIBATCH
+    got.waiting = maxent.MOST - n
+    got.sums[:, 15, 1] = (maxent.MOST - n) * maxent.GRAIN << 32
+    got.tokens[:, maxent.CLASSES + 31] = maxent.MOST - n
+    got.add(weights, np.zeros(maxent.CLASSES, np.float32), np.ones((maxent.FEATURES, n + 5), np.uint16), np.full(n + 5, 31))
+    assert got.total is not None and got.waiting == 5
+    body = got.blocks()["2"]
+    assert not body[:, :-1].any() and body[:, -1].tolist() == [0, maxent.MOST + 5, 0, 0]
+
+
+def test_op2_gradient_costs_a_small_multiple_of_its_exponentials():
+    case = gradient_case(1 << 15, 12)
+    x, total = np.full((1 << 15, maxent.CLASSES), -1, np.float32), maxent.Gradient(12)
+
+    def cost(f):
+        times = []
+        for _ in range(5):
+            start = time.thread_time()
+            f()
+            times.append(time.thread_time() - start)
+        return min(times)
+
+    assert cost(lambda: total.add(*case)) < 35 * cost(lambda: np.exp(x, out=x))
+
+
+def test_op2_finds_by_prefix_what_searching_finds():
+    r = np.random.default_rng(4)
+    top = (1 << 64) - 1
+    for n in (0, 1, 5, 1000):
+        among = np.unique(np.concatenate([r.integers(0, top, n, np.uint64), r.integers(0, 9, n, np.uint64), np.full(min(n, 1), top, np.uint64)]))
+        value = np.concatenate([among, among + np.uint64(1), r.integers(0, top, 50, np.uint64), np.array([0, top], np.uint64)])
+        at, here = maxent._find(among, value, maxent._first_places(among))
+        assert here.tolist() == np.isin(value, among).tolist() and (among[at[here]] == value[here]).all()
+
+
 # ---- op3 ----
 
 
