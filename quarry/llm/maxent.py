@@ -76,30 +76,47 @@ class Tokens:
         return (self.value & np.uint64(31)).astype(np.int64)
 
 
+#: The class of a word, by its last byte and 256 times the one before.
+_CLASS = (W.mix(np.arange(1 << 16)) % np.uint64(END)).astype(np.uint8)
+
+
 def word_values(w: W.Words) -> np.ndarray:
-    last = w.data[w.ends - 1].astype(np.uint64) if len(w.ends) else np.zeros(0, np.uint64)
-    before = np.where(w.ends - w.starts > 1, w.data[w.ends - 2], 0).astype(np.uint64) if len(w.ends) else last
-    return (w.hashes & ~np.uint64(31)) | (W.mix(last + before * np.uint64(256)) % np.uint64(END))
+    if not len(w.ends):
+        return np.zeros(0, np.uint64)
+    before = np.where(w.ends - w.starts > 1, w.data[w.ends - 2], 0).astype(np.int64)
+    return (w.hashes & ~np.uint64(31)) | _CLASS[w.data[w.ends - 1] + before * 256]
 
 
-def tokens(w: W.Words, sizes: Sizes) -> Tokens:
+def tokens(w: W.Words, sizes: Sizes, featured: bool = True) -> Tokens:
+    """A chunk's tokens; their features of the class softmax only where asked for."""
     n = len(w.hashes) + w.docs
     at_end = w.bounds[1:] + np.arange(w.docs)
+    start = w.bounds[:-1] + np.arange(w.docs)
     value = np.full(n, END, np.uint64)
     words = np.ones(n, bool)
     words[at_end] = False
     value[words] = word_values(w)
     doc = np.repeat(np.arange(w.docs), np.diff(w.bounds) + 1)
+
+    def shifted(x: np.ndarray, k: int, marked: int, mark: np.uint64) -> np.ndarray:
+        """x of the token k places before; mark for a text's first tokens, of which as many are marked."""
+        out = np.empty(n, np.uint64)
+        out[k:] = x[: max(0, n - k)]
+        for j in range(marked):
+            out[(start + j)[start + j <= at_end]] = mark
+        return out
+
     # what stands before a text's first word is marked by its distance
-    back = [np.concatenate([np.zeros(k, np.uint64), value[:-k]])[:n] for k in (1, 2, 3)]
-    start = np.concatenate([[0], at_end[:-1] + 1]) if w.docs else at_end
-    place = np.arange(n) - np.repeat(start, np.diff(w.bounds) + 1)
-    for k in (1, 2, 3):
-        back[k - 1][place < k] = np.uint64(k)
+    back = [shifted(value, k, k, np.uint64(k)) for k in ((1, 2, 3) if featured else (1,))]
     last = W.mix(back[0])
-    shift = np.uint64(64 - sizes.class_bits)
-    features = np.stack([last >> shift, W.mix(back[0] * np.uint64(3) + W.mix(back[1])) >> shift, W.mix(back[1] + np.uint64(11)) >> shift, W.mix(back[2] + np.uint64(13)) >> shift])
-    return Tokens(doc, value, features.astype(np.uint16), (last >> np.uint64(64 - sizes.history_bits)).astype(np.uint16))
+    history = (last >> np.uint64(64 - sizes.history_bits)).astype(np.uint16)
+    features = np.empty((FEATURES, n if featured else 0), np.uint16)
+    if featured:
+        shift = np.uint64(64 - sizes.class_bits)
+        two = shifted(last, 1, 2, W.mix(np.full(1, 2))[0])  # mix(back[1])
+        for k, x in enumerate((last, W.mix(back[0] * np.uint64(3) + two), W.mix(back[1] + np.uint64(11)), W.mix(back[2] + np.uint64(13)))):
+            features[k] = x >> shift
+    return Tokens(doc, value, features, history)
 
 
 def _log_softmax(x: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -212,17 +229,37 @@ def _firsts(sorted_values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _order(value: np.ndarray) -> np.ndarray:
+    """The places of hashes in ascending order, equal ones as they came: a stable argsort, by sorting the first bits with the places."""
+    if not len(value):
+        return np.zeros(0, np.int64)
+    low = np.uint64((1 << len(value).bit_length()) - 1)
+    # a shard's hashes begin alike: what they share is taken off
+    least = value.min()
+    first = (value - least) << np.uint64(64 - max(1, int(value.max() - least).bit_length()))
+    order = (np.sort((first & ~low) | np.arange(len(value), dtype=np.uint64)) & low).astype(np.int64)
+    got = value[order]
+    if (got[1:] < got[:-1]).any():  # some differ in their last bits only
+        return np.argsort(value, kind="stable")
+    return order
+
+
 def _distinct(value: np.ndarray, history: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct pairs and how often each occurs (times: of each given pair; else once)."""
-    known, place = np.unique(value, return_inverse=True)
+    order = _order(value)
+    value, history = value[order], history[order]
+    first = _firsts(value)
+    known, place = value[first], np.repeat(np.arange(len(first), dtype=np.uint64), np.diff(np.append(first, len(value))))
     # a pair as one number: the word's place, then the history's 16 bits
-    key = (place.astype(np.uint64) << np.uint64(16)) | history.astype(np.uint64)
+    key = (place << np.uint64(16)) | history.astype(np.uint64)
     if times is None:
-        key, total = np.unique(key, return_counts=True)
+        key.sort()
+        first = _firsts(key)
+        key, total = key[first], np.diff(np.append(first, len(key)))
     else:
-        order = np.argsort(key)
-        first = _firsts(key[order])
-        key, total = key[order][first], np.add.reduceat(times[order], first) if len(first) else times
+        again = np.argsort(key)
+        first = _firsts(key[again])
+        key, total = key[again][first], np.add.reduceat(times[order][again], first) if len(first) else times
     return known[key >> np.uint64(16)], (key & np.uint64(0xFFFF)).astype(np.uint16), total
 
 
@@ -271,7 +308,7 @@ def gather_pairs(taught: DataFrame, sizes: Sizes) -> DataFrame:
             return table(_pack_pairs(_shard_of(value, sizes.shards), value, history, times), (part() * 31 + flush) % (1 << 30)).to_batches()
 
         for _, w in _read(batches):
-            t = tokens(w, sizes)
+            t = tokens(w, sizes, featured=False)
             words = t.value != END
             held.append((t.value[words], t.history[words]))
             waiting += len(t.value)
@@ -529,6 +566,8 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
     def send(batches):
         m = shared.value
         norm = np.log(m.norm)
+        norm[:, END] = 0
+        norm = norm.ravel()
         head, first_places = m.head, _first_places(m.head["key"])
         head_base = np.log10(head["count"] + 1.0)
         room = np.empty((2, STEP, CLASSES), np.float32)
@@ -541,15 +580,19 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
                 lm = np.empty(len(target))
                 for i in range(0, len(target), STEP):
                     lm[i : i + STEP] = _log_softmax(_scores(m.weights, m.prior, t.features[:, i : i + STEP], room), target[i : i + STEP])
-                lm -= np.where(word, norm[t.history, target], 0)
+                lm -= norm[t.history.astype(np.int64) * CLASSES + target]
                 base = np.where(word, 0.0, np.log10(m.ends + 1))
                 at, here = _find(head["key"], _pair_key(t.value, t.history), first_places)
-                if len(head["key"]):
-                    here &= word & (head["word"][at] == t.value) & (head["history"][at] == t.history)
-                    lm += np.where(here, head["value"][at], 0)
-                    base += np.where(here, head_base[at], 0)
-                away = word & ~here
-                per_doc = [np.bincount(t.doc, x, w.docs) for x in (np.ones(len(lm)), here | (~word & (m.ends > 0)), base, lm)]
+                hit = np.flatnonzero(here & word)
+                at = at[hit]
+                same = (head["word"][at] == t.value[hit]) & (head["history"][at] == t.history[hit])
+                hit, at = hit[same], at[same]
+                lm[hit] += head["value"][at]
+                base[hit] += head_base[at]
+                away, known = word.copy(), ~word & (m.ends > 0)
+                away[hit], known[hit] = False, True
+                away = np.flatnonzero(away)
+                per_doc = [np.bincount(t.doc, x, w.docs) for x in (np.ones(len(lm)), known, base, lm)]
                 rows.append(pa.RecordBatch.from_arrays([*(batch.column(c).slice(w.first, w.docs) for c in (0, 2)), *(pa.array(x) for x in per_doc)], ["doc_id", "held_out", "n", "known", "base", "lm"]))
                 tail.append((t.value[away], t.history[away], (t.doc[away] + first).astype(np.uint32)))
                 first += w.docs
@@ -560,9 +603,9 @@ def score_texts(df: DataFrame, *, folds: int = 7, held: int = 2, doc_id: str = "
             key = (part() << 24) + nth
             nth += 1
             value, history, doc = (np.concatenate(x) for x in zip(*tail, strict=True))
-            known, place = np.unique(value, return_inverse=True)
-            order = np.argsort((place.astype(np.uint64) << np.uint64(32)) | doc)
-            value, history, doc = known[place[order]], history[order], doc[order]
+            # a word's documents stay in their order
+            order = _order(value)
+            value, history, doc = value[order], history[order], doc[order]
             cut = np.searchsorted(_shard_of(value, sizes.shards), np.arange(sizes.shards + 1))
             some = np.flatnonzero(np.diff(cut))
             sent: list[list] = [[None, *([None] * len(some))] for _ in range(4)]

@@ -385,6 +385,39 @@ def test_op2_finds_by_prefix_what_searching_finds():
         assert here.tolist() == np.isin(value, among).tolist() and (among[at[here]] == value[here]).all()
 
 
+def test_op2_orders_hashes_stably():
+    r = np.random.default_rng(6)
+    top = (1 << 64) - 1
+    close = np.uint64(1 << 63) + r.integers(0, 3, 500).astype(np.uint64)
+    for value in (np.zeros(0, np.uint64), np.full(5, 7, np.uint64), np.array([top, 0, top], np.uint64), r.choice(r.integers(0, top, 90, np.uint64), 700), close, np.append(close, np.uint64(top))):
+        assert maxent._order(value).tolist() == sorted(range(len(value)), key=lambda i: value[i])
+
+
+def test_op2_pairs_are_counted_with_and_without_times():
+    r = np.random.default_rng(7)
+    value, history, times = r.choice(r.integers(0, (1 << 64) - 1, 40, np.uint64), 3000), r.integers(0, 9, 3000).astype(np.uint16), r.integers(1, 5, 3000)
+    for given in (None, times):
+        wanted = collections.Counter()
+        for v, h, n in zip(value.tolist(), history.tolist(), [1] * 3000 if given is None else given.tolist(), strict=True):
+            wanted[v, h] += n
+        assert list(zip(*(x.tolist() for x in maxent._distinct(value, history, given)), strict=True)) == [(*k, n) for k, n in sorted(wanted.items())]
+
+
+@pytest.mark.parametrize("count", [1, 3, 40])
+def test_op2_histories_mark_where_a_text_starts(count):
+    texts = (["", "a", None, "a B", "a b c", "a b c d e", " é "] * 6)[:count]
+    sizes, seen, u = maxent.Sizes(8, 5, 4, 1), [], lambda x: np.array([x], np.uint64)
+    w = next(W.split(pa.array(texts), lower=True))
+    t, bare = maxent.tokens(w, sizes), maxent.tokens(w, sizes, featured=False)
+    assert bare.value.tolist() == t.value.tolist() and bare.history.tolist() == t.history.tolist() and bare.features.shape == (maxent.FEATURES, 0)
+    for i in range(len(t.value)):
+        seen = seen if i and t.doc[i] == t.doc[i - 1] else []
+        one, two, three = (u(seen[-k] if len(seen) >= k else k) for k in (1, 2, 3))
+        hashes = [W.mix(one), W.mix(one * np.uint64(3) + W.mix(two)), W.mix(two + np.uint64(11)), W.mix(three + np.uint64(13))]
+        assert t.features[:, i].tolist() == [int(x[0]) >> 56 for x in hashes] and t.history[i] == int(hashes[0][0]) >> 59
+        seen.append(int(t.value[i]))
+
+
 # ---- op3 ----
 
 
